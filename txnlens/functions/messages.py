@@ -46,16 +46,12 @@ def decode(messages: DataFrame, schema: T.StructType = RAW_MESSAGE) -> DataFrame
     Messages have their text in ``value`` and their order of arrival in ``position``.
     """
     marked = T.StructType([*schema.fields, T.StructField(UNREADABLE, T.StringType())])
-    # The record parser names NaN tokens by their quoted text; bring them back to NaN.
-    fields = F.transform_values(
-        F.from_json("value", "map<string,string>"),
-        lambda _, text: F.when(text == '"NaN"', "NaN").otherwise(text),
-    )
-    return messages.select(
-        "*",
-        F.from_json("value", marked, {"columnNameOfCorruptRecord": UNREADABLE}).alias("record"),
-        fields.alias("fields"),
-    )
+    record = F.from_json("value", marked, {"columnNameOfCorruptRecord": UNREADABLE})
+    fields = F.from_json("value", "map<string,string>")
+    # Unnested from a one-element array: the optimizer moves filters below a projection and
+    # would repeat the parsing for every use in them, but it never moves them below this.
+    both = F.array(F.struct(record.alias("record"), fields.alias("fields")))
+    return messages.select("*", F.inline(both))
 
 
 def with_reason(decoded: DataFrame, labelled: bool = True) -> DataFrame:
@@ -116,10 +112,19 @@ def encoded_result(columns: Sequence[Column] | None = None) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
+def _field(key: str) -> Column:
+    """Raw text of a key. The parser quotes bare NaN tokens; bring them back to NaN."""
+    text = F.col("fields")[key]
+    return F.when(text == '"NaN"', "NaN").otherwise(text)
+
+
+def _or_default(key: str, found: Column, default: Column) -> Column:
+    return F.when(F.map_contains_key("fields", key), found).otherwise(default)
+
+
 def _text(key: str) -> Column:
     """Text of a key: ``unknown`` if the key is missing, null if it holds null."""
-    fields = F.col("fields")
-    return F.when(F.map_contains_key(fields, key), fields[key]).otherwise(F.lit("unknown"))
+    return _or_default(key, _field(key), F.lit("unknown"))
 
 
 def _number(key: str, kind: str) -> Column:
@@ -127,14 +132,12 @@ def _number(key: str, kind: str) -> Column:
 
     Whole numbers drop their fraction, so they are read as decimals first.
     """
-    fields = F.col("fields")
-    number = fields[key].try_cast("double").try_cast(kind)
-    return F.when(F.map_contains_key(fields, key), number).otherwise(F.lit(0).cast(kind))
+    number = _field(key).try_cast("double").try_cast(kind)
+    return _or_default(key, number, F.lit(0).cast(kind))
 
 
 def _moment(key: str, now: Column) -> Column:
-    fields = F.col("fields")
-    return F.when(F.map_contains_key(fields, key), strict_event_time(fields[key])).otherwise(now)
+    return _or_default(key, strict_event_time(_field(key)), now)
 
 
 def coerced_transactions(decoded: DataFrame, now: Column | None = None) -> DataFrame:
