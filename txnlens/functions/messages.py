@@ -8,6 +8,8 @@ key as text, because a missing key and a key holding null mean different things
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from pyspark.sql import types as T
 
 from txnlens.functions.features import strict_event_time
 from txnlens.schemas import (
+    FRAUD_RESULT_MESSAGE,
     MESSAGE_KEYS,
     RAW_COLUMNS,
     RAW_MESSAGE,
@@ -24,6 +27,9 @@ from txnlens.schemas import (
 
 UNREADABLE = "_unreadable"
 
+# How the JSON parser hands over a bare NaN token as text.
+NAN_TOKEN = '"NaN"'
+
 # Why a message was set aside, in the order the rules are tried.
 INVALID_JSON = "invalid_json"
 MISSING_COLUMNS = "missing_columns"
@@ -48,10 +54,16 @@ def decode(messages: DataFrame, schema: T.StructType = RAW_MESSAGE) -> DataFrame
     marked = T.StructType([*schema.fields, T.StructField(UNREADABLE, T.StringType())])
     record = F.from_json("value", marked, {"columnNameOfCorruptRecord": UNREADABLE})
     fields = F.from_json("value", "map<string,string>")
-    # Unnested from a one-element array: the optimizer moves filters below a projection and
-    # would repeat the parsing for every use in them, but it never moves them below this.
-    both = F.array(F.struct(record.alias("record"), fields.alias("fields")))
-    return messages.select("*", F.inline(both))
+    return _computed_once(messages, ["*"], [record.alias("record"), fields.alias("fields")])
+
+
+def _computed_once(df: DataFrame, kept: list[str], columns: list[Column]) -> DataFrame:
+    """Add columns that are computed once per row, whatever is filtered later.
+
+    The optimizer moves filters below a projection and repeats its expressions for every
+    use in them. It never moves them below the unnesting of a one-element array.
+    """
+    return df.select(*kept, F.inline(F.array(F.struct(*columns))))
 
 
 def with_reason(decoded: DataFrame, labelled: bool = True) -> DataFrame:
@@ -78,8 +90,15 @@ def with_reason(decoded: DataFrame, labelled: bool = True) -> DataFrame:
 
 
 def record_columns(names: Sequence[str] = tuple(RAW_NAMES)) -> list[Column]:
-    """The typed columns of a decoded message."""
-    return [F.col("record")[MESSAGE_KEYS[name]].alias(name) for name in names]
+    """The typed columns of a decoded message. A NaN token in a text field counts as null."""
+    kinds = {name: kind for name, _, kind in RAW_COLUMNS}
+    columns = []
+    for name in names:
+        column = F.col("record")[MESSAGE_KEYS[name]]
+        if isinstance(kinds[name], T.StringType):
+            column = F.nullif(column, F.lit(NAN_TOKEN))
+        columns.append(column.alias(name))
+    return columns
 
 
 def valid(judged: DataFrame, names: Sequence[str] = tuple(RAW_NAMES)) -> DataFrame:
@@ -112,76 +131,76 @@ def encoded_result(columns: Sequence[Column] | None = None) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
-def _field(key: str) -> Column:
-    """Raw text of a key. The parser quotes bare NaN tokens; bring them back to NaN."""
-    text = F.col("fields")[key]
-    return F.when(text == '"NaN"', "NaN").otherwise(text)
+def _as_text(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Messages decoded with every field of ``schema`` as text."""
+    fields = [T.StructField(name, T.StringType()) for name in schema.names]
+    return decode(messages, T.StructType(fields))
 
 
 def _or_default(key: str, found: Column, default: Column) -> Column:
-    return F.when(F.map_contains_key("fields", key), found).otherwise(default)
+    """The value found, or the default if the key is missing and not merely null."""
+    return F.coalesce(found, F.when(~F.map_contains_key("fields", key), default))
 
 
 def _text(key: str) -> Column:
-    """Text of a key: ``unknown`` if the key is missing, null if it holds null."""
-    return _or_default(key, _field(key), F.lit("unknown"))
+    return _or_default(key, F.nullif(F.col("record")[key], F.lit(NAN_TOKEN)), F.lit("unknown"))
 
 
 def _number(key: str, kind: str) -> Column:
-    """Number of a key: 0 if the key is missing, null if it cannot be read as a number.
-
-    Whole numbers drop their fraction, so they are read as decimals first.
-    """
-    number = _field(key).try_cast("double").try_cast(kind)
-    return _or_default(key, number, F.lit(0).cast(kind))
+    """Number of a key; whole numbers drop their fraction, so they are read as decimals first."""
+    text = F.col("record")[key]
+    if kind == "float":
+        text = F.when(text == NAN_TOKEN, "NaN").otherwise(text)
+    return _or_default(key, text.try_cast("double").try_cast(kind), F.lit(0).cast(kind))
 
 
 def _moment(key: str, now: Column) -> Column:
-    return _or_default(key, strict_event_time(_field(key)), now)
+    return _or_default(key, strict_event_time(F.col("record")[key]), now)
 
 
-def coerced_transactions(decoded: DataFrame, now: Column | None = None) -> DataFrame:
-    """Decoded messages as stored transactions, with ``reason`` set where they cannot be.
+def coerced_transactions(messages: DataFrame, now: Column | None = None) -> DataFrame:
+    """Messages as stored transactions, with ``reason`` set where they cannot be stored.
 
     A missing key gets a default; a key that is present but unreadable rejects the row.
     """
     now = F.current_timestamp() if now is None else now
-    columns, readable = [], F.lit(True)
+    columns, needed = [], []
     for name, key, kind in RAW_COLUMNS:
         if name == "transaction_date":
-            column = _moment(key, now)
+            columns.append(_moment(key, now).alias(name))
+            needed.append(name)
         elif isinstance(kind, T.StringType):
-            column = _text(key)
+            columns.append(_text(key).alias(name))
         else:
-            column = _number(key, kind.simpleString())
-        if name == "transaction_date" or not isinstance(kind, T.StringType):
-            readable = readable & column.isNotNull()
-        columns.append(column.alias(name))
-    return _judged(decoded, columns, readable, "transaction_id")
+            columns.append(_number(key, kind.simpleString()).alias(name))
+            needed.append(name)
+    return _judged(_as_text(messages, RAW_MESSAGE), columns, needed)
 
 
-def coerced_results(decoded: DataFrame, now: Column | None = None) -> DataFrame:
-    """Decoded result messages as stored fraud results, with ``reason`` where they cannot be."""
+def coerced_results(messages: DataFrame, now: Column | None = None) -> DataFrame:
+    """Result messages as stored fraud results, with ``reason`` where they cannot be stored."""
     now = F.current_timestamp() if now is None else now
-    fields = F.col("fields")
-    finding = F.lower(fields["is_fraud"])
-    moment, amount = _moment("timestamp", now), _number("amount", "float")
+    record = F.col("record")
+    finding = F.lower(record["is_fraud"])
     columns = [
         _text("transaction_id").alias("transaction_id"),
         F.coalesce(~finding.isin("false", "0", "0.0", ""), F.lit(False)).alias("is_fraud"),
-        moment.alias("timestamp"),
-        amount.alias("amount"),
+        _moment("timestamp", now).alias("timestamp"),
+        _number("amount", "float").alias("amount"),
         _text("payment_method").alias("payment_method"),
         _text("product_category").alias("product_category"),
-        fields["error"].alias("error"),
+        record["error"].alias("error"),
     ]
-    return _judged(decoded, columns, moment.isNotNull() & amount.isNotNull(), "transaction_id")
+    return _judged(_as_text(messages, FRAUD_RESULT_MESSAGE), columns, ["timestamp", "amount"])
 
 
-def _judged(decoded: DataFrame, columns: list[Column], readable: Column, key: str) -> DataFrame:
+def _judged(decoded: DataFrame, columns: list[Column], needed: list[str]) -> DataFrame:
+    """Coerced columns and the reason they cannot be stored: one of ``needed`` unreadable."""
+    parsed = F.col("fields").isNotNull().alias("_parsed")
+    coerced = _computed_once(decoded, ["value", "position"], [*columns, parsed])
     reason = (
-        F.when(F.col("fields").isNull(), INVALID_JSON)
-        .when(~readable, BAD_VALUE)
-        .when(_text(key).isNull(), MISSING_KEY)
+        F.when(~F.col("_parsed"), INVALID_JSON)
+        .when(reduce(or_, (F.col(name).isNull() for name in needed)), BAD_VALUE)
+        .when(F.col("transaction_id").isNull(), MISSING_KEY)
     )
-    return decoded.select("value", "position", *columns, reason.alias("reason"))
+    return coerced.withColumn("reason", reason).drop("_parsed")

@@ -71,7 +71,7 @@ def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _coerced_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = msg.coerced_transactions(msg.decode(replay(spark, sf_dir, damage=True)))
+    judged = msg.coerced_transactions(replay(spark, sf_dir, damage=True))
     rows = run_to_files(judged.where(F.col("reason").isNull()).select(*RAW_NAMES), "coerced")
     return _raw_rows(rows).withColumn(
         "transaction_date", F.date_format("transaction_date", "yyyy-MM-dd HH:mm:ss")
@@ -81,7 +81,7 @@ def _coerced_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _coerced_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid = msg.valid(msg.with_reason(msg.decode(replay(spark, sf_dir))))
     messages = valid.select(msg.encoded_result().alias("value"), F.lit(0).alias("position"))
-    judged = msg.coerced_results(msg.decode(messages))
+    judged = msg.coerced_results(messages)
     kept = judged.where(F.col("reason").isNull()).drop("reason", "value", "position")
     rows = run_to_files(kept, "coerced")
     return rows.select(

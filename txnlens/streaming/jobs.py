@@ -102,7 +102,7 @@ def persist_topics(
     )
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        rows = msg.decode(batch).persist()
+        rows = batch.persist()
         if not rows.isEmpty():
             for topic, coerce, table in routes:
                 judged = coerce(rows.where(F.col("topic") == topic))
