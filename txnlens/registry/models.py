@@ -1 +1,332 @@
-ENTRIES = {}
+"""Encoding, imputing, evaluation, training and scoring queries."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from txnlens.ml import pipeline as pl
+from txnlens.ml import train as tr
+from txnlens.ml.evaluate import confusion_metrics, ranking_metrics
+from txnlens.ml.score import scored
+from txnlens.ml.split import hash_split
+from txnlens.registry import oracle as sql
+from txnlens.registry.streams import run_to_files
+from txnlens.schemas import CATEGORICAL, NUMERIC
+from txnlens.session import scratch_path
+from txnlens.sinks.metadata import model_path, read_metadata, write_metadata
+from txnlens.sources.streams import transaction_stream
+from txnlens.sources.tables import transactions
+
+DS = "2025-05-25"
+TRAINING_COLUMNS = [*pl.FEATURE_SOURCES, pl.LABEL]
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transactions(spark, sf_dir, TRAINING_COLUMNS)
+
+
+def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pl.model_input(_raw(spark, sf_dir))
+
+
+def _by_value(df: DataFrame, columns: dict[str, Callable[[str], Column]]) -> DataFrame:
+    """Distinct (feature, value, ...) rows of all categorical columns, in one pass."""
+    rows = [
+        F.struct(
+            F.lit(name).alias("feature"),
+            F.col(name).alias("value"),
+            *(make(name).alias(out) for out, make in columns.items()),
+        )
+        for name in CATEGORICAL
+    ]
+    long = df.select(F.inline(F.array(*rows)))
+    return long.groupBy(*long.columns).agg(F.count("*").alias("n"))
+
+
+def _string_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _features(spark, sf_dir)
+    indexer = pl.encoders()[0].fit(df)
+    return _by_value(indexer.transform(df), {"value_index": lambda c: F.col(f"{c}_index").cast("int")})
+
+
+def _onehot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _features(spark, sf_dir)
+    encoded = Pipeline(stages=pl.encoders()).fit(df).transform(df)
+    vectors = encoded.select(
+        *CATEGORICAL, *(vector_to_array(f"{c}_ohe", "float32").alias(f"{c}_ohe") for c in CATEGORICAL)
+    )
+    return _by_value(
+        vectors,
+        {
+            "vector_size": lambda c: F.size(f"{c}_ohe"),
+            "set_at": lambda c: (F.array_position(f"{c}_ohe", F.lit(1.0).cast("float")) - 1).cast("int"),
+        },
+    )
+
+
+def _impute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pl.imputed(_features(spark, sf_dir), NUMERIC).select("transaction_id", *NUMERIC)
+
+
+def _scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    filled = pl.imputed(_features(spark, sf_dir), NUMERIC).select("transaction_id", *NUMERIC)
+    rows = pl.scaled(filled, NUMERIC)
+    return rows.select("transaction_id", *(F.round(c, 4).alias(c) for c in NUMERIC))
+
+
+def rule_scored(df: DataFrame) -> DataFrame:
+    """Score by a fixed rule, so that evaluation can be checked without a model."""
+    amount = F.col("transaction_amount").cast("double")
+    score = F.col("is_night_time") * 0.4 + F.col("address_mismatch") * 0.3 + amount / 200000.0
+    return df.select(pl.LABEL, score.alias("score"), (score >= 0.75).cast("int").alias("prediction"))
+
+
+def _auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking_metrics(rule_scored(_features(spark, sf_dir)), "score", pl.LABEL)
+
+
+def _confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return confusion_metrics(rule_scored(_features(spark, sf_dir)), "prediction", pl.LABEL)
+
+
+def _metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = model_path(scratch_path(spark, "model"), "Fixed Rule", DS)
+    found = _confusion(spark, sf_dir).first().asDict()
+    metrics = {name: found[name] for name in ("f1", "precision", "recall")}
+    write_metadata(spark, path, "Fixed Rule", DS, metrics)
+    return read_metadata(spark, path).select(
+        "model_name", "training_date", F.explode("metrics").alias("metric", "value")
+    )
+
+
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature vectors of all rows; the stages are fitted on the training side only."""
+    train, test = hash_split(pl.training_input(tr.spread(_raw(spark, sf_dir))), "transaction_id")
+    fitted = pl.preprocessor().fit(train)
+    vectors = fitted.transform(train.unionByName(test))
+    return vectors.select(
+        "transaction_id",
+        F.size(vector_to_array(pl.FEATURES)).alias("n_features"),
+        F.round(F.aggregate(vector_to_array(pl.FEATURES), F.lit(0.0), lambda a, x: a + x), 4).alias(
+            "feature_sum"
+        ),
+    )
+
+
+def quick_classifier() -> LogisticRegression:
+    return tr.classifiers({})["Logistic Regression"]
+
+
+def _fitted(raw: DataFrame) -> tuple[PipelineModel, LogisticRegressionModel]:
+    data = tr.prepare(raw)
+    model = quick_classifier().fit(data.train)
+    data.release()
+    return data.preprocessor, model
+
+
+def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = tr.prepare(_raw(spark, sf_dir))
+    trained = tr.forest_grid(data)
+    data.release()
+    rows = [
+        (
+            place + 1,
+            t.settings["numTrees"],
+            t.settings["maxDepth"],
+            t.settings["minInstancesPerNode"],
+            t.settings["impurity"],
+            t.metrics["auc"],
+            t.metrics["recall"],
+        )
+        for place, t in enumerate(trained)
+    ]
+    return spark.createDataFrame(
+        rows,
+        "place INT, num_trees INT, max_depth INT, min_instances INT, impurity STRING, "
+        "auc DOUBLE, recall DOUBLE",
+    )
+
+
+def _compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = tr.prepare(_raw(spark, sf_dir))
+    trained = tr.compare(data, tr.FOREST_GRID[0])
+    data.release()
+    return tr.results_frame(spark, trained)
+
+
+def _save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all rows by a model that was stored and loaded again."""
+    base = scratch_path(spark, "models")
+    data = tr.prepare(_raw(spark, sf_dir))
+    model = quick_classifier().fit(data.train)
+    best = tr.Trained("Logistic Regression", model, tr.evaluate(model, data.test), {})
+    path = tr.store(spark, base, DS, DS, data.preprocessor, best)
+    data.release()
+    fitted = tr.load_with_retry(lambda: PipelineModel.load(model_path(base, "preprocessor", DS)))
+    loaded = tr.load_with_retry(lambda: LogisticRegressionModel.load(path))
+    return scored(_raw(spark, sf_dir), fitted, loaded).select("transaction_id", "is_fraud")
+
+
+def _train_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first call trains and stores, the second finds the model and does not."""
+    base = scratch_path(spark, "models")
+
+    def train() -> None:
+        data = tr.prepare(_raw(spark, sf_dir))
+        model = quick_classifier().fit(data.train)
+        best = tr.Trained("Logistic Regression", model, tr.evaluate(model, data.test), {})
+        tr.store(spark, base, None, DS, data.preprocessor, best)
+        data.release()
+
+    calls = [(i + 1, tr.train_if_absent(spark, base, train)) for i in range(2)]
+    return spark.createDataFrame(calls, "call INT, trained BOOLEAN")
+
+
+def _score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _raw(spark, sf_dir)
+    rows = scored(raw, *_fitted(raw))
+    return rows.withColumn("probability", F.round("probability", 6))
+
+
+def _score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream carries no label; the same functions score it as score a table."""
+    fitted, model = _fitted(_raw(spark, sf_dir))
+    stream = transaction_stream(spark, sf_dir, pl.FEATURE_SOURCES)
+    rows = run_to_files(scored(stream, fitted, model), "scored")
+    return rows.withColumn("probability", F.round("probability", 6))
+
+
+def _categories(select: str) -> str:
+    """SQL over (feature, value, n, place) of the four filled categorical columns."""
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, coalesce({c}, 'unknown') AS value, COUNT(*) AS n FROM tx GROUP BY 2"
+        for c in CATEGORICAL
+    )
+    ranked = f"""
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) - 1 AS INTEGER)
+    AS place, CAST(COUNT(*) OVER (PARTITION BY feature) AS INTEGER) AS size
+  FROM ({parts})
+)"""
+    return sql.over(select, sql.TX, ranked)
+
+
+_MEDIANS = ", ".join(f"quantile_disc({c}, 0.5) AS m_{c}" for c in NUMERIC)
+_FILLED = ", ".join(
+    f"coalesce(CAST(f.{c} AS DOUBLE), CAST(m_{c} AS DOUBLE)) AS {c}"
+    if c in ("transaction_amount", "amount_per_quantity")
+    else f"coalesce(f.{c}, m_{c}) AS {c}"
+    for c in NUMERIC
+)
+FILLED = f"""
+filled AS (
+  SELECT transaction_id, {_FILLED} FROM feat f, (SELECT {_MEDIANS} FROM feat) m
+)"""
+_SCALED = ", ".join(
+    f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 4) AS {c}" for c in NUMERIC
+)
+
+RULED = """
+ruled AS (
+  SELECT is_fraudulent, is_night_time * CAST(0.4 AS DOUBLE) + address_mismatch * CAST(0.3 AS DOUBLE)
+    + CAST(transaction_amount AS DOUBLE) / CAST(200000 AS DOUBLE) AS score
+  FROM feat
+)"""
+
+CONFUSION = """
+confusion AS (
+  SELECT COUNT(*) FILTER (score >= 0.75 AND is_fraudulent = 1) AS tp,
+    COUNT(*) FILTER (score >= 0.75 AND is_fraudulent = 0) AS fp,
+    COUNT(*) FILTER (score < 0.75 AND is_fraudulent = 1) AS fn,
+    COUNT(*) FILTER (score < 0.75 AND is_fraudulent = 0) AS tn
+  FROM ruled
+),
+rates AS (
+  SELECT *, CAST(tp AS DOUBLE) / (tp + fp) AS p1, CAST(tp AS DOUBLE) / (tp + fn) AS r1,
+    CAST(tn AS DOUBLE) / (tn + fn) AS p0, CAST(tn AS DOUBLE) / (tn + fp) AS r0,
+    CAST(tp + fn AS DOUBLE) / (tp + fp + fn + tn) AS s1,
+    CAST(tn + fp AS DOUBLE) / (tp + fp + fn + tn) AS s0
+  FROM confusion
+),
+metrics AS (
+  SELECT tp, fp, fn, tn, round(CAST(tp + tn AS DOUBLE) / (tp + fp + fn + tn), 8) AS recall,
+    round(s1 * p1 + s0 * p0, 8) AS "precision",
+    round(s1 * 2 * p1 * r1 / (p1 + r1) + s0 * 2 * p0 * r0 / (p0 + r0), 8) AS f1,
+    round(p1, 8) AS fraud_precision, round(r1, 8) AS fraud_recall
+  FROM rates
+)"""
+
+AUC = """
+per_score AS (
+  SELECT score, COUNT(*) FILTER (is_fraudulent = 1) AS pos, COUNT(*) FILTER (is_fraudulent = 0) AS neg
+  FROM ruled GROUP BY score
+),
+curve AS (
+  SELECT *, SUM(pos) OVER w AS tp, SUM(neg) OVER w AS fp, SUM(pos) OVER () AS p, SUM(neg) OVER () AS n
+  FROM per_score WINDOW w AS (ORDER BY score DESC)
+),
+points AS (
+  SELECT *, CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) END AS prec FROM curve
+),
+steps AS (
+  SELECT *, CASE WHEN tp - pos + fp - neg > 0
+    THEN CAST(tp - pos AS DOUBLE) / (tp - pos + fp - neg) ELSE prec END AS prec_before
+  FROM points
+)"""
+
+ENTRIES = {
+    "ml_string_index": (
+        _string_index,
+        _categories("SELECT feature, value, place AS value_index, n FROM ranked"),
+    ),
+    "ml_onehot": (
+        _onehot,
+        _categories("SELECT feature, value, size + 1 AS vector_size, place AS set_at, n FROM ranked"),
+    ),
+    "ml_impute_median": (
+        _impute,
+        sql.over("SELECT * FROM filled", sql.TX, sql.FEATURES, FILLED),
+    ),
+    "ml_scale_numeric": (
+        _scale,
+        sql.over(f"SELECT transaction_id, {_SCALED} FROM filled", sql.TX, sql.FEATURES, FILLED),
+    ),
+    "ml_eval_auc": (
+        _auc,
+        sql.over(
+            """SELECT CAST(MAX(p) AS BIGINT) AS positives, CAST(MAX(n) AS BIGINT) AS negatives,
+            round(SUM(CAST(pos AS DOUBLE) * (n - fp + CAST(neg AS DOUBLE) / 2))
+              / (CAST(MAX(p) AS DOUBLE) * MAX(n)), 8) AS auc,
+            round(SUM(CAST(pos AS DOUBLE) * (prec + prec_before) / 2) / MAX(p), 8) AS pr_auc
+            FROM steps""",
+            sql.TX, sql.FEATURES, RULED, AUC,
+        ),
+    ),
+    "ml_eval_confusion": (
+        _confusion,
+        sql.over("SELECT * FROM metrics", sql.TX, sql.FEATURES, RULED, CONFUSION),
+    ),
+    "ml_model_metadata": (
+        _metadata,
+        sql.over(
+            f"""SELECT 'Fixed Rule' AS model_name, '{DS}' AS training_date, metric, value
+            FROM (SELECT f1, "precision", recall FROM metrics)
+            UNPIVOT (value FOR metric IN (f1, "precision", recall))""",
+            sql.TX, sql.FEATURES, RULED, CONFUSION,
+        ),
+    ),
+    # Models have no SQL form; these are compared by rows only.
+    "ml_features": (_vectors, None),
+    "ml_rf_grid": (_grid, None),
+    "ml_compare": (_compare, None),
+    "ml_save_load": (_save_load, None),
+    "ml_train_if_absent": (_train_if_absent, None),
+    "ml_score_batch": (_score_batch, None),
+    "st_score": (_score_stream, None),
+}
