@@ -95,16 +95,21 @@ def with_time_parts(df: DataFrame) -> DataFrame:
     )
 
 
-def with_model_features(df: DataFrame) -> DataFrame:
-    """The model input columns, for training and scoring, batch and stream alike."""
+def with_date_parts(df: DataFrame) -> DataFrame:
+    """Day of month, day of week and month of the transaction date."""
     day = event_date("transaction_date")
-    dated = df.withColumns(
+    return df.withColumns(
         {
             "day_of_month": F.dayofmonth(day),
             "day_of_week": F.dayofweek(day),
             "month": F.month(day),
         }
     )
+
+
+def with_model_features(df: DataFrame) -> DataFrame:
+    """The model input columns, for training and scoring, batch and stream alike."""
+    dated = with_date_parts(df)
     derived = dated.withColumns(
         {
             "address_mismatch": address_mismatch("shipping_address", "billing_address"),

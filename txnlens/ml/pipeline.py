@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
+    FeatureHasher,
     Imputer,
     OneHotEncoder,
     StandardScaler,
@@ -17,6 +20,9 @@ from txnlens.functions import features as fx
 from txnlens.operators.ranks import quantiles
 from txnlens.schemas import CATEGORICAL, NUMERIC
 
+VOCABULARY_LIMIT = 100_000
+HASH_SLOTS = 1 << 18
+
 LABEL = "is_fraudulent"
 WEIGHT = "class_weight"
 FEATURES = "features"
@@ -57,13 +63,28 @@ def training_input(df: DataFrame) -> DataFrame:
     return fx.with_class_weight(model_input(labelled), LABEL)
 
 
-def encoders() -> list:
-    index = StringIndexer(inputCols=CATEGORICAL, outputCols=INDEXED, handleInvalid="keep")
-    encode = OneHotEncoder(inputCols=INDEXED, outputCols=ENCODED, handleInvalid="keep")
-    return [index, encode]
+def wide_columns(df: DataFrame, limit: int = VOCABULARY_LIMIT) -> list[str]:
+    """Categorical columns with too many values for a vocabulary, found in one pass."""
+    sizes = df.agg(*(F.approx_count_distinct(c).alias(c) for c in CATEGORICAL)).first()
+    return [c for c in CATEGORICAL if sizes[c] > limit]
+
+
+def encoders(wide: Sequence[str] = ()) -> list:
+    """One-hot stages. An indexer holds its vocabulary on the driver and in the model, so
+    ``wide`` columns are hashed into a fixed number of slots instead."""
+    small = [c for c in CATEGORICAL if c not in wide]
+    indexed, encoded = [f"{c}_index" for c in small], [f"{c}_ohe" for c in small]
+    stages = [
+        StringIndexer(inputCols=small, outputCols=indexed, handleInvalid="keep"),
+        OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep"),
+    ]
+    hashers = [
+        FeatureHasher(inputCols=[c], outputCol=f"{c}_ohe", numFeatures=HASH_SLOTS) for c in wide
+    ]
+    return [*(stages if small else []), *hashers]
 
 
-def preprocessor(centred: bool = False) -> Pipeline:
+def preprocessor(centred: bool = False, wide: Sequence[str] = ()) -> Pipeline:
     """Stages from model input to the feature vector.
 
     All 12 medians are found in one pass. ``centred`` subtracts the mean from every
@@ -72,7 +93,7 @@ def preprocessor(centred: bool = False) -> Pipeline:
     trees split the same way on both, and logistic regression scales internally.
     """
     stages = [
-        *encoders(),
+        *encoders(wide),
         Imputer(inputCols=NUMERIC, outputCols=IMPUTED, strategy="median"),
     ]
     if centred:

@@ -17,13 +17,10 @@ def dashboard_rows(results: DataFrame) -> DataFrame:
 
     Rows whose time cannot be read are dropped; they could not be placed on any chart.
     """
-    rows = results.withColumns(
-        {
-            "payment_method": fx.payment_name("payment_method"),
-            "timestamp": fx.strict_event_time("timestamp"),
-        }
-    )
-    return rows.where(F.col("timestamp").isNotNull())
+    changed = {"timestamp": fx.strict_event_time("timestamp")}
+    if "payment_method" in results.columns:
+        changed["payment_method"] = fx.payment_name("payment_method")
+    return results.withColumns(changed).where(F.col("timestamp").isNotNull())
 
 
 def fraud_split(rows: DataFrame) -> DataFrame:

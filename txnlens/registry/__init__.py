@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from txnlens.session import use_settings
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -17,5 +19,14 @@ def entries() -> dict[str, tuple[Query, str | None]]:
         for name, entry in module.ENTRIES.items():
             if name in found:
                 raise ValueError(f"query {name} is registered twice")
-            found[name] = entry
+            query, sql = entry
+            found[name] = (_with_settings(query), sql)
     return found
+
+
+def _with_settings(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        use_settings(spark)
+        return query(spark, sf_dir)
+
+    return run

@@ -19,38 +19,38 @@ DEVICES = ["desktop", "mobile", "tablet"]
 
 CUSTOMER_COLUMNS = ["customer_id", "customer_age", "customer_location", "account_age_days"]
 
-def batch_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+RESULT_COLUMNS = [
+    "transaction_id",
+    "is_fraud",
+    "timestamp",
+    "amount",
+    "payment_method",
+    "product_category",
+]
+
+
+def batch_results(
+    spark: SparkSession, sf_dir: str, columns: list[str] = RESULT_COLUMNS
+) -> DataFrame:
     """Fraud results of the stored transactions, as the stream would emit them."""
-    raw = transactions(
-        spark,
-        sf_dir,
-        [
-            "transaction_id",
-            "is_fraudulent",
-            "transaction_date",
-            "transaction_amount",
-            "payment_method",
-            "product_category",
-        ],
-    )
+    names = {"is_fraud": "is_fraudulent", "timestamp": "transaction_date", "amount": "transaction_amount"}
+    needed = {names.get(c, c) for c in columns} | {"is_fraudulent", "transaction_date"}
+    raw = transactions(spark, sf_dir, sorted(needed))
     date = F.col("transaction_date")
     valid = raw.where(date.isNotNull() & (date != "") & F.col("is_fraudulent").isNotNull())
-    return valid.select(
-        "transaction_id",
-        F.col("is_fraudulent").cast("boolean").alias("is_fraud"),
-        date.alias("timestamp"),
-        F.col("transaction_amount").alias("amount"),
-        "payment_method",
-        "product_category",
-    )
+    found = valid.withColumn("is_fraudulent", F.col("is_fraudulent").cast("boolean"))
+    return found.select(*(F.col(names.get(c, c)).alias(c) for c in columns))
 
 
 def _with_raw(columns, build):
     return lambda spark, sf_dir: build(transactions(spark, sf_dir, columns))
 
 
-def _with_rows(build):
-    return lambda spark, sf_dir: build(dashboard.dashboard_rows(batch_results(spark, sf_dir)))
+def _with_rows(build, columns=("is_fraud", "timestamp", "payment_method")):
+    """A dashboard query; only the result columns it reads are computed."""
+    return lambda spark, sf_dir: build(
+        dashboard.dashboard_rows(batch_results(spark, sf_dir, list(columns)))
+    )
 
 
 def _mart(build, columns, dim=None):
@@ -162,8 +162,9 @@ def _mart_sql(select: str) -> str:
 
 
 def _chart_sql(mart: str, dimension: str, metric: str, name: str | None = None) -> str:
+    total = f"SUM({metric})" if metric != "transaction_count" else f"CAST(SUM({metric}) AS BIGINT)"
     return over(
-        f'SELECT {dimension}, SUM({metric}) AS "{name or metric}" FROM mart GROUP BY {dimension}',
+        f'SELECT {dimension}, {total} AS "{name or metric}" FROM mart GROUP BY {dimension}',
         TX, FEATURES, DIMS, f"mart AS ({mart})",
     )
 
@@ -191,10 +192,8 @@ ENTRIES = {
     ),
     "feat_date_parts": (
         _with_raw(
-            FEATURE_INPUT,
-            lambda raw: fx.with_model_features(raw).select(
-                "transaction_id", "day_of_month", "day_of_week", "month"
-            ),
+            ["transaction_id", "transaction_date"],
+            lambda raw: fx.with_date_parts(raw).drop("transaction_date"),
         ),
         over("SELECT transaction_id, day_of_month, day_of_week, month FROM feat", TX, FEATURES),
     ),
@@ -515,7 +514,7 @@ ENTRIES = {
     ),
     # Dashboard
     "dash_fraud_split": (
-        _with_rows(dashboard.fraud_split),
+        _with_rows(dashboard.fraud_split, ("is_fraud", "timestamp")),
         over(
             """SELECT CASE WHEN is_fraud THEN 'Fraud' ELSE 'Normal' END AS kind, COUNT(*) AS n,
             round(COUNT(*) / CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 6) AS share
@@ -524,11 +523,13 @@ ENTRIES = {
         ),
     ),
     "dash_amount_box": (
-        _with_rows(dashboard.amount_box),
+        _with_rows(dashboard.amount_box, ("is_fraud", "timestamp", "amount")),
         over(sql.box_sql("dash", "is_fraud", "amount"), TX, RESULTS),
     ),
     "dash_amount_box_payment": (
-        _with_rows(dashboard.amount_box_by_payment),
+        _with_rows(
+            dashboard.amount_box_by_payment, ("is_fraud", "timestamp", "amount", "payment_method")
+        ),
         over(sql.box_sql("dash", "payment_method, is_fraud", "amount"), TX, RESULTS),
     ),
     "dash_payment_hist": (
@@ -538,7 +539,10 @@ ENTRIES = {
         ),
     ),
     "dash_fraud_rate_payment": (
-        _with_rows(dashboard.fraud_rate_by_payment),
+        _with_rows(
+            dashboard.fraud_rate_by_payment,
+            ("transaction_id", "is_fraud", "timestamp", "payment_method"),
+        ),
         over(
             """SELECT payment_method, round(avg(CAST(is_fraud AS INTEGER)) * 100, 6) AS fraud_rate,
             COUNT(transaction_id) AS n FROM dash GROUP BY 1""",
@@ -554,7 +558,7 @@ ENTRIES = {
         ),
     ),
     "dash_cumulative_trend": (
-        _with_rows(dashboard.cumulative_trend),
+        _with_rows(dashboard.cumulative_trend, ("is_fraud", "timestamp")),
         over(
             """SELECT day, CAST(SUM(fraud) OVER (ORDER BY day) AS BIGINT) AS fraud_total,
             CAST(SUM(normal) OVER (ORDER BY day) AS BIGINT) AS normal_total
@@ -564,7 +568,7 @@ ENTRIES = {
         ),
     ),
     "dash_trend_points": (
-        _with_rows(dashboard.trend_points),
+        _with_rows(dashboard.trend_points, ("transaction_id", "is_fraud", "timestamp")),
         over(
             """SELECT "timestamp", transaction_id, is_fraud,
             CAST(SUM(CAST(is_fraud AS INTEGER)) OVER w AS BIGINT) AS fraud_total,
@@ -576,7 +580,8 @@ ENTRIES = {
     ),
     "dash_latest": (
         _with_rows(
-            lambda rows: dashboard.latest(rows).withColumn("amount", F.col("amount").cast("double"))
+            lambda rows: dashboard.latest(rows).withColumn("amount", F.col("amount").cast("double")),
+            RESULT_COLUMNS,
         ),
         over(
             """SELECT transaction_id, is_fraud, "timestamp", amount, payment_method,

@@ -24,6 +24,12 @@ def session(app: str = "txnlens", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def use_settings(spark: SparkSession) -> None:
+    """Apply the settings to a session somebody else built."""
+    for key, value in SESSION_CONF.items():
+        spark.conf.set(key, value)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 

@@ -20,16 +20,10 @@ PARENTS_OF = {
     "customer_id": {"orders"},
     "customer_age": {"orders"},
     "order_date": {"orders"},
-    "customer_location": {"orders", "customer", "customer_nation"},
+    "customer_location": {"orders", "customer"},
     "product_category": {"part"},
-    "shipping_address": {"supplier", "supplier_nation"},
-    "billing_address": {
-        "orders",
-        "customer",
-        "customer_nation",
-        "supplier",
-        "supplier_nation",
-    },
+    "shipping_address": {"supplier"},
+    "billing_address": {"orders", "customer", "supplier"},
 }
 
 # Keys of the line item, for callers that need a finer or coarser key than the id.
@@ -58,31 +52,38 @@ def transactions(
     wanted = list(columns) if columns is not None else list(RAW_NAMES)
     parents = set().union(*(PARENTS_OF.get(name, set()) for name in wanted))
     joined = lines if lines is not None else table(spark, sf_dir, "lineitem")
-    for parent in ("orders", "customer", "customer_nation", "part", "supplier", "supplier_nation"):
-        if parent in parents:
-            frame, key, other = _parent(spark, sf_dir, parent)
-            joined = joined.join(frame, F.col(key) == F.col(other), "left")
+    if "orders" in parents:
+        orders = _orders(spark, sf_dir, "customer" in parents)
+        joined = joined.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    if "part" in parents:
+        part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+        joined = joined.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    if "supplier" in parents:
+        supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+        supplier = _with_nation(spark, sf_dir, supplier, "s_nationkey", "supplier_nation")
+        joined = joined.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
     expressions = _expressions()
     return joined.select(*(expressions[name].alias(name) for name in wanted))
 
 
-def _parent(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, str, str]:
-    if name == "orders":
-        frame = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        return frame, "l_orderkey", "o_orderkey"
-    if name == "customer":
-        frame = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-        return frame, "o_custkey", "c_custkey"
-    if name == "part":
-        return table(spark, sf_dir, "part").select("p_partkey", "p_type"), "l_partkey", "p_partkey"
-    if name == "supplier":
-        frame = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-        return frame, "l_suppkey", "s_suppkey"
-    side = name.split("_")[0]
+def _orders(spark: SparkSession, sf_dir: str, with_customer: bool) -> DataFrame:
+    """Orders, with their customer joined here: there are fewer orders than line items,
+    so the line items are shuffled once for both parents."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    if not with_customer:
+        return orders
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    customer = _with_nation(spark, sf_dir, customer, "c_nationkey", "customer_nation")
+    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+
+
+def _with_nation(
+    spark: SparkSession, sf_dir: str, df: DataFrame, key: str, name: str
+) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias(f"{side}_nationkey"), F.col("n_name").alias(f"{side}_nation")
+        F.col("n_nationkey").alias(f"{name}_key"), F.col("n_name").alias(name)
     )
-    return nation, f"{side[0]}_nationkey", f"{side}_nationkey"
+    return df.join(nation, F.col(key) == F.col(f"{name}_key"), "left")
 
 
 def _expressions() -> dict[str, Column]:
