@@ -1,8 +1,9 @@
 """Running totals, dense ids and exact quantiles without a single-task sort.
 
-A window without partition keys sorts everything in one task. Here the rows are split by
-range on the sort key instead; each slice is summed on its own, and the totals of the
-slices before it are added. Only those totals, one row per slice, meet in one task.
+A window without partition keys sorts everything in one task, and one partitioned by a few
+groups sorts a whole group in one. Here the rows are split by range on group and sort key
+instead; each slice is summed on its own, and the totals of the slices before it are added.
+Only those totals, one row per slice and group in it, are ordered per group.
 """
 
 from __future__ import annotations
@@ -17,36 +18,52 @@ from txnlens.session import settle
 
 
 def running_totals(
-    df: DataFrame, order_by: Sequence[str], sums: Mapping[str, Column | str]
+    df: DataFrame,
+    order_by: Sequence[str],
+    sums: Mapping[str, Column | str],
+    group: Sequence[str] = (),
+    with_totals: bool = False,
 ) -> DataFrame:
-    """Add inclusive running sums in ``order_by`` order (ascending, nulls first).
+    """Add inclusive running sums per group in ``order_by`` order (ascending, nulls first).
 
-    Rows that are equal in all of ``order_by`` land in the same slice, so give a unique
-    key, or aggregate by the key first. The slice number is written out with the rows:
-    the split is sampled, and a later recomputation could cut elsewhere.
+    ``with_totals`` adds the whole sum of the group as ``<name>_total`` too. Rows that are
+    equal in group and order land in the same slice, so give a unique key, or aggregate by
+    the key first. The slice number is written out with the rows: the split is sampled,
+    and a later recomputation could cut elsewhere.
     """
     parts = {f"_part_{i}": (name, value) for i, (name, value) in enumerate(sums.items())}
-    sliced = df.repartitionByRange(*order_by).withColumn("_slice", F.spark_partition_id())
-    sliced = settle(sliced, "slices")
-    totals = sliced.groupBy("_slice").agg(
-        *(F.sum(value).alias(f"{key}_total") for key, (_, value) in parts.items())
+    # Kept while the split is sampled, so the input is not computed twice.
+    source = df.persist()
+    sliced = settle(
+        source.repartitionByRange(*group, *order_by).withColumn("_slice", F.spark_partition_id()),
+        "slices",
+    )
+    source.unpersist()
+    # As one struct, groups holding nulls compare as equal. Join and window share the key,
+    # so the rows are shuffled once for both.
+    sliced = sliced.withColumn("_group", F.struct(F.lit(0), *group))
+    totals = sliced.groupBy("_slice", "_group").agg(
+        *(F.sum(value).alias(f"{key}_sum") for key, (_, value) in parts.items())
     )
-    before = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy("_group")
+    before = whole.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
         "_slice",
-        *(F.coalesce(F.sum(f"{key}_total").over(before), F.lit(0)).alias(key) for key in parts),
+        "_group",
+        *(F.coalesce(F.sum(f"{key}_sum").over(before), F.lit(0)).alias(key) for key in parts),
+        *(F.sum(f"{key}_sum").over(whole).alias(f"{key}_all") for key in parts if with_totals),
     )
     within = (
-        W.partitionBy("_slice").orderBy(*order_by).rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    # One row per slice, and slices are bounded by the shuffle partition setting.
-    return sliced.join(F.broadcast(offsets), "_slice").select(
-        *(F.col(c) for c in df.columns),
-        *(
-            (F.col(key) + F.sum(value).over(within)).alias(name)
-            for key, (name, value) in parts.items()
-        ),
+        W.partitionBy("_slice", "_group")
+        .orderBy(*order_by)
+        .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
+    running = [
+        (F.col(key) + F.sum(value).over(within)).alias(name) for key, (name, value) in parts.items()
+    ]
+    ends = [F.col(f"{key}_all").alias(f"{name}_total") for key, (name, _) in parts.items() if with_totals]
+    joined = sliced.join(offsets, ["_slice", "_group"])
+    return joined.select(*(F.col(c) for c in df.columns), *running, *ends)
 
 
 SMALL_ROWS = 200_000
@@ -65,18 +82,11 @@ def dense_ids(
     window is used, beyond that the range-split running count; both give the same ids.
     """
     stored = settle(values, "distinct-values")
-    order = [*group, column]
     if stored.count() <= small_rows:
         window = W.partitionBy(*group).orderBy(F.asc_nulls_first(column))
         return stored.withColumn(id_name, (F.row_number().over(window) - 1).cast("bigint"))
-    counted = running_totals(stored.withColumn("_one", F.lit(1)), order, {"_seen": "_one"})
-    sizes = stored.groupBy(*group).agg(F.count("*").alias("_size"))
-    starts = running_totals(sizes, list(group), {"_until": "_size"}).select(
-        *group, (F.col("_until") - F.col("_size")).alias("_start")
-    )
-    return counted.join(starts, list(group)).select(
-        *values.columns, (F.col("_seen") - F.col("_start") - 1).cast("bigint").alias(id_name)
-    )
+    counted = running_totals(stored, [column], {"_seen": F.lit(1)}, group)
+    return counted.select(*values.columns, (F.col("_seen") - 1).cast("bigint").alias(id_name))
 
 
 def quantiles(
@@ -99,26 +109,14 @@ def quantiles(
         .groupBy(*by, F.col(column).alias("_value"))
         .agg(F.count("*").alias("_n"))
     )
-    ranked = running_totals(counts, [*by, "_value"], {"_until": "_n"})
-    ranked = ranked.withColumn("_from", F.col("_until") - F.col("_n"))
-    spans = ranked.groupBy(*by).agg(
-        F.min("_from").alias("_start"),
-        F.sum("_n").alias("_size"),
-        F.min("_value").alias("_lowest"),
-        F.max("_value").alias("_highest"),
-    )
-    same = F.lit(True)
-    for name in by:
-        same = same & F.col(f"r.{name}").eqNullSafe(F.col(f"s.{name}"))
-    located = ranked.alias("r").join(spans.alias("s"), same)
-    first = F.col("r._from") - F.col("s._start")
-    until = F.col("r._until") - F.col("s._start")
-    value = F.col("r._value").cast("double") if interpolate else F.col("r._value")
+    ranked = running_totals(counts, ["_value"], {"_until": "_n"}, by, with_totals=True)
+    until, size = F.col("_until"), F.col("_until_total")
+    first = until - F.col("_n")
+    value = F.col("_value").cast("double") if interpolate else F.col("_value")
 
     def at(rank: Column) -> Column:
         return F.max(F.when((first <= rank) & (rank < until), value))
 
-    size = F.col("s._size")
     picks = []
     for name, fraction in fractions.items():
         if interpolate:
@@ -129,10 +127,10 @@ def quantiles(
         else:
             rank = F.greatest(F.ceil(size * F.lit(fraction)) - 1, F.lit(0))
             picks.append(at(rank).alias(name))
-    return located.groupBy(*(F.col(f"s.{name}").alias(name) for name in by)).agg(
-        F.max("s._size").alias("n"),
-        F.max("s._lowest").alias("lowest"),
-        F.max("s._highest").alias("highest"),
+    return ranked.groupBy(*by).agg(
+        F.max(size).alias("n"),
+        F.min("_value").alias("lowest"),
+        F.max("_value").alias("highest"),
         *picks,
     )
 

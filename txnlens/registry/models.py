@@ -107,7 +107,7 @@ def _metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature vectors of all rows; the stages are fitted on the training side only."""
-    train, test = hash_split(pl.training_input(tr.spread(_raw(spark, sf_dir))), "transaction_id")
+    train, test = hash_split(pl.training_input(_raw(spark, sf_dir)), "transaction_id")
     fitted = pl.preprocessor().fit(train)
     vectors = fitted.transform(train.unionByName(test))
     return vectors.select(
