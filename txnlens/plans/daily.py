@@ -13,14 +13,16 @@ def write_star(raw: DataFrame, base: str, ds: str, file_format: str = "parquet")
     """Write the six star tables of one day; running a day again replaces it.
 
     The raw rows are stored first and read back, so the source text is parsed once and not
-    once per table.
+    once per table. Text files hold what the writer has, and the views give it types;
+    other formats carry types, so the tables are typed before they are written.
     """
     spark = raw.sparkSession
     write_day(raw, f"{base}/raw_transactions", ds)
     path = f"{base}/raw_transactions/ds={ds}"
     stored = spark.read.schema(raw.schema).parquet(path)
     for name, table in star.star(stored).items():
-        write_day(table, f"{base}/{name}", ds, file_format)
+        shaped = table if file_format == "csv" else star.typed(name, table)
+        write_day(shaped, f"{base}/{name}", ds, file_format)
 
 
 def run_daily(spark: SparkSession, raw: DataFrame, base: str, ds: str) -> None:
