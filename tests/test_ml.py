@@ -1,0 +1,160 @@
+import pytest
+from conftest import rows
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from txnlens.ml import pipeline as pl
+from txnlens.ml import train as tr
+from txnlens.ml.evaluate import confusion_metrics, ranking_metrics
+from txnlens.ml.score import scored
+from txnlens.ml.split import hash_split
+from txnlens.schemas import CATEGORICAL, NUMERIC
+from txnlens.sinks.metadata import model_path, read_metadata
+from txnlens.sources.tables import transactions
+
+
+@pytest.fixture(scope="module")
+def raw(spark, sf_dir):
+    return transactions(spark, sf_dir, [*pl.FEATURE_SOURCES, pl.LABEL])
+
+
+@pytest.fixture(scope="module")
+def data(raw):
+    prepared = tr.prepare(raw)
+    yield prepared
+    prepared.release()
+
+
+def small_tree():
+    return DecisionTreeClassifier(**tr.COLUMNS, maxDepth=4, impurity="entropy", seed=1)
+
+
+def test_split_does_not_depend_on_partitioning(raw):
+    sides = [{r[0] for r in hash_split(raw.repartition(n), "transaction_id")[0].collect()} for n in (1, 5)]
+    assert sides[0] == sides[1]
+    train, test = hash_split(raw, "transaction_id")
+    assert train.count() + test.count() == raw.count()
+    assert 0.7 < train.count() / raw.count() < 0.9
+
+
+def test_unseen_categories_get_a_slot_of_their_own(spark, raw):
+    seen = pl.model_input(raw)
+    model = pl.encoders()[0].fit(seen)
+    strange = seen.limit(1).withColumn("device_used", F.lit("watch"))
+    assert model.transform(strange).first().device_used_index == 3.0
+
+
+def test_input_that_brings_added_columns_is_stripped(raw):
+    dirty = raw.withColumn("features", F.lit(1)).withColumn("prediction", F.lit(2))
+    assert not set(pl.model_input(dirty).columns) & set(pl.ADDED)
+
+
+def test_vectors_have_no_gaps_and_the_expected_length(data, raw):
+    train = hash_split(pl.training_input(raw), "transaction_id")[0]
+    sizes = train.agg(*(F.count_distinct(c).alias(c) for c in CATEGORICAL)).first()
+    want = sum(n + 1 for n in sizes) + len(NUMERIC)
+    values = data.train.select(vector_to_array(pl.FEATURES).alias("v"))
+    assert values.agg(F.min(F.size("v")), F.max(F.size("v"))).first()[:] == (want, want)
+    assert values.where(F.exists("v", lambda x: x.isNull() | F.isnan(x))).isEmpty()
+
+
+def test_centred_vectors_score_alike(raw, data):
+    """Trees split the same way on sparse and on centred one-hot columns."""
+    dense = tr.prepare(raw, centred=True)
+    plain = small_tree().fit(data.train).transform(data.test).select("transaction_id", "prediction")
+    centred = small_tree().fit(dense.train).transform(dense.test).select("transaction_id", "prediction")
+    both = plain.join(centred.withColumnRenamed("prediction", "other"), "transaction_id")
+    assert both.where("prediction = other").count() >= 0.99 * both.count()
+    dense.release()
+
+
+def test_wide_columns_are_hashed_instead_of_indexed(raw):
+    df = pl.model_input(raw)
+    assert pl.wide_columns(df, limit=50) == ["customer_location"]
+    fitted = pl.preprocessor(wide=["customer_location"]).fit(df)
+    size = fitted.transform(df).first().features.size
+    assert size > pl.HASH_SLOTS
+    assert all("customer_location" not in s.getInputCols() for s in fitted.stages[:2])
+
+
+def test_median_is_a_value_that_occurs(spark):
+    df = spark.createDataFrame(
+        [(1, 1.0), (2, 2.0), (3, float("nan")), (None, 4.0), (4, None)], "i INT, d DOUBLE"
+    )
+    assert pl.exact_medians(df, ["i", "d"]) == {"i": 2.0, "d": 2.0}
+    assert rows(pl.imputed(df, ["i", "d"])) == [(1, 1.0), (2, 2.0), (2, 4.0), (3, 2.0), (4, 2.0)]
+
+
+def test_metrics_equal_those_of_the_evaluators(spark):
+    data = [(i * 7 % 13 / 13, float(i * 5 % 3 == 0)) for i in range(200)]
+    df = spark.createDataFrame(data, "score DOUBLE, label DOUBLE")
+    df = df.withColumn("prediction", (F.col("score") > 0.4).cast("double"))
+    raw = df.withColumn("raw", array_to_vector(F.array(-F.col("score"), F.col("score"))))
+    found = ranking_metrics(df, "score", "label").first()
+    for name, metric in (("auc", "areaUnderROC"), ("pr_auc", "areaUnderPR")):
+        judge = BinaryClassificationEvaluator(
+            rawPredictionCol="raw", labelCol="label", metricName=metric, numBins=0
+        )
+        assert found[name] == pytest.approx(judge.evaluate(raw), abs=1e-7)
+    counts = confusion_metrics(df, "prediction", "label").first()
+    for name, metric in (("recall", "weightedRecall"), ("precision", "weightedPrecision"), ("f1", "f1")):
+        judge = MulticlassClassificationEvaluator(labelCol="label", metricName=metric)
+        assert counts[name] == pytest.approx(judge.evaluate(df), abs=1e-7)
+
+
+def test_grid_and_comparison_are_ranked_and_outlive_a_failure(spark, data):
+    grid = [{"numTrees": 2, "maxDepth": 2, "impurity": "gini"}, {"numTrees": 3, "maxDepth": 4, "impurity": "entropy"}]
+    forests = tr.forest_grid(data, grid)
+    assert len(forests) == 2 and forests[0].metrics["auc"] >= forests[1].metrics["auc"]
+    broken = small_tree().setLabelCol("nowhere")
+    trained = tr.fit_all({"Broken": (broken, {}), "Tree": (small_tree(), {})}, data)
+    assert [t.name for t in trained] == ["Tree"]
+    frame = tr.results_frame(spark, [*trained, *forests])
+    scores = [r.f1 for r in frame.collect()]
+    assert scores == sorted(scores, reverse=True)
+
+
+def test_stored_model_scores_as_before(spark, raw, data, tmp_path):
+    base = str(tmp_path)
+    model = small_tree().fit(data.train)
+    best = tr.Trained("Decision Tree", model, tr.evaluate(model, data.test) | {"training_time_seconds": 1.0}, {})
+    path = tr.store(spark, base, "2025-05-25", "2025-05-25", data.preprocessor, best)
+    assert path == f"{base}/fraud_detection/YYYY=2025/MM=05/DD=25/decision_tree"
+    fitted = tr.load_with_retry(lambda: PipelineModel.load(model_path(base, "preprocessor", "2025-05-25")))
+    loaded = tr.load_with_retry(lambda: DecisionTreeClassificationModel.load(path))
+    after = scored(raw, fitted, loaded)
+    assert rows(after) == rows(scored(raw.drop(pl.LABEL), data.preprocessor, model))
+    assert after.where("probability < 0 OR probability > 1").isEmpty()
+    assert after.where("payment_method IS NULL").isEmpty()
+    meta = read_metadata(spark, path).first()
+    assert (meta.model_name, meta.training_date) == ("Decision Tree", "2025-05-25")
+    assert set(meta.metrics) == {"f1", "auc", "pr_auc", "precision", "recall", "training_time_seconds"}
+
+
+def test_training_is_skipped_once_a_model_exists(spark, tmp_path):
+    calls = []
+
+    def train():
+        calls.append(1)
+        spark.range(1).write.parquet(f"{tmp_path}/fraud_detection/model")
+
+    assert tr.train_if_absent(spark, str(tmp_path), train) is True
+    assert tr.train_if_absent(spark, str(tmp_path), train) is False
+    assert len(calls) == 1
+
+
+def test_loading_is_tried_again_and_then_given_up():
+    attempts = []
+
+    def load():
+        attempts.append(1)
+        if len(attempts) < 3:
+            raise OSError("not yet")
+        return "model"
+
+    assert tr.load_with_retry(load, delay=0) == "model"
+    with pytest.raises(OSError):
+        tr.load_with_retry(lambda: (_ for _ in ()).throw(OSError("gone")), attempts=2, delay=0)
