@@ -28,6 +28,21 @@ def test_running_totals_split_a_hot_group(spark):
     assert last == {"cold": 2_000, "hot": 18_000}
 
 
+def test_equal_rows_are_cut_into_slices_too(spark, monkeypatch):
+    """A third of all rows is one and the same row, as when a producer is stuck."""
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, 7, id) AS k", "1 AS v").repartition(6)
+    written = []
+    settle = ranks.settle
+    monkeypatch.setattr(ranks, "settle", lambda d, name: written.append(settle(d, name)) or written[-1])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    found = ranks.running_totals(df, ["k"], {"run": "v"})
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [r["count"] for r in written[-1].groupBy("_slice").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 10_000
+    assert [r.run for r in found.orderBy("run").collect()] == list(range(1, 30_001))
+    assert found.where("k < 7").agg({"run": "max"}).first()[0] == 4
+
+
 def test_dense_ids_are_the_same_on_both_paths(spark):
     values = [("x", None)] + [("x", f"v{i:03d}") for i in range(300)] + [("y", "b"), ("y", "a")]
     df = spark.createDataFrame(values, "d STRING, value STRING").repartition(5)

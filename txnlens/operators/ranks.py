@@ -27,18 +27,18 @@ def running_totals(
     """Add inclusive running sums per group in ``order_by`` order (ascending, nulls first).
 
     ``with_totals`` adds the whole sum of the group as ``<name>_total`` too. Rows that are
-    equal in group and order land in the same slice, so give a unique key, or aggregate by
-    the key first. The slice number is written out with the rows: the split is sampled,
-    and a later recomputation could cut elsewhere.
+    equal in group and order are numbered, so that any number of them can be cut into
+    slices as well; which of them comes first is arbitrary.
+
+    The input is written out first: its files give the same numbers however often they are
+    read, and the split can be sampled without computing the input twice. The slices are
+    written out too, as another sample could cut elsewhere.
     """
     parts = {f"_part_{i}": (name, value) for i, (name, value) in enumerate(sums.items())}
-    # Kept while the split is sampled, so the input is not computed twice.
-    source = df.persist()
-    sliced = settle(
-        source.repartitionByRange(*group, *order_by).withColumn("_slice", F.spark_partition_id()),
-        "slices",
-    )
-    source.unpersist()
+    numbered = settle(df, "unsliced").withColumn("_tie", F.monotonically_increasing_id())
+    order = [*order_by, "_tie"]
+    split = numbered.repartitionByRange(*group, *order)
+    sliced = settle(split.withColumn("_slice", F.spark_partition_id()), "slices")
     # As one struct, groups holding nulls compare as equal. Join and window share the key,
     # so the rows are shuffled once for both.
     sliced = sliced.withColumn("_group", F.struct(F.lit(0), *group))
@@ -55,7 +55,7 @@ def running_totals(
     )
     within = (
         W.partitionBy("_slice", "_group")
-        .orderBy(*order_by)
+        .orderBy(*order)
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     running = [
