@@ -153,6 +153,15 @@ def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted trees alone, the slowest of the learners."""
+    data = tr.prepare(_raw(spark, sf_dir))
+    name = "Gradient-Boosted Trees"
+    trained = tr.fit_all({name: (tr.classifiers({})[name], {})}, data)
+    data.release()
+    return tr.results_frame(spark, trained)
+
+
 def _compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = tr.prepare(_raw(spark, sf_dir))
     trained = tr.compare(data, tr.FOREST_GRID[0])
@@ -325,6 +334,7 @@ ENTRIES = {
     "ml_features": (_vectors, None),
     "ml_rf_grid": (_grid, None),
     "ml_compare": (_compare, None),
+    "ml_gbt": (_boosted, None),
     "ml_save_load": (_save_load, None),
     "ml_train_if_absent": (_train_if_absent, None),
     "ml_score_batch": (_score_batch, None),
