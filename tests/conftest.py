@@ -13,7 +13,7 @@ from txnlens.session import SESSION_CONF  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     builder = SparkSession.builder.master("local[8]").appName("tests")
     for key, value in SESSION_CONF.items():
         builder = builder.config(key, value)
@@ -21,6 +21,8 @@ def spark():
         builder.config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

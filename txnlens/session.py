@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,8 +31,8 @@ def use_settings(spark: SparkSession) -> None:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session may fall back
-    to a folder of this machine, since no other machine has to read it.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, a folder below the
+    warehouse is used, which every executor reaches as well; never one of this machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -41,11 +40,9 @@ def scratch_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    local = tempfile.mkdtemp(prefix="txnlens-")
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    own = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    spark.sparkContext.setCheckpointDir(own)
+    return own
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
