@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from txnlens.llm import exact_dedup
+from txnlens.llm import exact_dedup, near_dedup
 
-MODULES = (exact_dedup,)
+MODULES = (exact_dedup, near_dedup)
 
 
 def entries() -> dict:
