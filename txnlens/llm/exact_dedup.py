@@ -43,8 +43,9 @@ def digests(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
 def refine(rows: DataFrame) -> DataFrame:
     """Groups of two and more equal texts: full hash, ``keep_id``, ``_keep_row``, ``group_size``."""
 
+    # Written out, the keys are a plain side of the join, whose hot partitions Spark can split.
     def shared(df: DataFrame, key: str) -> DataFrame:
-        return df.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key)
+        return written(df.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key), "shared-keys")
 
     by_length = rows.join(shared(rows, "_length"), "_length", "left_semi")
     by_prefix = by_length.join(shared(by_length, "_start"), "_start", "left_semi")
