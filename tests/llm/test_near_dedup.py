@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from txnlens.llm import near_dedup
 from txnlens.llm.graph import components
 from txnlens.llm.near_dedup import BANDS, band_hashes, drop_near, near_duplicates
 from txnlens.llm.shingles import shingle_sets
@@ -72,6 +73,25 @@ def test_one_document_of_each_component_stays(make_docs):
     assert sorted(r.doc_id for r in left.collect()) == sorted({c for _, _, c in brute(rows, 5)})
 
 
+def test_a_family_below_the_threshold_is_compared_in_blocks(make_docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "HUBS", (1,))
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    rng = random.Random(8)
+    texts = [[f"t{i}" for i in range(120)]]
+    for _ in range(150):  # copies of copies, so that edits are shared
+        copy = list(rng.choice(texts))
+        for _ in range(rng.choice([1, 2, 3, 6])):
+            copy[rng.randrange(len(copy))] = f"e{rng.randrange(10**6)}"
+        texts.append(copy)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    compared = []
+    links = near_dedup.block_links
+    monkeypatch.setattr(near_dedup, "block_links", lambda *a: compared.append(links(*a)) or compared[-1])
+    found = near_duplicates(make_docs(rows), words=4).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute(rows, 4)
+    assert compared and compared[0].count()
+
+
 def test_chain_is_one_component(make_docs):
     base = [f"t{i}" for i in range(300)]
     rows = [(i, " ".join([f"x{i}-{j}" if j < 6 * i else w for j, w in enumerate(base)])) for i in range(12)]

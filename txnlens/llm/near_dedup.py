@@ -7,10 +7,13 @@ whole band share a bucket. With 42 bands of 6, a pair at the threshold of 0.8 sh
 bucket with a probability of 3e-6, and less the more alike it is.
 
 Equal sets are one class. Within a bucket, classes are compared with a few hubs at a time, on
-their full sets; only classes that are not yet in one component go on to the next round, until
-no bucket holds two components with an uncompared pair. So copies of one text cost their number,
-not its square, and no link between different components is lost. Pairs whose set sizes alone
-rule out the threshold are left out.
+their full sets; only classes that are not yet in one component go on to the next round, as long as
+a bucket holds two components with an uncompared pair. What is open after the last round are
+families of many texts just below the threshold: their members are compared block by block, on
+full sets, leaving out blocks of one component. So copies of one text cost their number, not its
+square, no pairs of a group are listed, and no link between different components is lost. Pairs are left
+out only where the threshold is out of reach: by the sizes of the sets, and after the first round by the
+shingles that no other open class has, as those cannot be in any intersection.
 
 Edge cases: null and empty texts have no shingles, are linked with nothing and are their own
 component. Rows that repeat an id count as one document with that id. An empty table gives an empty
@@ -33,8 +36,10 @@ from txnlens.llm.shingles import mix, shingle_sets
 
 BANDS, BAND_ROWS = 42, 6
 WORDS, PERCENT = 5, 80
-#: Hubs that each bucket compares in the rounds; the last number holds for all later rounds.
-HUBS = (1, 4, 16, 64)
+#: Hubs that each bucket compares in the rounds.
+HUBS = (1, 4, 16)
+#: Classes in a block of those that are open after the rounds.
+BLOCK = 256
 #: Shingles hashed at once, so that they stay in the processor's cache.
 HASHED = 1 << 15
 
@@ -134,40 +139,69 @@ def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Data
     return pairs.join(second, "b").join(first, "a").mapInArrow(_confirmed(words, percent), "a bigint, b bigint")
 
 
+def _shingle_rows(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(batch.column("_text").to_pylist(), words)
+            ids = np.repeat(batch.column("class").to_numpy(), [len(s) for s in sets])
+            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(ids)], names=["shingle", "class"])
+
+    return run
+
+
+def shared_sizes(texts: DataFrame, words: int) -> DataFrame:
+    """``class, _common``: how many of a class's shingles stand in another class of ``texts`` as well."""
+    rows = texts.select("class", "_text").mapInArrow(_shingle_rows(words), "shingle bigint, class bigint")
+    alone = rows.groupBy("shingle").agg(F.count("*").alias("_n"), F.min("class").alias("class")).where("_n = 1")
+    lonely = alone.groupBy("class").agg(F.count("*").alias("_lonely"))
+    found = texts.select("class", "n_shingles").join(lonely, "class", "left")
+    return found.select("class", (F.col("n_shingles") - F.coalesce("_lonely", F.lit(0))).alias("_common"))
+
+
+def mixed_only(members: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one component."""
+    ends = members.groupBy("bucket").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"))
+    # Written out, the buckets are a plain side of the join, whose hot partitions Spark can split.
+    open_buckets = written(ends.where("_lo <> _hi").select("bucket"), "open-buckets")
+    return written(members.join(open_buckets, "bucket", "left_semi"), "open-members")
+
+
 def class_components(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame | None:
     """``node, label`` of the classes that have a link, or None without any shared bucket."""
-    placed = classes.select(F.explode("bands").alias("bucket"), "class", "n_shingles")
-    ends = placed.groupBy("bucket").agg(F.min("class").alias("_lo"), F.max("class").alias("_hi"))
-    members = written(placed.join(ends.where("_lo <> _hi"), "bucket", "left_semi"), "buckets")
+    placed = classes.select(F.explode("bands").alias("bucket"), "class", "n_shingles", F.col("n_shingles").alias("_common"))
+    members = mixed_only(placed.withColumn("label", F.col("class")))
     if members.isEmpty():
         return None
-    wanted = members.select("class").distinct().join(classes.select("class", "_key"), "class")
+    wanted = written(members.select("class").distinct().join(classes.select("class", "_key", "n_shingles"), "class"), "bucket-classes")
     text = docs.select(whole_text().alias("_text"))
     text = text.select(F.unhex(F.md5("_text")).alias("_key"), "_text")
-    texts = written(text.join(wanted, "_key").dropDuplicates(["class"]).select("class", "_text"), "bucket-texts")
+    texts = text.join(wanted, "_key").dropDuplicates(["class"]).select("class", "n_shingles", "_text")
+    texts = written(texts, "bucket-texts")
 
     labels = links = tested = None
-    for hubs in iter(_hub_counts()):
-        if labels is None:
-            open_members = members.withColumn("label", F.col("class"))
-        else:
-            known = members.join(labels.withColumnRenamed("node", "class"), "class", "left")
-            known = known.withColumn("label", F.coalesce("label", "class"))
-            mixed = known.groupBy("bucket").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"))
-            open_members = written(known.join(mixed.where("_lo <> _hi"), "bucket", "left_semi"), "open-buckets")
-            if open_members.isEmpty():
+    for turn, hubs in enumerate(HUBS):
+        if turn:
+            members = _relabelled(members, labels)
+            if turn == 1 and not members.isEmpty():
+                open_texts = texts.join(written(members.select("class").distinct(), "open-classes"), "class", "left_semi")
+                common = written(shared_sizes(open_texts, words), "shared-sizes")
+                able = members.drop("_common").join(common, "class").where(100 * F.col("_common") >= percent * F.col("n_shingles"))
+                members = mixed_only(able.select(*members.columns))
+            if members.isEmpty():
                 return labels
         order = W.partitionBy("bucket").orderBy("class")
-        chosen = open_members.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= hubs)
-        chosen = written(chosen.select("bucket", "class", "n_shingles", "label"), "hubs")
-        hub = chosen.select("bucket", *(F.col(c).alias(f"_{c}") for c in ("class", "n_shingles", "label")))
-        small, large = F.least("n_shingles", "_n_shingles"), F.greatest("n_shingles", "_n_shingles")
-        pairs = open_members.join(hub, "bucket").where(
-            (F.col("_class") < F.col("class"))
-            & (F.col("_label") != F.col("label"))
-            & (100 * small >= percent * large)
+        chosen = members.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= hubs)
+        chosen = written(chosen.drop("_place"), "hubs")
+        hub = chosen.select("bucket", *(F.col(c).alias(f"_hub_{c}") for c in ("class", "n_shingles", "_common", "label")))
+        # The intersection is no larger than either side's shared part, the union no smaller than the rest.
+        most = F.least("_common", "_hub__common")
+        pairs = members.join(hub, "bucket").where(
+            (F.col("_hub_class") < F.col("class"))
+            & (F.col("_hub_label") != F.col("label"))
+            & (100 * most >= percent * (F.col("n_shingles") + F.col("_hub_n_shingles") - most))
         )
-        pairs = pairs.select(F.col("_class").alias("a"), F.col("class").alias("b")).distinct()
+        pairs = pairs.select(F.col("_hub_class").alias("a"), F.col("class").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
@@ -175,13 +209,74 @@ def class_components(docs: DataFrame, classes: DataFrame, words: int, percent: i
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
         labels = components(links)
-        members = open_members.drop("label").join(chosen.select("bucket", "class"), ["bucket", "class"], "left_anti")
+        members = members.join(chosen.select("bucket", "class"), ["bucket", "class"], "left_anti")
+    members = _relabelled(members, labels)
+    if members.isEmpty():
+        return labels
+    return components(links.unionByName(written(block_links(members, texts, words, percent), "block-links")))
+
+
+def _relabelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    known = members.drop("label").join(labels.withColumnRenamed("node", "class"), "class", "left")
+    return mixed_only(known.withColumn("label", F.coalesce("label", "class")))
+
+
+def _compared(words: int, percent: int):
+    def run(rows: pa.Table) -> pa.Table:
+        ids, labels = rows.column("class").to_numpy(), rows.column("label").to_numpy()
+        sets = shingle_sets(rows.column("_text").to_pylist(), words)
+        sizes = np.array([len(s) for s in sets])
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        # Shingles of two sets and more get columns; a slice of the columns is multiplied at a time.
+        column = np.cumsum(times > 1) - 1
+        shared = times[code] > 1
+        owner, code = owner[shared], column[code[shared]]
+        both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+        order = np.argsort(code, kind="stable")
+        owner, code = owner[order], code[order]
+        for first in range(0, int(code[-1]) + 1 if len(code) else 0, 4096):
+            lo, hi = np.searchsorted(code, [first, first + 4096])
+            has = np.zeros((len(sets), 4096), dtype=np.float32)
+            has[owner[lo:hi], code[lo:hi] - first] = 1
+            both += has @ has.T
+        union = sizes[:, None] + sizes[None, :] - both
+        linked = (100 * both >= percent * union) & (labels[:, None] != labels[None, :])
+        a, b = np.nonzero(np.triu(linked, 1))
+        return pa.table({"a": pa.array(ids[a], pa.int64()), "b": pa.array(ids[b], pa.int64())})
+
+    return run
+
 
+def block_links(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """All links between classes of different components that are joined by buckets of ``members``.
 
-def _hub_counts() -> Iterator[int]:
-    yield from HUBS
-    while True:
-        yield HUBS[-1]
+    Classes joined by buckets are a family. A component of more than a block has blocks of its own; the
+    other classes of a family share blocks. Every two blocks are compared in one task, but not two
+    of one component.
+    """
+    heads = written(members.groupBy("bucket").agg(F.min("class").alias("a")), "bucket-heads")
+    families = components(members.join(heads, "bucket").select("a", F.col("class").alias("b")))
+    families = families.select(F.col("node").alias("class"), F.col("label").alias("family"))
+    placed = members.select("class", "label").distinct().join(families, "class")
+    placed = written(placed, "families")
+    sizes = placed.groupBy("family", "label").agg(F.count("*").alias("_size"))
+    own = F.when(F.col("_size") > BLOCK, F.col("label")).otherwise(F.lit(-1))
+    sizes = sizes.withColumn("_own", own)
+    whole = sizes.groupBy("family", "_own").agg(F.ceil(F.sum("_size") / F.lit(BLOCK)).alias("_blocks"))
+    cut = written(sizes.join(whole, ["family", "_own"]).select("family", "label", "_own", "_blocks"), "block-counts")
+    block = F.struct(F.col("_own").alias("own"), F.pmod(F.xxhash64("class"), F.col("_blocks")).alias("part"))
+    placed = written(placed.join(cut, ["family", "label"]).select("class", "label", "family", block.alias("block")), "blocks")
+    blocks = written(placed.select("family", "block").distinct(), "block-list")
+    other = blocks.withColumnRenamed("block", "other")
+    tasks = blocks.join(other, "family").where(
+        ((F.col("block.own") == -1) | (F.col("block.own") != F.col("other.own"))) & (F.col("block") <= F.col("other"))
+    )
+    tasks = written(tasks.withColumn("task", F.struct("family", "block", "other")), "block-tasks")
+    first = tasks.select("family", "block", "task")
+    second = tasks.where("block <> other").select("family", F.col("other").alias("block"), "task")
+    rows = placed.join(first.unionByName(second), ["family", "block"]).join(texts, "class").select("task", "class", "label", "_text")
+    return rows.groupBy("task").applyInArrow(_compared(words, percent), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
