@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from txnlens.llm import exact_dedup, near_dedup, secrets, sharding, suffix_tree, toxicity
+from txnlens.llm import exact_dedup, mixing, near_dedup, secrets, sharding, suffix_tree, toxicity
 
-MODULES = (suffix_tree, toxicity, exact_dedup, secrets, near_dedup, sharding)
+MODULES = (suffix_tree, toxicity, exact_dedup, secrets, near_dedup, sharding, mixing)
 
 
 def entries() -> dict:
