@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from txnlens.llm import exact_dedup, mixing, near_dedup, pieces, secrets, sharding, suffix_tree, toxicity
+from txnlens.llm import exact_dedup, mixing, near_dedup, pieces, secrets, sharding, suffix_tree, toxicity, vantage
 
-MODULES = (suffix_tree, toxicity, exact_dedup, secrets, near_dedup, sharding, pieces, mixing)
+MODULES = (suffix_tree, vantage, toxicity, exact_dedup, secrets, near_dedup, sharding, pieces, mixing)
 
 
 def entries() -> dict:
