@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from txnlens.llm import exact_dedup, mixing, near_dedup, pieces, secrets, sharding, suffix_tree, toxicity, vantage
+import corpus_pipeline
+from txnlens.llm import exact_dedup, layout, mixing, near_dedup, pieces, secrets, sharding, suffix_tree, toxicity, vantage
 
-MODULES = (suffix_tree, vantage, toxicity, exact_dedup, secrets, near_dedup, sharding, pieces, mixing)
+MODULES = (suffix_tree, vantage, toxicity, exact_dedup, secrets, near_dedup, layout, sharding, pieces, mixing)
 
 
 def entries() -> dict:
-    return {name: entry for module in MODULES for name, entry in module.ENTRIES.items()}
+    found = {name: entry for module in MODULES for name, entry in module.ENTRIES.items()}
+    return {**found, "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)}
