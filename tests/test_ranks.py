@@ -43,13 +43,11 @@ def test_equal_rows_are_cut_into_slices_too(spark, monkeypatch):
     assert found.where("k < 7").agg({"run": "max"}).first()[0] == 4
 
 
-def test_dense_ids_are_the_same_on_both_paths(spark):
+def test_dense_ids_follow_value_order(spark):
     values = [("x", None)] + [("x", f"v{i:03d}") for i in range(300)] + [("y", "b"), ("y", "a")]
     df = spark.createDataFrame(values, "d STRING, value STRING").repartition(5)
-    small = rows(ranks.dense_ids(df, ["d"], "value", "id"))
-    large = rows(ranks.dense_ids(df, ["d"], "value", "id", small_rows=10))
-    assert small == large
-    assert ("x", None, 0) in small and ("x", "v299", 300) in small and ("y", "b", 1) in small
+    found = rows(ranks.dense_ids(df, ["d"], "value", "id"))
+    assert set(found) == {("x", None, 0), *(("x", f"v{i:03d}", i + 1) for i in range(300)), ("y", "a", 0), ("y", "b", 1)}
 
 
 def test_quantiles_equal_brute_force(spark):
@@ -68,12 +66,3 @@ def test_quantiles_equal_brute_force(spark):
         for name, f in cuts.items():
             assert abs(mixed[g][name] - np.quantile(values, f)) < 1e-9
             assert lower[g][name] == np.quantile(values, f, method="inverted_cdf")
-
-
-def test_approximate_box_is_close(spark):
-    df = spark.range(10_001).selectExpr("'g' AS g", "cast(id AS double) AS v")
-    exact, near = ranks.box(df, ["g"], "v").first(), ranks.approximate_box(df, ["g"], "v").first()
-    for name in ("n", "lowest", "highest"):
-        assert exact[name] == near[name]
-    for name in ("q1", "median", "q3"):
-        assert abs(exact[name] - near[name]) <= 5

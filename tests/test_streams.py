@@ -95,7 +95,7 @@ def test_counters_carry_on_after_a_restart(spark, inbox, tmp_path):
 
     def run():
         drain(jobs.live_counters(jobs.detected(file_stream(spark, inbox, 1)), path, "counters"))
-        return rows(spark.read.parquet(f"{path}/data"))
+        return rows(read_table(spark, jobs.counter_table(path)).select("is_fraud", "n"))
 
     write_messages(spark, inbox, numbered(4))
     assert run() == [(True, 4)]
@@ -141,7 +141,8 @@ def test_latest_rows_and_running_totals(spark):
         [("a", True, at[0], "PayPal"), ("b", False, at[1], "PayPal"), ("c", True, at[2], "x")],
         "transaction_id STRING, is_fraud BOOLEAN, timestamp TIMESTAMP, payment_method STRING",
     )
-    assert [r[0] for r in dashboard.latest(df, 2).collect()] == ["c", "a"]
+    assert [(r.transaction_id, r.place) for r in dashboard.latest(df, 2).collect()] == [("c", 1), ("a", 2)]
+    assert [(r.transaction_id, r.place) for r in dashboard.latest(df).collect()] == [("c", 1), ("a", 2), ("b", 3)]
     assert [tuple(r)[1:] for r in dashboard.cumulative_trend(df).orderBy("day").collect()] == [(1, 1), (2, 1)]
     assert [tuple(r)[3:] for r in dashboard.trend_points(df).orderBy("transaction_id").collect()] == [
         (1, 0), (1, 1), (2, 1),

@@ -102,8 +102,8 @@ def persist(spark: SparkSession, args: argparse.Namespace) -> None:
     topics = [streams.TRANSACTION_TOPIC, streams.FRAUD_TOPIC]
     jobs.persist_topics(
         _messages(spark, args, topics),
-        KeyedTable(f"{args.out}/transactions", "transaction_id", "transaction_date"),
-        KeyedTable(f"{args.out}/fraud_results", "transaction_id", "timestamp"),
+        KeyedTable(f"{args.out}/transactions", "transaction_id", "transaction_date", args.period, args.buckets),
+        KeyedTable(f"{args.out}/fraud_results", "transaction_id", "timestamp", args.period, args.buckets),
         f"{args.out}/rejected",
         args.out,
         "persist",
@@ -135,7 +135,8 @@ def arguments() -> argparse.ArgumentParser:
     add(train, base, ds, source, ("--again", {"action": "store_true"}))
     add(detect, *stream)
     add(score, base, ("--model", {"default": "Gradient-Boosted Trees", "choices": list(MODELS)}), *stream)
-    add(persist, *stream)
+    buckets = {"type": int, "default": 8, "help": "hash buckets of each period's partition"}
+    add(persist, *stream, ("--period", {"default": "day"}), ("--buckets", buckets))
     return parser
 
 

@@ -66,26 +66,9 @@ def running_totals(
     return joined.select(*(F.col(c) for c in df.columns), *running, *ends)
 
 
-SMALL_ROWS = 200_000
-
-
-def dense_ids(
-    values: DataFrame,
-    group: Sequence[str],
-    column: str,
-    id_name: str,
-    small_rows: int = SMALL_ROWS,
-) -> DataFrame:
-    """Number distinct values 0..n-1 in value order (nulls first) within each group.
-
-    The values are written out and counted first. Up to ``small_rows`` of them a plain
-    window is used, beyond that the range-split running count; both give the same ids.
-    """
-    stored = settle(values, "distinct-values")
-    if stored.count() <= small_rows:
-        window = W.partitionBy(*group).orderBy(F.asc_nulls_first(column))
-        return stored.withColumn(id_name, (F.row_number().over(window) - 1).cast("bigint"))
-    counted = running_totals(stored, [column], {"_seen": F.lit(1)}, group)
+def dense_ids(values: DataFrame, group: Sequence[str], column: str, id_name: str) -> DataFrame:
+    """Number distinct values 0..n-1 in value order (nulls first) within each group."""
+    counted = running_totals(values, [column], {"_seen": F.lit(1)}, group)
     return counted.select(*values.columns, (F.col("_seen") - 1).cast("bigint").alias(id_name))
 
 
@@ -148,27 +131,3 @@ def box(df: DataFrame, group: Sequence[str], column: str) -> DataFrame:
         F.round(F.col("q1") - 1.5 * spread, 6).alias("lower_fence"),
         F.round(F.col("q3") + 1.5 * spread, 6).alias("upper_fence"),
     )
-
-
-def approximate_box(df: DataFrame, group: Sequence[str], column: str, accuracy: int = 10_000) -> DataFrame:
-    """The same summary in one pass from quantile sketches, for live dashboards."""
-    value = F.col(column).cast("double")
-    cuts = F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy)
-    found = df.groupBy(*group).agg(
-        F.count(column).alias("n"),
-        F.min(value).alias("lowest"),
-        cuts.alias("_cuts"),
-        F.max(value).alias("highest"),
-    )
-    q1, median, q3 = (F.col("_cuts")[i] for i in range(3))
-    return found.select(
-        *group,
-        "n",
-        "lowest",
-        q1.alias("q1"),
-        median.alias("median"),
-        q3.alias("q3"),
-        "highest",
-        (q1 - 1.5 * (q3 - q1)).alias("lower_fence"),
-        (q3 + 1.5 * (q3 - q1)).alias("upper_fence"),
-    )

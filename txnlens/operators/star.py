@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnlens.functions import features as fx
-from txnlens.operators.ranks import SMALL_ROWS, dense_ids
+from txnlens.operators.ranks import dense_ids
 from txnlens.schemas import STAR_DDL
+from txnlens.session import settle
 
 # table -> (raw column, dimension column, id column)
 CATEGORY_DIMS = {
@@ -17,13 +18,13 @@ CATEGORY_DIMS = {
 }
 
 
-def category_dims(
-    raw: DataFrame, names: list[str] | None = None, small_rows: int = SMALL_ROWS
-) -> dict[str, DataFrame]:
+def category_dims(raw: DataFrame, names: list[str] | None = None) -> dict[str, DataFrame]:
     """The value lists with surrogate ids, all found in one scan of the raw rows.
 
-    Ids are dense and follow value order, so the same values always get the same ids,
-    whatever the partitioning. A null among the values is a row of its own.
+    Ids are dense and follow value order, so the same set of values always gets the same ids,
+    whatever the partitioning. A null among the values is a row of its own. Ids belong to one
+    day: a value that first appears on another day shifts those after it, so facts are only
+    joined to the dimensions of their own day.
     """
     names = list(names or CATEGORY_DIMS)
     pairs = [
@@ -31,7 +32,7 @@ def category_dims(
         for name in names
     ]
     values = raw.select(F.inline(F.array(*pairs))).distinct()
-    numbered = dense_ids(values, ["dimension"], "value", "id", small_rows)
+    numbered = settle(dense_ids(values, ["dimension"], "value", "id"), "dimensions")
     found = {}
     for name in names:
         _, column, key = CATEGORY_DIMS[name]

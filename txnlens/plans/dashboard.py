@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from txnlens.functions import features as fx
 from txnlens.operators.ranks import box, running_totals
 
-LATEST = 1_000
-
 
 def dashboard_rows(results: DataFrame) -> DataFrame:
     """Fraud results as the dashboard shows them: payment names tidied, time parsed.
@@ -82,6 +80,15 @@ def trend_points(rows: DataFrame) -> DataFrame:
     )
 
 
-def latest(rows: DataFrame, limit: int = LATEST) -> DataFrame:
-    """The newest rows: a bounded top-k instead of a sort of the whole history."""
-    return rows.orderBy(F.desc("timestamp"), "transaction_id").limit(limit)
+def latest(rows: DataFrame, limit: int | None = None) -> DataFrame:
+    """All rows, newest first, with their ``place`` from 1; ``limit`` keeps the first ones only.
+
+    Without a limit the rows are split by range, so no task sorts the whole history.
+    """
+    if limit is not None:
+        newest = rows.orderBy(F.desc("timestamp"), "transaction_id").limit(limit)
+        first = W.orderBy(F.desc("timestamp"), "transaction_id")
+        return newest.withColumn("place", F.row_number().over(first).cast("bigint"))
+    newer = rows.withColumn("_age", -F.unix_micros("timestamp"))
+    placed = running_totals(newer, ["_age", "transaction_id"], {"place": F.lit(1)})
+    return placed.drop("_age").orderBy("place")

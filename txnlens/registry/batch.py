@@ -585,7 +585,8 @@ ENTRIES = {
         ),
         over(
             """SELECT transaction_id, is_fraud, "timestamp", amount, payment_method,
-            product_category FROM dash ORDER BY "timestamp" DESC, transaction_id LIMIT 1000""",
+            product_category, row_number() OVER (ORDER BY "timestamp" DESC, transaction_id) AS place
+            FROM dash""",
             TX, RESULTS,
         ),
     ),

@@ -118,7 +118,7 @@ def _upsert_twice(rows: DataFrame, table: KeyedTable, arrival: list[str]) -> Non
     """Odd suppliers arrive in a second batch, which is delivered twice."""
     second = F.col("supplier_key") % 2 == 1
     for batch_id, part in ((0, ~second), (1, second), (1, second)):
-        upsert(rows.where(part), table, batch_id, arrival)
+        upsert(rows.where(part), table, "two batches", batch_id, arrival)
 
 
 def _upsert_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

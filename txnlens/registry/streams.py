@@ -130,7 +130,7 @@ def _counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "counters")
     results = jobs.detected(replay(spark, sf_dir))
     jobs.live_counters(results, path, _name("counters")).awaitTermination()
-    return spark.read.schema("is_fraud BOOLEAN, n BIGINT").parquet(f"{path}/data")
+    return read_table(spark, jobs.counter_table(path)).select("is_fraud", "n")
 
 
 def _daily_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ in keyed tables, so a job that is restarted neither loses nor repeats rows.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +59,11 @@ def to_broker(
     )
 
 
+def run_id(spark: SparkSession, path: str) -> str:
+    """The id that a stream's checkpoint keeps over restarts; a fresh checkpoint has another one."""
+    return json.loads(spark.read.text(f"{path}/checkpoint/metadata").first()[0])["id"]
+
+
 def each_batch(
     stream: DataFrame,
     path: str,
@@ -102,15 +108,16 @@ def persist_topics(
     )
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()
-        if not rows.isEmpty():
-            for topic, coerce, table in routes:
-                judged = coerce(rows.where(F.col("topic") == topic))
+        run = run_id(batch.sparkSession, path)
+        for topic, coerce, table in routes:
+            judged = coerce(batch.where(F.col("topic") == topic)).persist()
+            try:
                 failed = judged.where(F.col("reason").isNotNull()).select("reason", "value")
                 failed.write.mode("overwrite").parquet(f"{rejected}/topic={topic}/batch={batch_id}")
                 kept = judged.where(F.col("reason").isNull()).drop("reason", "value")
-                upsert(kept, table, batch_id, arrival=["position"])
-        rows.unpersist()
+                upsert(kept, table, run, batch_id, arrival=["position"])
+            finally:
+                judged.unpersist()
 
     return each_batch(messages, path, name, store, **trigger)
 
@@ -118,13 +125,24 @@ def persist_topics(
 def live_counters(results: DataFrame, path: str, name: str, **trigger) -> StreamingQuery:
     """Running fraud and normal totals; state and output are two rows."""
 
-    def replace(totals: DataFrame, _: int) -> None:
-        totals.write.mode("overwrite").parquet(f"{path}/data")
+    table = counter_table(path)
+
+    def replace(totals: DataFrame, batch_id: int) -> None:
+        rows = totals.select("is_fraud", F.lit(EPOCH).cast("timestamp").alias("since"), "n")
+        upsert(rows, table, run_id(totals.sparkSession, path), batch_id, arrival=[])
 
     rows = dashboard.dashboard_rows(results)
     return each_batch(dashboard.counters(rows), path, name, replace, "complete", **trigger)
 
 
+#: Totals have no time of their own.
+EPOCH = "1970-01-01"
+
+
+def counter_table(path: str) -> KeyedTable:
+    return KeyedTable(f"{path}/data", "is_fraud", "since", "year", 1)
+
+
 def daily_windows(
     results: DataFrame, table: KeyedTable, delay: str, path: str, name: str, **trigger
 ) -> StreamingQuery:
@@ -146,7 +164,7 @@ def daily_windows(
     )
 
     def merge(changed: DataFrame, batch_id: int) -> None:
-        upsert(changed, table, batch_id, arrival=[])
+        upsert(changed, table, run_id(changed.sparkSession, path), batch_id, arrival=[])
 
     return each_batch(counts, path, name, merge, "update", **trigger)
 
