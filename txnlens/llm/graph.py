@@ -11,21 +11,37 @@ from txnlens.llm.common import written
 def components(edges: DataFrame) -> DataFrame:
     """``node, label`` for every end of an edge (columns ``a`` and ``b``): the smallest node reachable.
 
-    Each round takes the smallest label among the neighbours and then the label of that label, so
-    that long chains shrink fast. The labels are written each round, which cuts the lineage; only
-    whether any label changed comes to the driver. Null ends are left out, loops are harmless.
+    Each round points every node to its smallest neighbour, follows the pointers to their ends, and
+    replaces the nodes of the edges by those ends, which leaves few edges for the next round. What
+    a round gives is written, which cuts the lineage; only whether anything is left to do comes to
+    the driver. Null ends are left out, loops are harmless.
     """
     whole = edges.where("a IS NOT NULL AND b IS NOT NULL")
-    both = whole.select("a", "b").union(whole.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = written(both, "edges")
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("_m"))
-    labels = written(labels.select("node", F.least("node", "_m").alias("label")), "labels")
+    left = whole.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    left = written(left, "edges")
+    labels = None
+    while labels is None or not left.isEmpty():
+        ends = left.select(F.col("a").alias("node"), F.col("b").alias("near"))
+        ends = ends.union(left.select(F.col("b").alias("node"), F.col("a").alias("near")))
+        found = _followed(written(ends.groupBy("node").agg(F.min(F.least("node", "near")).alias("label")), "pointers"))
+        if labels is None:
+            labels = found
+        else:
+            onward = found.select(F.col("node").alias("label"), F.col("label").alias("_next"))
+            moved = labels.join(onward, "label", "left")
+            labels = written(moved.select("node", F.coalesce("_next", "label").alias("label")), "labels")
+        first = found.select(F.col("node").alias("a"), F.col("label").alias("_a"))
+        second = found.select(F.col("node").alias("b"), F.col("label").alias("_b"))
+        moved = left.where("a <> b").join(first, "a").join(second, "b").where("_a <> _b")
+        left = written(moved.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct(), "edges")
+    return labels
+
+
+def _followed(pointers: DataFrame) -> DataFrame:
+    """Pointers to smaller nodes, each followed to its end in a logarithmic number of steps."""
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("_m"))
-        hooked = written(labels.join(near, "node").select("node", "label", F.least("label", "_m").alias("_next")), "hooked")
-        jump = hooked.select(F.col("node").alias("_next"), F.col("_next").alias("_far"))
-        moved = hooked.join(jump, "_next").select("node", F.least("_next", "_far").alias("label"), F.col("label").alias("_was"))
-        moved = written(moved, "labels")
-        labels = moved.select("node", "label")
-        if moved.where("label <> _was").isEmpty():
-            return labels
+        onward = pointers.select(F.col("node").alias("label"), F.col("label").alias("_next"))
+        moved = written(pointers.join(onward, "label"), "pointers")
+        pointers = moved.select("node", F.col("_next").alias("label"))
+        if moved.where("_next <> label").isEmpty():
+            return pointers
