@@ -121,3 +121,18 @@ def test_components_of_a_long_path(spark):
     got = {r.node: r.label for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(n + 1)}, 200: 200, 300: 200}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_the_filter_loses_no_wanted_row(spark, monkeypatch):
+    from txnlens.llm import common
+
+    rows = [(i, f"k{i}".encode()) for i in range(5000)] + [(-1, None)]
+    df = spark.createDataFrame(rows, "i long, _key binary")
+    wanted = spark.createDataFrame([(f"k{i}".encode(),) for i in range(0, 9000, 3)] + [(None,)], "_key binary")
+    for bits in (common.FILTER_BITS, 1 << 16, 1 << 15):
+        monkeypatch.setattr(common, "FILTER_BITS", bits)
+        likely, rest = (sorted(r.i for r in x.collect()) for x in common.split_by_filter(df, "_key", wanted))
+        assert set(range(0, 5000, 3)) <= set(likely) and -1 in rest
+        assert sorted(likely + rest) == list(range(-1, 5000))
+    likely, rest = common.split_by_filter(df, "_key", wanted.limit(0))
+    assert likely.isEmpty() and rest.count() == 5001

@@ -45,3 +45,31 @@ def whole_text(name: str = "text") -> Column:
 def fold(name: str, folds: int) -> Column:
     """crc32 of the id's text, modulo ``folds``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit(""))) % F.lit(folds)
+
+
+#: Bits of the fixed-size filter: 8 MB, whatever the size of the tables.
+FILTER_BITS = 1 << 26
+_SLICE = 1 << 15
+
+
+def split_by_filter(df: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose ``key`` may be among those of ``wanted``, and those whose key is not.
+
+    A bit per key is set in a table of ``FILTER_BITS`` bits, which is broadcast, as its size is
+    fixed. So wide rows that a following join would drop are not shuffled for it. A set bit proves
+    nothing: with many keys more rows pass, and the join decides.
+    """
+
+    def place(column: Column) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+
+    bits = wanted.where(F.col(key).isNotNull()).select(place(F.col(key)).alias("_bit"))
+    slices = bits.groupBy(F.floor(F.col("_bit") / _SLICE).alias("_slice")).agg(
+        F.bitmap_construct_agg(F.col("_bit") % _SLICE).alias("_bits")
+    )
+    slices = F.broadcast(written(slices, "filter"))
+    at = df.withColumn("_bit", place(F.col(key))).withColumn("_slice", F.floor(F.col("_bit") / _SLICE))
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast((_bit % 32768) div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    isset = F.coalesce(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1, F.lit(False))
+    told = at.join(slices, "_slice", "left").withColumn("_likely", isset & F.col(key).isNotNull())
+    return told.where("_likely").select(*df.columns), told.where("NOT _likely").select(*df.columns)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from txnlens.llm.common import table, whole_text, written
+from txnlens.llm.common import split_by_filter, table, whole_text, written
 from txnlens.llm.graph import components
 from txnlens.llm.shingles import mix, shingle_sets
 
@@ -176,7 +176,8 @@ def class_components(docs: DataFrame, classes: DataFrame, words: int, percent: i
     wanted = written(members.select("class").distinct().join(classes.select("class", "_key", "n_shingles"), "class"), "bucket-classes")
     text = docs.select(whole_text().alias("_text"))
     text = text.select(F.unhex(F.md5("_text")).alias("_key"), "_text")
-    texts = text.join(wanted, "_key").dropDuplicates(["class"]).select("class", "n_shingles", "_text")
+    likely, _ = split_by_filter(text, "_key", wanted)
+    texts = likely.join(wanted, "_key").dropDuplicates(["class"]).select("class", "n_shingles", "_text")
     texts = written(texts, "bucket-texts")
 
     labels = links = tested = None
@@ -320,10 +321,11 @@ def drop_near(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Da
     gone = found.where(~(F.col("kept") & F.col("_key").eqNullSafe(F.col("_keep_key"))))
     gone = written(gone.select(F.col("doc_id").alias("_gone"), "_key").distinct(), "near-dropped")
     row = docs.select(
-        F.struct("*").alias("_doc"), F.col("doc_id").alias("_id"), F.unhex(F.md5(whole_text())).alias("_own")
+        F.struct("*").alias("_doc"), F.col("doc_id").alias("_id"), F.unhex(F.md5(whole_text())).alias("_key")
     )
-    same = (F.col("_own") == F.col("_key")) & F.col("_id").eqNullSafe(F.col("_gone"))
-    return row.join(gone, same, "left_anti").select("_doc.*")
+    likely, rest = split_by_filter(row, "_key", gone)
+    same = (likely["_key"] == gone["_key"]) & likely["_id"].eqNullSafe(gone["_gone"])
+    return rest.select("_doc.*").unionByName(likely.join(gone, same, "left_anti").select("_doc.*"))
 
 
 def op6_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
