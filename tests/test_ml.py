@@ -42,7 +42,7 @@ def test_split_does_not_depend_on_partitioning(raw):
 
 def test_unseen_categories_get_a_slot_of_their_own(spark, raw):
     seen = pl.model_input(raw)
-    model = pl.encoders()[0].fit(seen)
+    model = PipelineModel(pl.indexers(seen, CATEGORICAL))
     strange = seen.limit(1).withColumn("device_used", F.lit("watch"))
     assert model.transform(strange).first().device_used_index == 3.0
 
@@ -71,13 +71,20 @@ def test_centred_vectors_score_alike(raw, data):
     dense.release()
 
 
-def test_wide_columns_are_hashed_instead_of_indexed(raw):
+def test_named_columns_are_hashed_instead_of_indexed(raw):
     df = pl.model_input(raw)
-    assert pl.wide_columns(df, limit=50) == ["customer_location"]
-    fitted = pl.preprocessor(wide=["customer_location"]).fit(df)
+    fitted = pl.fit_preprocessor(df, hashed=["customer_location"])
     size = fitted.transform(df).first().features.size
     assert size > pl.HASH_SLOTS
-    assert all("customer_location" not in s.getInputCols() for s in fitted.stages[:2])
+    assert all(s.getInputCol() != "customer_location" for s in fitted.stages[:3])
+
+
+def test_the_index_is_that_of_frequency_and_value(spark):
+    values = ["b", "a", "b", "c", "a", "d", None]
+    df = spark.createDataFrame([(v,) for v in values], "device_used STRING")
+    found = rows(pl.value_index(df, ["device_used"]).select("value", "n", "value_index"))
+    assert found == [("a", 2, 0), ("b", 2, 1), ("c", 1, 2), ("d", 1, 3)]
+    assert pl.indexers(df, ["device_used"])[0].labels == ["a", "b", "c", "d"]
 
 
 def test_median_is_a_value_that_occurs(spark):
@@ -120,7 +127,7 @@ def test_grid_and_comparison_are_ranked_and_outlive_a_failure(spark, data):
 def test_stored_model_scores_as_before(spark, raw, data, tmp_path):
     base = str(tmp_path)
     model = small_tree().fit(data.train)
-    best = tr.Trained("Decision Tree", model, tr.evaluate(model, data.test) | {"training_time_seconds": 1.0}, {})
+    best = tr.Trained("Decision Tree", model, tr.evaluate(model, data.test)[0] | {"training_time_seconds": 1.0}, {})
     path = tr.store(spark, base, "2025-05-25", "2025-05-25", data.preprocessor, best)
     assert path == f"{base}/fraud_detection/YYYY=2025/MM=05/DD=25/decision_tree"
     fitted = tr.load_with_retry(lambda: PipelineModel.load(model_path(base, "preprocessor", "2025-05-25")))
@@ -139,13 +146,29 @@ def test_training_is_skipped_once_a_model_exists(spark, tmp_path):
 
     def train():
         calls.append(1)
-        spark.range(1).write.parquet(f"{tmp_path}/fraud_detection/model")
+        spark.range(1).write.parquet(f"{tmp_path}/fraud_detection/YYYY=2025/MM=05/DD=25/model_metadata")
 
+    spark.range(1).write.parquet(f"{tmp_path}/fraud_detection/preprocessor")  # left by a crash
     assert tr.train_if_absent(spark, str(tmp_path), train) is True
     assert tr.train_if_absent(spark, str(tmp_path), train) is False
     assert len(calls) == 1
 
 
+def test_failing_candidates_are_reported(raw, tmp_path, monkeypatch):
+    monkeypatch.setattr(tr, "fit_all", lambda *_: [])
+    with pytest.raises(RuntimeError, match="no forest"):
+        tr.train_and_store(raw, str(tmp_path), "2025-05-25")
+
+
+def test_a_new_winner_replaces_the_old_one(spark, data, tmp_path):
+    base, day = str(tmp_path), "2025-05-25"
+    tree = small_tree().fit(data.train)
+    for name in ("Random Forest", "Decision Tree"):
+        tr.store(spark, base, None, day, data.preprocessor, tr.Trained(name, tree, {"f1": 0.5}, {}))
+    _, model, meta = tr.stored(spark, base, None)
+    assert meta["model_name"] == "Decision Tree" and isinstance(model, DecisionTreeClassificationModel)
+
+
 def test_loading_is_tried_again_and_then_given_up():
     attempts = []
 

@@ -5,12 +5,6 @@ from __future__ import annotations
 import argparse
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassificationModel,
-    GBTClassificationModel,
-    LogisticRegressionModel,
-    RandomForestClassificationModel,
-)
 from pyspark.sql import DataFrame, SparkSession
 
 from txnlens.functions import messages as msg
@@ -26,14 +20,6 @@ from txnlens.sources import streams
 from txnlens.sources.files import landing_path, read_first_existing, read_json_records
 from txnlens.streaming import jobs
 
-MODELS = {
-    "Logistic Regression": LogisticRegressionModel,
-    "Random Forest": RandomForestClassificationModel,
-    "Gradient-Boosted Trees": GBTClassificationModel,
-    "Decision Tree": DecisionTreeClassificationModel,
-}
-
-
 def landing(spark: SparkSession, args: argparse.Namespace) -> None:
     """Land fetched JSON records as the CSV of a day."""
     land(read_json_records(spark, args.records), f"{args.base}/transactions", args.ds)
@@ -55,7 +41,7 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
     base = f"{args.base}/model"
 
     def run() -> None:
-        tr.train_and_store(_raw(spark, args), base, args.ds, dated=False)
+        tr.train_and_store(_raw(spark, args), base, args.ds, dated=False, hashed=args.hashed)
 
     if args.again:
         run()
@@ -89,7 +75,7 @@ def score(spark: SparkSession, args: argparse.Namespace) -> None:
     base = f"{args.base}/model"
     fitted = tr.load_with_retry(lambda: PipelineModel.load(model_path(base, "preprocessor")))
     path = model_path(base, args.model)
-    model = tr.load_with_retry(lambda: MODELS[args.model].load(path))
+    model = tr.load_with_retry(lambda: tr.MODELS[args.model].load(path))
     judged = msg.with_reason(
         msg.decode(_messages(spark, args, [streams.TRANSACTION_TOPIC])), labelled=False
     )
@@ -132,9 +118,10 @@ def arguments() -> argparse.ArgumentParser:
     ]
     add(landing, base, ds, ("--records", needed))
     add(daily, base, ds, source)
-    add(train, base, ds, source, ("--again", {"action": "store_true"}))
+    hashed = {"nargs": "*", "default": [], "help": "categorical columns too wide for a vocabulary"}
+    add(train, base, ds, source, ("--again", {"action": "store_true"}), ("--hashed", hashed))
     add(detect, *stream)
-    add(score, base, ("--model", {"default": "Gradient-Boosted Trees", "choices": list(MODELS)}), *stream)
+    add(score, base, ("--model", {"default": "Gradient-Boosted Trees", "choices": list(tr.MODELS)}), *stream)
     buckets = {"type": int, "default": 8, "help": "hash buckets of each period's partition"}
     add(persist, *stream, ("--period", {"default": "day"}), ("--buckets", buckets))
     return parser

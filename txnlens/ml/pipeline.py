@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     FeatureHasher,
     Imputer,
+    ImputerModel,
     OneHotEncoder,
     StandardScaler,
-    StringIndexer,
+    StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnlens.functions import features as fx
-from txnlens.operators.ranks import quantiles
+from txnlens.operators.ranks import quantiles, running_totals
 from txnlens.schemas import CATEGORICAL, NUMERIC
 
-VOCABULARY_LIMIT = 100_000
 HASH_SLOTS = 1 << 18
 
 LABEL = "is_fraudulent"
@@ -63,39 +63,67 @@ def training_input(df: DataFrame) -> DataFrame:
     return fx.with_class_weight(model_input(labelled), LABEL)
 
 
-def wide_columns(df: DataFrame, limit: int = VOCABULARY_LIMIT) -> list[str]:
-    """Categorical columns with too many values for a vocabulary, found in one pass."""
-    sizes = df.agg(*(F.approx_count_distinct(c).alias(c) for c in CATEGORICAL)).first()
-    return [c for c in CATEGORICAL if sizes[c] > limit]
-
-
-def encoders(wide: Sequence[str] = ()) -> list:
-    """One-hot stages. An indexer holds its vocabulary on the driver and in the model, so
-    ``wide`` columns are hashed into a fixed number of slots instead."""
-    small = [c for c in CATEGORICAL if c not in wide]
-    indexed, encoded = [f"{c}_index" for c in small], [f"{c}_ohe" for c in small]
-    stages = [
-        StringIndexer(inputCols=small, outputCols=indexed, handleInvalid="keep"),
-        OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep"),
-    ]
-    hashers = [
-        FeatureHasher(inputCols=[c], outputCol=f"{c}_ohe", numFeatures=HASH_SLOTS) for c in wide
+def by_value(df: DataFrame, columns: Sequence[str], extra: dict[str, Callable[[str], Column]] | None = None) -> DataFrame:
+    """Distinct (feature, value, ...) rows of the columns with their count ``n``, in one pass."""
+    rows = [
+        F.struct(
+            F.lit(name).alias("feature"),
+            F.col(name).alias("value"),
+            *(make(name).alias(out) for out, make in (extra or {}).items()),
+        )
+        for name in columns
     ]
-    return [*(stages if small else []), *hashers]
+    long = df.select(F.inline(F.array(*rows)))
+    return long.groupBy(*long.columns).agg(F.count("*").alias("n"))
 
 
-def preprocessor(centred: bool = False, wide: Sequence[str] = ()) -> Pipeline:
-    """Stages from model input to the feature vector.
+def value_index(df: DataFrame, columns: Sequence[str] = tuple(CATEGORICAL)) -> DataFrame:
+    """``feature, value, n, value_index``: places by frequency, then value, from 0.
 
-    All 12 medians are found in one pass. ``centred`` subtracts the mean from every
-    feature, also from the one-hot ones, which makes each vector as long as the
-    vocabulary. By default only the numbers are scaled and the one-hot part stays sparse:
-    trees split the same way on both, and logistic regression scales internally.
+    Counted and ranked by range slices, so no task and no driver holds a vocabulary.
     """
-    stages = [
-        *encoders(wide),
-        Imputer(inputCols=NUMERIC, outputCols=IMPUTED, strategy="median"),
+    counted = by_value(df, columns).where(F.col("value").isNotNull()).withColumn("_rarer", -F.col("n"))
+    ranked = running_totals(counted, ["_rarer", "value"], {"_place": F.lit(1)}, ["feature"])
+    return ranked.select("feature", "value", "n", (F.col("_place") - 1).cast("int").alias("value_index"))
+
+
+def indexers(df: DataFrame, columns: Sequence[str]) -> list[StringIndexerModel]:
+    """The index as stages. A model is one object, so it holds the values of its column; name wide columns as hashed."""
+    found: dict[str, list[tuple[int, str]]] = {c: [] for c in columns}
+    for row in value_index(df, columns).collect():
+        found[row["feature"]].append((row["value_index"], row["value"]))
+    return [
+        StringIndexerModel.from_labels(
+            [value for _, value in sorted(found[c])], inputCol=c, outputCol=f"{c}_index", handleInvalid="keep"
+        )
+        for c in columns
+    ]
+
+
+def encoders(df: DataFrame, hashed: Sequence[str] = ()) -> list:
+    """One-hot stages. The columns named in ``hashed`` go into a fixed number of slots without an index."""
+    small = [c for c in CATEGORICAL if c not in hashed]
+    hashers = [
+        FeatureHasher(inputCols=[c], outputCol=f"{c}_ohe", numFeatures=HASH_SLOTS) for c in hashed
     ]
+    if not small:
+        return hashers
+    onehot = OneHotEncoder(
+        inputCols=[f"{c}_index" for c in small], outputCols=[f"{c}_ohe" for c in small], handleInvalid="keep"
+    )
+    return [*indexers(df, small), onehot, *hashers]
+
+
+def fit_preprocessor(df: DataFrame, centred: bool = False, hashed: Sequence[str] = ()) -> PipelineModel:
+    """Stages from model input to the feature vector, fitted on ``df``.
+
+    ``hashed`` names the categorical columns with too many values for a vocabulary; the model
+    keeps the choice. ``centred`` subtracts the mean from every feature, also from the one-hot ones,
+    which makes each vector as long as the vocabulary. By default only the numbers are scaled
+    and the one-hot part stays sparse: trees split the same way on both, and logistic
+    regression scales internally.
+    """
+    stages = [*encoders(df, hashed), median_imputer(df, NUMERIC, IMPUTED)]
     if centred:
         stages += [
             VectorAssembler(
@@ -111,7 +139,7 @@ def preprocessor(centred: bool = False, wide: Sequence[str] = ()) -> Pipeline:
                 inputCols=[*ENCODED, "scaled_numbers"], outputCol=FEATURES, handleInvalid="keep"
             ),
         ]
-    return Pipeline(stages=stages)
+    return Pipeline(stages=stages).fit(df)
 
 
 def exact_medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
@@ -125,18 +153,23 @@ def exact_medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
     return {row["column_name"]: row["median"] for row in found.collect()}
 
 
-def imputed(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Nulls and NaN replaced by the exact median of their column; whole numbers stay whole."""
+def median_imputer(df: DataFrame, columns: list[str], outputs: list[str]) -> ImputerModel:
+    """Fills nulls and NaN by the exact median of the column; whole numbers stay whole.
+
+    The medians are ranked in a distributed way. The mean of one row is that row, so fitting on a
+    row of medians makes them a stage that can be stored. A column without values gets 0.
+    """
     medians = exact_medians(df, columns)
-    kinds = dict(df.dtypes)
-    filled = {
-        name: F.coalesce(F.nanvl(F.col(name).cast("double"), F.lit(None)), F.lit(medians[name])).cast(
-            kinds[name]
-        )
-        for name in columns
-        if name in medians
-    }
-    return df.withColumns(filled)
+    row = df.sparkSession.createDataFrame(
+        [tuple(float(medians.get(c, 0.0)) for c in columns)], ", ".join(f"{c} DOUBLE" for c in columns)
+    )
+    return Imputer(inputCols=columns, outputCols=outputs, strategy="mean").fit(row)
+
+
+def imputed(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns with their gaps filled by the stage of the pipeline."""
+    filled = median_imputer(df, columns, [f"_filled_{c}" for c in columns]).transform(df)
+    return filled.select(*(F.col(f"_filled_{c}").alias(c) if c in columns else F.col(c) for c in df.columns))
 
 
 def scaled(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -140,12 +140,10 @@ category_mart = _mart(
     marts.amount_by_category, ["product_category", "transaction_amount"], "dim_product_categories"
 )
 
-SPLIT = """
-split AS (
-  SELECT *, CASE WHEN CAST('0x' || substr(md5('42:' || transaction_id), 1, 7) AS BIGINT) % 1000 < 800
-    THEN 'train' ELSE 'test' END AS split
-  FROM tx
-)"""
+SPLIT_SIDE = """CASE WHEN CAST('0x' || substr(md5('42:' || transaction_id), 1, 7) AS BIGINT) % 1000 < 800
+    THEN 'train' ELSE 'test' END AS split"""
+SPLIT = f"""
+split AS (SELECT *, {SPLIT_SIDE} FROM tx)"""
 
 DAILY = """
 daily AS (

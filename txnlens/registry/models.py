@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlens.ml import pipeline as pl
@@ -16,9 +13,10 @@ from txnlens.ml.evaluate import confusion_metrics, ranking_metrics
 from txnlens.ml.score import scored
 from txnlens.ml.split import hash_split
 from txnlens.registry import oracle as sql
+from txnlens.registry.batch import SPLIT, SPLIT_SIDE
 from txnlens.registry.streams import run_to_files
 from txnlens.schemas import CATEGORICAL, NUMERIC
-from txnlens.session import scratch_path
+from txnlens.session import once, scratch_path
 from txnlens.sinks.metadata import model_path, read_metadata, write_metadata
 from txnlens.sources.streams import transaction_stream
 from txnlens.sources.tables import transactions
@@ -35,37 +33,21 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pl.model_input(_raw(spark, sf_dir))
 
 
-def _by_value(df: DataFrame, columns: dict[str, Callable[[str], Column]]) -> DataFrame:
-    """Distinct (feature, value, ...) rows of all categorical columns, in one pass."""
-    rows = [
-        F.struct(
-            F.lit(name).alias("feature"),
-            F.col(name).alias("value"),
-            *(make(name).alias(out) for out, make in columns.items()),
-        )
-        for name in CATEGORICAL
-    ]
-    long = df.select(F.inline(F.array(*rows)))
-    return long.groupBy(*long.columns).agg(F.count("*").alias("n"))
-
-
 def _string_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _features(spark, sf_dir)
-    indexer = pl.encoders()[0].fit(df)
-    return _by_value(indexer.transform(df), {"value_index": lambda c: F.col(f"{c}_index").cast("int")})
+    return pl.value_index(_features(spark, sf_dir))
 
 
 def _onehot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each value's vector has its one, read from the index that the encoder takes; sizes from its metadata."""
     df = _features(spark, sf_dir)
-    encoded = Pipeline(stages=pl.encoders()).fit(df).transform(df)
-    vectors = encoded.select(
-        *CATEGORICAL, *(vector_to_array(f"{c}_ohe", "float32").alias(f"{c}_ohe") for c in CATEGORICAL)
-    )
-    return _by_value(
-        vectors,
+    encoded = Pipeline(stages=pl.encoders(df)).fit(df).transform(df)
+    sizes = {c: encoded.schema[f"{c}_ohe"].metadata["ml_attr"]["num_attrs"] for c in CATEGORICAL}
+    return pl.by_value(
+        encoded,
+        CATEGORICAL,
         {
-            "vector_size": lambda c: F.size(f"{c}_ohe"),
-            "set_at": lambda c: (F.array_position(f"{c}_ohe", F.lit(1.0).cast("float")) - 1).cast("int"),
+            "vector_size": lambda c: F.lit(sizes[c]),
+            "set_at": lambda c: F.col(f"{c}_index").cast("int"),
         },
     )
 
@@ -96,61 +78,91 @@ def _confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six metrics of a model that scores by the fixed rule, written and read again."""
     path = model_path(scratch_path(spark, "model"), "Fixed Rule", DS)
-    found = _confusion(spark, sf_dir).first().asDict()
-    metrics = {name: found[name] for name in ("f1", "precision", "recall")}
-    write_metadata(spark, path, "Fixed Rule", DS, metrics)
+    ruled = rule_scored(_features(spark, sf_dir)).persist()
+    found = confusion_metrics(ruled, "prediction", pl.LABEL).first().asDict()
+    found |= ranking_metrics(ruled, "score", pl.LABEL).first().asDict() | {"training_time_seconds": 0.0}
+    ruled.unpersist()
+    write_metadata(spark, path, "Fixed Rule", DS, {name: found[name] for name in tr.METRICS})
     return read_metadata(spark, path).select(
         "model_name", "training_date", F.explode("metrics").alias("metric", "value")
     )
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature vectors of all rows; the stages are fitted on the training side only."""
+    """Feature vectors of all rows; the stages are fitted on the training side only.
+
+    The length is that of the vector column, the sums are taken from the parts that are joined in it.
+    """
     train, test = hash_split(pl.training_input(_raw(spark, sf_dir)), "transaction_id")
-    fitted = pl.preprocessor().fit(train)
-    vectors = fitted.transform(train.unionByName(test))
+    vectors = pl.fit_preprocessor(train).transform(train.unionByName(test))
+    size = vectors.schema[pl.FEATURES].metadata["ml_attr"]["num_attrs"]
+    numbers = F.aggregate(vector_to_array("scaled_numbers"), F.lit(0.0), lambda a, x: a + x)
     return vectors.select(
-        "transaction_id",
-        F.size(vector_to_array(pl.FEATURES)).alias("n_features"),
-        F.round(F.aggregate(vector_to_array(pl.FEATURES), F.lit(0.0), lambda a, x: a + x), 4).alias(
-            "feature_sum"
-        ),
+        "transaction_id", F.lit(size).cast("bigint").alias("n_features"), F.round(numbers, 3).alias("numbers_sum")
     )
 
 
-def quick_classifier() -> LogisticRegression:
-    return tr.classifiers({})["Logistic Regression"]
+def _trained(spark: SparkSession, sf_dir: str) -> str:
+    """The whole training job over the stored transactions, run once for all queries of a session.
 
+    Leaves the store, and tables of what was tried and of the calls that were asked to train.
+    """
+
+    def build(base: str) -> None:
+        def train() -> None:
+            done = tr.train_and_store(_raw(spark, sf_dir), base, DS)
+            tr.results_frame(spark, done.compared).coalesce(1).write.parquet(f"{base}/compared")
+            grid = [
+                (place, *(t.settings[k] for k in ("numTrees", "maxDepth", "minInstancesPerNode", "impurity")), t.metrics["auc"], t.metrics["recall"])
+                for place, t in enumerate(done.grid, 1)
+            ]
+            kinds = "place INT, num_trees INT, max_depth INT, min_instances INT, impurity STRING, auc DOUBLE, recall DOUBLE"
+            spark.createDataFrame(grid, kinds).coalesce(1).write.parquet(f"{base}/grid")
+
+        calls = [(i + 1, tr.train_if_absent(spark, base, train)) for i in range(2)]
+        spark.createDataFrame(calls, "call INT, trained BOOLEAN").write.parquet(f"{base}/calls")
+
+    return once(spark, f"trained {sf_dir}", build)
+
+
+def _rate(*columns: str):
+    return sum(F.col(c).between(0, 1).cast("int") for c in columns) == len(columns)
 
-def _fitted(raw: DataFrame) -> tuple[PipelineModel, LogisticRegressionModel]:
-    data = tr.prepare(raw)
-    model = quick_classifier().fit(data.train)
-    data.release()
-    return data.preprocessor, model
+
+def _ranked(column: str, order: str):
+    """Whether each row is no better than those before it. One row per model."""
+    from pyspark.sql import Window as W
+
+    return F.col(column) <= F.coalesce(F.lag(column).over(W.orderBy(order)), F.lit(1.0))
 
 
 def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = tr.prepare(_raw(spark, sf_dir))
-    trained = tr.forest_grid(data)
-    data.release()
-    rows = [
-        (
-            place + 1,
-            t.settings["numTrees"],
-            t.settings["maxDepth"],
-            t.settings["minInstancesPerNode"],
-            t.settings["impurity"],
-            t.metrics["auc"],
-            t.metrics["recall"],
-        )
-        for place, t in enumerate(trained)
-    ]
-    return spark.createDataFrame(
-        rows,
-        "place INT, num_trees INT, max_depth INT, min_instances INT, impurity STRING, "
-        "auc DOUBLE, recall DOUBLE",
-    )
+    """The forests that were tried, whether their metrics are rates, and whether they stand best AUC first."""
+    tried = spark.read.parquet(f"{_trained(spark, sf_dir)}/grid")
+    told = tried.withColumn("in_range", _rate("auc", "recall")).withColumn("ranked", _ranked("auc", "place"))
+    return told.select("num_trees", "max_depth", "min_instances", "impurity", "in_range", "ranked")
+
+
+def _compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four learners, with the settings of the best forest: tested rows, ranges, and the order by F1."""
+    from pyspark.sql import Window as W
+
+    found = spark.read.parquet(f"{_trained(spark, sf_dir)}/compared")
+    placed = found.withColumn("_place", F.row_number().over(W.orderBy(F.monotonically_increasing_id())))
+    told = placed.withColumn("ranked", _ranked("f1", "_place"))
+    rates = _rate("auc", "pr_auc", "recall", "precision", "f1")
+    return told.select("model", F.col("tested").alias("n_tested"), rates.alias("in_range"), "ranked")
+
+
+def _train_and_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is stored: is the winner the best by F1, which metrics are kept, and do its scores survive the store?"""
+    base = _trained(spark, sf_dir)
+    best = spark.read.parquet(f"{base}/compared").orderBy(F.desc("f1"), "model").first()
+    _, _, meta = tr.stored(spark, base, DS)
+    row = (meta["training_date"], meta["metrics"]["f1"] == best["f1"], ",".join(sorted(meta["metrics"])))
+    return spark.createDataFrame([row], "training_date STRING, best_is_stored BOOLEAN, metrics STRING")
 
 
 def _boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,56 +171,51 @@ def _boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = "Gradient-Boosted Trees"
     trained = tr.fit_all({name: (tr.classifiers({})[name], {})}, data)
     data.release()
-    return tr.results_frame(spark, trained)
-
-
-def _compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = tr.prepare(_raw(spark, sf_dir))
-    trained = tr.compare(data, tr.FOREST_GRID[0])
-    data.release()
-    return tr.results_frame(spark, trained)
+    rates = _rate("auc", "pr_auc", "recall", "precision", "f1")
+    return tr.results_frame(spark, trained).select("model", F.col("tested").alias("n_tested"), rates.alias("in_range"))
 
 
 def _save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of all rows by a model that was stored and loaded again."""
-    base = scratch_path(spark, "models")
-    data = tr.prepare(_raw(spark, sf_dir))
-    model = quick_classifier().fit(data.train)
-    best = tr.Trained("Logistic Regression", model, tr.evaluate(model, data.test), {})
-    path = tr.store(spark, base, DS, DS, data.preprocessor, best)
-    data.release()
-    fitted = tr.load_with_retry(lambda: PipelineModel.load(model_path(base, "preprocessor", DS)))
-    loaded = tr.load_with_retry(lambda: LogisticRegressionModel.load(path))
-    return scored(_raw(spark, sf_dir), fitted, loaded).select("transaction_id", "is_fraud")
+    """Scores by the stored winner, and by a copy of it that was stored and loaded once more."""
+    fitted, model, meta = tr.stored(spark, _trained(spark, sf_dir), DS)
+    again = scratch_path(spark, "models")
+    tr.store(spark, again, DS, DS, fitted, tr.Trained(meta["model_name"], model, meta["metrics"], {}))
+    raw = _raw(spark, sf_dir)
+    # Ids repeat, so equal rows are counted on both sides.
+    sides = [
+        scored(raw, *pair).select("transaction_id", "probability", F.lit(sign).alias("_sign"))
+        for pair, sign in (((fitted, model), 1), (tr.stored(spark, again, DS)[:2], -1))
+    ]
+    counted = sides[0].unionByName(sides[1]).groupBy("transaction_id", "probability").agg(
+        F.count_if(F.col("_sign") == 1).alias("_n"), F.abs(F.sum("_sign")).alias("_differing")
+    )
+    return counted.agg(F.sum("_n").alias("n_rows"), F.sum("_differing").alias("n_differing"))
 
 
 def _train_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first call trains and stores, the second finds the model and does not."""
-    base = scratch_path(spark, "models")
+    return spark.read.parquet(f"{_trained(spark, sf_dir)}/calls")
 
-    def train() -> None:
-        data = tr.prepare(_raw(spark, sf_dir))
-        model = quick_classifier().fit(data.train)
-        best = tr.Trained("Logistic Regression", model, tr.evaluate(model, data.test), {})
-        tr.store(spark, base, None, DS, data.preprocessor, best)
-        data.release()
 
-    calls = [(i + 1, tr.train_if_absent(spark, base, train)) for i in range(2)]
-    return spark.createDataFrame(calls, "call INT, trained BOOLEAN")
+def _score_columns(rows: DataFrame) -> DataFrame:
+    """What the records determine of their scores; the probability only has a range."""
+    return rows.select(
+        "transaction_id", "timestamp", F.col("amount").cast("decimal(10,2)").cast("double").alias("amount"),
+        "payment_method", "product_category", "error", F.col("probability").between(0, 1).alias("in_range"),
+        (F.col("is_fraud") == (F.col("probability") > 0.5)).alias("agrees"),
+    )
 
 
 def _score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw(spark, sf_dir)
-    rows = scored(raw, *_fitted(raw))
-    return rows.withColumn("probability", F.round("probability", 6))
+    fitted, model, _ = tr.stored(spark, _trained(spark, sf_dir), DS)
+    return _score_columns(scored(_raw(spark, sf_dir), fitted, model))
 
 
 def _score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream carries no label; the same functions score it as score a table."""
-    fitted, model = _fitted(_raw(spark, sf_dir))
+    fitted, model, _ = tr.stored(spark, _trained(spark, sf_dir), DS)
     stream = transaction_stream(spark, sf_dir, pl.FEATURE_SOURCES)
-    rows = run_to_files(scored(stream, fitted, model), "scored")
-    return rows.withColumn("probability", F.round("probability", 6))
+    return _score_columns(run_to_files(scored(stream, fitted, model), "scored"))
 
 
 def _categories(select: str) -> str:
@@ -289,6 +296,35 @@ steps AS (
   FROM points
 )"""
 
+RANKING = """SELECT CAST(MAX(p) AS BIGINT) AS positives, CAST(MAX(n) AS BIGINT) AS negatives,
+  round(SUM(CAST(pos AS DOUBLE) * (n - fp + CAST(neg AS DOUBLE) / 2))
+    / (CAST(MAX(p) AS DOUBLE) * MAX(n)), 8) AS auc,
+  round(SUM(CAST(pos AS DOUBLE) * (prec + prec_before) / 2) / MAX(p), 8) AS pr_auc
+FROM steps"""
+
+_LABELLED = f"""
+labelled AS (
+  SELECT *, {SPLIT_SIDE} FROM feat WHERE is_fraudulent IS NOT NULL
+)"""
+_TRAIN_MEDIANS = ", ".join(f"quantile_disc({c}, 0.5) FILTER (split = 'train') AS m_{c}" for c in NUMERIC)
+_TRAIN_FILLED = ", ".join(f"CAST(coalesce(f.{c}, m_{c}) AS DOUBLE) AS {c}" for c in NUMERIC)
+_TRAIN_SUM = " + ".join(
+    f"({c} - avg({c}) FILTER (split = 'train') OVER ()) / stddev_samp({c}) FILTER (split = 'train') OVER ()" for c in NUMERIC
+)
+_WIDTH = " + ".join(
+    f"(SELECT COUNT(DISTINCT coalesce({c}, 'unknown')) + 1 FROM labelled WHERE split = 'train')" for c in CATEGORICAL
+)
+VECTORS = f"""
+train_filled AS (
+  SELECT transaction_id, split, {_TRAIN_FILLED} FROM labelled f, (SELECT {_TRAIN_MEDIANS} FROM labelled) m
+)"""
+
+TESTED = "(SELECT COUNT(*) FROM split WHERE is_fraudulent IS NOT NULL AND split = 'test')"
+
+SCORED = """SELECT transaction_id, transaction_date AS "timestamp", CAST(transaction_amount AS DOUBLE) AS amount,
+  coalesce(payment_method, 'unknown') AS payment_method, coalesce(product_category, 'unknown') AS product_category,
+  CAST(NULL AS VARCHAR) AS error, true AS in_range, true AS agrees FROM tx"""
+
 ENTRIES = {
     "ml_string_index": (
         _string_index,
@@ -309,11 +345,7 @@ ENTRIES = {
     "ml_eval_auc": (
         _auc,
         sql.over(
-            """SELECT CAST(MAX(p) AS BIGINT) AS positives, CAST(MAX(n) AS BIGINT) AS negatives,
-            round(SUM(CAST(pos AS DOUBLE) * (n - fp + CAST(neg AS DOUBLE) / 2))
-              / (CAST(MAX(p) AS DOUBLE) * MAX(n)), 8) AS auc,
-            round(SUM(CAST(pos AS DOUBLE) * (prec + prec_before) / 2) / MAX(p), 8) AS pr_auc
-            FROM steps""",
+            RANKING,
             sql.TX, sql.FEATURES, RULED, AUC,
         ),
     ),
@@ -325,18 +357,50 @@ ENTRIES = {
         _metadata,
         sql.over(
             f"""SELECT 'Fixed Rule' AS model_name, '{DS}' AS training_date, metric, value
-            FROM (SELECT f1, "precision", recall FROM metrics)
-            UNPIVOT (value FOR metric IN (f1, "precision", recall))""",
-            sql.TX, sql.FEATURES, RULED, CONFUSION,
+            FROM (SELECT f1, "precision", recall, auc, pr_auc, CAST(0 AS DOUBLE) AS training_time_seconds
+              FROM metrics, ({RANKING}))
+            UNPIVOT (value FOR metric IN (f1, "precision", recall, auc, pr_auc, training_time_seconds))""",
+            sql.TX, sql.FEATURES, RULED, CONFUSION, AUC,
+        ),
+    ),
+    # Of models, the SQL gives what their input determines.
+    "ml_features": (
+        _vectors,
+        sql.over(
+            f"""SELECT transaction_id, CAST({_WIDTH} + {len(NUMERIC)} AS BIGINT) AS n_features,
+            round({_TRAIN_SUM}, 3) AS numbers_sum FROM train_filled""",
+            sql.TX, sql.FEATURES, _LABELLED, VECTORS,
+        ),
+    ),
+    "ml_rf_grid": (
+        _grid,
+        "SELECT *, true AS in_range, true AS ranked FROM (VALUES "
+        + ", ".join(
+            f"({g['numTrees']}, {g['maxDepth']}, {g['minInstancesPerNode']}, '{g['impurity']}')" for g in tr.FOREST_GRID
+        )
+        + ") AS grid (num_trees, max_depth, min_instances, impurity)",
+    ),
+    "ml_compare": (
+        _compare,
+        sql.over(
+            f"""SELECT model, {TESTED} AS n_tested, true AS in_range, true AS ranked
+            FROM (VALUES {", ".join(f"('{name}')" for name in tr.MODELS)}) AS learners (model)""",
+            sql.TX, SPLIT,
         ),
     ),
-    # Models have no SQL form; these are compared by rows only.
-    "ml_features": (_vectors, None),
-    "ml_rf_grid": (_grid, None),
-    "ml_compare": (_compare, None),
-    "ml_gbt": (_boosted, None),
-    "ml_save_load": (_save_load, None),
-    "ml_train_if_absent": (_train_if_absent, None),
-    "ml_score_batch": (_score_batch, None),
-    "st_score": (_score_stream, None),
+    "ml_train_and_store": (
+        _train_and_store,
+        f"SELECT '{DS}' AS training_date, true AS best_is_stored, '{','.join(sorted(tr.METRICS))}' AS metrics",
+    ),
+    "ml_gbt": (
+        _boosted,
+        sql.over(f"SELECT 'Gradient-Boosted Trees' AS model, {TESTED} AS n_tested, true AS in_range", sql.TX, SPLIT),
+    ),
+    "ml_save_load": (_save_load, sql.over("SELECT COUNT(*) AS n_rows, 0 AS n_differing FROM tx", sql.TX)),
+    "ml_train_if_absent": (
+        _train_if_absent,
+        "SELECT * FROM (VALUES (1, true), (2, false)) AS calls (call, trained)",
+    ),
+    "ml_score_batch": (_score_batch, sql.over(SCORED, sql.TX)),
+    "st_score": (_score_stream, sql.over(SCORED, sql.TX)),
 }

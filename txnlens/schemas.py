@@ -33,6 +33,7 @@ RAW_MESSAGE = T.StructType([T.StructField(key, kind) for _, key, kind in RAW_COL
 # Scoring input carries no label.
 SCORING_NAMES = [name for name in RAW_NAMES if name != "is_fraudulent"]
 
+# The fields of a result message.
 FRAUD_RESULT_MESSAGE = T.StructType(
     [
         T.StructField("transaction_id", T.StringType()),
@@ -65,6 +66,7 @@ STAR_DDL = {
     ),
 }
 
+# The categorical and the numeric features; their order is that of the vector.
 CATEGORICAL = ["payment_method", "product_category", "customer_location", "device_used"]
 
 NUMERIC = [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,3 +61,16 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_BUILT: dict[tuple[str, str], str] = {}
+
+
+def once(spark: SparkSession, name: str, build: Callable[[str], None]) -> str:
+    """A folder that ``build`` fills, once per application; later calls get the same folder."""
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _BUILT:
+        path = scratch_path(spark, "built")
+        build(path)
+        _BUILT[key] = path
+    return _BUILT[key]
