@@ -9,7 +9,7 @@ from test_messages import GOOD, without
 from txnlens.functions import messages as msg
 from txnlens.plans import dashboard
 from txnlens.sinks.upsert import KeyedTable, read_table
-from txnlens.sources.streams import FRAUD_TOPIC, TRANSACTION_TOPIC, both_topics, file_stream
+from txnlens.sources.streams import FRAUD_TOPIC, TRANSACTION_TOPIC, both_topics, file_stream, write_in_order
 from txnlens.streaming import jobs
 
 
@@ -90,6 +90,36 @@ def test_valid_transactions_are_followed_by_their_result(spark):
     ]
 
 
+def test_messages_to_the_broker_have_their_transaction_as_key(spark):
+    row = [("t1", True, "2025-05-24 10:00:00")]
+    found = jobs.keyed_messages(spark.createDataFrame(row, "transaction_id STRING, is_fraud BOOLEAN, timestamp STRING"))
+    message = found.first()
+    assert message.key == "t1" and json.loads(message.value)["is_fraud"] is True
+
+
+def test_files_are_dated_in_the_order_of_their_days(spark, tmp_path):
+    df = spark.range(400).selectExpr("id", "date_add(date'2025-01-01', cast(pmod(id * 7, 40) AS int)) AS day").repartition(5)
+    write_in_order(df, f"{tmp_path}/out", F.col("day"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/out")
+    seen = []
+    drain(jobs.each_batch(stream, str(tmp_path), "order", lambda b, _: seen.extend(r.day for r in b.orderBy("day").collect())))
+    assert len(seen) == 400 and seen == sorted(seen)
+
+
+def test_topics_may_be_missing_from_the_first_batch(spark, inbox, tmp_path):
+    path = str(tmp_path / "job")
+    stored = KeyedTable(f"{path}/t", "transaction_id", "transaction_date", "month", 2)
+    found = KeyedTable(f"{path}/r", "transaction_id", "timestamp", "month", 2)
+    write_messages(spark, inbox, numbered(2))
+    drain(jobs.persist_topics(file_stream(spark, inbox, 1), stored, found, f"{path}/x", path, "one"))
+    assert read_table(spark, stored).count() == 2 and read_table(spark, found).count() == 0
+    # Another job with a fresh checkpoint on the same tables starts at batch 0 again.
+    other = str(tmp_path / "other")
+    write_messages(spark, f"{inbox}2", [GOOD | {"Transaction ID": "late"}])
+    drain(jobs.persist_topics(file_stream(spark, f"{inbox}2", 1), stored, found, f"{other}/x", other, "two"))
+    assert sorted(r.transaction_id for r in read_table(spark, stored).collect()) == ["late", "t0", "t1"]
+
+
 def test_counters_carry_on_after_a_restart(spark, inbox, tmp_path):
     path = str(tmp_path / "counters")
 

@@ -15,6 +15,7 @@ PAYMENT_NAMES = {
     "paypal": "PayPal",
 }
 
+# The weight factor of fraud rows, and in the functions below the age bounds and the night hours.
 FRAUD_WEIGHT_FACTOR = 5.0
 
 

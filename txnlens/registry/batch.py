@@ -10,11 +10,15 @@ from txnlens.functions import privacy
 from txnlens.ml.split import hash_split
 from txnlens.operators import quality, star
 from txnlens.plans import dashboard, eda, marts
+from txnlens.plans.daily import write_star
 from txnlens.registry import oracle as sql
+from txnlens.session import once
 from txnlens.sources.tables import transactions
 
 TX, FEATURES, DIMS, RESULTS, over = sql.TX, sql.FEATURES, sql.DIMS, sql.RESULTS, sql.over
 
+DS = "2025-05-25"
+
 DEVICES = ["desktop", "mobile", "tablet"]
 
 CUSTOMER_COLUMNS = ["customer_id", "customer_age", "customer_location", "account_age_days"]
@@ -53,22 +57,15 @@ def _with_rows(build, columns=("is_fraud", "timestamp", "payment_method")):
     )
 
 
-def _mart(build, columns, dim=None):
-    """A report over the fact, and over the category dimension it joins if any."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw = transactions(spark, sf_dir, columns)
-        dims = star.category_dims(raw, [dim]) if dim else {}
-        fact = star.typed("fact_transactions", star.fact_transactions(raw, dims))
-        return build(fact, *(star.typed(name, table) for name, table in dims.items()))
-
-    return run
+def _star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the stored, typed star schema, which is written once per session."""
+    base = once(spark, f"star {sf_dir}", lambda path: write_star(transactions(spark, sf_dir), path, DS))
+    return spark.read.parquet(f"{base}/{name}/ds={DS}")
 
 
-def _age_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = transactions(spark, sf_dir, [*CUSTOMER_COLUMNS, "transaction_amount"])
-    fact = star.typed("fact_transactions", star.fact_transactions(raw, {}))
-    return marts.average_amount_by_age(fact, star.dim_customers(raw))
+def _mart(build, *dims):
+    """A report over the stored fact and the dimensions it joins."""
+    return lambda spark, sf_dir: build(*(_star(spark, sf_dir, name) for name in ("fact_transactions", *dims)))
 
 
 def _chart(mart, dimension: str, metric: str, name: str | None = None):
@@ -132,13 +129,12 @@ FEATURE_INPUT = [
     "transaction_hour",
 ]
 
-payment_mart = _mart(marts.payment_distribution, ["payment_method"], "dim_payment_methods")
-device_mart = _mart(marts.device_volume, ["device_used"], "dim_devices")
-month_mart = _mart(marts.transactions_by_month, ["transaction_date"])
-fraud_mart = _mart(marts.fraud_proportion, ["is_fraudulent"])
-category_mart = _mart(
-    marts.amount_by_category, ["product_category", "transaction_amount"], "dim_product_categories"
-)
+payment_mart = _mart(marts.payment_distribution, "dim_payment_methods")
+device_mart = _mart(marts.device_volume, "dim_devices")
+age_mart = _mart(marts.average_amount_by_age, "dim_customers")
+month_mart = _mart(marts.transactions_by_month)
+fraud_mart = _mart(marts.fraud_proportion)
+category_mart = _mart(marts.amount_by_category, "dim_product_categories")
 
 SPLIT_SIDE = """CASE WHEN CAST('0x' || substr(md5('42:' || transaction_id), 1, 7) AS BIGINT) % 1000 < 800
     THEN 'train' ELSE 'test' END AS split"""
@@ -355,7 +351,7 @@ ENTRIES = {
     # Reports
     "mart_payment_distribution": (payment_mart, _mart_sql(sql.MART_PAYMENT)),
     "mart_device_volume": (device_mart, _mart_sql(sql.MART_DEVICE)),
-    "mart_avg_amount_by_age": (_age_mart, _mart_sql(sql.MART_AGE)),
+    "mart_avg_amount_by_age": (age_mart, _mart_sql(sql.MART_AGE)),
     "mart_tx_by_month": (month_mart, _mart_sql(sql.MART_MONTH)),
     "mart_fraud_proportion": (fraud_mart, _mart_sql(sql.MART_FRAUD)),
     "mart_amount_by_category": (category_mart, _mart_sql(sql.MART_CATEGORY)),
@@ -368,7 +364,7 @@ ENTRIES = {
         _chart_sql(sql.MART_MONTH, "transaction_month", "transaction_count"),
     ),
     "chart_avg_by_age": (
-        _chart(_age_mart, "age_group", "average_amount"),
+        _chart(age_mart, "age_group", "average_amount"),
         _chart_sql(sql.MART_AGE, "age_group", "average_amount"),
     ),
     "chart_payment": (

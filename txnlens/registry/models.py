@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnlens.functions import messages as msg
 from txnlens.ml import pipeline as pl
 from txnlens.ml import train as tr
 from txnlens.ml.evaluate import confusion_metrics, ranking_metrics
@@ -14,11 +15,10 @@ from txnlens.ml.score import scored
 from txnlens.ml.split import hash_split
 from txnlens.registry import oracle as sql
 from txnlens.registry.batch import SPLIT, SPLIT_SIDE
-from txnlens.registry.streams import run_to_files
-from txnlens.schemas import CATEGORICAL, NUMERIC
+from txnlens.registry.streams import messages, run_to_files
+from txnlens.schemas import CATEGORICAL, NUMERIC, SCORING_NAMES
 from txnlens.session import once, scratch_path
 from txnlens.sinks.metadata import model_path, read_metadata, write_metadata
-from txnlens.sources.streams import transaction_stream
 from txnlens.sources.tables import transactions
 
 DS = "2025-05-25"
@@ -212,9 +212,10 @@ def _score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stream carries no label; the same functions score it as score a table."""
+    """Messages without label, validated and scored by the functions that score a table."""
     fitted, model, _ = tr.stored(spark, _trained(spark, sf_dir), DS)
-    stream = transaction_stream(spark, sf_dir, pl.FEATURE_SOURCES)
+    judged = msg.with_reason(msg.decode(messages(spark, sf_dir, names=SCORING_NAMES)), labelled=False)
+    stream = msg.valid(judged, SCORING_NAMES)
     return _score_columns(run_to_files(scored(stream, fitted, model), "scored"))
 
 
@@ -402,5 +403,8 @@ ENTRIES = {
         "SELECT * FROM (VALUES (1, true), (2, false)) AS calls (call, trained)",
     ),
     "ml_score_batch": (_score_batch, sql.over(SCORED, sql.TX)),
-    "st_score": (_score_stream, sql.over(SCORED, sql.TX)),
+    "st_score": (
+        _score_stream,
+        sql.over(SCORED + " WHERE transaction_date IS NOT NULL AND transaction_date <> ''", sql.TX),
+    ),
 }

@@ -11,14 +11,22 @@ from pyspark.sql import types as T
 from txnlens.functions import messages as msg
 from txnlens.registry import oracle as sql
 from txnlens.registry.storage import RAW_SQL
-from txnlens.schemas import RAW_NAMES
-from txnlens.session import scratch_path
+from txnlens.schemas import RAW_NAMES, SCORING_NAMES
+from txnlens.session import once, scratch_path
 from txnlens.sinks.upsert import KeyedTable, read_table
-from txnlens.sources.streams import both_topics, replay, transaction_stream
+from txnlens.sources.streams import both_topics, file_stream, write_in_order, write_messages
+from txnlens.sources.tables import transactions
 from txnlens.streaming import jobs
 
-# A replay of stored history is in no time order, so its delay has to span the history.
-HISTORY = "10000 days"
+# The history is streamed in the order of its days.
+DELAY = "2 days"
+
+
+def messages(spark: SparkSession, sf_dir: str, damage: bool = False, names: list[str] = RAW_NAMES) -> DataFrame:
+    """The stored transactions as a stream of messages, encoded once per session by a batch job."""
+    kind = f"messages {sf_dir} {damage} {len(names)}"
+    folder = once(spark, kind, lambda base: write_messages(spark, sf_dir, f"{base}/messages", damage, names))
+    return file_stream(spark, f"{folder}/messages")
 
 
 def _name(kind: str) -> str:
@@ -44,34 +52,42 @@ def _raw_rows(df: DataFrame) -> DataFrame:
 
 
 def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = run_to_files(replay(spark, sf_dir), "replay")
-    return _raw_rows(msg.decode(messages).select(*msg.record_columns()))
+    stored = run_to_files(messages(spark, sf_dir), "replay")
+    return _raw_rows(msg.decode(stored).select(*msg.record_columns()))
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = msg.decode(replay(spark, sf_dir, damage=True))
+    decoded = msg.decode(messages(spark, sf_dir, damage=True))
     readable = decoded.where(F.col("fields").isNotNull()).select(*msg.record_columns())
     return _raw_rows(run_to_files(readable, "parsed"))
 
 
 def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = msg.with_reason(msg.decode(replay(spark, sf_dir, damage=True))).select("reason")
+    judged = msg.with_reason(msg.decode(messages(spark, sf_dir, damage=True))).select("reason")
+    rows = run_to_files(judged, "validated")
+    return rows.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def _validated_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages to score lack the label, so they are asked for the other 15 keys."""
+    stream = messages(spark, sf_dir, damage=True, names=SCORING_NAMES)
+    judged = msg.with_reason(msg.decode(stream), labelled=False).select("reason")
     rows = run_to_files(judged, "validated")
     return rows.groupBy("reason").agg(F.count("*").alias("n"))
 
 
 def _quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = run_to_files(jobs.set_aside(replay(spark, sf_dir, damage=True)), "quarantine")
+    rows = run_to_files(jobs.set_aside(messages(spark, sf_dir, damage=True)), "quarantine")
     return rows.select("reason", "transaction_id")
 
 
 def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = run_to_files(jobs.detected(replay(spark, sf_dir, damage=True)), "results")
+    rows = run_to_files(jobs.detected(messages(spark, sf_dir, damage=True)), "results")
     return rows.withColumn("amount", cents("amount"))
 
 
 def _coerced_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = msg.coerced_transactions(replay(spark, sf_dir, damage=True))
+    judged = msg.coerced_transactions(messages(spark, sf_dir, damage=True))
     rows = run_to_files(judged.where(F.col("reason").isNull()).select(*RAW_NAMES), "coerced")
     return _raw_rows(rows).withColumn(
         "transaction_date", F.date_format("transaction_date", "yyyy-MM-dd HH:mm:ss")
@@ -79,9 +95,9 @@ def _coerced_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _coerced_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid = msg.valid(msg.with_reason(msg.decode(replay(spark, sf_dir))))
-    messages = valid.select(msg.encoded_result().alias("value"), F.lit(0).alias("position"))
-    judged = msg.coerced_results(messages)
+    valid = msg.valid(msg.with_reason(msg.decode(messages(spark, sf_dir))))
+    results = valid.select(msg.encoded_result().alias("value"), F.lit(0).alias("position"))
+    judged = msg.coerced_results(results)
     kept = judged.where(F.col("reason").isNull()).drop("reason", "value", "position")
     rows = run_to_files(kept, "coerced")
     return rows.select(
@@ -99,9 +115,8 @@ def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "routed")
     stored = KeyedTable(f"{path}/transactions", "transaction_id", "transaction_date", "year", 4)
     found = KeyedTable(f"{path}/fraud_results", "transaction_id", "timestamp", "year", 4)
-    messages = both_topics(replay(spark, sf_dir))
     jobs.persist_topics(
-        messages, stored, found, f"{path}/rejected", path, _name("routed")
+        both_topics(messages(spark, sf_dir)), stored, found, f"{path}/rejected", path, _name("routed")
     ).awaitTermination()
     sides = [
         read_table(spark, stored).select(
@@ -128,7 +143,7 @@ def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "counters")
-    results = jobs.detected(replay(spark, sf_dir))
+    results = jobs.detected(messages(spark, sf_dir))
     jobs.live_counters(results, path, _name("counters")).awaitTermination()
     return read_table(spark, jobs.counter_table(path)).select("is_fraud", "n")
 
@@ -136,9 +151,8 @@ def _counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _daily_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "windows")
     target = KeyedTable(f"{path}/daily", "series", "day", "year", 1)
-    results = jobs.detected(replay(spark, sf_dir))
-    jobs.use_disk_state(spark)
-    jobs.daily_windows(results, target, HISTORY, path, _name("windows")).awaitTermination()
+    results = jobs.detected(messages(spark, sf_dir))
+    jobs.daily_windows(results, target, DELAY, path, _name("windows")).awaitTermination()
     return read_table(spark, target).select(
         F.to_date("day").alias("day"), "payment_method", "is_fraud", "n"
     )
@@ -146,17 +160,19 @@ def _daily_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each row delivered twice, as an at-least-once broker may do; one of each is left."""
-    rows = transaction_stream(
-        spark, sf_dir, ["order_key", "line_number", "order_date", "customer_id"]
-    ).withColumn("order_date", F.to_timestamp("order_date"))
-    again = transaction_stream(
-        spark, sf_dir, ["order_key", "line_number", "order_date", "customer_id"]
-    ).withColumn("order_date", F.to_timestamp("order_date"))
-    jobs.use_disk_state(spark)
-    once = jobs.without_repeats(
-        rows.union(again), ["order_key", "line_number"], "order_date", HISTORY
+    names = ["order_key", "line_number", "order_date", "customer_id"]
+
+    def build(base: str) -> None:
+        lines = transactions(spark, sf_dir, names).withColumn("order_date", F.to_timestamp("order_date"))
+        write_in_order(lines, f"{base}/lines", F.to_date("order_date"))
+
+    folder = once(spark, f"lines {sf_dir}", build)
+    kinds = spark.read.parquet(f"{folder}/lines").schema
+    streams = [spark.readStream.schema(kinds).parquet(f"{folder}/lines") for _ in range(2)]
+    single = jobs.without_repeats(
+        streams[0].union(streams[1]), ["order_key", "line_number"], "order_date", DELAY
     )
-    kept = run_to_files(once, "dedup")
+    kept = run_to_files(single, "dedup")
     return kept.withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -194,6 +210,14 @@ ENTRIES = {
         _validated,
         sql.over("SELECT reason, COUNT(*) AS n FROM messages GROUP BY reason", sql.TX, MESSAGES),
     ),
+    "st_validate_scoring": (
+        _validated_scoring,
+        sql.over(
+            """SELECT CASE WHEN reason = 'missing_label' THEN CASE WHEN l_orderkey % 47 = 0 THEN 'bad_type' END
+            ELSE reason END AS reason, COUNT(*) AS n FROM messages GROUP BY 1""",
+            sql.TX, MESSAGES,
+        ),
+    ),
     "st_quarantine": (
         _quarantined,
         sql.over(

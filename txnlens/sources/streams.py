@@ -1,13 +1,17 @@
-"""Message streams: from a broker, from files, or replayed from the stored tables."""
+"""Message streams: from a broker or from files; the stored tables written as messages."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlens.functions import messages as msg
+from txnlens.functions.features import strict_event_time
+from txnlens.functions.messages import encode
 from txnlens.schemas import RAW_NAMES
-from txnlens.sources.tables import table, transactions
+from txnlens.sources.tables import transactions
 
 # Topic names.
 TRANSACTION_TOPIC = "transaction_topic"
@@ -21,7 +25,8 @@ def broker_stream(
 ) -> DataFrame:
     """Kafka messages; needs the Kafka connector on the class path.
 
-    Messages of one key share a partition, so their offsets give their order.
+    The jobs here write the transaction id as the key. Messages of one key share a partition as
+    long as the topic keeps its number of partitions, and then their offsets give their order.
     """
     return (
         spark.readStream.format("kafka")
@@ -41,35 +46,52 @@ def file_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) ->
     )
 
 
-def transaction_stream(
-    spark: SparkSession, sf_dir: str, columns: list[str], files_per_batch: int = 1000
-) -> DataFrame:
-    """The stored transactions as a stream, each row once; parents are joined as tables."""
-    lines = (
-        spark.readStream.schema(table(spark, sf_dir, "lineitem").schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(f"{sf_dir}/lineitem.parque[t]")
-    )
-    return transactions(spark, sf_dir, columns, lines)
-
+def write_in_order(rows: DataFrame, path: str, day: Column) -> None:
+    """Write rows as files in the order of their day, and date the files in that order.
 
-def replay(spark: SparkSession, sf_dir: str, damage: bool = False) -> DataFrame:
-    """The stored transactions as a stream of messages.
+    A file stream takes the oldest files first, so it reads the history in time order. Only the
+    names of the files come to the driver, as they do when the stream lists them.
+    """
+    spark = rows.sparkSession
+    ordered = rows.withColumn("_day", day).repartitionByRange("_day").sortWithinPartitions("_day")
+    ordered.drop("_day").write.parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted((f.getPath() for f in fs.listStatus(folder)), key=lambda f: f.getName())
+    newest = max((fs.getFileStatus(f).getModificationTime() for f in files), default=0)
+    for age, file in enumerate(reversed(files)):
+        fs.setTimes(file, newest - 1000 * age, -1)
+
+
+def message_rows(
+    spark: SparkSession, sf_dir: str, damage: bool = False, names: Sequence[str] = tuple(RAW_NAMES)
+) -> DataFrame:
+    """The stored transactions as messages with the keys of ``names``.
 
     With ``damage`` some messages are spoilt by fixed rules on their order key, so that
-    the replay holds every kind of message a consumer has to set aside.
+    they hold every kind of message a consumer has to set aside.
     """
-    rows = transaction_stream(spark, sf_dir, [*RAW_NAMES, "order_key", "part_key"])
-    value = msg.encode()
+    rows = transactions(spark, sf_dir, [*RAW_NAMES, "order_key", "part_key"])
+    value = encode(names)
     if damage:
         value = damaged(value, F.col("order_key"))
     return rows.select(
         F.lit(TRANSACTION_TOPIC).alias("topic"),
         value.alias("value"),
         F.col("part_key").alias("position"),
+        "transaction_date",
     )
 
 
+def write_messages(
+    spark: SparkSession, sf_dir: str, path: str, damage: bool = False, names: Sequence[str] = tuple(RAW_NAMES)
+) -> None:
+    """Encode the messages once, in a batch job; streams read the files."""
+    rows = message_rows(spark, sf_dir, damage, names)
+    day = F.to_date(strict_event_time("transaction_date"))
+    write_in_order(rows, path, day)
+
+
 def damaged(value: Column, key: Column) -> Column:
     cut = F.substring(value, 1, 40)
     no_device = F.regexp_replace(value, '"Device Used":"[^"]*",', "")

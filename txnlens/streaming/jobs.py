@@ -18,14 +18,6 @@ from txnlens.plans import dashboard
 from txnlens.sinks.upsert import KeyedTable, upsert
 from txnlens.sources.streams import FRAUD_TOPIC, TRANSACTION_TOPIC
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def use_disk_state(spark: SparkSession) -> None:
-    """Keep stream state in RocksDB, so it may outgrow executor memory."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-
-
 def to_files(stream: DataFrame, path: str, name: str, **trigger) -> StreamingQuery:
     """Append a stream to Parquet files, each input row exactly once.
 
@@ -42,12 +34,18 @@ def to_files(stream: DataFrame, path: str, name: str, **trigger) -> StreamingQue
     )
 
 
+def keyed_messages(results: DataFrame) -> DataFrame:
+    """Result rows as ``key, value``: messages of one transaction share a partition and so keep their order."""
+    value = msg.encoded_result([F.col(c) for c in results.columns])
+    return results.select(F.col("transaction_id").alias("key"), value.alias("value"))
+
+
 def to_broker(
     results: DataFrame, servers: str, topic: str, checkpoint: str, **trigger
 ) -> StreamingQuery:
     """Send result rows as messages; needs the Kafka connector on the class path."""
     return (
-        results.select(msg.encoded_result([F.col(c) for c in results.columns]).alias("value"))
+        keyed_messages(results)
         .writeStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("kafka.acks", "all")
