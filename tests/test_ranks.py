@@ -31,18 +31,26 @@ def test_running_totals_split_a_hot_group(spark):
 def test_equal_rows_are_cut_into_slices_too(spark, monkeypatch):
     """A third of all rows is one and the same row, as when a producer is stuck."""
     df = spark.range(30_000).selectExpr("if(id % 3 = 0, 7, id) AS k", "1 AS v").repartition(6)
-    written = []
-    settle = ranks.settle
-    monkeypatch.setattr(ranks, "settle", lambda d, name: written.append(settle(d, name)) or written[-1])
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    cut = []
+    sliced = ranks.sliced
+    monkeypatch.setattr(ranks, "sliced", lambda d, keys: cut.append(sliced(d, keys)) or cut[-1])
     found = ranks.running_totals(df, ["k"], {"run": "v"})
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    sizes = [r["count"] for r in written[-1].groupBy("_slice").count().collect()]
+    sizes = [r["count"] for r in cut[-1].groupBy("_slice").count().collect()]
     assert len(sizes) == 4 and max(sizes) < 10_000
     assert [r.run for r in found.orderBy("run").collect()] == list(range(1, 30_001))
     assert found.where("k < 7").agg({"run": "max"}).first()[0] == 4
 
 
+def test_slices_follow_keys_of_any_kind(spark):
+    rows_ = [(None if i % 11 == 0 else f"g{i % 3}", None if i % 7 == 0 else float(i % 50), i) for i in range(600)]
+    df = spark.createDataFrame(rows_, "g STRING, k DOUBLE, _tie LONG").repartition(3)
+    cut = ranks.sliced(df, ["g", "k", "_tie"])
+    order = [r["_slice"] for r in cut.orderBy("g", "k", "_tie").collect()]
+    assert order == sorted(order) and len(set(order)) == 4
+    empty = ranks.sliced(df.limit(0), ["g", "k", "_tie"])
+    assert empty.columns[-1] == "_slice" and empty.collect() == []
+
+
 def test_dense_ids_follow_value_order(spark):
     values = [("x", None)] + [("x", f"v{i:03d}") for i in range(300)] + [("y", "b"), ("y", "a")]
     df = spark.createDataFrame(values, "d STRING, value STRING").repartition(5)

@@ -17,6 +17,34 @@ from pyspark.sql import functions as F
 from txnlens.session import settle
 
 
+#: Sampled rows per slice from which the bounds are taken.
+SAMPLED = 100
+
+
+def sliced(numbered: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``_slice``: which of as many even ranges of ``keys`` as there are shuffle partitions a row is in.
+
+    The bounds are taken from a sample once, so the slice only depends on the row itself: the rows
+    are not shuffled or written for it, and a task that is run again gives the same slices.
+    """
+    slices = int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(1, numbered.count() // (SAMPLED * slices))
+    sample = numbered.where(F.pmod(F.xxhash64(*keys), F.lit(share)) == 0).select(*keys).orderBy(*keys)
+    rows = sample.collect()
+    kinds = [numbered.schema[k].dataType for k in keys]
+    places = sorted({len(rows) * i // slices for i in range(1, slices)} - {0})
+    bounds = [F.struct(*(F.lit(v).cast(kind).alias(k) for k, v, kind in zip(keys, rows[i], kinds))) for i in places]
+    key = F.struct(*keys)
+
+    def place(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(key < bounds[middle], place(low, middle)).otherwise(place(middle + 1, high))
+
+    return numbered.withColumn("_slice", place(0, len(bounds)))
+
+
 def running_totals(
     df: DataFrame,
     order_by: Sequence[str],
@@ -31,18 +59,15 @@ def running_totals(
     slices as well; which of them comes first is arbitrary.
 
     The input is written out first: its files give the same numbers however often they are
-    read, and the split can be sampled without computing the input twice. The slices are
-    written out too, as another sample could cut elsewhere.
+    read, and the input is not computed again for the sample, the totals and the sums.
     """
     parts = {f"_part_{i}": (name, value) for i, (name, value) in enumerate(sums.items())}
-    numbered = settle(df, "unsliced").withColumn("_tie", F.monotonically_increasing_id())
+    numbered = settle(df.withColumn("_tie", F.monotonically_increasing_id()), "numbered")
     order = [*order_by, "_tie"]
-    split = numbered.repartitionByRange(*group, *order)
-    sliced = settle(split.withColumn("_slice", F.spark_partition_id()), "slices")
     # As one struct, groups holding nulls compare as equal. Join and window share the key,
     # so the rows are shuffled once for both.
-    sliced = sliced.withColumn("_group", F.struct(F.lit(0), *group))
-    totals = sliced.groupBy("_slice", "_group").agg(
+    cut = sliced(numbered, [*group, *order]).withColumn("_group", F.struct(F.lit(0), *group))
+    totals = cut.groupBy("_slice", "_group").agg(
         *(F.sum(value).alias(f"{key}_sum") for key, (_, value) in parts.items())
     )
     whole = W.partitionBy("_group")
@@ -62,7 +87,7 @@ def running_totals(
         (F.col(key) + F.sum(value).over(within)).alias(name) for key, (name, value) in parts.items()
     ]
     ends = [F.col(f"{key}_all").alias(f"{name}_total") for key, (name, _) in parts.items() if with_totals]
-    joined = sliced.join(offsets, ["_slice", "_group"])
+    joined = cut.join(offsets, ["_slice", "_group"])
     return joined.select(*(F.col(c) for c in df.columns), *running, *ends)
 
 
