@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from compare import connect, difference
 from pyspark.sql import functions as F
 
 from txnlens.llm import near_dedup
@@ -73,6 +74,11 @@ def test_one_document_of_each_component_stays(make_docs):
     assert sorted(r.doc_id for r in left.collect()) == sorted({c for _, _, c in brute(rows, 5)})
 
 
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_agrees_with_sql(spark, folder):
+    assert difference(near_dedup.op6_minmax_near_dedup(spark, folder), connect(folder), near_dedup.OP6_SQL) is None
+
+
 def test_a_family_below_the_threshold_is_compared_in_blocks(make_docs, monkeypatch):
     monkeypatch.setattr(near_dedup, "HUBS", (1,))
     monkeypatch.setattr(near_dedup, "BLOCK", 8)

@@ -333,4 +333,29 @@ def op6_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
-ENTRIES = {"op6_minmax_near_dedup": (op6_minmax_near_dedup, None)}
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS l
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(l) >= 4 THEN list_transform(range(1, len(l) - 2), lambda i: array_to_string(l[i:i + 3], ' '))
+      WHEN len(l) > 0 THEN [array_to_string(l, ' ')] ELSE [] END) AS shingle
+  FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT x, y FROM shared JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id WHERE 100 * i >= 80 * (nx.n + ny.n - i)
+), both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT reach.doc_id, both_ways.y FROM reach JOIN both_ways ON reach.other = both_ways.x
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
+ENTRIES = {"op6_minmax_near_dedup": (op6_minmax_near_dedup, OP6_SQL)}
