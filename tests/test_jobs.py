@@ -51,3 +51,16 @@ def test_records_become_star_model_and_results(spark, tmp_path, monkeypatch):
     main(["persist", *stream, f"{out}/stored"])
     stored = KeyedTable(f"{out}/stored/transactions", "transaction_id", "transaction_date", "day", 8)
     assert read_table(spark, stored).count() == 5
+
+
+def test_scratch_tables_go_with_their_job(spark):
+    from txnlens import session
+
+    kept = session.settle(spark.range(3), "kept")
+    with session.scratch_of_a_job(spark):
+        path = session.once(spark, "job's own", lambda folder: spark.range(2).write.parquet(f"{folder}/t"))
+        assert spark.read.parquet(f"{path}/t").count() == 2
+        assert session.once(spark, "job's own", lambda folder: None) == path
+    assert kept.count() == 3
+    again = []
+    assert session.once(spark, "job's own", again.append) != path and again

@@ -12,7 +12,7 @@ from txnlens.ml import train as tr
 from txnlens.ml.score import scored
 from txnlens.plans.daily import run_daily
 from txnlens.schemas import FRAUD_RESULT_MESSAGE, SCORING_NAMES
-from txnlens.session import session
+from txnlens.session import scratch_of_a_job, session
 from txnlens.sinks.daily import land
 from txnlens.sinks.metadata import model_path
 from txnlens.sinks.upsert import KeyedTable
@@ -129,7 +129,9 @@ def arguments() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments().parse_args(argv)
-    args.job(session(f"txnlens-{args.job.__name__}"), args)
+    spark = session(f"txnlens-{args.job.__name__}")
+    with scratch_of_a_job(spark):
+        args.job(spark, args)
 
 
 if __name__ == "__main__":

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,9 +51,30 @@ def scratch_root(spark: SparkSession) -> str:
     return own
 
 
+#: Scratch paths of this process, in the order in which they were handed out.
+_MADE: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{scratch_root(spark)}/txnlens/{name}-{uuid.uuid4().hex}"
+    _MADE.append(f"{scratch_root(spark)}/txnlens/{name}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+@contextmanager
+def scratch_of_a_job(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch tables that a job made once it has ended and its results are stored elsewhere."""
+    before = len(_MADE)
+    try:
+        yield
+    finally:
+        for path in _MADE[before:]:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        gone = set(_MADE[before:])
+        del _MADE[before:]
+        for key in [k for k, path in _BUILT.items() if path in gone]:
+            del _BUILT[key]
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
