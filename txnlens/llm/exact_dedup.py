@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlens.llm.common import BLANKS, table, whole_text, written
+from txnlens.llm.common import BLANKS, split_by_filter, table, whole_text, written
 
 PREFIX_CHARS = 256
 
@@ -74,7 +74,7 @@ def drop_exact(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they were.
 
     A row is found again by id and full hash; rows that repeat both are told apart only where there
-    are such, and any one of them stays.
+    are such, and any one of them stays. Rows without a copy pass a filter of fixed size and are not shuffled.
     """
     rows = written(digests(docs, prefix_chars), "exact-digests")
     groups = refine(rows).withColumnRenamed("text_sha256", "_hash")
@@ -84,13 +84,14 @@ def drop_exact(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     hashed = docs.select(
         F.struct("*").alias("_doc"), F.sha2(normalised(whole_text()), 256).alias("_hash"), F.col("doc_id").alias("_id")
     )
-    told = hashed.join(groups, "_hash", "left").where(F.col("_n").isNull() | F.col("_id").eqNullSafe(F.col("keep_id")))
+    likely, rest = split_by_filter(hashed, "_hash", groups)
+    told = likely.join(groups, "_hash", "left").where(F.col("_n").isNull() | F.col("_id").eqNullSafe(F.col("keep_id")))
     once = told.where("coalesce(_n, 1) = 1").select("_doc")
-    repeated = hashed.join(groups.where("_n > 1"), "_hash", "left_semi").join(
-        groups.where("_n > 1").withColumnRenamed("_hash", "_hash2"),
-        (F.col("_hash") == F.col("_hash2")) & F.col("_id").eqNullSafe(F.col("keep_id")),
-    )
-    return once.unionByName(repeated.dropDuplicates(["_hash"]).select("_doc")).select("_doc.*")
+    more = groups.where("_n > 1").select(F.col("_hash").alias("_kept_hash"), "keep_id")
+    doubtful, _ = split_by_filter(hashed, "_hash", more.select(F.col("_kept_hash").alias("_hash")))
+    same = (doubtful["_hash"] == more["_kept_hash"]) & doubtful["_id"].eqNullSafe(more["keep_id"])
+    repeated = doubtful.join(more, same).dropDuplicates(["_hash"]).select("_doc")
+    return rest.select("_doc").unionByName(once).unionByName(repeated).select("_doc.*")
 
 
 def op4_progressive_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
