@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from txnlens.llm.common import BLANKS, table, whole_text, written
+from txnlens.llm.common import BLANKS, split_by_filter, table, whole_text, written
 
 DOMAINS = 4
 #: Share of all tokens that the mix has.
@@ -163,11 +163,12 @@ def mix_once(docs: DataFrame, budget: float, weights: dict[str, str] | None = No
     Rows are found again by id and text; those that repeat both are taken together or not at all.
     """
     found = mixture(docs, DOCUMENT_LEVELS, weights, budget, epochs=1, seed=seed)
-    taken = found.groupBy(F.col("doc_id").alias("_taken"), F.col("_text_hash").alias("_hash")).agg(F.max("copies").alias("_copies"))
-    out = written(taken.where("_copies = 0").select("_taken", "_hash"), "not-mixed")
-    row = docs.select(F.struct("*").alias("_doc"), F.col("doc_id").alias("_id"), F.xxhash64(whole_text()).alias("_own"))
-    same = (F.col("_own") == F.col("_hash")) & F.col("_id").eqNullSafe(F.col("_taken"))
-    return row.join(out, same, "left_anti").select("_doc.*")
+    # As a struct, a null id equals a null id.
+    taken = found.groupBy(F.struct("doc_id", "_text_hash").alias("_key")).agg(F.max("copies").alias("_copies"))
+    out = written(taken.where("_copies = 0").select("_key"), "not-mixed")
+    key = F.struct(F.col("doc_id"), F.xxhash64(whole_text()).alias("_text_hash"))
+    likely, rest = split_by_filter(docs.select(F.struct("*").alias("_doc"), key.alias("_key")), "_key", out)
+    return rest.select("_doc").unionByName(likely.join(out, "_key", "left_anti").select("_doc")).select("_doc.*")
 
 
 def op10_hierarchical_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlens.llm.common import fold, table, whole_text, written
+from txnlens.llm.common import fold, split_by_filter, table, whole_text, written
 from txnlens.llm.shingles import chunks
 
 SAMPLE = 20_000
@@ -289,9 +289,12 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     Ids are scored; where rows repeat an id with several texts, its highest score decides for all.
     """
     scores = toxicity_scores(docs, labels, fold("doc_id", FOLDS) != HELD_OUT)
-    gone = written(scores.where(F.col("score") >= threshold).select(F.col("doc_id").alias("_gone")).distinct(), "toxic")
-    row = docs.select(F.struct("*").alias("_doc"), F.col("doc_id").alias("_id"))
-    return row.join(gone, F.col("_id").eqNullSafe(F.col("_gone")), "left_anti").select("_doc.*")
+    gone = scores.where(F.col("score") >= threshold).select(F.struct("doc_id").alias("_key")).distinct()
+    gone = written(gone, "toxic")
+    # As a struct, a null id equals a null id.
+    row = docs.select(F.struct("*").alias("_doc"), F.struct(F.col("doc_id").cast("bigint").alias("doc_id")).alias("_key"))
+    likely, rest = split_by_filter(row, "_key", gone)
+    return rest.select("_doc").unionByName(likely.join(gone, "_key", "left_anti").select("_doc")).select("_doc.*")
 
 
 def op3_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
