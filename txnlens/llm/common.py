@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +47,26 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def tidy(run: Callable) -> Callable:
+    """``run`` over batches, giving memory back to the system at its end.
+
+    Python workers live on between tasks and stages; without this, what one stage needed stays with
+    them while the next one runs.
+    """
+
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return tidied
+
+
 def fold(name: str, folds: int) -> Column:
     """crc32 of the id's text, modulo ``folds``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit(""))) % F.lit(folds)

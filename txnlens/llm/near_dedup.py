@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from txnlens.llm.common import split_by_filter, table, whole_text, written
+from txnlens.llm.common import split_by_filter, table, tidy, whole_text, written
 from txnlens.llm.graph import components
 from txnlens.llm.shingles import mix, shingle_sets
 
@@ -129,14 +129,14 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("_text"))
     keyed = text.select("doc_id", F.unhex(F.md5("_text")).alias("_key"), "_text")
     schema = "doc_id bigint, _key binary, n_shingles bigint, digest binary, bands array<bigint>"
-    return keyed.mapInArrow(_signatures(words), schema)
+    return keyed.mapInArrow(tidy(_signatures(words)), schema)
 
 
 def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs of classes whose full sets are similar enough."""
     first = texts.select(F.col("class").alias("a"), F.col("_text").alias("_text_a"))
     second = texts.select(F.col("class").alias("b"), F.col("_text").alias("_text_b"))
-    return pairs.join(second, "b").join(first, "a").mapInArrow(_confirmed(words, percent), "a bigint, b bigint")
+    return pairs.join(second, "b").join(first, "a").mapInArrow(tidy(_confirmed(words, percent)), "a bigint, b bigint")
 
 
 def _shingle_rows(words: int):
@@ -152,7 +152,7 @@ def _shingle_rows(words: int):
 
 def shared_sizes(texts: DataFrame, words: int) -> DataFrame:
     """``class, _common``: how many of a class's shingles stand in another class of ``texts`` as well."""
-    rows = texts.select("class", "_text").mapInArrow(_shingle_rows(words), "shingle bigint, class bigint")
+    rows = texts.select("class", "_text").mapInArrow(tidy(_shingle_rows(words)), "shingle bigint, class bigint")
     alone = rows.groupBy("shingle").agg(F.count("*").alias("_n"), F.min("class").alias("class")).where("_n = 1")
     lonely = alone.groupBy("class").agg(F.count("*").alias("_lonely"))
     found = texts.select("class", "n_shingles").join(lonely, "class", "left")

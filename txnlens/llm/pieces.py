@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import AddedToken, Regex, Tokenizer, models, normalizers
 
-from txnlens.llm.common import table, whole_text
+from txnlens.llm.common import table, tidy, whole_text
 from txnlens.llm.shingles import chunks
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -260,7 +260,7 @@ def encode_pieces(docs: DataFrame, model: str = MODEL, threads: int = THREADS) -
     # The driver reads the model, a file of bounded size, and sends it to the tasks.
     shared = docs.sparkSession.sparkContext.broadcast(read_model(model))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("_text"))
-    return texts.mapInArrow(_encoder(shared, threads), "doc_id bigint, n_tokens bigint, ids array<int>, round_trip boolean")
+    return texts.mapInArrow(tidy(_encoder(shared, threads)), "doc_id bigint, n_tokens bigint, ids array<int>, round_trip boolean")
 
 
 def decode_pieces(encoded: DataFrame, model: str = MODEL) -> DataFrame:
@@ -276,7 +276,7 @@ def decode_pieces(encoded: DataFrame, model: str = MODEL) -> DataFrame:
             texts = pa.array(codec.decode(ids, counts), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts], names=["doc_id", "text"])
 
-    return encoded.select(F.col("doc_id").cast("bigint").alias("doc_id"), "ids").mapInArrow(run, "doc_id bigint, text string")
+    return encoded.select(F.col("doc_id").cast("bigint").alias("doc_id"), "ids").mapInArrow(tidy(run), "doc_id bigint, text string")
 
 
 def differing(docs: DataFrame, model: str = MODEL) -> DataFrame:

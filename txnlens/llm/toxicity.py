@@ -33,7 +33,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlens.llm.common import fold, split_by_filter, table, whole_text, written
+from txnlens.llm.common import fold, split_by_filter, table, tidy, whole_text, written
 from txnlens.llm.shingles import chunks
 
 SAMPLE = 20_000
@@ -214,7 +214,7 @@ def weigh(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
 def lexicons(sample: DataFrame) -> dict[int, dict[str, float]]:
     """By part: half 0 gets the lexicon of half 1 and the other way round, part 2 that of both."""
     halves = sample.where("part < 2")
-    counted = halves.select("part", "toxic", "_text").mapInArrow(_entry_counts, "part int, toxic int, entry string, n bigint")
+    counted = halves.select("part", "toxic", "_text").mapInArrow(tidy(_entry_counts), "part int, toxic int, entry string, n bigint")
     toxic, clean = F.when(F.col("toxic") == 1, F.col("n")), F.when(F.col("toxic") == 0, F.col("n"))
     sums = [
         F.coalesce(F.sum(F.when(F.col("part") == p, c)), F.lit(0)).alias(f"{name}{p}")
@@ -264,7 +264,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, learn: Column, sample: i
         return texts.select("doc_id", F.lit(share).cast("double").alias("score"))
 
     shared = spark.sparkContext.broadcast(lexicons(chosen))
-    rows = written(chosen.mapInArrow(_featured(shared), FEATURED), "sample-features")
+    rows = written(chosen.mapInArrow(tidy(_featured(shared)), FEATURED), "sample-features")
     rows = rows.withColumn("features", array_to_vector("features")).withColumn("label", F.col("toxic").cast("double"))
     trees = GBTClassifier(
         maxIter=TREES, maxDepth=TREE_DEPTH, stepSize=0.15, subsamplingRate=0.8, minInstancesPerNode=3, seed=SEED
@@ -277,7 +277,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, learn: Column, sample: i
     curve = calibration.fit(raised(rows.where("part = 2")).select("_chance", "label"))
     # The curve is flat between steps; a share of the uncalibrated value keeps the order within a step.
     asked = texts.select("doc_id", "_text", F.lit(2).alias("part"), F.lit(None).cast("int").alias("toxic"))
-    asked = asked.mapInArrow(_featured(shared), FEATURED).withColumn("features", array_to_vector("features"))
+    asked = asked.mapInArrow(tidy(_featured(shared)), FEATURED).withColumn("features", array_to_vector("features"))
     scored = curve.transform(raised(asked).select("doc_id", "_chance"))
     score = F.col("_calibrated") * 0.98 + F.col("_chance") * 0.02
     return scored.select("doc_id", F.least(F.greatest(score, F.lit(0.0)), F.lit(1.0)).alias("score"))
