@@ -144,3 +144,26 @@ def test_held_out_texts_gain_over_the_base(spark):
     rows = op1_suffix_tree(spark, "/root/testdata/sf0.01").where("held_out").collect()
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows) * 0.97
     assert len(rows) > 80
+
+
+def test_a_repeated_phrase_is_a_state_however_large_the_corpus(make_docs):
+    learned, unseen = ([i for i in range(200) if held(i) is h] for h in (False, True))
+    rows = [(i, "deep blue sea") for i in learned[:6]] + [(unseen[0], "deep blue sea")]
+    # Eight million tokens: one millionth of them is more than six.
+    rows += [(i, "x " * 400_000) for i in learned[6:26]]
+    got = {r.doc_id: r for r in suffix_tree_scores(make_docs(rows), fold("doc_id", 7) == 2).collect()}
+    row = got[unseen[0]]
+    assert row.held_out and (row.n_tokens, row.n_known) == (4, 4)
+    # In their states, 'blue' and 'sea' have 6 of 14 at least; by the root, one in a million.
+    assert row.score - row.base_score > 2 * (math.log10(6 / 14) + 6)
+
+
+@pytest.mark.parametrize("cached", [0, 40])
+def test_what_tasks_have_at_hand_changes_nothing(make_docs, cached):
+    docs = make_docs(corpus())
+
+    def scores(**options):
+        rows = suffix_tree_scores(docs, fold("doc_id", 7) == 2, **options).collect()
+        return sorted((r.doc_id or -1, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in rows)
+
+    assert scores(cached=cached) == scores()

@@ -2,19 +2,25 @@
 
 A text is a sequence of words and one end symbol. The tree holds contexts of one to ``DEPTH`` symbols
 (a mark before the first word may be part of a context). A context and a next symbol are candidates
-if their probability in the training tokens is at least ``P_MIN`` and they were seen ``MIN_COUNT``
-times, so there are at most ``1 / P_MIN`` of each length: that bounds what is sent to the driver and
-to every task. The root holds the count of every training word; it is a table, joined by word.
+if they were seen ``MIN_COUNT`` times in the training texts, whatever their size. The tree is a set of
+Spark tables that grow with the corpus, keyed by 64-bit hashes of the sequences; the root holds the
+count of every training word.
 
 A candidate context stays if the divergence of its next symbols from its suffix's prediction, in
 nats over all its occurrences, exceeds half the logarithm of the training size for each number it
 stores; the suffixes of a context that stays do so too. Next symbols are smoothed towards the
-suffix with ``STRENGTH`` virtual counts, and those below the probability share what is left in
+suffix with ``STRENGTH`` virtual counts, and those below the count share what is left in
 proportion to the suffix's prediction, so that every state's predictions sum to one. A token is scored
 in the longest suffix of its history that is a state. The root is the add-one unigram model.
 
+Since suffixes of states are states, a text's score is a sum over its sequences of one to
+``DEPTH + 1`` symbols: a state adds the logarithm of its rest, and a listed next symbol the
+logarithm of its gain over the suffix less that of the rest. So scores take one join by hash.
+
 Counting is level by level: a sequence can only be frequent if its parts are. Tasks count what they
-hold before the shuffle, so frequent words, pairs and passages cost little.
+hold before the shuffle, so frequent words, pairs and passages cost little. What goes to the driver and
+to every task has a fixed size at every size of the corpus and changes no result: a bit table that
+leaves out sequences that no join would find, and the ``CACHED`` most frequent sequences.
 
 Edge cases: a null text is empty, that is one end symbol. A null ``doc_id`` falls into fold crc32('').
 Rows that repeat an id are scored one by one. Without training rows all counts are zero and scores
@@ -25,25 +31,31 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlens.llm.common import fold, table, whole_text, written
-from txnlens.llm.shingles import chunks, words
+from txnlens.llm.shingles import chunks, mix, words
 
 DEPTH = 3
-P_MIN = 1e-6
 MIN_COUNT = 4
 STRENGTH = 8.0
 FOLDS, HELD_OUT = 7, 2
 
 #: The end symbol among the words: no word is empty.
 END = b""
+#: The code of the mark before a text; other codes are hashes.
+MARK = 1
+#: Bits of the table of codes, 16 MB, and the part of them that is one row.
+BITS, SLICE = 1 << 27, 1 << 15
+#: Sequences whose numbers every task has at hand.
+CACHED = 1 << 20
 #: Distinct words or sequences that a task counts before it passes them on.
 HELD_WORDS, HELD_GRAMS = 400_000, 2_000_000
 
@@ -58,7 +70,7 @@ def find(table: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Tree:
-    """Bounded arrays per length; sequences of length d are numbered by their place in ``grams[d]``.
+    """The same model in arrays, for small word lists: arrays per length; sequences of length d are numbered by their place in ``grams[d]``.
 
     Sequences of length 1 are word ids 1..W; 0 is any other word and W + 1 the mark before a text. A
     longer sequence has the code ``number of its start * (W + 2) + last id``.
@@ -83,20 +95,61 @@ class Tree:
         return numbers
 
 
-def join_ids(lists: pa.ListArray, mark: int) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of a batch with the mark before each text, and the places of the marks."""
-    values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(lengths) else np.zeros(0, np.int64)
-    return np.insert(values, starts, mark), starts + np.arange(len(starts))
+class WordCodes(dict):
+    """64-bit hashes of words."""
+
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = xxhash.xxh3_64_intdigest(word)
+        return code
+
+
+def signed(codes: np.ndarray) -> pa.Array:
+    return pa.array(codes.view(np.int64))
+
+
+def combined(start: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """Codes of sequences from those of their parts without the last and without the first symbol."""
+    return mix(mix(start) * np.uint64(0x9E3779B97F4A7C15) + suffix)
+
+
+def symbols(texts: Sequence[str], known: WordCodes) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of the mark, the words and the end symbol of each text, and the places of the marks."""
+    if len(known) >= HELD_WORDS:
+        known.clear()
+    flat: list[int] = []
+    marks = []
+    for text in texts:
+        marks.append(len(flat))
+        flat.append(MARK)
+        flat.extend([known[w] for w in words(text)])
+        flat.append(known[END])
+    return np.array(flat, dtype=np.uint64), np.array(marks, dtype=np.int64)
+
+
+def endings(flat: np.ndarray, marks: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For d = 1..longest the codes of the sequences of length d, and the places where they end."""
+    place = np.arange(len(flat))
+    offset = place - np.repeat(marks, np.diff(np.append(marks, len(flat))))
+    codes = flat
+    for d in range(1, longest + 1):
+        if d > 1:
+            codes = combined(codes[:-1], codes[1:])
+        good = offset[d - 1 :] >= d - 1
+        yield codes[good], place[d - 1 :][good]
+
+
+def has(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Whether the bit of each code is set."""
+    at = codes & np.uint64(BITS - 1)
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: Counter = Counter()
 
     def out() -> pa.RecordBatch:
-        rows = [pa.array(list(held.keys()), pa.binary()), pa.array(list(held.values()), pa.int64())]
-        return pa.RecordBatch.from_arrays(rows, names=["word", "n"])
+        codes = np.array([xxhash.xxh3_64_intdigest(w) for w in held], dtype=np.uint64)
+        return pa.RecordBatch.from_arrays([signed(codes), pa.array(list(held.values()), pa.int64())], names=["code", "n"])
 
     for batch in batches:
         for text in batch.column(0):
@@ -109,83 +162,86 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def _encode(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            for start, end in chunks(texts):
-                ids, rare = [], []
-                for text in texts[start:end]:
-                    split = words(text)
-                    own = [known.get(w, 0) for w in split]
-                    rare.append([w for w, i in zip(split, own) if not i])
-                    own.append(known[END])
-                    ids.append(own)
-                part = batch.slice(start, end - start)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(n) for n in ("_row", "doc_id", "held_out")]
-                    + [pa.array(ids, pa.list_(pa.int32())), pa.array(rare, pa.list_(pa.binary()))],
-                    names=["_row", "doc_id", "held_out", "ids", "rare"],
-                )
-
-    return run
-
-
 def _count_grams(shared, length: int):
-    """Codes of sequences of ``length`` whose start and whose end are frequent."""
+    """Sequences of ``length`` whose parts may be frequent, as the codes of these parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree: Tree = shared.value
-        codes = np.zeros(0, np.int64)
-        times = np.zeros(0, np.int64)
+        bits: np.ndarray = shared.value
+        known = WordCodes()
+        fresh: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(times)], names=["code", "n"])
+            start, suffix = (np.concatenate(x) for x in zip(*fresh))
+            _, first, times = np.unique(combined(start, suffix), return_index=True, return_counts=True)
+            rows = [signed(start[first]), signed(suffix[first]), pa.array(times)]
+            return pa.RecordBatch.from_arrays(rows, names=["start", "suffix", "n"])
 
-        fresh: list[np.ndarray] = []
-        size = 0
         for batch in batches:
-            ids, marks = join_ids(batch.column(0), tree.width - 1)
-            numbers = tree.ending(ids, length - 1)
-            before = np.concatenate([[-1], numbers[-1][:-1]])
-            good = (before >= 0) & (ids > 0) & (numbers[-1] >= 0)
-            good[marks] = False
-            fresh.append((before * tree.width + ids)[good])
-            size += len(fresh[-1])
-            if size >= HELD_GRAMS:
-                codes, times = np.unique(np.concatenate(fresh), return_counts=True)
-                yield out()
-                fresh, size = [], 0
+            texts = batch.column(0).to_pylist()
+            for a, b in chunks(texts):
+                flat, marks = symbols(texts[a:b], known)
+                *_, (codes, place) = endings(flat, marks, length - 1)
+                likely = has(bits, codes)
+                good = np.flatnonzero(likely[:-1] & likely[1:] & (place[1:] == place[:-1] + 1))
+                # Runs of places end where the next text's begin, but for parts of one symbol.
+                good = good[flat[place[good + 1]] != MARK]
+                fresh.append((codes[good], codes[good + 1]))
+                size += len(good)
+                if size >= HELD_GRAMS:
+                    yield out()
+                    fresh, size = [], 0
         if size:
-            codes, times = np.unique(np.concatenate(fresh), return_counts=True)
             yield out()
 
     return run
 
 
-def _score(shared):
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        start, suffix = (batch.column(n).to_numpy().view(np.uint64) for n in ("start", "suffix"))
+        rows = [signed(combined(start, suffix)), *(batch.column(n) for n in ("start", "suffix", "n"))]
+        yield pa.RecordBatch.from_arrays(rows, names=["code", "start", "suffix", "n"])
+
+
+def _score(shared, longest: int):
+    """Sums over the cached sequences of each text, and the others that may be in the tables."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree: Tree = shared.value
+        bits, cached, known_of, base_of, delta_of = shared.value
+        known = WordCodes()
         for batch in batches:
-            ids, marks = join_ids(batch.column("ids"), tree.width - 1)
-            lists = batch.column("ids")
-            if len(marks):
-                logs = token_scores(tree, ids)
-                root = np.where(ids > 0, tree.log_root[ids], 0.0)
-                logs[marks] = root[marks] = 0.0
-                known = (ids > 0).astype(np.int64)
-                known[marks] = 0
-                known[(ids > 0) & (tree.counts[1][np.maximum(ids, 0)] == 0)] = 0
-                sums = [np.add.reduceat(x, marks) for x in (known, root, logs)]
-            else:
-                sums = [np.zeros(0, np.int64), np.zeros(0), np.zeros(0)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in ("_row", "doc_id", "held_out")]
-                + [lists.value_lengths().cast(pa.int64())]
-                + [pa.array(x) for x in sums],
-                names=["_row", "doc_id", "held_out", "n_tokens", "_known", "_base", "_score"],
-            )
+            texts = batch.column("_text").to_pylist()
+            for a, b in chunks(texts):
+                flat, marks = symbols(texts[a:b], known)
+                size = b - a
+                owner = np.repeat(np.arange(size), np.diff(np.append(marks, len(flat))))
+                sums = [np.zeros(size) for _ in range(3)]
+                left: list[tuple[np.ndarray, np.ndarray]] = []
+                for codes, place in endings(flat, marks, longest):
+                    likely = has(bits, codes)
+                    codes, own = codes[likely], owner[place[likely]]
+                    at = find(cached, codes)
+                    here = at >= 0
+                    for total, numbers in zip(sums, (known_of, base_of, delta_of)):
+                        total += np.bincount(own[here], numbers[at[here]], size)
+                    left.append((own[~here], codes[~here]))
+                own, codes = (np.concatenate(x) for x in zip(*left))
+                order = np.lexsort((codes, own))
+                own, codes = own[order], codes[order]
+                new = np.ones(len(own), dtype=bool)
+                new[1:] = (own[1:] != own[:-1]) | (codes[1:] != codes[:-1])
+                firsts = np.flatnonzero(new)
+                times = np.diff(np.append(firsts, len(own)))
+                ends = pa.array(np.searchsorted(own[firsts], np.arange(size + 1)).astype(np.int32))
+                part = batch.slice(a, size)
+                lengths = np.diff(np.append(marks, len(flat))) - 1
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(n) for n in ("_row", "doc_id", "held_out")]
+                    + [pa.array(lengths), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])]
+                    + [pa.ListArray.from_arrays(ends, x) for x in (signed(codes[firsts]), pa.array(times))],
+                    names=["_row", "doc_id", "held_out", "n_tokens", "_known", "_base", "_delta", "codes", "times"],
+                )
 
     return run
 
@@ -241,19 +297,89 @@ def build(tree: Tree, tokens: int, distinct: int, strength: float = STRENGTH) ->
     return tree
 
 
-def _frequent(spark: SparkSession, encoded: DataFrame, tree: Tree, length: int, least: int) -> None:
-    shared = spark.sparkContext.broadcast(tree)
-    train = encoded.where("NOT held_out").select("ids")
-    counted = train.mapInArrow(_count_grams(shared, length), "code bigint, n bigint")
-    # At most 1 / P_MIN rows reach the threshold.
-    rows = counted.groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
-    codes, n = rows.column("code").to_numpy(), rows.column("n").to_numpy()
-    order = np.argsort(codes)
-    tree.grams[length], tree.counts[length] = codes[order], n[order]
+def bit_table(codes: DataFrame) -> np.ndarray:
+    """A table of fixed size that has the bits of all values of ``code``."""
+    at = codes.select(F.col("code").bitwiseAND(F.lit(BITS - 1)).alias("_at"))
+    at = at.select(F.shiftright("_at", 15).cast("int").alias("slice"), (F.col("_at") % SLICE).alias("_bit"))
+    # Dealt by slice first, so that no more than one bitmap per slice is made.
+    slices = at.repartition("slice").groupBy("slice").agg(F.bitmap_construct_agg("_bit").alias("bits")).toArrow()
+    bits = np.zeros((BITS // SLICE, SLICE // 8), dtype=np.uint8)
+    for place, row in zip(slices.column("slice").to_pylist(), slices.column("bits").to_pylist()):
+        bits[place] = np.frombuffer(row, dtype=np.uint8)
+    return bits.reshape(-1)
+
+
+def most_frequent(entries: DataFrame, size: int) -> int:
+    """The least count such that no more than ``size`` rows have it or a larger one."""
+    # There are few distinct counts: n of them need sequences that occur n * n / 2 times together.
+    least, rows = None, 0
+    for n, times in sorted(entries.groupBy("n").agg(F.count("*")).collect(), reverse=True):
+        rows += times
+        if rows > size:
+            break
+        least = n
+    return least if least is not None else 1 << 62
+
+
+def predictions(
+    spark: SparkSession, train: DataFrame, counts: DataFrame, tokens: int, distinct: int, depth: int, min_count: int
+) -> tuple[dict[int, DataFrame], dict[int, DataFrame]]:
+    """For each length the frequent sequences with their chances, and the states with the logarithm of their rest."""
+    texts_seen = F.coalesce(F.sum(F.when(F.col("code") == F.lit(_code(END)), F.col("n"))), F.lit(0))
+    marks = counts.agg(texts_seen.alias("n")).select(F.lit(MARK).cast("bigint").alias("code"), "n")
+    known = counts.where(F.col("n") >= min_count).unionByName(marks)
+    chance = (F.col("n") + 1) / F.lit(float(tokens + distinct + 1))
+    listed = {1: written(known.withColumn("chance", chance), "words")}
+    contexts = {}
+    for d in range(2, depth + 2):
+        shared = spark.sparkContext.broadcast(bit_table(listed[d - 1]))
+        counted = train.mapInArrow(_count_grams(shared, d), "start bigint, suffix bigint, n bigint")
+        frequent = counted.groupBy("start", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+        frequent = frequent.mapInArrow(_coded, "code bigint, start bigint, suffix bigint, n bigint")
+        starts = listed[d - 1].select(F.col("code").alias("start"), F.col("n").alias("of"))
+        suffixes = listed[d - 1].select(F.col("code").alias("suffix"), F.col("chance").alias("above"))
+        smoothed = (F.col("n") + F.lit(STRENGTH) * F.col("above")) / (F.col("of") + F.lit(STRENGTH))
+        rows = frequent.join(starts, "start").join(suffixes, "suffix").withColumn("chance", smoothed)
+        listed[d] = written(rows, f"sequences-{d}")
+        contexts[d - 1] = written(_contexts(listed[d], tokens), f"contexts-{d - 1}")
+    states = {}
+    for d in range(depth, 0, -1):
+        states[d] = contexts[d].where("keep")
+        if d < depth:
+            needed = listed[d + 1].join(states[d + 1].select("code"), "code", "left_semi")
+            needed = needed.select(F.col("suffix").alias("code")).distinct().withColumn("needed", F.lit(True))
+            states[d] = contexts[d].join(needed, "code", "left").where(F.col("keep") | F.col("needed"))
+        states[d] = written(states[d].select("code", "n", "log_rest"), f"states-{d}")
+    return listed, states
+
+
+def _contexts(listed: DataFrame, tokens: int) -> DataFrame:
+    """Per context its count, the logarithm of the rest and the outcome of the divergence test."""
+    n, above = F.col("n"), F.col("above")
+    sums = listed.groupBy(F.col("start").alias("code")).agg(
+        F.first("of").alias("n"),
+        F.count("*").alias("numbers"),
+        F.sum("chance").alias("chance"),
+        F.least(F.sum("above"), F.lit(1 - 1e-12)).alias("above"),
+        F.sum("n").alias("seen"),
+        F.sum(n * F.log(n / F.col("of") / above)).alias("gain"),
+    )
+    rest = n - F.col("seen")
+    left = F.when(rest > 0, rest * F.log(rest / n / (1 - above))).otherwise(F.lit(0.0))
+    return sums.select(
+        "code",
+        "n",
+        (F.log10(F.greatest(1 - F.col("chance"), F.lit(1e-300))) - F.log10(1 - above)).alias("log_rest"),
+        (F.col("gain") + left > (F.col("numbers") + 1) * F.lit(0.5 * math.log(max(tokens, 2)))).alias("keep"),
+    )
+
+
+def _code(word: bytes) -> int:
+    return int(np.array([xxhash.xxh3_64_intdigest(word)], dtype=np.uint64).view(np.int64)[0])
 
 
 def suffix_tree_scores(
-    docs: DataFrame, held_out: Column, depth: int = DEPTH, p_min: float = P_MIN, min_count: int = MIN_COUNT
+    docs: DataFrame, held_out: Column, depth: int = DEPTH, min_count: int = MIN_COUNT, cached: int = CACHED
 ) -> DataFrame:
     """Learn from the rows where ``held_out`` is false and score all rows."""
     spark = docs.sparkSession
@@ -263,45 +389,49 @@ def suffix_tree_scores(
         held_out.alias("held_out"),
         whole_text().alias("_text"),
     )
-    counted = texts.where("NOT held_out").select("_text").mapInArrow(_count_words, "word binary, n bigint")
-    counts = written(counted.groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
-    tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    least = max(min_count, math.ceil(p_min * tokens))
-
-    # At most 1 / P_MIN words reach the threshold; the end symbol is always among the known ones.
-    rows = counts.where((F.col("c") >= least) | (F.col("word") == F.lit(END))).toArrow()
-    found = sorted(zip(rows.column("c").to_pylist(), rows.column("word").to_pylist()), key=lambda x: (-x[0], x[1]))
-    if not any(word == END for _, word in found):
-        found.append((0, END))
-    ids = {word: i for i, (_, word) in enumerate(found, 1)}
-    texts_seen = next(c for c, word in found if word == END)
-    tree = Tree(len(found) + 2, depth)
-    tree.counts[1] = np.array([0, *(c for c, _ in found), texts_seen], dtype=np.int64)
-    # Nothing follows the end symbol.
-    schema = "_row bigint, doc_id bigint, held_out boolean, ids array<int>, rare array<binary>"
-    encoded = written(texts.mapInArrow(_encode(spark.sparkContext.broadcast(ids)), schema), "encoded")
-    for length in range(2, depth + 2):
-        _frequent(spark, encoded, tree, length, least)
-    build(tree, tokens, distinct)
-
-    shared = spark.sparkContext.broadcast(tree)
-    schema = "_row bigint, doc_id bigint, held_out boolean, n_tokens bigint, _known bigint, _base double, _score double"
-    scored = encoded.drop("rare").mapInArrow(_score(shared), schema)
-    rare = encoded.select("_row", F.explode("rare").alias("word")).join(counts, "word", "left")
-    times = F.coalesce("c", F.lit(0))
-    rare = rare.groupBy("_row").agg(
-        F.sum((times > 0).cast("bigint")).alias("_rare_known"),
-        F.sum(F.log10((times + 1) / F.lit(float(tokens + distinct + 1)))).alias("_rare"),
-    )
-    extra = F.coalesce("_rare", F.lit(0.0))
-    return scored.join(rare, "_row", "left").select(
+    train = texts.where("NOT held_out").select("_text")
+    counted = train.mapInArrow(_count_words, "code bigint, n bigint")
+    counts = written(counted.groupBy("code").agg(F.sum("n").alias("n")), "word-counts")
+    tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    listed, states = predictions(spark, train, counts, tokens, distinct, depth, min_count)
+
+    # What a sequence adds to the score of a text, once for each time it occurs there.
+    zero = F.lit(0.0)
+    root = counts.select("code", "n", F.lit(1).alias("known"), F.log10(F.col("n") + 1).alias("base"), zero.alias("delta"))
+    parts = [root.where(F.col("n") >= min_count)]
+    for d in range(1, depth + 1):
+        parts.append(states[d].select("code", "n", F.lit(0), zero, "log_rest"))
+        nexts = listed[d + 1].join(states[d].select(F.col("code").alias("start"), "log_rest"), "start")
+        gain = F.log10(F.col("chance") / F.col("above")) - F.col("log_rest")
+        parts.append(nexts.select("code", "n", F.lit(0), zero, gain))
+    entries = parts[0]
+    for part in parts[1:]:
+        entries = entries.union(part)
+    sums = (F.sum(c).alias(c) for c in ("known", "base", "delta"))
+    entries = entries.groupBy("code").agg(F.max("n").alias("n"), *sums)
+    entries = written(entries.unionByName(root.where(F.col("n") < min_count)), "entries")
+
+    least = most_frequent(entries, cached)
+    top = entries.where(F.col("n") >= least).toArrow()
+    order = np.argsort(codes := top.column("code").to_numpy().view(np.uint64))
+    held = [codes[order], *(top.column(c).to_numpy().astype(float)[order] for c in ("known", "base", "delta"))]
+    shared = spark.sparkContext.broadcast((bit_table(entries), *held))
+    schema = "_row bigint, doc_id bigint, held_out boolean, n_tokens bigint, _known bigint, _base double, _delta double"
+    scored = texts.mapInArrow(_score(shared, depth + 1), f"{schema}, codes array<bigint>, times array<bigint>")
+    scored = written(scored, "scored")
+    others = scored.select("_row", F.inline(F.arrays_zip("codes", "times"))).withColumnRenamed("codes", "code")
+    others = others.join(entries.where(F.col("n") < least).drop("n"), "code")
+    sums = (F.sum(F.col("times") * F.col(c)).alias(c) for c in ("known", "base", "delta"))
+    others = others.groupBy("_row").agg(*sums)
+    base = F.col("_base") + F.coalesce("base", zero) - F.col("n_tokens") * F.lit(math.log10(tokens + distinct + 1))
+    return scored.drop("codes", "times").join(others, "_row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("_known") + F.coalesce("_rare_known", F.lit(0))).alias("n_known"),
+        (F.col("_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("bigint").alias("train_tokens"),
-        (F.col("_base") + extra).alias("base_score"),
-        (F.col("_score") + extra).alias("score"),
+        base.alias("base_score"),
+        (base + F.col("_delta") + F.coalesce("delta", zero)).alias("score"),
     )
 
 
