@@ -89,3 +89,29 @@ def test_whole_table(spark):
 
         words = html.unescape(re.sub(r"<[^>]*>", " ", body)).split()
         assert [w for w in r.text.split() if w != "-"] == [w for w in words if w != "-"]
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ('<a href="x"">text</a> rest', "text rest"),
+        ('<p class=x">Hello</p> all else', "Hello\n\nall else"),
+        ('<a href="x"">text</a><p class="y">more</p> end', "text\n\nmore\n\nend"),
+        ("<img alt=5'>Don't stop", "Don't stop"),
+        ("<b '>a</b '><i \"x>b</i>c", "abc"),
+        ("<i a= >b</i><i =\">c</i><i a=b/>d</i><br/>e", "bcd\ne"),
+        ("<i a = 'x > y'b=\">\">c</i>d", "cd"),
+        ("<p class='a'hidden>no</p><p id=x\"y hidden>no</p>yes", "yes"),
+        ("a <b c=d\" e='f>g", "a"),
+        ("a <b c=", "a"),
+    ],
+)
+def test_stray_quotes_are_plain_characters(html, want):
+    assert visible_text(html).strip() == want
+
+
+def test_unclosed_tags_take_linear_time():
+    started = time.monotonic()
+    for page in ("<" + "a" * 500_000, "<a " + "b=" * 300_000, "<a" + " b" * 300_000, "<a b" + " " * 500_000, "<a b='" + "\"" * 500_000):
+        assert visible_text("x" + page) == "x"
+    assert time.monotonic() - started < 10

@@ -67,8 +67,13 @@ ENDS = {
 #: Start tags that may stand in the head; any other one ends it.
 HEAD_TAGS = frozenset("base link meta noscript script style template title head html".split())
 
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
-_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
+#: A quote opens a string only at the start of a value; elsewhere it is a plain character.
+_VALUE = r"""[ \t\n\r\f]*+=[ \t\n\r\f]*+(?:"([^"]*+)"|'([^']*+)'|([^ \t\n\r\f"'>][^ \t\n\r\f>]*+)|(?=>|\Z))"""
+_NAME = r"[^ \t\n\r\f/>][^ \t\n\r\f/>=]*+"
+_TAG = re.compile(
+    rf"<(/?)([a-zA-Z][^ \t\n\r\f/>]*+)((?:[ \t\n\r\f/]++|{_NAME}(?:{_VALUE}|(?![ \t\n\r\f]*+=)))*+)>"
+)
+_ATTRIBUTE = re.compile(rf"({_NAME})(?:{_VALUE})?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 _CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
