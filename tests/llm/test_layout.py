@@ -115,3 +115,51 @@ def test_unclosed_tags_take_linear_time():
     for page in ("<" + "a" * 500_000, "<a " + "b=" * 300_000, "<a" + " b" * 300_000, "<a b" + " " * 500_000, "<a b='" + "\"" * 500_000):
         assert visible_text("x" + page) == "x"
     assert time.monotonic() - started < 10
+
+
+@pytest.mark.parametrize(
+    "sheet, shown",
+    [
+        ("@media print{nav, .x{display:none}}", True),
+        ("@media (max-width:600px){.x{display:none}}", True),
+        ("@media screen and (max-width: 40em){.x{display:none}}", True),
+        ("@media (400px <= width < 700px){.x{display:none}}", True),
+        ("@media (width >= 3000px), print{.x{display:none}}", True),
+        ("@media not screen{.x{display:none}}", True),
+        ("@media not all and (min-width:600px){.x{display:none}}", True),
+        ("@media (orientation:portrait){.x{display:none}}", True),
+        ("@media (unheard-of: 1) {.x{display:none}}", True),
+        ("@media not (unheard-of) {.x{display:none}}", True),
+        ("@media screen{@media print{.x{display:none}}}", True),
+        ("@supports not (display:grid){.x{display:none}}", True),
+        ("@container side (max-width: 300px){.x{display:none}}", True),
+        (".x{color:red; @media print{display:none}}", True),
+        ("@media print{.y{a:b}}.x{display:block}", True),
+        ("@keyframes k{from{display:none} .x{display:none}}", True),
+        ("@media screen{.x{display:none}}", False),
+        ("@media only screen and (min-width:600px){.x{display:none}}", False),
+        ("@media print, (min-width:600px){.x{display:none}}", False),
+        ("@media not print{.x{display:none}}", False),
+        ("@media not all and (max-width:600px){.x{display:none}}", False),
+        ("@media (max-width:600px) or (hover){.x{display:none}}", False),
+        ("@MEDIA(width>=600px){.x{display:none}}", False),
+        ("@media (min-aspect-ratio: 1/1) and (not (max-width:600px)){.x{display:none}}", False),
+        ("@media screen{@supports (display:grid){@layer a{.x{display:none}}}}", False),
+        ("@media print{.x{display:block}}.x{display:none}", False),
+        ("@import url(a;b.css); @media print{.y{a:b}} .x{display:none}", False),
+        (".y{content:'}'}.x{display:none}", False),
+    ],
+)
+def test_conditional_blocks(sheet, shown):
+    assert visible_text(f"<style>{sheet}</style><p class=x>a</p><p>b") == ("a\n\nb" if shown else "b")
+
+
+def test_sheets_for_other_media():
+    assert visible_text("<style media=print>p{display:none}</style><style media='screen'>b{display:none}</style><p>a<b>c</b>") == "a"
+
+
+def test_hostile_sheets_take_linear_time():
+    started = time.monotonic()
+    for sheet in ("@media screen{" * 50_000, "@media " + "(" * 100_000 + "{", "a{" * 100_000, "'" * 100_000, "@media " + "not " * 100_000 + "{a{}}", "@media " + "screen," * 50_000 + "{"):
+        assert visible_text(f"<style>{sheet}</style>x") == "x"
+    assert time.monotonic() - started < 10

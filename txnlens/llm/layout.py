@@ -4,7 +4,8 @@ The builder closes what a start tag ends (paragraphs before blocks, items before
 cells, rows before rows), knows empty and raw-text elements, ignores end tags without a start and
 drops comments. What a browser does not show is left out: the head, scripts, templates and fallback
 content, closed details and dialogs, elements hidden by attribute, by their own style or by a rule for a
-tag, class or id in a style sheet of the page. Everything else is emitted: blocks on lines of their own,
+tag, class or id in a style sheet of the page. Blocks of a sheet count if their condition holds on a screen of
+``WIDTH`` by ``HEIGHT`` pixels. Everything else is emitted: blocks on lines of their own,
 with a blank line around paragraphs, headings, lists and tables; list items with bullets or numbers and
 indents; preformatted text as it stands; table cells padded to the width of their column.
 
@@ -19,7 +20,7 @@ repeat an id are rendered one by one. An empty table gives an empty result; colu
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -29,6 +30,10 @@ from pyspark.sql import functions as F
 from txnlens.llm.common import table
 
 DEPTH = 150
+#: The screen that conditions of style sheets are held against.
+WIDTH, HEIGHT = 1280, 800
+#: Nested blocks and brackets of a style sheet that are looked into.
+CSS_DEPTH = 20
 
 # Classes of elements as the HTML standard has them.
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -75,7 +80,24 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(rf"({_NAME})(?:{_VALUE})?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_CSS_MARK = re.compile(r""""(?:\\.|[^"\\\n])*+"?|'(?:\\.|[^'\\\n])*+'?|\\.|\([^(){}"']*+\)|[{};]""", re.S)
+_CONDITION = re.compile(r"""\s*+("[^"]*+"?|'[^']*+'?|[()]|[<>]=?|[=:,/]|[^\s()<>=:,/"']++)""")
+_LENGTH = re.compile(r"([+-]?(?:\d+\.?\d*|\.\d+))(px|r?em|pt|pc|in|cm|mm|q|dppx|x|dpi|dpcm)?$")
+_PIXELS = {"px": 1, "em": 16, "rem": 16, "pt": 96 / 72, "pc": 16, "in": 96, "cm": 96 / 2.54, "mm": 96 / 25.4, "q": 96 / 101.6}
+_DOTS = {"dppx": 1, "x": 1, "dpi": 1 / 96, "dpcm": 2.54 / 96}
+_NUMBERS = {
+    "width": WIDTH, "height": HEIGHT, "device-width": WIDTH, "device-height": HEIGHT, "inline-size": WIDTH, "block-size": HEIGHT,
+    "aspect-ratio": WIDTH / HEIGHT, "device-aspect-ratio": WIDTH / HEIGHT, "resolution": 1, "-webkit-device-pixel-ratio": 1,
+    "color": 8, "color-index": 0, "monochrome": 0, "grid": 0,
+}
+_WORDS = {
+    "orientation": "landscape", "hover": "hover", "any-hover": "hover", "pointer": "fine", "any-pointer": "fine", "update": "fast",
+    "prefers-color-scheme": "light", "prefers-reduced-motion": "no-preference", "prefers-contrast": "no-preference",
+    "prefers-reduced-data": "no-preference", "prefers-reduced-transparency": "no-preference", "forced-colors": "none",
+    "inverted-colors": "none", "display-mode": "browser", "scripting": "enabled", "overflow-block": "scroll",
+    "overflow-inline": "scroll", "dynamic-range": "standard", "color-gamut": "srgb",
+}
+_COMPARE = {"<": float.__lt__, "<=": float.__le__, ">": float.__gt__, ">=": float.__ge__, "=": float.__eq__}
 _CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
 _SELECTOR = re.compile(r"(?:[a-zA-Z][\w-]*|[.#][\w-]+)$")
 
@@ -149,7 +171,9 @@ def parse(html: str) -> tuple[Element, list[str]]:
             stack[-1].children.append(unescape(name) if "&" in name else name)
         elif kind == "raw":
             if rest == "style":
-                sheets.append(name)
+                media = stack[-1].attributes.get("media", "") if stack[-1].tag == rest else ""
+                if on_screen(media):
+                    sheets.append(name)
             if stack[-1].tag == rest:
                 stack[-1].children.append(unescape(name) if rest in ("textarea", "title") else name)
         elif kind == "start":
@@ -189,13 +213,167 @@ def _declared(style: str) -> dict[str, str]:
     return {k.strip(): v.replace("!important", "").strip() for k, _, v in pairs}
 
 
+def _number(source: list[str]) -> float | None:
+    if len(source) == 3 and source[1] == "/":
+        above, below = _number(source[:1]), _number(source[2:])
+        return above / below if above is not None and below else None
+    match = _LENGTH.match(source[0]) if len(source) == 1 else None
+    return float(match[1]) * {**_PIXELS, **_DOTS}.get(match[2], 1) if match else None
+
+
+def _feature(parts: list[str]) -> bool | None:
+    """Whether a media feature holds; None if it is not known."""
+    name = parts[0] if parts else ""
+    if len(parts) == 1:
+        return bool(_NUMBERS[name]) if name in _NUMBERS else _WORDS[name] not in ("none", "no-preference") if name in _WORDS else None
+    if parts[1:2] == [":"]:
+        if name in _WORDS:
+            return parts[2:] == [_WORDS[name]]
+        sign = "<=" if "min-" in name else ">=" if "max-" in name else "="
+        parts = [*parts[2:], sign, re.sub("^(-webkit-)?(min|max)-", r"\1", name)]
+    # A range: numbers around the name, with signs between them.
+    sides: list[list[str]] = [[]]
+    signs = []
+    for part in parts:
+        if part in _COMPARE:
+            signs.append(part)
+            sides.append([])
+        else:
+            sides[-1].append(part)
+    values = [float(_NUMBERS[x[0]]) if len(x) == 1 and x[0] in _NUMBERS else _number(x) for x in sides]
+    if not signs or None in values:
+        return None
+    return all(_COMPARE[sign](values[i], values[i + 1]) for i, sign in enumerate(signs))
+
+
+def _holds(parts: list[str], feature: Callable[[list[str]], bool | None], depth: int = 0) -> bool | None:
+    """The value of a condition of brackets, media types, ``not``, ``and`` and ``or``; None if it is not known."""
+    values: list[bool | None] = []
+    join, negated, at = "", False, 0
+    while at < len(parts):
+        part = parts[at]
+        at += 1
+        if part in ("and", "or"):
+            join = part
+            continue
+        if part == "not":
+            negated = not negated
+            continue
+        if part == "only":
+            continue
+        call = part != "(" and parts[at : at + 1] == ["("]
+        if part == "(" or call:
+            start, open_ = at + call, 1
+            at = start
+            while at < len(parts) and open_:
+                open_ += (parts[at] == "(") - (parts[at] == ")")
+                at += 1
+            inner = parts[start : at - (not open_)]
+            if call:
+                value = feature([part, "(", *inner])
+            elif inner[:1] in (["("], ["not"]):
+                value = _holds(inner, feature, depth + 1) if depth < CSS_DEPTH else None
+            else:
+                value = feature(inner)
+        else:
+            value = part in ("all", "screen")
+        # The 'not' before a media type is for all that follows.
+        if negated and part != "(" and not call:
+            rest = _holds([part, *parts[at:]], feature, depth + 1) if depth < CSS_DEPTH else None
+            return None if rest is None else not rest
+        values.append(None if value is None else value != negated)
+        negated = False
+    if not values:
+        return True
+    ends = join == "or"
+    return ends if ends in values else None if None in values else not ends
+
+
+def _parts(condition: str) -> list[str]:
+    return _CONDITION.findall(condition.lower())
+
+
+def on_screen(media: str) -> bool:
+    """Whether a list of media queries holds on a screen of ordinary size."""
+    queries: list[list[str]] = [[]]
+    open_ = 0
+    for part in _parts(media):
+        open_ += (part == "(") - (part == ")")
+        if part == "," and not open_:
+            queries.append([])
+        else:
+            queries[-1].append(part)
+    return any(_holds(query, _feature) is True for query in queries)
+
+
+def _applies(rule: str) -> bool:
+    """Whether the rules inside an at-rule count."""
+    name, _, condition = rule[1:].replace("(", " (", 1).partition(" ")
+    name = name.strip().lower()
+    if name == "media":
+        return on_screen(condition)
+    if name == "supports":
+        return _holds(_parts(condition), lambda parts: True) is True
+    if name == "container":  # as wide as the screen; its name comes first
+        parts = _parts(condition)
+        named = parts and parts[0] not in ("(", "not") and parts[1:2] != ["("] or parts[1:2] == ["("] and parts[0] not in ("not", "style", "(")
+        return _holds(parts[1:] if named else parts, _feature) is True
+    return name == "layer"
+
+
+def _blocks(sheet: str) -> Iterator[tuple[str, str | None]]:
+    """The rules at the top of a sheet with their bodies, and the statements without one."""
+    depth, start, body = 0, 0, 0
+    for mark in _CSS_MARK.finditer(sheet):
+        if mark[0] == "{":
+            depth += 1
+            if depth == 1:
+                body = mark.end()
+        elif mark[0] == "}" and depth:
+            depth -= 1
+            if not depth:
+                yield sheet[start : body - 1].strip(), sheet[body : mark.start()]
+                start = mark.end()
+        elif mark[0] == ";" and not depth:
+            yield sheet[start : mark.start()].strip(), None
+            start = mark.end()
+    if depth:
+        yield sheet[start : body - 1].strip(), sheet[body:]
+    elif sheet[start:].strip():
+        yield sheet[start:].strip(), None
+
+
+def _rules(sheet: str, depth: int = 0) -> Iterator[tuple[str, str]]:
+    """Selectors and declarations of the rules that count on a screen."""
+    for rule, body in _blocks(sheet):
+        if body is None:
+            continue
+        if not rule.startswith("@"):
+            yield rule, _own(body)
+        elif depth < CSS_DEPTH and _applies(" ".join(rule.split())):
+            yield from _rules(body, depth + 1)
+
+
+def _own(body: str, depth: int = 0) -> str:
+    """The declarations of a rule without those of the rules nested in it."""
+    if "{" not in body:
+        return body
+    found = []
+    for rule, inner in _blocks(body):
+        if inner is None:
+            found.append(rule)
+        elif rule.startswith("@") and depth < CSS_DEPTH and _applies(" ".join(rule.split())):
+            found.append(_own(inner, depth + 1))
+    return ";".join(found)
+
+
 class Visibility:
     """Which elements are shown: by tag, attributes, own style and simple rules of style sheets."""
 
     def __init__(self, sheets: list[str]):
         self.rules: dict[str, dict[str, str]] = {}
         for sheet in sheets:
-            for selectors, body in _RULE.findall(_CSS_COMMENT.sub("", sheet)):
+            for selectors, body in _rules(_CSS_COMMENT.sub("", sheet)):
                 declared = {k: v for k, v in _declared(body).items() if k in ("display", "visibility")}
                 if declared:
                     for selector in map(str.strip, selectors.split(",")):
