@@ -128,3 +128,13 @@ def test_whole_table(spark):
         return {"domain0": 2.0, "en": 3.0}.get(path[-1], 1.0)
 
     hold(rows, ("domain", "lang", "source"), named, 0.5, 2)
+
+
+@pytest.mark.parametrize("closed", ["0", "-1", "NULL"])
+def test_what_closed_leaves_cannot_take_goes_to_other_branches(make_docs, closed):
+    rows = [(i, "a b", lang, source) for i, (lang, source) in enumerate([("en", "p"), ("en", "q"), ("de", "r")] * 30)]
+    weights = {"source": f"CASE WHEN source = 'q' THEN {closed} ELSE 1 END"}
+    more = rows + [(90 + i, "a b", "de", "r") for i in range(30)]
+    found = mixture(make_docs(more), LEVELS, weights, budget=0.7, epochs=1).collect()
+    # 168 of 240 tokens: half would be 84, en can take 60, so de has 108.
+    assert {r.source: r.leaf_budget for r in found} == {"p": 60, "q": 0, "r": 108}

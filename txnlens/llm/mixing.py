@@ -5,7 +5,7 @@ proportion to the weights of the children. No node gets more than its leaves can
 tokens times the number of epochs; what a node cannot take is shared out among its siblings by
 weight, again up to what they can take, and only what all siblings together cannot take is
 missing at their parent, whose own siblings then get it. As every node's capacity is the sum of its
-leaves', doing this level by level from the root gives exactly that order.
+leaves', but for those without a budget, doing this level by level from the root gives exactly that order.
 
 A leaf then takes whole epochs and a prefix of the next one: in each epoch its documents stand in
 another seeded order, and they are taken as long as the running token count stays within what is
@@ -83,7 +83,11 @@ def shares(children: DataFrame, parents: list[str], node: str) -> DataFrame:
 
 def leaf_budgets(leaves: DataFrame, levels: tuple[str, ...], weights: dict[str, str], budget: float, epochs: int) -> DataFrame:
     """``leaves`` (the levels, ``_tokens``) with ``_budget``: the tokens that each leaf gives."""
-    nodes = leaves.withColumn("_capacity", F.col("_tokens").cast("double") * epochs)
+    # What lies below a node without a budget takes nothing, so it is no capacity of the nodes above.
+    open_ = F.lit(True)
+    for node in levels:
+        open_ = open_ & F.coalesce(F.expr(weights.get(node, "1.0D")).cast("double") > 0, F.lit(False))
+    nodes = leaves.withColumn("_capacity", F.when(open_, F.col("_tokens").cast("double") * epochs).otherwise(0.0))
     given = None
     for depth, node in enumerate(levels, 1):
         path = list(levels[:depth])
