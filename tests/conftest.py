@@ -33,10 +33,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"
-
-
-def rows(df, *order):
-    """Rows as tuples, ordered by the given columns, or by their text."""
-    if order:
-        return [tuple(r) for r in df.orderBy(*order).collect()]
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -1,4 +1,4 @@
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from txnlens.functions import features as fx

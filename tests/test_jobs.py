@@ -2,7 +2,7 @@
 
 import json
 
-from conftest import rows
+from compare import rows
 
 from test_messages import GOOD, without
 from test_streams import write_messages

@@ -3,7 +3,7 @@ import json
 import math
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from test_star import raw_frame

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator

@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from conftest import rows
+from compare import rows
 
 from txnlens.operators import ranks
 

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 

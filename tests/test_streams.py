@@ -2,7 +2,7 @@ import datetime
 import json
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from test_messages import GOOD, without
