@@ -3,9 +3,21 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from txnlens.llm import exact_dedup, layout, mixing, near_dedup, pieces, secrets, sharding, suffix_tree, toxicity, vantage
+from txnlens.llm import (
+    exact_dedup,
+    layout,
+    merkle,
+    mixing,
+    near_dedup,
+    pieces,
+    secrets,
+    sharding,
+    suffix_tree,
+    toxicity,
+    vantage,
+)
 
-MODULES = (suffix_tree, vantage, toxicity, exact_dedup, secrets, near_dedup, layout, sharding, pieces, mixing)
+MODULES = (suffix_tree, vantage, toxicity, exact_dedup, secrets, near_dedup, layout, sharding, pieces, mixing, merkle)
 
 
 def entries() -> dict:
