@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from txnlens.llm import (
+    compression,
     exact_dedup,
     layout,
     merkle,
@@ -17,7 +18,7 @@ from txnlens.llm import (
     vantage,
 )
 
-MODULES = (suffix_tree, vantage, toxicity, exact_dedup, secrets, near_dedup, layout, sharding, pieces, mixing, merkle)
+MODULES = (suffix_tree, vantage, toxicity, exact_dedup, secrets, near_dedup, layout, sharding, pieces, mixing, compression, merkle)
 
 
 def entries() -> dict:
