@@ -118,7 +118,7 @@ def _runs(nodes: DataFrame, level: int, arity: int) -> DataFrame:
         F.col("at").alias("pos"),
         F.ceil(F.col("width") / arity).cast("bigint").alias("width"),
         F.sha2(F.array_join("children", ""), 256).alias("digest"),
-        "children",
+        F.unhex(F.array_join("children", "")).alias("children"),
     )
 
 
@@ -181,46 +181,41 @@ class Manifest:
         self.runs = spark.read.schema(shape).parquet(f"{path}/step=*") if shape else None
 
     def climb(self) -> DataFrame:
-        """``tree, pos, doc_id, leaf, folded, own, above`` per leaf.
+        """``tree, pos, lone, doc_id, leaf, folded, slot, above`` per leaf, digests as bytes.
 
-        ``own`` holds the digests of the leaf's run and ``above`` the joined siblings of the levels over it, both in the
-        row of the run's first leaf only.
+        ``above`` holds the siblings of the levels over the leaf's own run, in the row of the run's first leaf only.
         """
-        spark = self.leaf_rows.sparkSession
         start = self.leaf_rows.select(
             "tree",
             "pos",
+            (F.col("width") == 1).alias("lone"),
             "doc_id",
-            F.col("digest").alias("leaf"),
-            F.col("claimed").alias("folded"),
+            F.unhex("digest").alias("leaf"),
+            F.unhex("claimed").alias("folded"),
             "up_tree",
             "up_level",
             "up_pos",
             "slot",
             F.lit(0).alias("height"),
-            F.lit(None).cast("array<string>").alias("own"),
-            F.lit("").alias("above"),
+            F.lit(b"").alias("above"),
         )
         if self.runs is None:
-            return start.select("tree", "pos", "doc_id", "leaf", "folded", "own", "above", "slot")
-        return spark.sql(
+            return start.select("tree", "pos", "lone", "doc_id", "leaf", "folded", "slot", "above")
+        return self.leaf_rows.sparkSession.sql(
             """
             WITH RECURSIVE climb AS (
-              SELECT tree, pos, doc_id, leaf, folded, up_tree, up_level, up_pos, slot, height, own, above, slot AS first_slot
+              SELECT tree, pos, lone, doc_id, leaf, folded, up_tree, up_level, up_pos, slot, height, above, slot AS first_slot
               FROM {start}
               UNION ALL
-              SELECT c.tree, c.pos, c.doc_id, c.leaf,
-                sha2(concat(array_join(slice(r.children, 1, c.slot), ''), c.folded,
-                  array_join(slice(r.children, c.slot + 2, {arity}), '')), 256),
+              SELECT c.tree, c.pos, c.lone, c.doc_id, c.leaf,
+                unhex(sha2(lower(hex(concat(substring(r.children, 1, 32 * c.slot), c.folded, substring(r.children, 32 * c.slot + 33)))), 256)),
                 r.up_tree, r.up_level, r.up_pos, r.slot, c.height + 1,
-                CASE WHEN c.pos % {arity} <> 0 THEN NULL WHEN c.height = 0 THEN r.children ELSE c.own END,
-                CASE WHEN c.pos % {arity} <> 0 OR c.height = 0 THEN ''
-                  ELSE concat(c.above, array_join(slice(r.children, 1, c.slot), ''),
-                    array_join(slice(r.children, c.slot + 2, {arity}), '')) END,
+                CASE WHEN c.pos % {arity} <> 0 OR c.height = 0 THEN c.above
+                  ELSE concat(c.above, substring(r.children, 1, 32 * c.slot), substring(r.children, 32 * c.slot + 33)) END,
                 c.first_slot
               FROM climb c JOIN {runs} r ON c.up_tree = r.tree AND c.up_level = r.level AND c.up_pos = r.pos
             )
-            SELECT tree, pos, doc_id, leaf, folded, own, above, first_slot AS slot FROM climb WHERE up_tree IS NULL
+            SELECT tree, pos, lone, doc_id, leaf, folded, first_slot AS slot, above FROM climb WHERE up_tree IS NULL
             """,
             start=start,
             runs=self.runs.select("tree", "level", "pos", "children", "up_tree", "up_level", "up_pos", "slot"),
@@ -238,22 +233,28 @@ class Manifest:
             ended = written(self.climb().withColumn("run", run), "climbed")
         finally:
             spark.conf.set(limit, before)
-        heads = ended.where(F.col("pos") % self.arity == 0).select("tree", "run", "own", "above")
-        found = ended.drop("own", "above").join(heads, ["tree", "run"])
-        found = found.join(self.subroots.select("tree", F.col("digest").alias("subroot")), "tree")
-        others = F.concat(
-            F.array_join(F.slice("own", F.lit(1), F.col("slot")), ""),
-            F.array_join(F.slice("own", F.col("slot") + 2, F.lit(self.arity)), ""),
-        )
+        # The first leaf of each run stands for it; a lone leaf is a child of a run of the root's tree.
+        heads = ended.where(F.col("pos") % self.arity == 0).select("tree", "run", "lone", "above")
+        heads = heads.join(self.subroots.select("tree", F.unhex("digest").alias("subroot")), "tree")
+        if self.runs is None:
+            heads = heads.withColumn("children", F.lit(b""))
+        else:
+            kin = self.runs.where("level = 1").select(F.col("tree").alias("_tree"), F.col("pos").alias("_run"), "children")
+            tree = F.when(F.col("lone"), F.lit(ROOT_TREE)).otherwise(F.col("tree"))
+            place = F.when(F.col("lone"), F.floor(F.col("tree") / self.arity)).otherwise(F.col("run"))
+            heads = heads.join(kin, (tree == F.col("_tree")) & (place == F.col("_run")), "left")
+        found = ended.drop("above", "lone").join(heads.select("tree", "run", "above", "subroot", "children"), ["tree", "run"])
+        at = F.col("slot") * 32
+        own = F.concat(F.substring("children", F.lit(1), at), F.substring("children", at + 33, F.lit(32 * self.arity)))
         root = F.lit(self.root)
         return found.select(
             "doc_id",
-            "leaf",
-            "subroot",
+            F.lower(F.hex("leaf")).alias("leaf"),
+            F.lower(F.hex("subroot")).alias("subroot"),
             root.alias("root"),
-            F.concat(F.coalesce(others, F.lit("")), "above").alias("proof"),
-            F.col("folded").alias("folded_root"),
-            (F.col("folded") == root).alias("verified"),
+            F.lower(F.hex(F.concat(F.coalesce(own, F.lit(b"")), "above"))).alias("proof"),
+            F.lower(F.hex("folded")).alias("folded_root"),
+            (F.lower(F.hex("folded")) == root).alias("verified"),
         )
 
 
