@@ -11,6 +11,7 @@ from txnlens.llm import (
     mixing,
     near_dedup,
     pieces,
+    ranked,
     secrets,
     sharding,
     suffix_tree,
@@ -18,7 +19,7 @@ from txnlens.llm import (
     vantage,
 )
 
-MODULES = (suffix_tree, vantage, toxicity, exact_dedup, secrets, near_dedup, layout, sharding, pieces, mixing, compression, merkle)
+MODULES = (suffix_tree, vantage, toxicity, exact_dedup, secrets, near_dedup, layout, sharding, pieces, mixing, ranked, compression, merkle)
 
 
 def entries() -> dict:
