@@ -8,6 +8,7 @@ from test_messages import GOOD, without
 from test_streams import write_messages
 from txnlens.__main__ import main
 from txnlens.ml import train as tr
+from txnlens.schemas import STORED_TRANSACTIONS
 from txnlens.sinks.upsert import KeyedTable, read_table
 
 WORDS = ["PayPal", "credit card", "debit card"]
@@ -49,7 +50,7 @@ def test_records_become_star_model_and_results(spark, tmp_path, monkeypatch):
     main(["detect", *stream, f"{out}/detected"])
     assert spark.read.parquet(f"{out}/detected/data").count() == 0
     main(["persist", *stream, f"{out}/stored"])
-    stored = KeyedTable(f"{out}/stored/transactions", "transaction_id", "transaction_date", "day", 8)
+    stored = KeyedTable(f"{out}/stored/transactions", STORED_TRANSACTIONS, "transaction_id", "transaction_date", "day", 8)
     assert read_table(spark, stored).count() == 5
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from test_messages import GOOD, without
 from txnlens.functions import messages as msg
 from txnlens.plans import dashboard
+from txnlens.schemas import STORED_RESULTS, STORED_TRANSACTIONS
 from txnlens.sinks.upsert import KeyedTable, read_table
 from txnlens.sources.streams import FRAUD_TOPIC, TRANSACTION_TOPIC, both_topics, file_stream, write_in_order
 from txnlens.streaming import jobs
@@ -62,8 +63,8 @@ def test_rejects_are_kept_with_their_reason(spark, inbox, tmp_path):
 
 def test_topics_are_stored_apart_and_later_messages_win(spark, inbox, tmp_path):
     path = str(tmp_path / "job")
-    stored = KeyedTable(f"{path}/t", "transaction_id", "transaction_date", "month", 2)
-    found = KeyedTable(f"{path}/r", "transaction_id", "timestamp", "month", 2)
+    stored = KeyedTable(f"{path}/t", STORED_TRANSACTIONS, "transaction_id", "transaction_date", "month", 2)
+    found = KeyedTable(f"{path}/r", STORED_RESULTS, "transaction_id", "timestamp", "month", 2)
     result = {"transaction_id": "t0", "is_fraud": True, "timestamp": "2025-05-24 10:00:00", "amount": 1.5}
 
     def run():
@@ -108,8 +109,8 @@ def test_files_are_dated_in_the_order_of_their_days(spark, tmp_path):
 
 def test_topics_may_be_missing_from_the_first_batch(spark, inbox, tmp_path):
     path = str(tmp_path / "job")
-    stored = KeyedTable(f"{path}/t", "transaction_id", "transaction_date", "month", 2)
-    found = KeyedTable(f"{path}/r", "transaction_id", "timestamp", "month", 2)
+    stored = KeyedTable(f"{path}/t", STORED_TRANSACTIONS, "transaction_id", "transaction_date", "month", 2)
+    found = KeyedTable(f"{path}/r", STORED_RESULTS, "transaction_id", "timestamp", "month", 2)
     write_messages(spark, inbox, numbered(2))
     drain(jobs.persist_topics(file_stream(spark, inbox, 1), stored, found, f"{path}/x", path, "one"))
     assert read_table(spark, stored).count() == 2 and read_table(spark, found).count() == 0
@@ -135,7 +136,7 @@ def test_counters_carry_on_after_a_restart(spark, inbox, tmp_path):
 
 def test_daily_windows_take_late_rows_until_they_close(spark, inbox, tmp_path):
     path = str(tmp_path / "windows")
-    target = KeyedTable(f"{path}/daily", "series", "day", "month", 1)
+    target = KeyedTable(f"{path}/daily", jobs.WINDOWS, "series", "day", "month", 1)
 
     def run(*dates):
         write_messages(spark, inbox, [GOOD | {"Transaction Date": f"{d} 10:00:00"} for d in dates])

@@ -11,7 +11,7 @@ from txnlens.functions import messages as msg
 from txnlens.ml import train as tr
 from txnlens.ml.score import scored
 from txnlens.plans.daily import run_daily
-from txnlens.schemas import FRAUD_RESULT_MESSAGE, SCORING_NAMES
+from txnlens.schemas import FRAUD_RESULT_MESSAGE, SCORING_NAMES, STORED_RESULTS, STORED_TRANSACTIONS
 from txnlens.session import scratch_of_a_job, session
 from txnlens.sinks.daily import land
 from txnlens.sinks.metadata import model_path
@@ -88,8 +88,8 @@ def persist(spark: SparkSession, args: argparse.Namespace) -> None:
     topics = [streams.TRANSACTION_TOPIC, streams.FRAUD_TOPIC]
     jobs.persist_topics(
         _messages(spark, args, topics),
-        KeyedTable(f"{args.out}/transactions", "transaction_id", "transaction_date", args.period, args.buckets),
-        KeyedTable(f"{args.out}/fraud_results", "transaction_id", "timestamp", args.period, args.buckets),
+        KeyedTable(f"{args.out}/transactions", STORED_TRANSACTIONS, "transaction_id", "transaction_date", args.period, args.buckets),
+        KeyedTable(f"{args.out}/fraud_results", STORED_RESULTS, "transaction_id", "timestamp", args.period, args.buckets),
         f"{args.out}/rejected",
         args.out,
         "persist",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnlens.functions import features as fx
+from txnlens.operators.keys import day_values, extend_keys
 from txnlens.operators.ranks import dense_ids
 from txnlens.schemas import STAR_DDL
 from txnlens.session import settle
@@ -22,24 +23,30 @@ def category_dims(raw: DataFrame, names: list[str] | None = None) -> dict[str, D
     """The value lists with surrogate ids, all found in one scan of the raw rows.
 
     Ids are dense and follow value order, so the same set of values always gets the same ids,
-    whatever the partitioning. A null among the values is a row of its own. Ids belong to one
-    day: a value that first appears on another day shifts those after it, so facts are only
-    joined to the dimensions of their own day.
+    whatever the partitioning. A null among the values is a row of its own. They suit a star that is built
+    as a whole; one that grows by days takes ``lasting_dims``.
     """
     names = list(names or CATEGORY_DIMS)
-    pairs = [
-        F.struct(F.lit(name).alias("dimension"), F.col(CATEGORY_DIMS[name][0]).alias("value"))
-        for name in names
-    ]
-    values = raw.select(F.inline(F.array(*pairs))).distinct()
+    values = day_values(raw, {name: CATEGORY_DIMS[name][0] for name in names})
     numbered = settle(dense_ids(values, ["dimension"], "value", "id"), "dimensions")
-    found = {}
-    for name in names:
-        _, column, key = CATEGORY_DIMS[name]
-        found[name] = numbered.where(F.col("dimension") == name).select(
-            F.col("value").alias(column), F.col("id").alias(key)
-        )
-    return found
+    return {name: _dimension(numbered, name) for name in names}
+
+
+def lasting_dims(raw: DataFrame, keys: str, ds: str) -> dict[str, DataFrame]:
+    """The value lists of a day with ids from the key table at ``keys``, which the day's new values extend.
+
+    A value has the same id on all days, so facts of any days join the dimensions of any later day.
+    """
+    values = settle(day_values(raw, {name: column for name, (column, _, _) in CATEGORY_DIMS.items()}), "values")
+    known = extend_keys(values, keys, ds)
+    pair = F.struct("dimension", "value").alias("_pair")
+    own = settle(known.withColumn("_pair", pair).join(values.select(pair), "_pair", "left_semi"), "dimensions")
+    return {name: _dimension(own, name) for name in CATEGORY_DIMS}
+
+
+def _dimension(numbered: DataFrame, name: str) -> DataFrame:
+    _, column, key = CATEGORY_DIMS[name]
+    return numbered.where(F.col("dimension") == name).select(F.col("value").alias(column), F.col("id").alias(key))
 
 
 def dim_customers(raw: DataFrame) -> DataFrame:
@@ -90,8 +97,9 @@ def fact_transactions(raw: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     return fact.select(*(c for c in _names("fact_transactions") if c in fact.columns))
 
 
-def star(raw: DataFrame) -> dict[str, DataFrame]:
-    dims = category_dims(raw)
+def star(raw: DataFrame, keys: str | None = None, ds: str | None = None) -> dict[str, DataFrame]:
+    """All six tables; with a key table, ids that last over days."""
+    dims = category_dims(raw) if keys is None else lasting_dims(raw, keys, ds)
     return {
         "dim_customers": dim_customers(raw),
         **dims,

@@ -12,6 +12,8 @@ from txnlens.sources.files import create_star_views
 def write_star(raw: DataFrame, base: str, ds: str, file_format: str = "parquet") -> None:
     """Write the six star tables of one day; running a day again replaces it.
 
+    Surrogate ids come from a key table that the days share, so they last.
+
     The raw rows are stored first and read back, so the source text is parsed once and not
     once per table. Text files hold what the writer has, and the views give it types;
     other formats carry types, so the tables are typed before they are written.
@@ -20,7 +22,7 @@ def write_star(raw: DataFrame, base: str, ds: str, file_format: str = "parquet")
     write_day(raw, f"{base}/raw_transactions", ds)
     path = f"{base}/raw_transactions/ds={ds}"
     stored = spark.read.schema(raw.schema).parquet(path)
-    for name, table in star.star(stored).items():
+    for name, table in star.star(stored, f"{base}/keys", ds).items():
         shaped = table if file_format == "csv" else star.typed(name, table)
         write_day(shaped, f"{base}/{name}", ds, file_format)
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnlens.operators import star
+from txnlens.operators.keys import stored_keys
 from txnlens.plans.daily import write_star
 from txnlens.registry import oracle as sql
-from txnlens.schemas import MESSAGE_KEYS, RAW_NAMES
+from txnlens.schemas import MESSAGE_KEYS, RAW_NAMES, STORED_RESULTS
 from txnlens.session import scratch_path
 from txnlens.sinks.daily import land, write_day
 from txnlens.sinks.upsert import KeyedTable, read_newest_first, upsert
@@ -94,8 +96,31 @@ def _star_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _lasting_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three days, of which the second and third bring new values; the first runs once more at the end.
+
+    Facts of all days are joined to one dimension each.
+    """
+    keys, base = scratch_path(spark, "keys"), scratch_path(spark, "star")
+    raw = transactions(
+        spark, sf_dir, ["transaction_id", "payment_method", "product_category", "device_used", "part_key"]
+    )
+    days = {f"2025-05-{23 + d}": raw.where(F.pmod("part_key", F.lit(3)) == d).drop("part_key") for d in range(3)}
+    for ds, part in [*days.items(), next(iter(days.items()))]:
+        dims = star.lasting_dims(part, keys, ds)
+        write_day(star.fact_transactions(part, dims), f"{base}/facts", ds)
+    facts = spark.read.parquet(f"{base}/facts").withColumn("ds", F.col("ds").cast("string"))
+    known = stored_keys(spark, keys)
+    for name, (_, column, key) in star.CATEGORY_DIMS.items():
+        looked_up = known.where(F.col("dimension") == name)
+        looked_up = looked_up.select(F.col("value").alias(column), F.col("id").cast("string").alias(key))
+        facts = facts.join(looked_up, key, "left")
+    columns = [c for _, column, key in star.CATEGORY_DIMS.values() for c in (column, key)]
+    return facts.select("ds", "transaction_id", *columns)
+
+
 def _daily_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two days, the second written wrongly first and then again: it is replaced."""
+    """Two days, the second written wrongly first and then again: it is replaced. A third has become empty."""
     path = scratch_path(spark, "daily")
     raw = transactions(
         spark, sf_dir, ["transaction_id", "transaction_amount", "payment_method", "order_key"]
@@ -105,6 +130,8 @@ def _daily_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_day(even, path, "2025-05-24")
     write_day(even, path, "2025-05-25")
     write_day(odd, path, "2025-05-25")
+    write_day(even, path, "2025-05-26")
+    write_day(even.where("false"), path, "2025-05-26")
     stored = spark.read.parquet(path)
     return stored.select(
         "transaction_id",
@@ -123,7 +150,11 @@ def _upsert_twice(rows: DataFrame, table: KeyedTable, arrival: list[str]) -> Non
 
 def _upsert_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines keyed by order, line number and order date: these keys do repeat."""
-    table = KeyedTable(scratch_path(spark, "upsert"), "transaction_id", "transaction_date", "year", 4)
+    kept = (
+        "transaction_id STRING, transaction_date TIMESTAMP, customer_id STRING, transaction_amount DECIMAL(10,2), "
+        "payment_method STRING, quantity INT"
+    )
+    table = KeyedTable(scratch_path(spark, "upsert"), kept, "transaction_id", "transaction_date", "year", 4)
     names = ["order_key", "line_number", "order_date", "customer_id", "transaction_amount",
              "payment_method", "quantity", "part_key", "supplier_key"]
     raw = transactions(spark, sf_dir, names)
@@ -151,7 +182,7 @@ def _upsert_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _upsert_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = KeyedTable(scratch_path(spark, "upsert"), "transaction_id", "timestamp", "year", 4)
+    table = KeyedTable(scratch_path(spark, "upsert"), STORED_RESULTS, "transaction_id", "timestamp", "year", 4)
     names = ["order_key", "line_number", "order_date", "transaction_amount", "is_fraudulent",
              "payment_method", "product_category", "part_key", "supplier_key"]
     raw = transactions(spark, sf_dir, names)
@@ -173,13 +204,22 @@ def _upsert_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
         "transaction_id",
         "is_fraud",
         F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
-        F.col("amount").cast("double").alias("amount"),
+        F.col("amount").cast("decimal(10,2)").cast("double").alias("amount"),
         "payment_method",
         "product_category",
         "error",
     )
 
 
+def _keyed_sql(name: str, column: str) -> str:
+    """Ids in the order of the first day, then the value, from 0."""
+    return f"""
+{name} AS (
+  SELECT {column} AS value, row_number() OVER (ORDER BY min(l_partkey % 3), {column} NULLS FIRST) - 1 AS id
+  FROM tx GROUP BY {column}
+)"""
+
+
 _RAW_ROWS = sql.over(f"SELECT {RAW_SQL} FROM tx", sql.TX)
 
 # The last arrived line of each key. All orders by the columns that can still differ.
@@ -215,6 +255,19 @@ ENTRIES = {
             sql.TX, sql.FEATURES,
         ),
     ),
+    "star_lasting_keys": (
+        _lasting_keys,
+        sql.over(
+            """SELECT '2025-05-' || (23 + l_partkey % 3) AS ds, transaction_id,
+            payment_method, CAST(p.id AS VARCHAR) AS payment_method_id,
+            product_category, CAST(c.id AS VARCHAR) AS product_category_id,
+            device_used AS device_type, CAST(d.id AS VARCHAR) AS device_id
+            FROM tx LEFT JOIN pays p ON payment_method = p.value LEFT JOIN cats c ON product_category = c.value
+            LEFT JOIN devs d ON device_used = d.value""",
+            sql.TX, _keyed_sql("pays", "payment_method"), _keyed_sql("cats", "product_category"),
+            _keyed_sql("devs", "device_used"),
+        ),
+    ),
     "sink_daily_overwrite": (
         _daily_overwrite,
         sql.over(

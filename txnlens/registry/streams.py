@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from txnlens.functions import messages as msg
 from txnlens.registry import oracle as sql
 from txnlens.registry.storage import RAW_SQL
-from txnlens.schemas import RAW_NAMES, SCORING_NAMES
+from txnlens.schemas import RAW_NAMES, SCORING_NAMES, STORED_RESULTS, STORED_TRANSACTIONS
 from txnlens.session import once, scratch_path
 from txnlens.sinks.upsert import KeyedTable, read_table
 from txnlens.sources.streams import both_topics, file_stream, write_in_order, write_messages
@@ -113,8 +113,8 @@ def _coerced_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "routed")
-    stored = KeyedTable(f"{path}/transactions", "transaction_id", "transaction_date", "year", 4)
-    found = KeyedTable(f"{path}/fraud_results", "transaction_id", "timestamp", "year", 4)
+    stored = KeyedTable(f"{path}/transactions", STORED_TRANSACTIONS, "transaction_id", "transaction_date", "year", 4)
+    found = KeyedTable(f"{path}/fraud_results", STORED_RESULTS, "transaction_id", "timestamp", "year", 4)
     jobs.persist_topics(
         both_topics(messages(spark, sf_dir)), stored, found, f"{path}/rejected", path, _name("routed")
     ).awaitTermination()
@@ -150,7 +150,7 @@ def _counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _daily_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "windows")
-    target = KeyedTable(f"{path}/daily", "series", "day", "year", 1)
+    target = KeyedTable(f"{path}/daily", jobs.WINDOWS, "series", "day", "year", 1)
     results = jobs.detected(messages(spark, sf_dir))
     jobs.daily_windows(results, target, DELAY, path, _name("windows")).awaitTermination()
     return read_table(spark, target).select(

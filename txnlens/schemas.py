@@ -46,6 +46,14 @@ FRAUD_RESULT_MESSAGE = T.StructType(
     ]
 )
 
+# The stored tables of both topics: what the messages hold, with times as such.
+STORED_TRANSACTIONS = ", ".join(
+    f"{name} {'timestamp' if name == 'transaction_date' else kind.simpleString()}" for name, _, kind in RAW_COLUMNS
+)
+STORED_RESULTS = ", ".join(
+    f"{f.name} {'timestamp' if f.name == 'timestamp' else f.dataType.simpleString()}" for f in FRAUD_RESULT_MESSAGE
+)
+
 # The typed star schema as read by the reports.
 STAR_DDL = {
     "dim_customers": (

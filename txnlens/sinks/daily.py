@@ -3,24 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from txnlens.schemas import MESSAGE_KEYS
 from txnlens.sources.files import landing_path
 
 
 def write_day(df: DataFrame, path: str, ds: str, file_format: str = "parquet") -> None:
-    """Replace the rows of day ``ds``; the other days stay as they are."""
+    """Replace the rows of day ``ds``, also by none; the other days stay as they are.
+
+    The day's own folder is overwritten: an overwrite by partitions found in the rows would leave the old
+    rows of a day that has become empty.
+    """
     options = {"header": "true", "escape": '"'} if file_format == "csv" else {}
-    (
-        df.withColumn("ds", F.lit(ds))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .options(**options)
-        .partitionBy("ds")
-        .format(file_format)
-        .save(path)
-    )
+    df.write.mode("overwrite").options(**options).format(file_format).save(f"{path}/ds={ds}")
 
 
 def land(df: DataFrame, base: str, ds: str, encoding: str = "UTF-8") -> None:

@@ -138,7 +138,11 @@ EPOCH = "1970-01-01"
 
 
 def counter_table(path: str) -> KeyedTable:
-    return KeyedTable(f"{path}/data", "is_fraud", "since", "year", 1)
+    return KeyedTable(f"{path}/data", "is_fraud BOOLEAN, since TIMESTAMP, n BIGINT", "is_fraud", "since", "year", 1)
+
+
+#: The columns of a table of daily windows.
+WINDOWS = "series STRING, day TIMESTAMP, payment_method STRING, is_fraud BOOLEAN, n BIGINT"
 
 
 def daily_windows(
