@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from txnlens.ml import pipeline as pl
 from txnlens.ml import train as tr
+from txnlens.ml.index import IndexJoin
 from txnlens.ml.evaluate import confusion_metrics, ranking_metrics
 from txnlens.ml.score import scored
 from txnlens.ml.split import hash_split
 from txnlens.schemas import CATEGORICAL, NUMERIC
-from txnlens.sinks.metadata import model_path, read_metadata
+from txnlens.sinks.metadata import read_metadata
 from txnlens.sources.tables import transactions
 
 
@@ -42,9 +43,10 @@ def test_split_does_not_depend_on_partitioning(raw):
 
 def test_unseen_categories_get_a_slot_of_their_own(spark, raw):
     seen = pl.model_input(raw)
-    model = PipelineModel(pl.indexers(seen, CATEGORICAL))
-    strange = seen.limit(1).withColumn("device_used", F.lit("watch"))
-    assert model.transform(strange).first().device_used_index == 3.0
+    model = PipelineModel([pl.index_join(seen, CATEGORICAL)])
+    for value in ("watch", None):
+        strange = seen.limit(1).withColumn("device_used", F.lit(value).cast("string"))
+        assert model.transform(strange).first().device_used_index == 3.0
 
 
 def test_input_that_brings_added_columns_is_stripped(raw):
@@ -76,7 +78,8 @@ def test_named_columns_are_hashed_instead_of_indexed(raw):
     fitted = pl.fit_preprocessor(df, hashed=["customer_location"])
     size = fitted.transform(df).first().features.size
     assert size > pl.HASH_SLOTS
-    assert all(s.getInputCol() != "customer_location" for s in fitted.stages[:3])
+    (index,) = [s for s in fitted.stages if isinstance(s, IndexJoin)]
+    assert "customer_location" not in index.getOrDefault("columns")
 
 
 def test_the_index_is_that_of_frequency_and_value(spark):
@@ -84,7 +87,32 @@ def test_the_index_is_that_of_frequency_and_value(spark):
     df = spark.createDataFrame([(v,) for v in values], "device_used STRING")
     found = rows(pl.value_index(df, ["device_used"]).select("value", "n", "value_index"))
     assert found == [("a", 2, 0), ("b", 2, 1), ("c", 1, 2), ("d", 1, 3)]
-    assert pl.indexers(df, ["device_used"])[0].labels == ["a", "b", "c", "d"]
+    placed = pl.index_join(df, ["device_used"]).transform(df.distinct())
+    assert rows(placed) == [("a", 0.0), ("b", 1.0), ("c", 2.0), ("d", 3.0), (None, 4.0)]
+
+
+def test_a_wide_and_skewed_column_is_indexed_without_the_driver(spark, raw, monkeypatch):
+    """A million values, one of which has a third of the rows."""
+    wide = spark.range(1_500_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("l"), F.col("id"))).alias("customer_location")
+    )
+    stage = pl.index_join(wide, ["customer_location"])
+    assert stage.getOrDefault("sizes") == [1_000_001]
+    placed = stage.transform(wide)
+    assert placed.where("customer_location = 'hot'").agg(F.max("customer_location_index")).first()[0] == 0.0
+    assert placed.agg(F.count_distinct("customer_location_index")).first()[0] == 1_000_001
+
+
+def test_the_index_lies_beside_the_stored_model(spark, raw, data, tmp_path):
+    import shutil
+
+    base, moved, day = f"{tmp_path}/a", f"{tmp_path}/b", "2025-05-25"
+    tree = small_tree().fit(data.train)
+    tr.store(spark, base, day, day, data.preprocessor, tr.Trained("Decision Tree", tree, {"f1": 0.5}, {}))
+    shutil.copytree(base, moved)
+    shutil.rmtree(base)
+    fitted, model, _ = tr.stored(spark, moved, day)
+    assert scored(raw, fitted, model).count() == raw.count()
 
 
 def test_median_is_a_value_that_occurs(spark):
@@ -130,7 +158,7 @@ def test_stored_model_scores_as_before(spark, raw, data, tmp_path):
     best = tr.Trained("Decision Tree", model, tr.evaluate(model, data.test)[0] | {"training_time_seconds": 1.0}, {})
     path = tr.store(spark, base, "2025-05-25", "2025-05-25", data.preprocessor, best)
     assert path == f"{base}/fraud_detection/YYYY=2025/MM=05/DD=25/decision_tree"
-    fitted = tr.load_with_retry(lambda: PipelineModel.load(model_path(base, "preprocessor", "2025-05-25")))
+    fitted = tr.load_preprocessor(base, "2025-05-25")
     loaded = tr.load_with_retry(lambda: DecisionTreeClassificationModel.load(path))
     after = scored(raw, fitted, loaded)
     assert rows(after) == rows(scored(raw.drop(pl.LABEL), data.preprocessor, model))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from txnlens.functions import messages as msg
@@ -73,7 +72,7 @@ def detect(spark: SparkSession, args: argparse.Namespace) -> None:
 def score(spark: SparkSession, args: argparse.Namespace) -> None:
     """Score transaction messages with the stored model."""
     base = f"{args.base}/model"
-    fitted = tr.load_with_retry(lambda: PipelineModel.load(model_path(base, "preprocessor")))
+    fitted = tr.load_preprocessor(base)
     path = model_path(base, args.model)
     model = tr.load_with_retry(lambda: tr.MODELS[args.model].load(path))
     judged = msg.with_reason(

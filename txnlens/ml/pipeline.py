@@ -11,15 +11,16 @@ from pyspark.ml.feature import (
     ImputerModel,
     OneHotEncoder,
     StandardScaler,
-    StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnlens.functions import features as fx
+from txnlens.ml.index import IndexJoin
 from txnlens.operators.ranks import quantiles, running_totals
 from txnlens.schemas import CATEGORICAL, NUMERIC
+from txnlens.session import scratch_path
 
 HASH_SLOTS = 1 << 18
 
@@ -87,17 +88,9 @@ def value_index(df: DataFrame, columns: Sequence[str] = tuple(CATEGORICAL)) -> D
     return ranked.select("feature", "value", "n", (F.col("_place") - 1).cast("int").alias("value_index"))
 
 
-def indexers(df: DataFrame, columns: Sequence[str]) -> list[StringIndexerModel]:
-    """The index as stages. A model is one object, so it holds the values of its column; name wide columns as hashed."""
-    found: dict[str, list[tuple[int, str]]] = {c: [] for c in columns}
-    for row in value_index(df, columns).collect():
-        found[row["feature"]].append((row["value_index"], row["value"]))
-    return [
-        StringIndexerModel.from_labels(
-            [value for _, value in sorted(found[c])], inputCol=c, outputCol=f"{c}_index", handleInvalid="keep"
-        )
-        for c in columns
-    ]
+def index_join(df: DataFrame, columns: Sequence[str]) -> IndexJoin:
+    """The index of ``df`` as a stage, stored in the shared scratch folder until the model is stored."""
+    return IndexJoin.fit(value_index(df, columns), columns, scratch_path(df.sparkSession, "value-index"))
 
 
 def encoders(df: DataFrame, hashed: Sequence[str] = ()) -> list:
@@ -111,30 +104,36 @@ def encoders(df: DataFrame, hashed: Sequence[str] = ()) -> list:
     onehot = OneHotEncoder(
         inputCols=[f"{c}_index" for c in small], outputCols=[f"{c}_ohe" for c in small], handleInvalid="keep"
     )
-    return [*indexers(df, small), onehot, *hashers]
+    return [index_join(df, small), onehot, *hashers]
 
 
 def fit_preprocessor(df: DataFrame, centred: bool = False, hashed: Sequence[str] = ()) -> PipelineModel:
     """Stages from model input to the feature vector, fitted on ``df``.
 
-    ``hashed`` names the categorical columns with too many values for a vocabulary; the model
-    keeps the choice. ``centred`` subtracts the mean from every feature, also from the one-hot ones,
+    Values are indexed by a joined table, so any number of them will do; ``hashed`` names categorical columns
+    that go into a fixed number of slots, which keeps vectors short. ``centred`` subtracts the mean from every feature, also from the one-hot ones,
     which makes each vector as long as the vocabulary. By default only the numbers are scaled
     and the one-hot part stays sparse: trees split the same way on both, and logistic
     regression scales internally.
     """
-    stages = [*encoders(df, hashed), median_imputer(df, NUMERIC, IMPUTED)]
+    imputer = median_imputer(df, NUMERIC, IMPUTED)
+    encoding = encoders(df, hashed)
     if centred:
-        stages += [
+        stages = [
+            imputer,
+            *encoding,
             VectorAssembler(
                 inputCols=[*ENCODED, *IMPUTED], outputCol="raw_features", handleInvalid="keep"
             ),
             StandardScaler(inputCol="raw_features", outputCol=FEATURES, withMean=True, withStd=True),
         ]
     else:
-        stages += [
+        # Fitted before the index is joined, so the scaler's pass does not carry the joins.
+        stages = [
+            imputer,
             VectorAssembler(inputCols=IMPUTED, outputCol="numbers", handleInvalid="keep"),
             StandardScaler(inputCol="numbers", outputCol="scaled_numbers", withMean=True, withStd=True),
+            *encoding,
             VectorAssembler(
                 inputCols=[*ENCODED, "scaled_numbers"], outputCol=FEATURES, handleInvalid="keep"
             ),
