@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -52,9 +54,10 @@ def device_fraud(raw: DataFrame) -> DataFrame:
     )
 
 
-def amount_vs_age(raw: DataFrame) -> DataFrame:
+def amount_vs_age(raw: DataFrame, more: Sequence[str] = ()) -> DataFrame:
     """Points of the amount / account-age scatter; rows lacking a coordinate have no point."""
     return raw.select(
+        *more,
         F.col("transaction_amount").cast("double").alias("transaction_amount"),
         "account_age_days",
         "is_fraudulent",
@@ -65,6 +68,18 @@ def amount_vs_age(raw: DataFrame) -> DataFrame:
     )
 
 
+def scatter_sample(raw: DataFrame, size: int, seed: int = 42) -> DataFrame:
+    """``size`` points of the scatter per label: those with the least hashes of their transaction.
+
+    A point is in the sample or not whatever the partitioning, and each task sends at most ``size`` of a label
+    to the shuffle.
+    """
+    draw = F.md5(F.concat_ws("|", F.lit(str(seed)), "transaction_id", F.coalesce("transaction_date", F.lit(""))))
+    points = amount_vs_age(raw.withColumn("_draw", draw), ["transaction_id", "_draw"])
+    order = W.partitionBy("is_fraudulent").orderBy("_draw", "transaction_amount", "account_age_days")
+    return points.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= size).drop("_draw", "_place")
+
+
 def amount_fraud_correlation(raw: DataFrame) -> DataFrame:
     amount, label = F.col("transaction_amount").cast("double"), F.col("is_fraudulent")
     return raw.agg(

@@ -12,10 +12,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def entries() -> dict[str, tuple[Query, str | None]]:
-    from txnlens.registry import batch, models, storage, streams
+    from txnlens.registry import batch, increments, models, storage, streams
 
     found: dict[str, tuple[Query, str | None]] = {}
-    for module in (batch, storage, streams, models):
+    for module in (batch, storage, streams, increments, models):
         for name, entry in module.ENTRIES.items():
             if name in found:
                 raise ValueError(f"query {name} is registered twice")

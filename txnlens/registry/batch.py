@@ -23,6 +23,9 @@ DEVICES = ["desktop", "mobile", "tablet"]
 
 CUSTOMER_COLUMNS = ["customer_id", "customer_age", "customer_location", "account_age_days"]
 
+#: Points per label of the sampled scatter.
+SCATTER = 500
+
 RESULT_COLUMNS = [
     "transaction_id",
     "is_fraud",
@@ -463,6 +466,21 @@ ENTRIES = {
             TX,
         ),
     ),
+    "eda_scatter_sample": (
+        _with_raw(
+            ["transaction_id", "transaction_date", "transaction_amount", "account_age_days", "is_fraudulent"],
+            lambda raw: eda.scatter_sample(raw, SCATTER),
+        ),
+        over(
+            f"""SELECT transaction_id, CAST(transaction_amount AS DOUBLE) AS transaction_amount, account_age_days,
+            is_fraudulent FROM (SELECT *, row_number() OVER (PARTITION BY is_fraudulent
+              ORDER BY md5(concat_ws('|', '42', transaction_id, coalesce(transaction_date, ''))), transaction_amount,
+                account_age_days) AS place
+              FROM tx WHERE is_fraudulent IS NOT NULL AND transaction_amount IS NOT NULL AND account_age_days IS NOT NULL)
+            WHERE place <= {SCATTER}""",
+            TX,
+        ),
+    ),
     "eda_amount_corr": (
         _with_raw(["transaction_amount", "is_fraudulent"], eda.amount_fraud_correlation),
         over(

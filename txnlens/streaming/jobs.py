@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txnlens.functions import messages as msg
-from txnlens.plans import dashboard
+from txnlens.plans import dashboard, increments
 from txnlens.sinks.upsert import KeyedTable, upsert
 from txnlens.sources.streams import FRAUD_TOPIC, TRANSACTION_TOPIC
 
@@ -150,7 +151,8 @@ def daily_windows(
 ) -> StreamingQuery:
     """Counts per day, payment method and finding, corrected as late rows arrive.
 
-    Days older than the newest row by more than ``delay`` are closed and leave the state.
+    Days older than the newest row by more than ``delay`` are closed and leave the state, and rows of theirs are
+    dropped; ``daily_counts`` keeps them.
     """
     rows = dashboard.dashboard_rows(results).withWatermark("timestamp", delay)
     counts = (
@@ -174,3 +176,82 @@ def daily_windows(
 def without_repeats(rows: DataFrame, keys: list[str], time_column: str, delay: str) -> DataFrame:
     """The first of the rows that share ``keys`` within ``delay`` of each other."""
     return rows.withWatermark(time_column, delay).dropDuplicatesWithinWatermark(keys)
+
+
+def live_dashboard(results: DataFrame, table: KeyedTable, path: str, name: str, **trigger) -> StreamingQuery:
+    """Keep the parts that all dashboard aggregates follow from, a batch at a time.
+
+    The table is the state: it grows by days, payment methods and findings and not by rows, and rows may come
+    in any order and as late as they like.
+    """
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        new = increments.parts(batch)
+        upsert(new, table, run_id(batch.sparkSession, path), batch_id, combine=increments.added)
+
+    return each_batch(dashboard.dashboard_rows(results), path, name, add, **trigger)
+
+
+#: The columns of a table of daily counts that are corrected by late rows.
+DAILY_COUNTS = "series STRING, day TIMESTAMP, payment_method STRING, is_fraud BOOLEAN, n BIGINT, n_late BIGINT"
+
+
+def daily_counts(
+    results: DataFrame, table: KeyedTable, delay: str, path: str, name: str, **trigger
+) -> StreamingQuery:
+    """Counts per day, payment method and finding, in which late rows correct days that were closed.
+
+    A day is closed once a batch has held rows newer than it by more than ``delay``. Rows of closed days would leave a
+    windowed aggregation without a trace; here they go to ``<path>/late`` as they are, a folder per batch,
+    and their days are counted anew, with the number of late rows beside the number of all.
+    """
+    newest = f"{path}/newest"
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = _newest(spark, newest, batch_id - 1)
+        closed = F.lit(seen).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+        told = batch.withColumn("_late", F.coalesce(F.col("timestamp") < closed, F.lit(False))).persist()
+        try:
+            told.where("_late").drop("_late").write.mode("overwrite").parquet(f"{path}/late/batch={batch_id}")
+            series = F.concat_ws("|", "payment_method", F.col("is_fraud").cast("string"))
+            placed = told.withColumns({"day": F.date_trunc("day", "timestamp"), "series": series})
+            counts = placed.groupBy("series", "day", "payment_method", "is_fraud").agg(
+                F.count("*").alias("n"), F.count_if("_late").alias("n_late")
+            )
+            upsert(counts, table, run_id(spark, path), batch_id, combine=_counted)
+            # Batches take turns in two folders, so the one before is there while this one is written.
+            latest = told.agg(F.greatest(F.max("timestamp"), F.lit(seen).cast("timestamp")).alias("newest"))
+            latest.coalesce(1).write.mode("overwrite").parquet(f"{newest}/{batch_id % 2}")
+        finally:
+            told.unpersist()
+
+    return each_batch(dashboard.dashboard_rows(results), path, name, count, **trigger)
+
+
+def _counted(both: DataFrame) -> DataFrame:
+    return both.groupBy("series", "day", "payment_method", "is_fraud").agg(
+        F.sum("n").alias("n"), F.sum("n_late").alias("n_late")
+    )
+
+
+def _newest(spark: SparkSession, path: str, batch_id: int) -> datetime | None:
+    """The newest time of all batches up to ``batch_id``."""
+    if batch_id < 0:
+        return None
+    return spark.read.schema("newest TIMESTAMP").parquet(f"{path}/{batch_id % 2}").first()[0]
+
+
+def with_predictions(records: DataFrame, predictions: DataFrame, delay: str, within: str) -> DataFrame:
+    """Two streams of one topic each, brought together by transaction: the first record and the first prediction.
+
+    A prediction belongs to a record if it is made not before it and at most ``within`` later. Both sides keep
+    what may still find a partner, and the ids that have been seen, for ``delay``.
+    """
+    first = records.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["transaction_id"])
+    judged = predictions.select(
+        F.col("transaction_id").alias("_id"), F.col("predicted_at"), F.col("is_fraud").alias("predicted_fraud")
+    )
+    judged = judged.withWatermark("predicted_at", delay).dropDuplicatesWithinWatermark(["_id"])
+    after = F.col("predicted_at").between(F.col("timestamp"), F.col("timestamp") + F.expr(f"INTERVAL {within}"))
+    return first.join(judged, (F.col("transaction_id") == F.col("_id")) & after).drop("_id")
