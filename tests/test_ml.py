@@ -10,7 +10,7 @@ from txnlens.ml import pipeline as pl
 from txnlens.ml import train as tr
 from txnlens.ml.index import IndexJoin
 from txnlens.ml.evaluate import confusion_metrics, ranking_metrics
-from txnlens.ml.score import scored
+from txnlens.ml.score import score_or_reject, scored
 from txnlens.ml.split import hash_split
 from txnlens.schemas import CATEGORICAL, NUMERIC
 from txnlens.sinks.metadata import read_metadata
@@ -152,6 +152,57 @@ def test_grid_and_comparison_are_ranked_and_outlive_a_failure(spark, data):
     assert scores == sorted(scores, reverse=True)
 
 
+def test_lost_executors_are_not_taken_for_a_bad_learner(data):
+    class Lost:
+        def fit(self, _):
+            raise RuntimeError("executors lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        tr.fit_all({"Lost": (Lost(), {}), "Tree": (small_tree(), {})}, data)
+
+
+def test_fits_run_side_by_side_and_stay_in_order(data):
+    import threading
+    import time
+
+    running, most = [], []
+
+    class Slow:
+        def __init__(self, seconds):
+            self.seconds = seconds
+
+        def fit(self, train):
+            running.append(threading.get_ident())
+            most.append(len(running))
+            time.sleep(self.seconds)
+            running.pop()
+            return small_tree().fit(train)
+
+    trained = tr.fit_all({f"s{i}": (Slow(2.0 - i / 2), {"i": i}) for i in range(3)}, data, 2)
+    assert [t.name for t in trained] == ["s0", "s1", "s2"] and max(most) == 2
+
+
+def test_records_are_scored_or_rejected_with_a_reason(spark, raw, data):
+    model = small_tree().fit(data.train)
+    good = raw.where("transaction_date RLIKE '^[0-9]{4}-[0-9]{2}-[0-9]{2} '").limit(3)
+    changes = {
+        "missing_key": {"transaction_id": F.lit(" ")},
+        "missing_date": {"transaction_date": F.lit(None).cast("string")},
+        "unreadable_date": {"transaction_date": F.lit("soon")},
+        "bad_amount": {"transaction_amount": F.lit(-1).cast(raw.schema["transaction_amount"].dataType)},
+    }
+    rejected = [good.limit(1).withColumns(c) for c in changes.values()]
+    everything = good.withColumn("customer_age", F.lit(None).cast("int"))
+    for part in rejected:
+        everything = everything.unionByName(part)
+    results, errors = score_or_reject(everything, data.preprocessor, model)
+    assert results.count() == 3 and results.where("error IS NOT NULL OR probability IS NULL").isEmpty()
+    assert sorted(r.error for r in errors.collect()) == sorted(changes)
+    assert results.columns == errors.columns
+    none = score_or_reject(everything.where("false"), data.preprocessor, model)
+    assert [side.count() for side in none] == [0, 0]
+
+
 def test_stored_model_scores_as_before(spark, raw, data, tmp_path):
     base = str(tmp_path)
     model = small_tree().fit(data.train)

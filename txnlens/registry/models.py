@@ -11,7 +11,7 @@ from txnlens.functions import messages as msg
 from txnlens.ml import pipeline as pl
 from txnlens.ml import train as tr
 from txnlens.ml.evaluate import confusion_metrics, ranking_metrics
-from txnlens.ml.score import scored
+from txnlens.ml.score import score_or_reject, scored
 from txnlens.ml.split import hash_split
 from txnlens.registry import oracle as sql
 from txnlens.registry.batch import SPLIT, SPLIT_SIDE
@@ -211,6 +211,16 @@ def _score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _score_columns(scored(_raw(spark, sf_dir), fitted, model))
 
 
+def _score_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both outputs of batch scoring: results without error, and rejected records with theirs."""
+    fitted, model, _ = tr.stored(spark, _trained(spark, sf_dir), DS)
+    results, rejected = score_or_reject(_raw(spark, sf_dir), fitted, model)
+    both = results.unionByName(rejected)
+    return both.select(
+        "transaction_id", "timestamp", "error", F.col("probability").isNotNull().alias("is_scored")
+    )
+
+
 def _score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages without label, validated and scored by the functions that score a table."""
     fitted, model, _ = tr.stored(spark, _trained(spark, sf_dir), DS)
@@ -403,6 +413,15 @@ ENTRIES = {
         "SELECT * FROM (VALUES (1, true), (2, false)) AS calls (call, trained)",
     ),
     "ml_score_batch": (_score_batch, sql.over(SCORED, sql.TX)),
+    "ml_score_rejects": (
+        _score_rejects,
+        sql.over(
+            """SELECT transaction_id, transaction_date AS "timestamp",
+            CASE WHEN coalesce(transaction_date, '') = '' THEN 'missing_date' WHEN ts IS NULL THEN 'unreadable_date' END AS error,
+            coalesce(transaction_date, '') <> '' AND ts IS NOT NULL AS is_scored FROM feat""",
+            sql.TX, sql.FEATURES,
+        ),
+    ),
     "st_score": (
         _score_stream,
         sql.over(SCORED + " WHERE transaction_date IS NOT NULL AND transaction_date <> ''", sql.TX),
