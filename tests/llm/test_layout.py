@@ -163,3 +163,16 @@ def test_hostile_sheets_take_linear_time():
     for sheet in ("@media screen{" * 50_000, "@media " + "(" * 100_000 + "{", "a{" * 100_000, "'" * 100_000, "@media " + "not " * 100_000 + "{a{}}", "@media " + "screen," * 50_000 + "{"):
         assert visible_text(f"<style>{sheet}</style>x") == "x"
     assert time.monotonic() - started < 10
+
+
+@pytest.mark.parametrize("comment", ["<!-->", "<!--->", "<!---->", "<!-- x -->", "<!-- x --!>", "<!-- > x-- >-->", "<!--x-->"])
+def test_comments_end_where_browsers_end_them(comment):
+    assert visible_text(f"<p>a</p>{comment}<p>b</p><!-- x --><p>c</p>") == visible_text("<p>a</p><p>b</p><p>c</p>")
+
+
+def test_important_rules_win_over_later_plain_ones():
+    sheet = "<style>p{display:none !important}</style>"
+    assert visible_text(f"{sheet}<p style='display:block'>a</p><div>b</div>") == visible_text("<div>b</div>")
+    assert visible_text(f"{sheet}<p style='display:block !  important'>a</p>") == visible_text("<p>a</p>")
+    assert visible_text("<style>.x{display:block!important} #y{display:none}</style><p class=x id=y>a</p>") == visible_text("<p>a</p>")
+    assert visible_text("<style>p{display:none!important} p{display:block}</style><p>a</p>") == ""

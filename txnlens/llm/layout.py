@@ -79,6 +79,8 @@ _TAG = re.compile(
     rf"<(/?)([a-zA-Z][^ \t\n\r\f/>]*+)((?:[ \t\n\r\f/]++|{_NAME}(?:{_VALUE}|(?![ \t\n\r\f]*+=)))*+)>"
 )
 _ATTRIBUTE = re.compile(rf"({_NAME})(?:{_VALUE})?")
+#: A comment also ends right after its start, and with a bang.
+_COMMENT_END = re.compile(r"(?:(?<=<!--)-?|--!?)>")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _CSS_MARK = re.compile(r""""(?:\\.|[^"\\\n])*+"?|'(?:\\.|[^'\\\n])*+'?|\\.|\([^(){}"']*+\)|[{};]""", re.S)
 _CONDITION = re.compile(r"""\s*+("[^"]*+"?|'[^']*+'?|[()]|[<>]=?|[=:,/]|[^\s()<>=:,/"']++)""")
@@ -98,6 +100,7 @@ _WORDS = {
     "overflow-inline": "scroll", "dynamic-range": "standard", "color-gamut": "srgb",
 }
 _COMPARE = {"<": float.__lt__, "<=": float.__le__, ">": float.__gt__, ">=": float.__ge__, "=": float.__eq__}
+_IMPORTANT = re.compile(r"!\s*important\s*$")
 _CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
 _SELECTOR = re.compile(r"(?:[a-zA-Z][\w-]*|[.#][\w-]+)$")
 
@@ -130,8 +133,8 @@ def tokens(html: str) -> Iterator[tuple[str, str, str]]:
             yield "text", html[at:open_], ""
         follows = html[open_ + 1 : open_ + 3]
         if html.startswith("<!--", open_):
-            end = html.find("-->", open_ + 4)
-            at = size if end < 0 else end + 3
+            end = _COMMENT_END.match(html, open_ + 4) or _COMMENT_END.search(html, open_ + 4)
+            at = size if end is None else end.end()
         elif follows[:1] in ("!", "?") or follows[:1] == "/" and not follows[1:].isalpha():
             end = html.find(">", open_)
             at = size if end < 0 else end + 1
@@ -208,9 +211,20 @@ def parse(html: str) -> tuple[Element, list[str]]:
     return root, sheets
 
 
-def _declared(style: str) -> dict[str, str]:
-    pairs = (d.partition(":") for d in style.lower().split(";"))
-    return {k.strip(): v.replace("!important", "").strip() for k, _, v in pairs}
+def _declared(style: str) -> dict[str, tuple[bool, str]]:
+    """The declarations of a style: whether they are important, and the value; the last of equal rank counts."""
+    found: dict[str, tuple[bool, str]] = {}
+    for name, _, value in (d.partition(":") for d in style.lower().split(";")):
+        plain = _IMPORTANT.sub("", value)
+        _override(found, {name.strip(): (plain != value, plain.strip())})
+    return found
+
+
+def _override(found: dict[str, tuple[bool, str]], later: dict[str, tuple[bool, str]]) -> None:
+    """Later declarations win, except plain ones against important ones."""
+    for name, (important, value) in later.items():
+        if important or name not in found or not found[name][0]:
+            found[name] = important, value
 
 
 def _number(source: list[str]) -> float | None:
@@ -371,14 +385,14 @@ class Visibility:
     """Which elements are shown: by tag, attributes, own style and simple rules of style sheets."""
 
     def __init__(self, sheets: list[str]):
-        self.rules: dict[str, dict[str, str]] = {}
+        self.rules: dict[str, dict[str, tuple[bool, str]]] = {}
         for sheet in sheets:
             for selectors, body in _rules(_CSS_COMMENT.sub("", sheet)):
                 declared = {k: v for k, v in _declared(body).items() if k in ("display", "visibility")}
                 if declared:
                     for selector in map(str.strip, selectors.split(",")):
                         if _SELECTOR.match(selector):
-                            self.rules.setdefault(selector if selector[0] in ".#" else selector.lower(), {}).update(declared)
+                            _override(self.rules.setdefault(selector if selector[0] in ".#" else selector.lower(), {}), declared)
 
     def of(self, element: Element, visible: bool) -> tuple[bool, bool]:
         """Whether the element has a box, and whether its own text is visible."""
@@ -390,17 +404,17 @@ class Visibility:
         declared = dict(self.rules.get(tag, ())) if self.rules else {}
         if attributes:
             for name in attributes.get("class", "").split() if self.rules else ():
-                declared.update(self.rules.get("." + name, ()))
+                _override(declared, self.rules.get("." + name, {}))
             if "id" in attributes and self.rules:
-                declared.update(self.rules.get("#" + attributes["id"], ()))
+                _override(declared, self.rules.get("#" + attributes["id"], {}))
             if "style" in attributes:
-                declared.update(_declared(attributes["style"]))
-        display = declared.get("display")
+                _override(declared, _declared(attributes["style"]))
+        display = declared["display"][1] if "display" in declared else None
         if display == "none" or display is None and ("hidden" in attributes or tag == "dialog" and "open" not in attributes):
             return False, False
         if tag == "input" and attributes.get("type", "").lower() == "hidden":
             return False, False
-        state = declared.get("visibility")
+        state = declared["visibility"][1] if "visibility" in declared else None
         return True, visible if state in (None, "inherit") else state not in ("hidden", "collapse")
 
 
