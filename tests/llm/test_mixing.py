@@ -138,3 +138,12 @@ def test_what_closed_leaves_cannot_take_goes_to_other_branches(make_docs, closed
     found = mixture(make_docs(more), LEVELS, weights, budget=0.7, epochs=1).collect()
     # 168 of 240 tokens: half would be 84, en can take 60, so de has 108.
     assert {r.source: r.leaf_budget for r in found} == {"p": 60, "q": 0, "r": 108}
+
+
+@pytest.mark.parametrize("epochs", [1, 2])
+def test_texts_without_tokens_have_no_copies_beyond_the_epochs(make_docs, epochs):
+    rows = [(i, "" if i % 3 else "a b", "en", "s") for i in range(60)]
+    found = mixture(make_docs(rows), LEVELS, None, budget=9.0, epochs=epochs).collect()
+    assert {r.copies for r in found} == {epochs}
+    part = mixture(make_docs(rows), LEVELS, None, budget=0.5, epochs=epochs).collect()
+    assert {r.copies for r in part} <= {0, 1}

@@ -108,7 +108,7 @@ def draw(seed: int, epoch: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), epoch, F.col("doc_id"), F.col("_text_hash")), F.lit(_SPAN))
 
 
-def selected(rows: DataFrame, leaves: DataFrame, seed: int) -> DataFrame:
+def selected(rows: DataFrame, leaves: DataFrame, seed: int, epochs: int) -> DataFrame:
     """Adds ``copies`` to ``rows`` (``_leaf``, ``doc_id``, ``_text_hash``, ``tokens``) from the budget of their leaf.
 
     ``leaves`` has ``_leaf, _tokens, _documents, _budget``.
@@ -125,7 +125,8 @@ def selected(rows: DataFrame, leaves: DataFrame, seed: int) -> DataFrame:
     # Only the bucket where the prefix ends has to be ordered; those before are in, those after are out.
     placed = placed.join(sums, ["_leaf", "_bucket"])
     within = W.partitionBy("_leaf", "_bucket").orderBy("_draw", "doc_id", "_row").rowsBetween(W.unboundedPreceding, W.currentRow)
-    taken = F.col("_before") + F.sum("tokens").over(within) <= F.col("_left")
+    # After the last epoch there is no prefix, in which texts without tokens would still have room.
+    taken = (F.col("_before") + F.sum("tokens").over(within) <= F.col("_left")) & (F.col("_whole") < epochs)
     # A leaf without budget gives nothing, not even texts without tokens.
     some = (F.col("leaf_budget") > 0).cast("bigint")
     return placed.withColumn("copies", (F.col("_whole") + taken.cast("bigint")) * some)
@@ -155,7 +156,7 @@ def mixture(
     tree = leaves.select("_leaf.*", "_tokens")
     given = leaf_budgets(tree, names, weights or {}, budget * total, epochs)
     given = written(given, "leaf-budgets")
-    found = selected(rows, leaves.join(given, "_leaf"), seed)
+    found = selected(rows, leaves.join(given, "_leaf"), seed, epochs)
     return found.join(leaves.select("_leaf", F.col("_tokens").alias("leaf_tokens")), "_leaf").select(
         "doc_id", "_leaf.*", "tokens", "leaf_tokens", F.floor("leaf_budget").cast("bigint").alias("leaf_budget"), "copies", "_text_hash"
     )
