@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from txnlens.llm.sharding import balanced_shards, op8_label_shards
+from txnlens.llm.sharding import balanced_shards, circulation, op8_label_shards
 
 
 def hold(rows, found, shards):
@@ -59,3 +59,57 @@ def test_whole_table(spark, folder):
     by_text = hold(rows, op8_label_shards(spark, folder).collect(), 40)
     groups = [c for c in by_text.values() if sum(c.values()) > 1]
     assert sum(len(c) > 1 for c in groups) <= 0.15 * len(groups)
+
+
+def cut_edges(by_text):
+    """Pairs of equal texts that lie in two shards."""
+    pairs = lambda n: n * (n - 1) // 2
+    return sum(pairs(sum(c.values())) - sum(map(pairs, c.values())) for c in by_text.values())
+
+
+def test_a_table_in_which_every_row_has_a_copy_stays_together(make_docs):
+    rows = [(i, f"pair {i // 2}") for i in range(4000)]
+    by_text = hold(rows, balanced_shards(make_docs(rows)).collect(), 40)
+    assert sum(len(c) > 1 for c in by_text.values()) < 0.05 * len(by_text)
+
+
+@pytest.mark.parametrize("sizes", [(2, 2, 2, 2, 2, 2), (2, 2, 2, 2, 1, 1, 1, 1), (2, 2, 2, 1, 1, 1, 1, 1, 1)])
+def test_few_cut_edges_against_all_ways_to_deal(make_docs, sizes):
+    """The best deal of the groups over three even shards against ours; groups fill half a shard at most."""
+    from itertools import combinations
+
+    texts = [f"g{g}" for g, n in enumerate(sizes) for _ in range(n)]
+    best = None
+    everything = set(range(len(texts)))
+    for first in combinations(sorted(everything), len(texts) // 3):
+        for second in combinations(sorted(everything - set(first)), len(texts) // 3):
+            dealt = (first, second, tuple(everything - set(first) - set(second)))
+            by_text = defaultdict(Counter)
+            for shard, members in enumerate(dealt):
+                for i in members:
+                    by_text[texts[i]][shard] += 1
+            cut = cut_edges(by_text)
+            best = cut if best is None else min(best, cut)
+    rows = list(enumerate(texts))
+    got = cut_edges(hold(rows, balanced_shards(make_docs(rows), 3).collect(), 3))
+    assert got >= best
+    assert got <= best + 2
+
+
+def test_granted_moves_keep_every_shard_within_its_room():
+    import random
+
+    rng = random.Random(3)
+    for _ in range(200):
+        n = rng.randint(2, 7)
+        asked = {(s, t): rng.randint(1, 9) for s in range(n) for t in range(n) if s != t and rng.random() < 0.5}
+        room = [rng.choice([0, 0, 3]) for _ in range(n)]
+        granted = circulation(asked, room)
+        assert all(0 <= granted[m] <= asked[m] for m in asked)
+        for t in range(n):
+            gained = sum(g for (_, to), g in granted.items() if to == t) - sum(g for (s, _), g in granted.items() if s == t)
+            assert gained <= room[t]
+    assert circulation({(0, 1): 5, (1, 0): 3}, [0, 0]) == {(0, 1): 3, (1, 0): 3}
+    assert circulation({(0, 1): 5, (1, 2): 4, (2, 0): 2}, [0, 0, 0]) == {(0, 1): 2, (1, 2): 2, (2, 0): 2}
+    assert circulation({(0, 1): 5, (1, 2): 4}, [0, 0, 3]) == {(0, 1): 3, (1, 2): 3}
+    assert circulation({}, [1]) == {}
