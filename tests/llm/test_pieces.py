@@ -104,7 +104,38 @@ def test_unigram_models_agree_with_the_original(fallback, trim):
     rng = random.Random(2)
     texts = ["".join(rng.choice("aabbcc  ") for _ in range(rng.randrange(30))) for _ in range(500)]
     texts += ["abz", "zz a z"] if fallback else []
-    assert lists(*own.encode(texts)) == [original.encode(t) for t in texts]
+    texts += ["<s>a", "a</s>b", "<unk>", "\nab", "ab\n", " ab", "\tab c\t", " ab ", "a\n \nb"]
+    ids, counts = own.encode(texts)
+    assert lists(ids, counts) == [original.encode(t) for t in texts]
+    assert all(own.parity(texts, ids, counts))
+
+
+def test_parity_shows_ids_that_differ(codec):
+    texts = ["all the words of it", " ", "a  b ", "", None, "only these"]
+    ids, counts = codec.encode(texts)
+    own = Codec(read_model(MODEL))
+    assert own.plain and own.parity(texts, ids, counts) == [True] * 6
+    wrong = Codec(read_model(MODEL))
+    encode = wrong._unit_ids
+    wrong._unit_ids = lambda units: [i + 1 if "words" in u else i for u, i in zip(units, encode(units))]
+    assert wrong.parity(texts, ids, counts) == [False, True, True, True, True, True]
+
+
+def test_units_agree_as_whole_texts_do(codec, original):
+    rng = random.Random(11)
+    texts = ODD + ["".join(rng.choice("ab é \n漢 ▁") for _ in range(rng.randrange(40))) for _ in range(500)]
+    ids, counts = codec.encode(texts)
+    whole = [a == original.encode(t or "") for a, t in zip(lists(ids, counts), texts)]
+    assert codec.parity(texts, ids, counts) == whole
+
+
+def test_the_model_is_taken_from_a_setting(spark, make_docs):
+    spark.conf.set("spark.txnlens.pieceModel", "/nowhere/model")
+    try:
+        with pytest.raises(FileNotFoundError):
+            encode_pieces(make_docs([(1, "a")]))
+    finally:
+        spark.conf.unset("spark.txnlens.pieceModel")
 
 
 def test_rows_are_encoded_and_decoded(spark, make_docs):
@@ -115,6 +146,7 @@ def test_rows_are_encoded_and_decoded(spark, make_docs):
     got = encoded.collect()
     assert len(got) == len(rows) and all(r.n_tokens == len(r.ids) for r in got)
     assert all(r.round_trip for r in got if r.doc_id not in (10, 11))
+    assert all(r.parity for r in got)
     back = sorted(((r.doc_id, r.text) for r in decode_pieces(encoded).collect()), key=repr)
     want = sorted(((i, (t or "").replace(MARK, " ")) for i, t in rows), key=repr)
     assert back == want
@@ -126,4 +158,4 @@ def test_whole_table_agrees_with_the_original(spark):
     prepare(spark)
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     assert differing(docs).count() == 0
-    assert encode_pieces(docs).where("NOT round_trip").count() == 0
+    assert encode_pieces(docs).where("NOT round_trip OR NOT parity").count() == 0

@@ -79,9 +79,9 @@ def test_ids_are_those_of_the_texts(stages):
 
 def test_run_gives_the_last_stage(spark):
     found = corpus_pipeline.run(spark, SF)
-    assert found.columns == ["doc_id", "n_tokens", "ids", "round_trip"]
+    assert found.columns == ["doc_id", "n_tokens", "ids", "round_trip", "parity"]
     rows = found.collect()
-    assert 50 < len(rows) < 200 and all(r.round_trip for r in rows)
+    assert 50 < len(rows) < 200 and all(r.round_trip and r.parity for r in rows)
 
 
 def test_empty_table(spark, make_docs):

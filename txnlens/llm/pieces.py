@@ -8,7 +8,8 @@ U+2581, with one in front of the text if the model wants that.
 If no piece has a marker behind another character, no piece and no merge reaches across the places where
 a marker follows another character, so a text can be cut there and each distinct unit encoded once
 per batch, with several threads; such a model gives the same ids as on the whole text. Any other model
-encodes whole texts. Decoding puts the bytes of the pieces together.
+encodes whole texts. Decoding puts the bytes of the pieces together. Every text's ids are held against those of
+the sentencepiece library, in the task that made them.
 
 Edge cases: null and empty texts have no ids. Characters without a piece become bytes, or the unknown
 piece in a model without byte fallback. Rows that repeat an id are encoded one by one. An empty table
@@ -138,7 +139,10 @@ class PieceModel:
             unknown = self.pieces[self.unknown][0]
             model = models.BPE(vocabulary, self.merges(), unk_token=unknown, fuse_unk=True, byte_fallback=self.byte_fallback)
         else:
-            scores = [(p, s) for p, s, _ in self.pieces]
+            # Pieces that no text can match are put beyond reach: marked texts have no plain space, others no NUL.
+            apart = " " if self.escape else "\0"
+            hidden = (UNKNOWN, CONTROL, UNUSED)
+            scores = [(f"{apart}{i}{apart}" if kind in hidden else p, s) for i, (p, s, kind) in enumerate(self.pieces)]
             model = models.Unigram(scores, self.unknown, self.byte_fallback)
         made = Tokenizer(model)
         own = [AddedToken(p, normalized=False) for p, _, kind in self.pieces if kind == USER_DEFINED]
@@ -149,7 +153,8 @@ class PieceModel:
     def normaliser(self) -> normalizers.Normalizer | None:
         steps: list = [normalizers.Precompiled(self.charsmap)] if self.charsmap else []
         if self.trim:
-            steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
+            # Only U+0020 is trimmed.
+            steps += [normalizers.Replace(Regex(r"\A +| +\z"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
         return normalizers.Sequence(steps) if steps else None
 
 
@@ -160,6 +165,8 @@ class Codec:
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         self.model = PieceModel.parse(data)
+        self._data, self._original = data, None
+        self._checked: dict[str, bool] = {}
         self._tokenizer = self.model.tokenizer()
         self._normaliser = self.model.normaliser()
         space = re.escape(self.model.space)
@@ -186,6 +193,42 @@ class Codec:
             text = " " + text
         return text.replace(" ", MARK) if self.model.escape else text
 
+    @property
+    def plain(self) -> bool:
+        """Whether the original gives the ids of a unit of a text if it is asked for the unit alone."""
+        model = self.model
+        return model.separable and model.dummy_prefix and model.escape and not model.trim and not model.charsmap
+
+    def _agrees(self, unit: str, ids: np.ndarray) -> bool:
+        same = self._checked.get(unit)
+        if same is None:
+            # The original puts a marker in front, as every unit has one; the empty text gets none.
+            text = unit.replace(self.model.space, " ").removeprefix(" ")
+            expected = self._original.encode(text) if text else [self._original.piece_to_id(self.model.space)]
+            same = expected == ids.tolist()
+            if len(self._checked) >= REMEMBERED:
+                self._checked.clear()
+            self._checked[unit] = same
+        return same
+
+    def parity(self, texts: list[str | None], ids: np.ndarray, counts: np.ndarray) -> list[bool]:
+        """Whether each text's ids are those of the sentencepiece library.
+
+        A text that may be cut is compared unit by unit, each distinct unit once; any other as a whole.
+        """
+        from sentencepiece import SentencePieceProcessor
+
+        if self._original is None:
+            self._original = SentencePieceProcessor(model_proto=self._data)
+        if not self.plain:
+            ends = np.cumsum(counts).tolist()
+            own = [ids[e - n : e].tolist() for e, n in zip(ends, counts.tolist())]
+            return [a == b for a, b in zip(own, self._original.encode([t or "" for t in texts]))]
+        units = [self._units.findall(self.marked(t or "")) for t in texts]
+        distinct = list(dict.fromkeys(u for own in units for u in own))
+        wrong = {u for u, found in zip(distinct, self._unit_ids(distinct)) if not self._agrees(u, found)} if distinct else set()
+        return [wrong.isdisjoint(own) for own in units]
+
     def _unit_ids(self, units: list[str]) -> list[np.ndarray]:
         known = self._remembered
         fresh = [u for u in units if u not in known]
@@ -233,6 +276,9 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
+ENCODED = "doc_id bigint, n_tokens bigint, ids array<int>, round_trip boolean, parity boolean"
+
+
 def _encoder(shared, threads: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value, threads)
@@ -248,19 +294,26 @@ def _encoder(shared, threads: int):
                         pa.array(counts),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)),
                         pa.array([a == b for a, b in zip(again, texts[start:end])], pa.bool_()),
+                        pa.array(codec.parity(texts[start:end], ids, counts), pa.bool_()),
                     ],
-                    names=["doc_id", "n_tokens", "ids", "round_trip"],
+                    names=["doc_id", "n_tokens", "ids", "round_trip", "parity"],
                 )
 
     return run
 
 
-def encode_pieces(docs: DataFrame, model: str = MODEL, threads: int = THREADS) -> DataFrame:
-    """Per row: ``doc_id, n_tokens, ids, round_trip`` (whether decoding gives the text back)."""
+def model_file(spark: SparkSession) -> str:
+    """The model's path: that of the session's setting ``spark.txnlens.pieceModel``, else ``MODEL``."""
+    return spark.conf.get("spark.txnlens.pieceModel", MODEL)
+
+
+def encode_pieces(docs: DataFrame, model: str | None = None, threads: int = THREADS) -> DataFrame:
+    """Per row: ``doc_id, n_tokens, ids``, ``round_trip`` (whether decoding gives the text back) and ``parity``
+    (whether the ids are those of the sentencepiece library)."""
     # The driver reads the model, a file of bounded size, and sends it to the tasks.
-    shared = docs.sparkSession.sparkContext.broadcast(read_model(model))
+    shared = docs.sparkSession.sparkContext.broadcast(read_model(model or model_file(docs.sparkSession)))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("_text"))
-    return texts.mapInArrow(tidy(_encoder(shared, threads)), "doc_id bigint, n_tokens bigint, ids array<int>, round_trip boolean")
+    return texts.mapInArrow(tidy(_encoder(shared, threads)), ENCODED)
 
 
 def decode_pieces(encoded: DataFrame, model: str = MODEL) -> DataFrame:
