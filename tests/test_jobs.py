@@ -65,3 +65,18 @@ def test_scratch_tables_go_with_their_job(spark):
     assert kept.count() == 3
     again = []
     assert session.once(spark, "job's own", again.append) != path and again
+
+
+def test_what_was_made_of_tables_is_made_again_once_they_change(spark, tmp_path):
+    from txnlens import session
+
+    source, made = str(tmp_path), []
+
+    def get():
+        return session.once(spark, "of tables", made.append, source)
+
+    spark.range(3).write.parquet(f"{source}/t.parquet")
+    first = get()
+    assert get() == first and len(made) == 1
+    spark.range(4).write.mode("append").parquet(f"{source}/t.parquet")
+    assert get() != first and len(made) == 2

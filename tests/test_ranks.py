@@ -1,9 +1,12 @@
 import random
 
 import numpy as np
+import pytest
 from compare import rows
+from pyspark.sql import functions as F
 
 from txnlens.operators import ranks
+from txnlens.operators.ranks import running_totals
 
 
 def test_running_totals_equal_a_plain_sum(spark):
@@ -28,7 +31,16 @@ def test_running_totals_split_a_hot_group(spark):
     assert last == {"cold": 2_000, "hot": 18_000}
 
 
-def test_equal_rows_are_cut_into_slices_too(spark, monkeypatch):
+@pytest.fixture
+def every_slice(spark):
+    """Small slices are not put together."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, "true")
+
+
+def test_equal_rows_are_cut_into_slices_too(spark, monkeypatch, every_slice):
     """A third of all rows is one and the same row, as when a producer is stuck."""
     df = spark.range(30_000).selectExpr("if(id % 3 = 0, 7, id) AS k", "1 AS v").repartition(6)
     cut = []
@@ -41,7 +53,7 @@ def test_equal_rows_are_cut_into_slices_too(spark, monkeypatch):
     assert found.where("k < 7").agg({"run": "max"}).first()[0] == 4
 
 
-def test_slices_follow_keys_of_any_kind(spark):
+def test_slices_follow_keys_of_any_kind(spark, every_slice):
     rows_ = [(None if i % 11 == 0 else f"g{i % 3}", None if i % 7 == 0 else float(i % 50), i) for i in range(600)]
     df = spark.createDataFrame(rows_, "g STRING, k DOUBLE, _tie LONG").repartition(3)
     cut = ranks.sliced(df, ["g", "k", "_tie"])
@@ -74,3 +86,18 @@ def test_quantiles_equal_brute_force(spark):
         for name, f in cuts.items():
             assert abs(mixed[g][name] - np.quantile(values, f)) < 1e-9
             assert lower[g][name] == np.quantile(values, f, method="inverted_cdf")
+
+
+def test_thousands_of_slices_plan_in_seconds(spark):
+    import time
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        start = time.perf_counter()
+        df = spark.range(20_000).select((F.col("id") * 7 % 20_000).alias("k"), F.lit(1).alias("v"))
+        found = running_totals(df, ["k"], {"upto": "v"})
+        assert found.where("upto <> k + 1").isEmpty()
+        assert time.perf_counter() - start < 60
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

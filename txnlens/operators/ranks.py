@@ -17,32 +17,14 @@ from pyspark.sql import functions as F
 from txnlens.session import settle
 
 
-#: Sampled rows per slice from which the bounds are taken.
-SAMPLED = 100
+def sliced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` written out in even ranges of ``keys``, with ``_slice``: the number of the range that a row is in.
 
-
-def sliced(numbered: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``_slice``: which of as many even ranges of ``keys`` as there are shuffle partitions a row is in.
-
-    The bounds are taken from a sample once, so the slice only depends on the row itself: the rows
-    are not shuffled or written for it, and a task that is run again gives the same slices.
+    Spark's range partitioner draws the bounds; the number of its partition is stored with the rows, so it stays
+    the same however often they are read, and neither bounds nor an expression over them pass through the driver here.
     """
-    slices = int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = max(1, numbered.count() // (SAMPLED * slices))
-    sample = numbered.where(F.pmod(F.xxhash64(*keys), F.lit(share)) == 0).select(*keys).orderBy(*keys)
-    rows = sample.collect()
-    kinds = [numbered.schema[k].dataType for k in keys]
-    places = sorted({len(rows) * i // slices for i in range(1, slices)} - {0})
-    bounds = [F.struct(*(F.lit(v).cast(kind).alias(k) for k, v, kind in zip(keys, rows[i], kinds))) for i in places]
-    key = F.struct(*keys)
-
-    def place(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(key < bounds[middle], place(low, middle)).otherwise(place(middle + 1, high))
-
-    return numbered.withColumn("_slice", place(0, len(bounds)))
+    split = df.repartitionByRange(*(F.col(k).asc_nulls_first() for k in keys))
+    return settle(split.withColumn("_slice", F.spark_partition_id()), "sliced")
 
 
 def running_totals(
@@ -58,11 +40,11 @@ def running_totals(
     equal in group and order are numbered, so that any number of them can be cut into
     slices as well; which of them comes first is arbitrary.
 
-    The input is written out first: its files give the same numbers however often they are
-    read, and the input is not computed again for the sample, the totals and the sums.
+    The split input is written out: its files give the same numbers however often they are
+    read, and the input is not computed again for the totals and the sums.
     """
     parts = {f"_part_{i}": (name, value) for i, (name, value) in enumerate(sums.items())}
-    numbered = settle(df.withColumn("_tie", F.monotonically_increasing_id()), "numbered")
+    numbered = df.withColumn("_tie", F.monotonically_increasing_id())
     order = [*order_by, "_tie"]
     # As one struct, groups holding nulls compare as equal. Join and window share the key,
     # so the rows are shuffled once for both.

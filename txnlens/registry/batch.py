@@ -62,7 +62,7 @@ def _with_rows(build, columns=("is_fraud", "timestamp", "payment_method")):
 
 def _star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the stored, typed star schema, which is written once per session."""
-    base = once(spark, f"star {sf_dir}", lambda path: write_star(transactions(spark, sf_dir), path, DS))
+    base = once(spark, f"star {sf_dir}", lambda path: write_star(transactions(spark, sf_dir), path, DS), sf_dir)
     return spark.read.parquet(f"{base}/{name}/ds={DS}")
 
 

@@ -39,7 +39,7 @@ def _days(spark: SparkSession, sf_dir: str) -> str:
             own = (F.col("timestamp") >= PERIODS[i]) & (F.col("timestamp") < upto)
             increments.add_day(_rows(spark, sf_dir).where(own), base, PERIODS[i])
 
-    return once(spark, f"days {sf_dir}", build)
+    return once(spark, f"days {sf_dir}", build, sf_dir)
 
 
 def _trend(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +76,7 @@ def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
         table = increments.parts_table(f"{base}/parts")
         jobs.live_dashboard(results, table, base, f"live_{uuid.uuid4().hex[:8]}").awaitTermination()
 
-    return read_table(spark, increments.parts_table(f"{once(spark, f'live {sf_dir}', build)}/parts"))
+    return read_table(spark, increments.parts_table(f"{once(spark, f'live {sf_dir}', build, sf_dir)}/parts"))
 
 
 def _live_query(build):

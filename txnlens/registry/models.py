@@ -124,7 +124,7 @@ def _trained(spark: SparkSession, sf_dir: str) -> str:
         calls = [(i + 1, tr.train_if_absent(spark, base, train)) for i in range(2)]
         spark.createDataFrame(calls, "call INT, trained BOOLEAN").write.parquet(f"{base}/calls")
 
-    return once(spark, f"trained {sf_dir}", build)
+    return once(spark, f"trained {sf_dir}", build, sf_dir)
 
 
 def _rate(*columns: str):

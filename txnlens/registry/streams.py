@@ -25,7 +25,7 @@ DELAY = "2 days"
 def messages(spark: SparkSession, sf_dir: str, damage: bool = False, names: list[str] = RAW_NAMES) -> DataFrame:
     """The stored transactions as a stream of messages, encoded once per session by a batch job."""
     kind = f"messages {sf_dir} {damage} {len(names)}"
-    folder = once(spark, kind, lambda base: write_messages(spark, sf_dir, f"{base}/messages", damage, names))
+    folder = once(spark, kind, lambda base: write_messages(spark, sf_dir, f"{base}/messages", damage, names), sf_dir)
     return file_stream(spark, f"{folder}/messages")
 
 
@@ -166,7 +166,7 @@ def _without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines = transactions(spark, sf_dir, names).withColumn("order_date", F.to_timestamp("order_date"))
         write_in_order(lines, f"{base}/lines", F.to_date("order_date"))
 
-    folder = once(spark, f"lines {sf_dir}", build)
+    folder = once(spark, f"lines {sf_dir}", build, sf_dir)
     kinds = spark.read.parquet(f"{folder}/lines").schema
     streams = [spark.readStream.schema(kinds).parquet(f"{folder}/lines") for _ in range(2)]
     single = jobs.without_repeats(

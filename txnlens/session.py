@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -37,8 +38,8 @@ def use_settings(spark: SparkSession) -> None:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, a folder below the
-    warehouse is used, which every executor reaches as well; never one of this machine.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, as in a local session, a folder below
+    the warehouse is used; a cluster without the setting needs a warehouse that all machines reach.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -89,12 +90,26 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-_BUILT: dict[tuple[str, str], str] = {}
+_BUILT: dict[tuple[str, str, str | None], str] = {}
 
 
-def once(spark: SparkSession, name: str, build: Callable[[str], None]) -> str:
-    """A folder that ``build`` fills, once per application; later calls get the same folder."""
-    key = (spark.sparkContext.applicationId, name)
+def table_files(spark: SparkSession, folder: str) -> str:
+    """A mark of the files that the tables of ``folder`` have now: names, sizes and times of change."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.parquet")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for table in fs.globStatus(pattern) or []:
+        files = fs.listStatus(table.getPath()) if table.isDirectory() else [table]
+        found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files]
+    return hashlib.sha256(repr(sorted(found)).encode()).hexdigest()
+
+
+def once(spark: SparkSession, name: str, build: Callable[[str], None], source: str | None = None) -> str:
+    """A folder that ``build`` fills, once per application; later calls get the same folder.
+
+    What is made of the tables in the folder ``source`` is made again once one of their files has changed.
+    """
+    key = (spark.sparkContext.applicationId, name, source and table_files(spark, source))
     if key not in _BUILT:
         path = scratch_path(spark, "built")
         build(path)
