@@ -92,3 +92,25 @@ def test_recall_on_the_whole_table(spark, sf):
     found = {(r.query_id, r.vec_id) for r in got}
     hits = sum((q, j) in found for q, lists in want.items() for _, j, _ in lists[0])
     assert len(got) == 5 * len(want) and hits / (5 * len(want)) >= 0.9
+
+
+def test_blocks_of_queries_go_out_in_passes_of_bounded_size(spark, monkeypatch):
+    from txnlens.llm import vantage
+
+    blocks = [(0, 40), (1, 60), (2, 10), (3, 200), (4, 5)]
+    assert list(vantage._passes(blocks, 100)) == [[0, 1], [2], [3], [4]]
+    assert list(vantage._passes([], 100)) == []
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    asks = F.col("vec_id") % 3 == 0
+
+    def found():
+        got = vantage.nearest_neighbours(df, asks, shard_rows=70, block_queries=20, relax=1.0)
+        return sorted(tuple(r) for r in got.collect())
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    once = found()
+    monkeypatch.setattr(vantage, "_passes", lambda blocks: [[b] for b, _ in blocks])
+    assert found() == once and len(once) == 500
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before

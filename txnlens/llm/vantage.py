@@ -7,8 +7,8 @@ half. A half is skipped if the triangle inequality puts all of it, times ``RELAX
 found so far. A factor of one skips nothing that could count: the search is exact. Larger factors
 skip more and may lose neighbours.
 
-Queries are packed into blocks of a bounded number; each pair of block and shard is a row of work, in
-which all queries of the block go down the tree together. The best of each shard meet in a window per
+Queries are packed into blocks of a bounded number, which are written once and sent to the shards in passes of
+``SENT_BYTES``; all queries of a block go down a tree together. The best of each shard meet in a window per
 query that keeps only the first few of each task. Scores are taken on the original vectors in double
 precision, row by row, so that equal vectors have equal scores.
 
@@ -21,6 +21,7 @@ returned. An empty table gives an empty result; columns other than ``vec_id`` an
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +29,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from txnlens.llm.common import BATCH_ROWS, table, written
+from txnlens.llm.common import table, written
 
 NEAREST = 5
 QUERY_STEP = 50
 RELAX = 1.1
 SHARD_ROWS = 4096
 BLOCK_QUERIES = 512
+#: Query vectors that go to the tasks at a time.
+SENT_BYTES = 32 << 20
 LEAF = 128
 #: Distances closer than this are not told apart when pruning.
 SLACK = 1e-7
@@ -178,12 +181,15 @@ def _packed(rows: pa.Table) -> pa.Table:
     places = rows.column("_row").to_numpy()
     data = {
         "dimension": pa.array([vectors.shape[1]], pa.int32()),
+        "block": pa.array([rows.column("_block")[0].as_py()], pa.int64()),
         "query_ids": [ids.tobytes()], "query_rows": [places.tobytes()], "queries": [vectors.tobytes()],
     }
     return pa.table(data)
 
 
-def _searched(nearest: int, relax: float):
+def _searched(shared, nearest: int, relax: float):
+    """Each shard with all blocks of queries of its dimension that were sent."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for cell in batch.to_pylist():
@@ -195,23 +201,41 @@ def _searched(nearest: int, relax: float):
                     np.frombuffer(cell["nodes"], np.int64).reshape(-1, 4),
                     np.frombuffer(cell["ranges"]).reshape(-1, 4),
                 )
-                query_ids = np.frombuffer(cell["query_ids"], np.int64)
-                rows = np.frombuffer(cell["query_rows"], np.int64)
-                best, found, _ = tree.search(query_ids, np.frombuffer(cell["queries"]).reshape(-1, d), nearest, relax)
-                query, place = np.nonzero(found >= 0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (rows[query], query_ids[query], ids[found[query, place]], best[query, place])],
-                    names=["_row", "query_id", "vec_id", "score"],
-                )
+                for dimension, query_ids, rows, vectors in shared.value:
+                    if dimension != d:
+                        continue
+                    query_ids, rows = np.frombuffer(query_ids, np.int64), np.frombuffer(rows, np.int64)
+                    best, found, _ = tree.search(query_ids, np.frombuffer(vectors).reshape(-1, d), nearest, relax)
+                    query, place = np.nonzero(found >= 0)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x) for x in (rows[query], query_ids[query], ids[found[query, place]], best[query, place])],
+                        names=["_row", "query_id", "vec_id", "score"],
+                    )
 
     return run
 
 
-def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int]:
-    """One row per shard with its tree, written out, and the number of shards."""
+def _passes(blocks: list[tuple[int, int]], limit: int = SENT_BYTES) -> Iterator[list[int]]:
+    """Runs of blocks of at most ``limit`` bytes together; a larger block is a run of its own."""
+    run, size = [], 0
+    for block, own in blocks:
+        if run and size + own > limit:
+            yield run
+            run, size = [], 0
+        run.append(block)
+        size += own
+    if run:
+        yield run
+
+
+HITS = "_row bigint, query_id bigint, vec_id bigint, score double"
+
+
+def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """One row per shard with its tree, written out."""
     shards = max(1, -(-vectors.count() // shard_rows))
     dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id", "_row"), F.lit(shards)).cast("int"))
-    return written(dealt.groupBy("dimension", "shard").applyInArrow(_built, INDEX), "vantage-index"), shards
+    return written(dealt.groupBy("dimension", "shard").applyInArrow(_built, INDEX), "vantage-index")
 
 
 def nearest_neighbours(
@@ -228,20 +252,28 @@ def nearest_neighbours(
         queries.alias("_asks"),
     )
     vectors = written(rows, "vectors")
-    index, shards = build_index(vectors.drop("_asks"), shard_rows)
+    index = build_index(vectors.drop("_asks"), shard_rows)
     asking = vectors.where("_asks").drop("_asks")
     blocks = max(1, -(-asking.count() // block_queries))
     dealt = asking.withColumn("_block", F.pmod(F.xxhash64("_row"), F.lit(blocks)))
-    schema = "dimension int, query_ids binary, query_rows binary, queries binary"
-    packed = dealt.groupBy("dimension", "_block").applyInArrow(_packed, schema)
-    # Every block of queries meets every shard; a row of work holds one of each.
-    each = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    cells = written(each, "query-blocks").join(index, ["dimension", "shard"])
+    schema = "dimension int, block bigint, query_ids binary, query_rows binary, queries binary"
+    packed = written(dealt.groupBy("dimension", "_block").applyInArrow(_packed, schema), "query-blocks")
+    # Blocks are sent to the shards a bounded number of bytes at a time; no shard or block is written again for it.
+    sizes = packed.groupBy("block").agg(F.sum(F.length("queries")).alias("bytes")).orderBy("block").collect()
+    hits = []
     batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
     spark.conf.set(batch, "2")
-    hits = cells.mapInArrow(_searched(nearest, relax), "_row bigint, query_id bigint, vec_id bigint, score double")
-    hits = written(hits, "vantage-hits")
-    spark.conf.set(batch, str(BATCH_ROWS))
+    try:
+        for chosen in _passes([(r["block"], r["bytes"]) for r in sizes]):
+            own = packed.where(F.col("block").between(chosen[0], chosen[-1]))
+            sent = own.select("dimension", "query_ids", "query_rows", "queries").collect()
+            shared = spark.sparkContext.broadcast([tuple(bytes(c) if isinstance(c, bytearray) else c for c in r) for r in sent])
+            hits.append(written(index.mapInArrow(_searched(shared, nearest, relax), HITS), "vantage-hits"))
+            shared.unpersist()
+    finally:
+        spark.conf.set(batch, before)
+    hits = reduce(DataFrame.unionByName, hits, spark.createDataFrame([], HITS))
     place = F.row_number().over(W.partitionBy("_row").orderBy(F.desc("score"), "vec_id"))
     return hits.withColumn("rank", place).where(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")
 
