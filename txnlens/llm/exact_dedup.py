@@ -59,7 +59,8 @@ def refine(rows: DataFrame) -> DataFrame:
 def exact_duplicates(docs: DataFrame, prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """Per row: ``doc_id, keep_id, group_size, kept, text_sha256``."""
     rows = written(digests(docs, prefix_chars), "exact-digests")
-    found = rows.join(refine(rows), "text_sha256", "left")
+    # Written out, the groups are a plain side of the join as well, so a hot hash can be split.
+    found = rows.join(written(refine(rows), "exact-groups"), "text_sha256", "left")
     alone = F.col("group_size").isNull()
     return found.select(
         "doc_id",
