@@ -90,3 +90,94 @@ def test_rejected_documents_go_and_columns_stay(spark):
     scores = toxicity_scores(docs, labels, fold("doc_id", 3) != 1)
     clean = {r.doc_id for r in scores.where("score < 0.7").collect()}
     assert {r.doc_id for r in left.collect()} == clean and None in clean
+
+
+def by_hand(text, lexicon):
+    """The features of a text, one token after the other."""
+    import math
+
+    from txnlens.llm.toxicity import SECOND_PERSON, STRONG, WINDOW, core
+
+    tokens = text.split()
+    n = len(tokens)
+    if not n:
+        return [0.0] * len(NAMES)
+
+    def look(word):
+        if not word:
+            return 0.0
+        return max([lexicon.get(word, 0.0)] + [lexicon.get(word[:k] + "*", 0.0) for k in range(4, 9) if k <= len(word)])
+
+    weights, hidden, bare = [], [], []
+    for t in tokens:
+        seen = plain(t)
+        behind = look(seen) if seen is not None and seen != core(t) else 0.0
+        weights.append(max(look(core(t)), behind))
+        hidden.append(behind > 0)
+        bare.append(seen is not None)
+    persons = [i for i, t in enumerate(tokens) if core(t) in SECOND_PERSON]
+    near = sum(any(abs(i - p) <= WINDOW for p in persons) for i, w in enumerate(weights) if w)
+    letters = [sum(c.isalpha() for c in t) for t in tokens]
+    capitals = [sum(c.isupper() for c in t) for t in tokens]
+    return [
+        sum(w > 0 for w in weights) / n,
+        sum(w >= STRONG for w in weights) / n,
+        sum(weights) / n,
+        max(weights),
+        near / n,
+        len(persons) / n,
+        sum(capitals) / max(sum(letters), 1),
+        sum(a > 2 and a == c for a, c in zip(letters, capitals)) / n,
+        sum(not c.isalnum() for t in tokens for c in t) / n,
+        sum(t.count("!") + t.count("?") for t in tokens) / n,
+        sum(bare) / n,
+        sum(hidden) / n,
+        sum(any(t[i] == t[i + 1] == t[i + 2] for i in range(len(t) - 2)) for t in tokens) / n,
+        math.log1p(n),
+    ]
+
+
+def test_features_against_brute_force():
+    import random
+
+    rng = random.Random(7)
+    words = "You scum $cum! s.c.u.m loweiheit lowei SHOUT nooo dich (tu) 2024 a été !? ... idiot".split()
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(40))) for _ in range(300)] + ["", " \n\t"]
+    got = features(texts, LEXICON)
+    for row, text in zip(got.tolist(), texts):
+        assert row == pytest.approx(by_hand(text, LEXICON))
+
+
+def test_lexicons_against_brute_force(spark):
+    import random
+
+    from txnlens.llm.toxicity import MIN_TOXIC, MIN_WEIGHT, core, entries, lexicons
+
+    rng = random.Random(3)
+    rows = []
+    for i in range(300):
+        toxic = int(i % 4 == 0)
+        text = " ".join(rng.choice("river house green people Walk, talk".split()) for _ in range(12))
+        rows.append((i % 3, toxic, text + (" scumbag Loweiheit!" if toxic and i % 8 else "")))
+    sample = spark.createDataFrame(rows, "part int, toxic int, _text string").repartition(5)
+    found = lexicons(sample)
+    for target, sources in ((0, {1}), (1, {0}), (2, {0, 1})):
+        own = [(toxic, {e for w in {core(t) for t in text.split()} for e in entries(w)}) for part, toxic, text in rows if part in sources]
+        totals = [sum(t == toxic for t, _ in own) for toxic in (0, 1)]
+        want = {}
+        for e in {e for _, held in own for e in held}:
+            bad = sum(t == 1 and e in held for t, held in own)
+            clean = sum(t == 0 and e in held for t, held in own)
+            weight = weigh(bad, clean, totals[1], totals[0])
+            if bad >= MIN_TOXIC and weight >= MIN_WEIGHT:
+                want[e] = pytest.approx(weight)
+        assert found[target] == want and "scumbag" in want
+
+
+def test_a_steep_curve_leaves_the_order_of_scores_as_it_was(spark, make_docs):
+    """Scores are the isotonic fit of the calibration part: they rise with the chance and are shares of its steps."""
+    docs = make_docs([(i, "you are scum scum" if i % 2 else "green river house") for i in range(400)])
+    labels = spark.createDataFrame([(i, int(i % 2)) for i in range(400)], "doc_id long, toxic int")
+    found = {r.doc_id: r.score for r in toxicity_scores(docs, labels, F.lit(True)).collect()}
+    assert {found[i] for i in range(1, 400, 2)} == {max(found.values())} and max(found.values()) > 0.95
+    assert {found[i] for i in range(0, 400, 2)} == {min(found.values())} and min(found.values()) < 0.05
