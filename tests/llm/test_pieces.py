@@ -107,26 +107,27 @@ def test_unigram_models_agree_with_the_original(fallback, trim):
     texts += ["<s>a", "a</s>b", "<unk>", "\nab", "ab\n", " ab", "\tab c\t", " ab ", "a\n \nb"]
     ids, counts = own.encode(texts)
     assert lists(ids, counts) == [original.encode(t) for t in texts]
-    assert all(own.parity(texts, ids, counts))
+    assert all(own.parity(texts, ids, counts)) and all(own.encode_checked(texts)[2])
 
 
 def test_parity_shows_ids_that_differ(codec):
     texts = ["all the words of it", " ", "a  b ", "", None, "only these"]
-    ids, counts = codec.encode(texts)
     own = Codec(read_model(MODEL))
-    assert own.plain and own.parity(texts, ids, counts) == [True] * 6
+    assert own.plain and own.encode_checked(texts)[2] == [True] * 6
     wrong = Codec(read_model(MODEL))
-    encode = wrong._unit_ids
-    wrong._unit_ids = lambda units: [i + 1 if "words" in u else i for u, i in zip(units, encode(units))]
-    assert wrong.parity(texts, ids, counts) == [False, True, True, True, True, True]
+    check = wrong._check
+    wrong._check = lambda units, found: check(units, [[i + 1 for i in f] if "words" in u else f for u, f in zip(units, found)])
+    assert wrong.encode_checked(texts)[2] == [False, True, True, True, True, True]
+    # The unit is remembered, and so is that it differs.
+    assert wrong.encode_checked(["no words", "none"])[2] == [False, True]
 
 
 def test_units_agree_as_whole_texts_do(codec, original):
     rng = random.Random(11)
     texts = ODD + ["".join(rng.choice("ab é \n漢 ▁") for _ in range(rng.randrange(40))) for _ in range(500)]
-    ids, counts = codec.encode(texts)
-    whole = [a == original.encode(t or "") for a, t in zip(lists(ids, counts), texts)]
-    assert codec.parity(texts, ids, counts) == whole
+    ids, counts, parity = codec.encode_checked(texts)
+    assert [a.tolist() for a in (ids, counts)] == [a.tolist() for a in codec.encode(texts)]
+    assert parity == codec.parity(texts, ids, counts) == [a == original.encode(t or "") for a, t in zip(lists(ids, counts), texts)]
 
 
 def test_the_model_is_taken_from_a_setting(spark, make_docs):

@@ -165,8 +165,10 @@ class Codec:
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         self.model = PieceModel.parse(data)
-        self._data, self._original = data, None
-        self._checked: dict[str, bool] = {}
+        self._data = data
+        #: Units of a checked text whose ids are not those of the original.
+        self._differing: set[str] = set()
+        self._all_checked = False
         self._tokenizer = self.model.tokenizer()
         self._normaliser = self.model.normaliser()
         space = re.escape(self.model.space)
@@ -199,61 +201,71 @@ class Codec:
         model = self.model
         return model.separable and model.dummy_prefix and model.escape and not model.trim and not model.charsmap
 
-    def _agrees(self, unit: str, ids: np.ndarray) -> bool:
-        same = self._checked.get(unit)
-        if same is None:
-            # The original puts a marker in front, as every unit has one; the empty text gets none.
-            text = unit.replace(self.model.space, " ").removeprefix(" ")
-            expected = self._original.encode(text) if text else [self._original.piece_to_id(self.model.space)]
-            same = expected == ids.tolist()
-            if len(self._checked) >= REMEMBERED:
-                self._checked.clear()
-            self._checked[unit] = same
-        return same
-
-    def parity(self, texts: list[str | None], ids: np.ndarray, counts: np.ndarray) -> list[bool]:
-        """Whether each text's ids are those of the sentencepiece library.
-
-        A text that may be cut is compared unit by unit, each distinct unit once; any other as a whole.
-        """
+    @cached_property
+    def original(self):
         from sentencepiece import SentencePieceProcessor
 
-        if self._original is None:
-            self._original = SentencePieceProcessor(model_proto=self._data)
-        if not self.plain:
-            ends = np.cumsum(counts).tolist()
-            own = [ids[e - n : e].tolist() for e, n in zip(ends, counts.tolist())]
-            return [a == b for a, b in zip(own, self._original.encode([t or "" for t in texts]))]
-        units = [self._units.findall(self.marked(t or "")) for t in texts]
-        distinct = list(dict.fromkeys(u for own in units for u in own))
-        wrong = {u for u, found in zip(distinct, self._unit_ids(distinct)) if not self._agrees(u, found)} if distinct else set()
-        return [wrong.isdisjoint(own) for own in units]
-
-    def _unit_ids(self, units: list[str]) -> list[np.ndarray]:
+        return SentencePieceProcessor(model_proto=self._data)
+
+    def parity(self, texts: list[str | None], ids: np.ndarray, counts: np.ndarray) -> list[bool]:
+        """Whether each text's ids are those that the sentencepiece library gives for the whole text."""
+        ends = np.cumsum(counts).tolist()
+        own = [ids[e - n : e].tolist() for e, n in zip(ends, counts.tolist())]
+        return [a == b for a, b in zip(own, self.original.encode([t or "" for t in texts]))]
+
+    def _check(self, units: list[str], found: list[list[int]]) -> None:
+        """Note the units whose ids differ from those of the original."""
+        # The original puts a marker in front, as every unit has one; the empty text gets none.
+        asked = [u.replace(self.model.space, " ").removeprefix(" ") for u in units]
+        expected = self.original.encode(asked)
+        lone = [self.original.piece_to_id(self.model.space)]
+        self._differing.update(u for u, a, e, f in zip(units, asked, expected, found) if f != (e if a else lone))
+
+    def _unit_ids(self, units: list[str], check: bool = False) -> list[np.ndarray]:
         known = self._remembered
+        if check and not self._all_checked:
+            known.clear()
+        self._all_checked = check
         fresh = [u for u in units if u not in known]
         if len(known) + len(fresh) > REMEMBERED:
             known.clear()
+            self._differing.clear()
             fresh = units
-        encoded = self._tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        known.update((u, np.array(e.ids, dtype=np.int32)) for u, e in zip(fresh, encoded))
+        encoded = [e.ids for e in self._tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+        if check:
+            self._check(fresh, encoded)
+        known.update((u, np.array(ids, dtype=np.int32)) for u, ids in zip(fresh, encoded))
         return [known[u] for u in units]
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each text has."""
+        return self._encoded(texts, False)[:2]
+
+    def encode_checked(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
+        """The same, and whether each text's ids are those of the sentencepiece library.
+
+        A text that may be cut is compared unit by unit, each unit once while it is remembered; any other as a whole.
+        """
+        ids, counts, split = self._encoded(texts, self.plain)
+        if not self.plain:
+            return ids, counts, self.parity(texts, ids, counts)
+        wrong = self._differing
+        return ids, counts, [wrong.isdisjoint(own) for own in split] if wrong else [True] * len(texts)
+
+    def _encoded(self, texts: list[str | None], check: bool) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
         marked = [self.marked(t or "") for t in texts]
         split = [self._units.findall(t) for t in marked] if self.model.separable else [[t] if t else [] for t in marked]
         counts = np.array([len(s) for s in split], dtype=np.int64)
         distinct: dict[str, int] = {}
         codes = np.array([distinct.setdefault(u, len(distinct)) for s in split for u in s], dtype=np.int64)
         if not len(codes):
-            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-        ids = self._unit_ids(list(distinct))
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64), split
+        ids = self._unit_ids(list(distinct), check)
         sizes = np.array([len(i) for i in ids], dtype=np.int64)
         lengths = sizes[codes]
         found = _gather(np.concatenate(ids), (np.cumsum(sizes) - sizes)[codes], lengths)
         ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
-        return found, np.diff(ends)
+        return found, np.diff(ends), split
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
         """The texts of ids in a row, cut into ``counts``."""
@@ -285,7 +297,7 @@ def _encoder(shared, threads: int):
         for batch in batches:
             texts = batch.column("_text").to_pylist()
             for start, end in chunks(texts):
-                ids, counts = codec.encode(texts[start:end])
+                ids, counts, parity = codec.encode_checked(texts[start:end])
                 again = codec.decode(ids, counts)
                 ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -294,7 +306,7 @@ def _encoder(shared, threads: int):
                         pa.array(counts),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)),
                         pa.array([a == b for a, b in zip(again, texts[start:end])], pa.bool_()),
-                        pa.array(codec.parity(texts[start:end], ids, counts), pa.bool_()),
+                        pa.array(parity, pa.bool_()),
                     ],
                     names=["doc_id", "n_tokens", "ids", "round_trip", "parity"],
                 )
