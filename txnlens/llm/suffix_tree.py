@@ -18,9 +18,13 @@ Since suffixes of states are states, a text's score is a sum over its sequences
 logarithm of its gain over the suffix less that of the rest. So scores take one join by hash.
 
 Counting is level by level: a sequence can only be frequent if its parts are. Tasks count what they
-hold before the shuffle, so frequent words, pairs and passages cost little. What goes to the driver and
-to every task has a fixed size at every size of the corpus and changes no result: a bit table that
-leaves out sequences that no join would find, and the ``CACHED`` most frequent sequences.
+hold before the shuffle, so frequent words, pairs and passages cost little, and send it as arrays: one row
+holds the counted sequences of one range of codes, written as their words' places in a list of the
+``CACHED`` most frequent words (other words as codes). Scoring sends the sequences of a batch of
+texts likewise to the range of codes that has their numbers. There are so many ranges that each has about
+``RANGE`` sequences, whatever the size of the corpus. What goes to the driver and to every task has a
+fixed size and changes no result: that word list, a bit table that leaves out sequences that no join would
+find, and the numbers of the ``CACHED`` most frequent sequences.
 
 Edge cases: a null text is empty, that is one end symbol. A null ``doc_id`` falls into fold crc32('').
 Rows that repeat an id are scored one by one. Without training rows all counts are zero and scores
@@ -37,6 +41,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,8 +61,10 @@ MARK = 1
 BITS, SLICE = 1 << 27, 1 << 15
 #: Sequences whose numbers every task has at hand.
 CACHED = 1 << 20
-#: Distinct words or sequences that a task counts before it passes them on.
-HELD_WORDS, HELD_GRAMS = 400_000, 2_000_000
+#: Distinct words, tokens or sequences to look up that a task holds before it passes their counts on.
+HELD_WORDS, HELD_TOKENS, HELD_REFS = 400_000, 4_000_000, 2_000_000
+#: Sequences of a range of codes, about.
+RANGE = 1 << 20
 
 
 def find(table: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -162,20 +169,74 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def _count_grams(shared, length: int):
-    """Sequences of ``length`` whose parts may be frequent, as the codes of these parts."""
+def range_bits(size: int) -> int:
+    """Leading bits of a code that make up its range, for ``size`` sequences in all."""
+    return max(4, math.ceil(math.log2(max(size, 1) / RANGE)))
+
+
+def ranges(codes: np.ndarray, bits: int) -> np.ndarray:
+    """The range of each code."""
+    return (codes >> np.uint64(64 - bits)).astype(np.int32)
+
+
+def spans(sorted_values: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Each value with the places where its run begins and ends."""
+    values, first = np.unique(sorted_values, return_index=True)
+    yield from zip(values.tolist(), first.tolist(), np.append(first[1:], len(sorted_values)).tolist())
+
+
+def planes(numbers: np.ndarray) -> bytes:
+    """All first bytes, then all second bytes, and so on: leading zeros compress to nothing."""
+    return np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+
+
+def numbers(data: bytes, kind: type) -> np.ndarray:
+    """The numbers of ``planes``."""
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
+
+
+def _pack_grams(places: np.ndarray, codes: np.ndarray, times: np.ndarray) -> bytes:
+    """Counted sequences; ``places`` has a row for each, ``CACHED`` where the word itself follows as a code."""
+    order = np.argsort(places[:, 0], kind="stable")
+    places = places[order]
+    parts = [*(planes(places[:, j]) for j in range(places.shape[1])), planes(times[order].astype(np.uint32))]
+    parts.append(codes[order][places == CACHED].tobytes())
+    return zstandard.ZstdCompressor(1).compress(b"".join(parts))
+
+
+def _unpack_grams(data: bytes, size: int, length: int, ranked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of the words, a column for each sequence, and the counts."""
+    data = zstandard.ZstdDecompressor().decompress(data)
+    step = 4 * size
+    places = np.stack([numbers(data[j * step : (j + 1) * step], np.uint32) for j in range(length)], axis=1)
+    codes = ranked[np.minimum(places, len(ranked) - 1)]
+    codes[places == CACHED] = np.frombuffer(data[(length + 1) * step :], dtype=np.uint64)
+    return codes.T, numbers(data[length * step : (length + 1) * step], np.uint32)
+
+
+def _count_grams(shared, length: int, bits_of_range: int):
+    """Counts of the sequences of ``length`` whose parts may be frequent, by range of their codes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits: np.ndarray = shared.value
+        bits, ranked = shared.value
+        order = np.argsort(ranked)
+        ordered = ranked[order]
         known = WordCodes()
-        fresh: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
         def out() -> pa.RecordBatch:
-            start, suffix = (np.concatenate(x) for x in zip(*fresh))
-            _, first, times = np.unique(combined(start, suffix), return_index=True, return_counts=True)
-            rows = [signed(start[first]), signed(suffix[first]), pa.array(times)]
-            return pa.RecordBatch.from_arrays(rows, names=["start", "suffix", "n"])
+            flat, places, ends, codes = (np.concatenate(x) for x in zip(*held))
+            codes, first, times = np.unique(codes, return_index=True, return_counts=True)
+            window = ends[first][:, None] + np.arange(1 - length, 1)
+            places, flat = places[window], flat[window]
+            rows = [
+                (at, j - i, _pack_grams(places[i:j], flat[i:j], times[i:j]))
+                for at, i, j in spans(ranges(codes, bits_of_range))
+            ]
+            columns = (pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary())))
+            return pa.RecordBatch.from_arrays(list(columns), names=["range", "size", "data"])
 
         for batch in batches:
             texts = batch.column(0).to_pylist()
@@ -186,66 +247,135 @@ def _count_grams(shared, length: int):
                 good = np.flatnonzero(likely[:-1] & likely[1:] & (place[1:] == place[:-1] + 1))
                 # Runs of places end where the next text's begin, but for parts of one symbol.
                 good = good[flat[place[good + 1]] != MARK]
-                fresh.append((codes[good], codes[good + 1]))
-                size += len(good)
-                if size >= HELD_GRAMS:
+                if not len(good):
+                    continue
+                distinct, where = np.unique(flat, return_inverse=True)
+                at = find(ordered, distinct)
+                places = np.where(at >= 0, order[at], CACHED).astype(np.uint32)[where]
+                held.append((flat, places, place[good + 1] + size, combined(codes[good], codes[good + 1])))
+                size += len(flat)
+                if size >= HELD_TOKENS:
                     yield out()
-                    fresh, size = [], 0
-        if size:
+                    held, size = [], 0
+        if held:
             yield out()
 
     return run
 
 
-def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        start, suffix = (batch.column(n).to_numpy().view(np.uint64) for n in ("start", "suffix"))
-        rows = [signed(combined(start, suffix)), *(batch.column(n) for n in ("start", "suffix", "n"))]
-        yield pa.RecordBatch.from_arrays(rows, names=["code", "start", "suffix", "n"])
+def _frequent(shared, length: int, min_count: int):
+    """The sequences of a range that are frequent."""
+
+    def run(packed: pa.Table) -> pa.Table:
+        ranked = shared.value[1]
+        found = []
+        for data, size in zip(packed.column("data"), packed.column("size").to_pylist()):
+            codes, times = _unpack_grams(data.as_py(), size, length, ranked)
+            while len(codes) > 2:
+                codes = combined(codes[:-1], codes[1:])
+            found.append((combined(codes[0], codes[1]), codes[0], codes[1], times))
+        code, start, suffix, times = (np.concatenate(x) for x in zip(*found))
+        code, first, where = np.unique(code, return_index=True, return_inverse=True)
+        n = np.bincount(where, times).astype(np.int64)
+        often = n >= min_count
+        first = first[often]
+        columns = [signed(code[often]), signed(start[first]), signed(suffix[first]), pa.array(n[often])]
+        return pa.Table.from_arrays(columns, names=["code", "start", "suffix", "n"])
+
+    return run
 
 
-def _score(shared, longest: int):
-    """Sums over the cached sequences of each text, and the others that may be in the tables."""
+def _score(shared, longest: int, bits_of_range: int):
+    """A row for each text with its sums over the cached sequences, and rows that hold the other sequences of some
+    texts by range of their codes: codes as differences, texts as distances to ``_row``, and times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, cached, known_of, base_of, delta_of = shared.value
         known = WordCodes()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            rows, codes = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((rows, codes))
+            rows, codes = rows[order], codes[order]
+            new = np.ones(len(rows), dtype=bool)
+            new[1:] = (rows[1:] != rows[:-1]) | (codes[1:] != codes[:-1])
+            firsts = np.flatnonzero(new)
+            times = np.diff(np.append(firsts, len(rows))).astype(np.uint32)
+            rows, codes = rows[firsts], codes[firsts]
+            least = rows.min()
+            packed = []
+            for at, i, j in spans(ranges(codes, bits_of_range)):
+                steps = np.diff(codes[i:j], prepend=np.uint64(0))
+                data = planes(steps) + planes((rows[i:j] - least).astype(np.uint64)) + planes(times[i:j])
+                packed.append((at, j - i, zstandard.ZstdCompressor(1).compress(data)))
+            at, sizes, data = zip(*packed)
+            return batch_of(_row=pa.array([least] * len(at)), range=pa.array(at, pa.int32()), size=pa.array(sizes, pa.int32()), data=pa.array(data, pa.binary()))
+
+        def batch_of(**columns: pa.Array) -> pa.RecordBatch:
+            count = len(columns["_row"])
+            return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(count, f.type)) for f in SCORED], schema=SCORED)
+
         for batch in batches:
             texts = batch.column("_text").to_pylist()
             for a, b in chunks(texts):
                 flat, marks = symbols(texts[a:b], known)
-                size = b - a
-                owner = np.repeat(np.arange(size), np.diff(np.append(marks, len(flat))))
-                sums = [np.zeros(size) for _ in range(3)]
-                left: list[tuple[np.ndarray, np.ndarray]] = []
+                part = batch.slice(a, b - a)
+                lengths = np.diff(np.append(marks, len(flat)))
+                owner = np.repeat(np.arange(b - a), lengths)
+                rows = part.column("_row").to_numpy()
+                sums = [np.zeros(b - a) for _ in range(3)]
                 for codes, place in endings(flat, marks, longest):
                     likely = has(bits, codes)
                     codes, own = codes[likely], owner[place[likely]]
                     at = find(cached, codes)
                     here = at >= 0
-                    for total, numbers in zip(sums, (known_of, base_of, delta_of)):
-                        total += np.bincount(own[here], numbers[at[here]], size)
-                    left.append((own[~here], codes[~here]))
-                own, codes = (np.concatenate(x) for x in zip(*left))
-                order = np.lexsort((codes, own))
-                own, codes = own[order], codes[order]
-                new = np.ones(len(own), dtype=bool)
-                new[1:] = (own[1:] != own[:-1]) | (codes[1:] != codes[:-1])
-                firsts = np.flatnonzero(new)
-                times = np.diff(np.append(firsts, len(own)))
-                ends = pa.array(np.searchsorted(own[firsts], np.arange(size + 1)).astype(np.int32))
-                part = batch.slice(a, size)
-                lengths = np.diff(np.append(marks, len(flat))) - 1
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(n) for n in ("_row", "doc_id", "held_out")]
-                    + [pa.array(lengths), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])]
-                    + [pa.ListArray.from_arrays(ends, x) for x in (signed(codes[firsts]), pa.array(times))],
-                    names=["_row", "doc_id", "held_out", "n_tokens", "_known", "_base", "_delta", "codes", "times"],
-                )
+                    for total, per_code in zip(sums, (known_of, base_of, delta_of)):
+                        total += np.bincount(own[here], per_code[at[here]], b - a)
+                    if not here.all():
+                        held.append((rows[own[~here]], codes[~here]))
+                        size += len(held[-1][0])
+                named = {n: part.column(n) for n in ("_row", "doc_id", "held_out")}
+                totals = {"_known": pa.array(sums[0].astype(np.int64)), "_base": pa.array(sums[1]), "_delta": pa.array(sums[2])}
+                yield batch_of(**named, n_tokens=pa.array(lengths - 1), **totals)
+                if size >= HELD_REFS:
+                    yield out()
+                    held, size = [], 0
+        if held:
+            yield out()
 
     return run
 
 
+#: What ``_score`` gives: the columns up to ``_delta`` for a text, ``_row`` and the others for sequences.
+SCORED = pa.schema(
+    [(n, pa.int64()) for n in ("_row", "doc_id")]
+    + [("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("_known", pa.int64()), ("_base", pa.float64()), ("_delta", pa.float64())]
+    + [("range", pa.int32()), ("size", pa.int32()), ("data", pa.binary())]
+)
+
+
+def _looked_up(packed: pa.Table, entries: pa.Table) -> pa.Table:
+    """Sums by text over the sequences of one range that are among its entries."""
+    order = np.argsort(codes_of := entries.column("code").to_numpy().view(np.uint64))
+    ordered = codes_of[order]
+    per_code = [entries.column(c).to_numpy().astype(float)[order] for c in ("known", "base", "delta")]
+    found = [(np.empty(0, np.int64), *(np.empty(0) for _ in per_code))]
+    for first, size, data in zip(*(packed.column(c).to_pylist() for c in ("_row", "size", "data"))):
+        data = zstandard.ZstdDecompressor().decompress(data)
+        codes = np.cumsum(numbers(data[: 8 * size], np.uint64), dtype=np.uint64)
+        rows = numbers(data[8 * size : 16 * size], np.uint64).astype(np.int64) + first
+        times = numbers(data[16 * size :], np.uint32)
+        at = find(ordered, codes)
+        here = at >= 0
+        rows, where = np.unique(rows[here], return_inverse=True)
+        found.append((rows, *(np.bincount(where, x[at[here]] * times[here], len(rows)) for x in per_code)))
+    rows, known, base, delta = (np.concatenate(x) for x in zip(*found))
+    columns = [pa.array(rows), pa.array(known.astype(np.int64)), pa.array(base), pa.array(delta)]
+    return pa.Table.from_arrays(columns, names=["_row", "known", "base", "delta"])
+
+
 def token_scores(tree: Tree, ids: np.ndarray) -> np.ndarray:
     """log10 of each token's probability in its longest state, but for the root's share of rare words."""
     numbers = tree.ending(ids, tree.depth)
@@ -331,11 +461,17 @@ def predictions(
     chance = (F.col("n") + 1) / F.lit(float(tokens + distinct + 1))
     listed = {1: written(known.withColumn("chance", chance), "words")}
     contexts = {}
+    top = listed[1].where(F.col("n") >= most_frequent(listed[1], CACHED)).select("code", "n").toArrow()
+    ranked = top.sort_by([("n", "descending"), ("code", "ascending")]).column("code").to_numpy().view(np.uint64)
+    # Never empty, so that a place can always be looked up; no text has the symbol 0.
+    ranked = ranked if len(ranked) else np.zeros(1, dtype=np.uint64)
+    width = range_bits(tokens)
     for d in range(2, depth + 2):
-        shared = spark.sparkContext.broadcast(bit_table(listed[d - 1]))
-        counted = train.mapInArrow(_count_grams(shared, d), "start bigint, suffix bigint, n bigint")
-        frequent = counted.groupBy("start", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-        frequent = frequent.mapInArrow(_coded, "code bigint, start bigint, suffix bigint, n bigint")
+        shared = spark.sparkContext.broadcast((bit_table(listed[d - 1]), ranked))
+        counted = train.mapInArrow(_count_grams(shared, d, width), "range int, size int, data binary")
+        frequent = counted.groupBy("range").applyInArrow(
+            _frequent(shared, d, min_count), "code bigint, start bigint, suffix bigint, n bigint"
+        )
         starts = listed[d - 1].select(F.col("code").alias("start"), F.col("n").alias("of"))
         suffixes = listed[d - 1].select(F.col("code").alias("suffix"), F.col("chance").alias("above"))
         smoothed = (F.col("n") + F.lit(STRENGTH) * F.col("above")) / (F.col("of") + F.lit(STRENGTH))
@@ -416,15 +552,19 @@ def suffix_tree_scores(
     order = np.argsort(codes := top.column("code").to_numpy().view(np.uint64))
     held = [codes[order], *(top.column(c).to_numpy().astype(float)[order] for c in ("known", "base", "delta"))]
     shared = spark.sparkContext.broadcast((bit_table(entries), *held))
+    others = entries.where(F.col("n") < least)
+    width = range_bits(others.count())
     schema = "_row bigint, doc_id bigint, held_out boolean, n_tokens bigint, _known bigint, _base double, _delta double"
-    scored = texts.mapInArrow(_score(shared, depth + 1), f"{schema}, codes array<bigint>, times array<bigint>")
+    scored = texts.mapInArrow(_score(shared, depth + 1, width), f"{schema}, range int, size int, data binary")
     scored = written(scored, "scored")
-    others = scored.select("_row", F.inline(F.arrays_zip("codes", "times"))).withColumnRenamed("codes", "code")
-    others = others.join(entries.where(F.col("n") < least).drop("n"), "code")
-    sums = (F.sum(F.col("times") * F.col(c)).alias(c) for c in ("known", "base", "delta"))
-    others = others.groupBy("_row").agg(*sums)
+    packed = scored.where("range IS NOT NULL").select("range", "_row", "size", "data")
+    others = others.select(F.shiftrightunsigned("code", 64 - width).cast("int").alias("range"), *entries.drop("n").columns)
+    found = packed.groupBy("range").cogroup(others.groupBy("range"))
+    others = found.applyInArrow(_looked_up, "_row bigint, known bigint, base double, delta double")
+    others = others.groupBy("_row").agg(*(F.sum(c).alias(c) for c in ("known", "base", "delta")))
+    scored = scored.where("range IS NULL").drop("range", "size", "data")
     base = F.col("_base") + F.coalesce("base", zero) - F.col("n_tokens") * F.lit(math.log10(tokens + distinct + 1))
-    return scored.drop("codes", "times").join(others, "_row", "left").select(
+    return scored.join(others, "_row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
