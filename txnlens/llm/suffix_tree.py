@@ -62,7 +62,7 @@ BITS, SLICE = 1 << 27, 1 << 15
 #: Sequences whose numbers every task has at hand.
 CACHED = 1 << 20
 #: Distinct words, tokens or sequences to look up that a task holds before it passes their counts on.
-HELD_WORDS, HELD_TOKENS, HELD_REFS = 400_000, 4_000_000, 2_000_000
+HELD_WORDS, HELD_TOKENS, HELD_REFS = 400_000, 3_000_000, 2_000_000
 #: Sequences of a range of codes, about.
 RANGE = 1 << 20
 
@@ -297,7 +297,8 @@ def _score(shared, longest: int, bits_of_range: int):
 
         def out() -> pa.RecordBatch:
             rows, codes = (np.concatenate(x) for x in zip(*held))
-            order = np.lexsort((rows, codes))
+            # Equal codes have one length, and texts were added in order for each length.
+            order = np.argsort(codes, kind="stable")
             rows, codes = rows[order], codes[order]
             new = np.ones(len(rows), dtype=bool)
             new[1:] = (rows[1:] != rows[:-1]) | (codes[1:] != codes[:-1])
@@ -329,7 +330,10 @@ def _score(shared, longest: int, bits_of_range: int):
                 for codes, place in endings(flat, marks, longest):
                     likely = has(bits, codes)
                     codes, own = codes[likely], owner[place[likely]]
-                    at = find(cached, codes)
+                    # In order, as neighbours are found in memory that is at hand.
+                    order = np.argsort(codes)
+                    at = np.empty(len(codes), dtype=np.int64)
+                    at[order] = find(cached, codes[order])
                     here = at >= 0
                     for total, per_code in zip(sums, (known_of, base_of, delta_of)):
                         total += np.bincount(own[here], per_code[at[here]], b - a)
@@ -475,7 +479,8 @@ def predictions(
         starts = listed[d - 1].select(F.col("code").alias("start"), F.col("n").alias("of"))
         suffixes = listed[d - 1].select(F.col("code").alias("suffix"), F.col("chance").alias("above"))
         smoothed = (F.col("n") + F.lit(STRENGTH) * F.col("above")) / (F.col("of") + F.lit(STRENGTH))
-        rows = frequent.join(starts, "start").join(suffixes, "suffix").withColumn("chance", smoothed)
+        # The join by start comes last, so that files hold starts together and contexts are summed before they are shuffled.
+        rows = frequent.join(suffixes, "suffix").join(starts, "start").withColumn("chance", smoothed)
         listed[d] = written(rows, f"sequences-{d}")
         contexts[d - 1] = written(_contexts(listed[d], tokens), f"contexts-{d - 1}")
     states = {}
@@ -537,9 +542,9 @@ def suffix_tree_scores(
     parts = [root.where(F.col("n") >= min_count)]
     for d in range(1, depth + 1):
         parts.append(states[d].select("code", "n", F.lit(0), zero, "log_rest"))
-        nexts = listed[d + 1].join(states[d].select(F.col("code").alias("start"), "log_rest"), "start")
-        gain = F.log10(F.col("chance") / F.col("above")) - F.col("log_rest")
-        parts.append(nexts.select("code", "n", F.lit(0), zero, gain))
+        nexts = listed[d + 1].select("code", "start", "n", F.log10(F.col("chance") / F.col("above")).alias("gain"))
+        nexts = nexts.join(states[d].select(F.col("code").alias("start"), "log_rest"), "start")
+        parts.append(nexts.select("code", "n", F.lit(0), zero, F.col("gain") - F.col("log_rest")))
     entries = parts[0]
     for part in parts[1:]:
         entries = entries.union(part)
