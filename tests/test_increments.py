@@ -161,3 +161,21 @@ def test_the_sample_is_the_same_at_any_partitioning(spark):
     assert "WindowGroupLimit" in plan
     assert rows(eda.scatter_sample(df.where("false"), 70)) == []
 
+
+
+def test_checked_rows_are_not_shuffled_to_the_few_groups_of_a_box(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
+    found = within_error(sketched_box(df.groupBy("g").agg(*sketched("v", "s")), ["g"], "s"), df, ["g"], "v")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert [r.within_error for r in found.collect()] == [True] * 3
+
+
+def test_daily_runs_and_checks_share_one_join_of_the_tables(spark, sf_dir, monkeypatch):
+    from txnlens.registry import increments as queries
+
+    made, rows_of = [], queries._rows
+    monkeypatch.setattr(queries, "_rows", lambda *given: made.append(given) or rows_of(*given))
+    monkeypatch.setattr("txnlens.session._BUILT", {})
+    boxes = queries.ENTRIES["dash_sketch_box_payment"][0](spark, sf_dir)
+    assert {r.within_error for r in boxes.collect()} == {True} and len(made) == 1

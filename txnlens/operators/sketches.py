@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txnlens.session import settle
+
 K = 1024
 RANK_ERROR = 0.01
 
@@ -67,7 +69,8 @@ def within_error(box: DataFrame, rows: DataFrame, group: Sequence[str], column:
     value = F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
     # As a struct, groups holding nulls are equal.
     held = rows.where(value.isNotNull()).select(F.struct(*group).alias("_group"), value.alias("_value"))
-    cuts = box.select(F.struct(*group).alias("_group"), "n", "lowest", "highest", *FRACTIONS)
+    # Written first, so the planner knows that a few groups are small and the rows are not shuffled to them.
+    cuts = settle(box.select(F.struct(*group).alias("_group"), "n", "lowest", "highest", *FRACTIONS), "cuts")
     counts = [c for q in FRACTIONS for c in (F.count_if(F.col("_value") < F.col(q)).alias(f"_{q}_below"), F.count_if(F.col("_value") <= F.col(q)).alias(f"_{q}_upto"))]
     ranks = held.join(cuts, "_group").groupBy("_group", "n", "lowest", "highest").agg(*counts)
     fits = F.lit(True)
