@@ -73,7 +73,7 @@ def _pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "records")
     raw = transactions(spark, sf_dir)
-    raw.toDF(*(MESSAGE_KEYS[c] for c in raw.columns)).write.json(path)
+    raw.toDF(*(MESSAGE_KEYS[c] for c in raw.columns)).write.json(path, compression="gzip")
     return _exact(read_json_records(spark, path))
 
 
