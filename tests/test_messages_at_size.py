@@ -68,3 +68,30 @@ def test_the_groups_of_a_stream_are_worked_out_once_for_a_batch(spark, tmp_path,
     drain(jobs.daily_windows(found, target, "2 days", f"{tmp_path}/w", "windows"))
     drain(jobs.live_counters(found, f"{tmp_path}/c", "counters"))
     assert len(kept) >= 2 and all(kept)
+
+
+def test_only_texts_that_are_set_aside_are_held(spark, tmp_path, monkeypatch):
+    from txnlens.schemas import STORED_RESULTS, STORED_TRANSACTIONS
+    from txnlens.functions import messages as msg
+
+    held, coerce = [], msg.coerced_transactions
+    inbox, path = str(tmp_path / "inbox"), str(tmp_path / "job")
+
+    class Spied:
+        def __init__(self, frame):
+            self.frame = frame
+
+        def withColumn(self, *column):
+            held.extend(self.frame.withColumn(*column).select("reason", "value").collect())
+            return self.frame.withColumn(*column)
+
+        def persist(self):
+            held.extend(self.frame.select("reason", "value").collect())
+            return self.frame.persist()
+
+    monkeypatch.setattr(msg, "coerced_transactions", lambda batch: Spied(coerce(batch)))
+    write_messages(spark, inbox, [GOOD, "{broken"])
+    stored = KeyedTable(f"{path}/t", STORED_TRANSACTIONS, "transaction_id", "transaction_date", "month", 2)
+    found = KeyedTable(f"{path}/r", STORED_RESULTS, "transaction_id", "timestamp", "month", 2)
+    drain(jobs.persist_topics(streams.file_stream(spark, inbox), stored, found, f"{path}/x", path, "held"))
+    assert sorted((r.reason or "", r.value) for r in held) == [("", None), (msg.INVALID_JSON, "{broken")]
