@@ -80,3 +80,8 @@ def test_a_day_is_replaced_and_others_stay(spark, tmp_path):
     write_day(spark.createDataFrame([(4,)], "a INT"), path, "2025-05-24")
     found = spark.read.parquet(path).withColumn("ds", F.col("ds").cast("string"))
     assert rows(found) == [(3, "2025-05-25"), (4, "2025-05-24")]
+
+
+def test_daily_parquet_is_written_with_zstd(spark, tmp_path):
+    write_day(spark.range(3), f"{tmp_path}/d", "2025-05-24")
+    assert all(f.endswith(".zstd.parquet") for f in spark.read.parquet(f"{tmp_path}/d").inputFiles())

@@ -14,7 +14,7 @@ def write_day(df: DataFrame, path: str, ds: str, file_format: str = "parquet") -
     The day's own folder is overwritten: an overwrite by partitions found in the rows would leave the old
     rows of a day that has become empty.
     """
-    options = {"header": "true", "escape": '"'} if file_format == "csv" else {}
+    options = {"csv": {"header": "true", "escape": '"'}, "parquet": {"compression": "zstd"}}.get(file_format, {})
     df.write.mode("overwrite").options(**options).format(file_format).save(f"{path}/ds={ds}")
 
 
