@@ -1,3 +1,4 @@
+import gc
 import random
 import struct
 
@@ -160,3 +161,33 @@ def test_whole_table_agrees_with_the_original(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     assert differing(docs).count() == 0
     assert encode_pieces(docs).where("NOT round_trip OR NOT parity").count() == 0
+
+
+def test_a_unit_is_numbered_once_and_stays_marked_when_others_are_forgotten(monkeypatch):
+    monkeypatch.setattr("txnlens.llm.pieces.REMEMBERED", 4)
+    own = Codec(read_model(MODEL))
+    check = own._check
+    asked = []
+    own._check = lambda units, found: asked.append(units) or check(units, [[0] if "bad" in u else f for u, f in zip(units, found)])
+    assert own.encode_checked(["a bad a", "a", "bad"])[2] == [False, True, False]
+    assert own.encode_checked(["a b", "bad b", None])[2] == [True, False, True]
+    # Nothing is asked twice while it is remembered.
+    assert asked == [["▁a", "▁bad"], ["▁b"]]
+    # More units than are remembered: all numbers begin anew, and so does the check.
+    assert own.encode_checked(["c d e", "bad", "", "a"])[2] == [True, False, True, True]
+    assert len(asked) == 3 and sorted(asked[2]) == ["▁a", "▁bad", "▁c", "▁d", "▁e"]
+    ids, counts = own.encode(["c d e", "bad", "", "a"])
+    assert lists(ids, counts) == [own.original.encode(t) for t in ["c d e", "bad", "", "a"]]
+
+
+def test_many_new_units_set_off_no_searches_for_cycles():
+    own = Codec(read_model(MODEL))
+    own.encode_checked(["warm up"])
+    began = []
+    count = lambda phase, info: began.append(phase) if phase == "start" else None
+    gc.callbacks.append(count)
+    try:
+        assert own.encode_checked([" ".join(f"w{i}" for i in range(60_000))])[2] == [True]
+    finally:
+        gc.callbacks.remove(count)
+    assert gc.isenabled() and len(began) < 5

@@ -18,12 +18,16 @@ gives an empty result; columns other than ``doc_id`` and ``text`` are ignored.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
+from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -166,19 +170,25 @@ class Codec:
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         self.model = PieceModel.parse(data)
         self._data = data
-        #: Units of a checked text whose ids are not those of the original.
-        self._differing: set[str] = set()
         self._all_checked = False
         self._tokenizer = self.model.tokenizer()
         self._normaliser = self.model.normaliser()
         space = re.escape(self.model.space)
         self._units = re.compile(f"{space}*[^{space}]+|{space}+")
-        self._remembered: dict[str, np.ndarray] = {}
+        self._forget()
         texts = [self._surface(p, kind) for p, _, kind in self.model.pieces]
         self._bytes = np.frombuffer(b"".join(texts), dtype=np.uint8)
         self._sizes = np.array([len(t) for t in texts], dtype=np.int64)
         self._starts = np.cumsum(self._sizes) - self._sizes
 
+    def _forget(self) -> None:
+        #: The number of each remembered unit; its ids are a slice of ``_ids`` that ends at the place after it in ``_ends``.
+        self._remembered: defaultdict[str, int] = defaultdict(count().__next__)
+        self._ids = np.zeros(0, dtype=np.int32)
+        self._ends = np.zeros(1, dtype=np.int64)
+        #: Numbers of checked units whose ids are not those of the original.
+        self._differing: set[int] = set()
+
     def _surface(self, piece: str, kind: int) -> bytes:
         if kind == BYTE:
             return bytes([int(piece[3:-1], 16)])
@@ -213,29 +223,44 @@ class Codec:
         own = [ids[e - n : e].tolist() for e, n in zip(ends, counts.tolist())]
         return [a == b for a, b in zip(own, self.original.encode([t or "" for t in texts]))]
 
-    def _check(self, units: list[str], found: list[list[int]]) -> None:
-        """Note the units whose ids differ from those of the original."""
+    @cached_property
+    def _lone(self) -> list[int]:
+        return [self.original.piece_to_id(self.model.space)]
+
+    def _check(self, units: list[str], found: list[list[int]]) -> list[int]:
+        """The places of the units whose ids differ from those of the original."""
         # The original puts a marker in front, as every unit has one; the empty text gets none.
-        asked = [u.replace(self.model.space, " ").removeprefix(" ") for u in units]
+        asked = [u.removeprefix(MARK) for u in units]
+        if any(MARK in u for u in asked):
+            asked = [u.replace(MARK, " ") for u in asked]
         expected = self.original.encode(asked)
-        lone = [self.original.piece_to_id(self.model.space)]
-        self._differing.update(u for u, a, e, f in zip(units, asked, expected, found) if f != (e if a else lone))
+        if expected == found:
+            return []
+        return [i for i, (a, e, f) in enumerate(zip(asked, expected, found)) if f != (e if a else self._lone)]
 
-    def _unit_ids(self, units: list[str], check: bool = False) -> list[np.ndarray]:
-        known = self._remembered
+    def _numbers(self, units: list[str], check: bool) -> np.ndarray:
+        """The remembered number of each unit, after those that are new have been encoded."""
         if check and not self._all_checked:
-            known.clear()
+            self._forget()
         self._all_checked = check
-        fresh = [u for u in units if u not in known]
-        if len(known) + len(fresh) > REMEMBERED:
-            known.clear()
-            self._differing.clear()
-            fresh = units
-        encoded = [e.ids for e in self._tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-        if check:
-            self._check(fresh, encoded)
-        known.update((u, np.array(ids, dtype=np.int32)) for u, ids in zip(fresh, encoded))
-        return [known[u] for u in units]
+        before = len(self._remembered)
+        numbers = np.fromiter(map(self._remembered.__getitem__, units), np.int64, len(units))
+        if before and len(self._remembered) > REMEMBERED:
+            self._forget()
+            before = 0
+            numbers = np.fromiter(map(self._remembered.__getitem__, units), np.int64, len(units))
+        known = self._remembered
+        if len(known) > before:
+            fresh = list(islice(known, before, None))
+            with _uncollected():
+                encoded = [e.ids for e in self._tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+                if check:
+                    self._differing.update(before + i for i in self._check(fresh, encoded))
+            sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+            ids = np.fromiter(chain.from_iterable(encoded), np.int32, int(sizes.sum()))
+            self._ids = np.concatenate([self._ids, ids])
+            self._ends = np.concatenate([self._ends, self._ends[-1] + np.cumsum(sizes)])
+        return numbers
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each text has."""
@@ -246,26 +271,25 @@ class Codec:
 
         A text that may be cut is compared unit by unit, each unit once while it is remembered; any other as a whole.
         """
-        ids, counts, split = self._encoded(texts, self.plain)
         if not self.plain:
+            ids, counts = self.encode(texts)
             return ids, counts, self.parity(texts, ids, counts)
-        wrong = self._differing
-        return ids, counts, [wrong.isdisjoint(own) for own in split] if wrong else [True] * len(texts)
-
-    def _encoded(self, texts: list[str | None], check: bool) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
+        ids, counts, numbers, ends = self._encoded(texts, True)
+        if not self._differing:
+            return ids, counts, [True] * len(texts)
+        wrong = np.concatenate([[0], np.cumsum(np.isin(numbers, list(self._differing)))])
+        return ids, counts, (wrong[ends[1:]] == wrong[ends[:-1]]).tolist()
+
+    def _encoded(self, texts: list[str | None], check: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and how many each text has, the numbers of its units and the places between which they are."""
         marked = [self.marked(t or "") for t in texts]
         split = [self._units.findall(t) for t in marked] if self.model.separable else [[t] if t else [] for t in marked]
-        counts = np.array([len(s) for s in split], dtype=np.int64)
-        distinct: dict[str, int] = {}
-        codes = np.array([distinct.setdefault(u, len(distinct)) for s in split for u in s], dtype=np.int64)
-        if not len(codes):
-            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64), split
-        ids = self._unit_ids(list(distinct), check)
-        sizes = np.array([len(i) for i in ids], dtype=np.int64)
-        lengths = sizes[codes]
-        found = _gather(np.concatenate(ids), (np.cumsum(sizes) - sizes)[codes], lengths)
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
-        return found, np.diff(ends), split
+        ends = np.cumsum([0, *map(len, split)])
+        numbers = self._numbers(list(chain.from_iterable(split)), check)
+        lengths = np.diff(self._ends)[numbers]
+        found = _gather(self._ids, self._ends[numbers], lengths)
+        counts = np.diff(np.concatenate([[0], np.cumsum(lengths)])[ends])
+        return found, counts, numbers, ends
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
         """The texts of ids in a row, cut into ``counts``."""
@@ -276,6 +300,18 @@ class Codec:
         return [t.removeprefix(" ") for t in texts] if self.model.dummy_prefix else texts
 
 
+@contextmanager
+def _uncollected() -> Iterator[None]:
+    """Without searches for cycles, which many small lists of numbers set off and never have."""
+    enabled = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if enabled:
+            gc.enable()
+
+
 def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The slices of ``flat`` that begin at ``starts``, one after the other."""
     ends = np.cumsum(lengths)
