@@ -1,14 +1,30 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from txnlens.llm.common import fold
-from txnlens.llm.suffix_tree import Tree, build, op1_suffix_tree, suffix_tree_scores, token_scores
+from txnlens.llm.shingles import words
+from txnlens.llm.suffix_tree import (
+    END,
+    MARK,
+    Tree,
+    Vocabulary,
+    _count_grams,
+    _count_words,
+    build,
+    op1_suffix_tree,
+    suffix_tree_scores,
+    token_scores,
+)
 
 
 def split(text):
@@ -167,3 +183,52 @@ def test_what_tasks_have_at_hand_changes_nothing(make_docs, cached):
         return sorted((r.doc_id or -1, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in rows)
 
     assert scores(cached=cached) == scores()
+
+
+def batches_of(texts, rows):
+    return [pa.RecordBatch.from_arrays([pa.array(texts[i : i + rows], pa.string())], names=["_text"]) for i in range(0, len(texts), rows)]
+
+
+ODD = ["", " ", "a", " A b\ta \x0b\x0c\r\n", "é É b\x1cc", "\x85x\xa0y  z", "a " * 50, "\x00 \x00"]
+
+
+def test_words_of_a_batch_are_numbered_as_they_stand(monkeypatch):
+    met = Vocabulary(lambda codes: codes + np.uint64(1))
+    for texts in (ODD, ODD[::-1], ["new one"]):
+        numbers, marks, (codes, more) = met.symbols(pa.array(["not read", *texts]).slice(1))
+        want = [[MARK, *map(xxhash.xxh3_64_intdigest, [*words(t), END])] for t in texts]
+        assert codes[numbers].tolist() == [c for own in want for c in own]
+        assert marks.tolist() == np.cumsum([0, *map(len, want)])[:-1].tolist()
+        assert (more == codes + np.uint64(1)).all() and len(set(codes.tolist())) == len(codes)
+    monkeypatch.setattr("txnlens.llm.suffix_tree.HELD_WORDS", 3)
+    numbers, _, (codes, _) = met.symbols(pa.array(["b a b"]))
+    assert len(codes) == 4 and codes[numbers].tolist() == [MARK, *map(xxhash.xxh3_64_intdigest, [b"b", b"a", b"b", END])]
+
+
+@pytest.mark.parametrize("held", [2, 400_000])
+def test_counts_of_words_are_passed_on_in_parts(monkeypatch, held):
+    monkeypatch.setattr("txnlens.llm.suffix_tree.HELD_WORDS", held)
+    total = Counter()
+    for part in _count_words(iter(batches_of(ODD * 2, 3))):
+        for code, n in zip(part.column(0).to_numpy().view(np.uint64).tolist(), part.column(1).to_pylist()):
+            total[code] += n
+    want = Counter(xxhash.xxh3_64_intdigest(w) for t in ODD * 2 for w in [*words(t), END])
+    assert +total == want
+
+
+def test_counting_keeps_little_beside_what_it_holds():
+    """A task's arrays are let go one by one, and windows are made for one range at a time."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(map(str, rng.integers(0, 3000, 2000).tolist())) for _ in range(500)]
+    given = batches_of(texts, 100)
+    ranked = np.array([xxhash.xxh3_64_intdigest(str(i).encode()) for i in range(3000)], dtype=np.uint64)
+    shared = SimpleNamespace(value=(np.full(1 << 24, 255, dtype=np.uint8), ranked))
+    tracemalloc.start()
+    try:
+        found = list(_count_grams(shared, 4, 4)(iter(given)))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(sum(p.column("size").to_pylist()) for p in found) > 900_000
+    # A million tokens take 24 bytes each while they are held.
+    assert most < 100 * 1_000_000

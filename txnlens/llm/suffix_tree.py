@@ -34,19 +34,21 @@ are zero. An empty table gives an empty result; columns other than ``doc_id`` an
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections import defaultdict
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlens.llm.common import fold, table, whole_text, written
-from txnlens.llm.shingles import chunks, mix, words
+from txnlens.llm.common import fold, table, tidy, whole_text, written
+from txnlens.llm.shingles import chunks, mix
 
 DEPTH = 3
 MIN_COUNT = 4
@@ -102,12 +104,57 @@ class Tree:
         return numbers
 
 
-class WordCodes(dict):
-    """64-bit hashes of words."""
+class Vocabulary:
+    """The words a task has met, by number, with their 64-bit hashes and what ``functions`` give for these.
 
-    def __missing__(self, word: bytes) -> int:
-        code = self[word] = xxhash.xxh3_64_intdigest(word)
-        return code
+    So each word is hashed and looked up once while it is held, not at every place where it stands.
+    """
+
+    def __init__(self, *functions: Callable[[np.ndarray], np.ndarray]):
+        self._functions = functions
+        self._forget()
+
+    def _forget(self) -> None:
+        self._numbers: defaultdict[bytes | None, int] = defaultdict(count().__next__)
+        self._met: list[np.ndarray] = []
+        # No word is None; it stands for the mark.
+        self._numbers[None], self._numbers[END]
+        self._add(np.array([MARK, xxhash.xxh3_64_intdigest(END)], dtype=np.uint64))
+
+    def _add(self, codes: np.ndarray) -> None:
+        new = [codes, *(f(codes) for f in self._functions)]
+        self._met = [np.concatenate(x) for x in zip(self._met, new)] if self._met else new
+
+    def symbols(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """The numbers of the mark, the words and the end symbol of each text, the places of the marks, and
+        by number the codes and what the functions gave for them."""
+        if len(self._numbers) >= HELD_WORDS:
+            self._forget()
+        known = self._numbers
+        before = len(known)
+        found, sizes = split_words(texts)
+        found = found.dictionary_encode()
+        distinct = found.dictionary.to_numpy(zero_copy_only=False)
+        number_of = np.fromiter(map(known.__getitem__, distinct), np.int32, len(distinct))
+        if len(known) > before:
+            fresh = islice(known, before, None)
+            self._add(np.fromiter(map(xxhash.xxh3_64_intdigest, fresh), np.uint64, len(known) - before))
+        marks = np.cumsum(sizes + 2) - (sizes + 2)
+        numbers = np.full(int((sizes + 2).sum()), -1, dtype=np.int32)
+        numbers[marks], numbers[marks + sizes + 1] = known[None], known[END]
+        numbers[numbers < 0] = number_of[found.indices.to_numpy()]
+        return numbers, marks, self._met
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of ``shingles.words`` of all texts in a row, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string())))
+    sizes = lists.value_lengths().to_numpy().astype(np.int64)
+    found = lists.flatten().cast(pa.binary())
+    # White space at either end of a text leaves an empty part.
+    filled = pc.not_equal(pc.binary_length(found), 0)
+    owner = np.repeat(np.arange(len(texts)), sizes)[filled.to_numpy(zero_copy_only=False)]
+    return found.filter(filled), np.bincount(owner, minlength=len(texts))
 
 
 def signed(codes: np.ndarray) -> pa.Array:
@@ -119,20 +166,6 @@ def combined(start: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     return mix(mix(start) * np.uint64(0x9E3779B97F4A7C15) + suffix)
 
 
-def symbols(texts: Sequence[str], known: WordCodes) -> tuple[np.ndarray, np.ndarray]:
-    """The codes of the mark, the words and the end symbol of each text, and the places of the marks."""
-    if len(known) >= HELD_WORDS:
-        known.clear()
-    flat: list[int] = []
-    marks = []
-    for text in texts:
-        marks.append(len(flat))
-        flat.append(MARK)
-        flat.extend([known[w] for w in words(text)])
-        flat.append(known[END])
-    return np.array(flat, dtype=np.uint64), np.array(marks, dtype=np.int64)
-
-
 def endings(flat: np.ndarray, marks: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For d = 1..longest the codes of the sequences of length d, and the places where they end."""
     place = np.arange(len(flat))
@@ -152,20 +185,23 @@ def has(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
+    vocabulary, totals = Vocabulary(), np.zeros(0, dtype=np.int64)
 
     def out() -> pa.RecordBatch:
-        codes = np.array([xxhash.xxh3_64_intdigest(w) for w in held], dtype=np.uint64)
-        return pa.RecordBatch.from_arrays([signed(codes), pa.array(list(held.values()), pa.int64())], names=["code", "n"])
+        # The mark is no token.
+        return pa.RecordBatch.from_arrays([signed(code_of[1:]), pa.array(totals[1:])], names=["code", "n"])
 
     for batch in batches:
-        for text in batch.column(0):
-            held.update(words(text.as_py()))
-            held[END] += 1
-            if len(held) >= HELD_WORDS:
+        texts = batch.column(0)
+        for a, b in chunks(texts.to_pylist()):
+            numbers, _, (code_of,) = vocabulary.symbols(texts.slice(a, b - a))
+            found = np.bincount(numbers, minlength=len(code_of))
+            found[: len(totals)] += totals
+            totals = found
+            if len(totals) >= HELD_WORDS:
                 yield out()
-                held = Counter()
-    if held:
+                vocabulary, totals = Vocabulary(), np.zeros(0, dtype=np.int64)
+    if len(totals):
         yield out()
 
 
@@ -185,6 +221,13 @@ def spans(sorted_values: np.ndarray) -> Iterator[tuple[int, int, int]]:
     yield from zip(values.tolist(), first.tolist(), np.append(first[1:], len(sorted_values)).tolist())
 
 
+def changes(sorted_values: np.ndarray) -> np.ndarray:
+    """Whether each value differs from the one before."""
+    new = np.ones(len(sorted_values), dtype=bool)
+    new[1:] = sorted_values[1:] != sorted_values[:-1]
+    return new
+
+
 def planes(numbers: np.ndarray) -> bytes:
     """All first bytes, then all second bytes, and so on: leading zeros compress to nothing."""
     return np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), -1).T.tobytes()
@@ -222,26 +265,42 @@ def _count_grams(shared, length: int, bits_of_range: int):
         bits, ranked = shared.value
         order = np.argsort(ranked)
         ordered = ranked[order]
-        known = WordCodes()
+
+        def place_of(codes: np.ndarray) -> np.ndarray:
+            at = find(ordered, codes)
+            return np.where(at >= 0, order[at], CACHED).astype(np.uint32)
+
+        vocabulary = Vocabulary(place_of)
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
         def out() -> pa.RecordBatch:
-            flat, places, ends, codes = (np.concatenate(x) for x in zip(*held))
-            codes, first, times = np.unique(codes, return_index=True, return_counts=True)
-            window = ends[first][:, None] + np.arange(1 - length, 1)
-            places, flat = places[window], flat[window]
-            rows = [
-                (at, j - i, _pack_grams(places[i:j], flat[i:j], times[i:j]))
-                for at, i, j in spans(ranges(codes, bits_of_range))
-            ]
+            # Each array is let go as soon as it has been used.
+            parts = [list(x) for x in zip(*held)]
+            held.clear()
+            codes = np.concatenate(parts.pop())
+            # Of equal codes any will do.
+            order = np.argsort(codes)
+            codes = codes[order]
+            first = np.flatnonzero(changes(codes))
+            times = np.diff(np.append(first, len(codes))).astype(np.uint32)
+            codes = codes[first]
+            ends = np.concatenate(parts.pop())[order[first]]
+            del order, first
+            places = np.concatenate(parts.pop())
+            flat = np.concatenate(parts.pop())
+            rows = []
+            for at, i, j in spans(ranges(codes, bits_of_range)):
+                window = ends[i:j, None] + np.arange(1 - length, 1)
+                rows.append((at, j - i, _pack_grams(places[window], flat[window], times[i:j])))
             columns = (pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary())))
             return pa.RecordBatch.from_arrays(list(columns), names=["range", "size", "data"])
 
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in chunks(texts):
-                flat, marks = symbols(texts[a:b], known)
+            texts = batch.column(0)
+            for a, b in chunks(texts.to_pylist()):
+                words_at, marks, (code_of, place_of_word) = vocabulary.symbols(texts.slice(a, b - a))
+                flat = code_of[words_at]
                 *_, (codes, place) = endings(flat, marks, length - 1)
                 likely = has(bits, codes)
                 good = np.flatnonzero(likely[:-1] & likely[1:] & (place[1:] == place[:-1] + 1))
@@ -249,14 +308,12 @@ def _count_grams(shared, length: int, bits_of_range: int):
                 good = good[flat[place[good + 1]] != MARK]
                 if not len(good):
                     continue
-                distinct, where = np.unique(flat, return_inverse=True)
-                at = find(ordered, distinct)
-                places = np.where(at >= 0, order[at], CACHED).astype(np.uint32)[where]
-                held.append((flat, places, place[good + 1] + size, combined(codes[good], codes[good + 1])))
+                ends = (place[good + 1] + size).astype(np.int32)
+                held.append((flat, place_of_word[words_at], ends, combined(codes[good], codes[good + 1])))
                 size += len(flat)
                 if size >= HELD_TOKENS:
                     yield out()
-                    held, size = [], 0
+                    size = 0
         if held:
             yield out()
 
@@ -291,18 +348,17 @@ def _score(shared, longest: int, bits_of_range: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, cached, known_of, base_of, delta_of = shared.value
-        known = WordCodes()
+        vocabulary = Vocabulary(lambda codes: has(bits, codes), lambda codes: find(cached, codes))
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
         def out() -> pa.RecordBatch:
             rows, codes = (np.concatenate(x) for x in zip(*held))
+            held.clear()
             # Equal codes have one length, and texts were added in order for each length.
             order = np.argsort(codes, kind="stable")
             rows, codes = rows[order], codes[order]
-            new = np.ones(len(rows), dtype=bool)
-            new[1:] = (rows[1:] != rows[:-1]) | (codes[1:] != codes[:-1])
-            firsts = np.flatnonzero(new)
+            firsts = np.flatnonzero(changes(rows) | changes(codes))
             times = np.diff(np.append(firsts, len(rows))).astype(np.uint32)
             rows, codes = rows[firsts], codes[firsts]
             least = rows.min()
@@ -319,21 +375,25 @@ def _score(shared, longest: int, bits_of_range: int):
             return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(count, f.type)) for f in SCORED], schema=SCORED)
 
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            for a, b in chunks(texts):
-                flat, marks = symbols(texts[a:b], known)
+            texts = batch.column("_text")
+            for a, b in chunks(texts.to_pylist()):
+                words_at, marks, (code_of, likely_word, place_of_word) = vocabulary.symbols(texts.slice(a, b - a))
+                flat = code_of[words_at]
                 part = batch.slice(a, b - a)
                 lengths = np.diff(np.append(marks, len(flat)))
                 owner = np.repeat(np.arange(b - a), lengths)
                 rows = part.column("_row").to_numpy()
                 sums = [np.zeros(b - a) for _ in range(3)]
-                for codes, place in endings(flat, marks, longest):
-                    likely = has(bits, codes)
+                for d, (codes, place) in enumerate(endings(flat, marks, longest), 1):
+                    likely = likely_word[words_at] if d == 1 else has(bits, codes)
                     codes, own = codes[likely], owner[place[likely]]
-                    # In order, as neighbours are found in memory that is at hand.
-                    order = np.argsort(codes)
-                    at = np.empty(len(codes), dtype=np.int64)
-                    at[order] = find(cached, codes[order])
+                    if d == 1:
+                        at = place_of_word[words_at[likely]]
+                    else:
+                        # In order, as neighbours are found in memory that is at hand.
+                        order = np.argsort(codes)
+                        at = np.empty(len(codes), dtype=np.int64)
+                        at[order] = find(cached, codes[order])
                     here = at >= 0
                     for total, per_code in zip(sums, (known_of, base_of, delta_of)):
                         total += np.bincount(own[here], per_code[at[here]], b - a)
@@ -345,7 +405,7 @@ def _score(shared, longest: int, bits_of_range: int):
                 yield batch_of(**named, n_tokens=pa.array(lengths - 1), **totals)
                 if size >= HELD_REFS:
                     yield out()
-                    held, size = [], 0
+                    size = 0
         if held:
             yield out()
 
@@ -472,7 +532,7 @@ def predictions(
     width = range_bits(tokens)
     for d in range(2, depth + 2):
         shared = spark.sparkContext.broadcast((bit_table(listed[d - 1]), ranked))
-        counted = train.mapInArrow(_count_grams(shared, d, width), "range int, size int, data binary")
+        counted = train.mapInArrow(tidy(_count_grams(shared, d, width)), "range int, size int, data binary")
         frequent = counted.groupBy("range").applyInArrow(
             _frequent(shared, d, min_count), "code bigint, start bigint, suffix bigint, n bigint"
         )
@@ -531,7 +591,7 @@ def suffix_tree_scores(
         whole_text().alias("_text"),
     )
     train = texts.where("NOT held_out").select("_text")
-    counted = train.mapInArrow(_count_words, "code bigint, n bigint")
+    counted = train.mapInArrow(tidy(_count_words), "code bigint, n bigint")
     counts = written(counted.groupBy("code").agg(F.sum("n").alias("n")), "word-counts")
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     listed, states = predictions(spark, train, counts, tokens, distinct, depth, min_count)
@@ -560,7 +620,7 @@ def suffix_tree_scores(
     others = entries.where(F.col("n") < least)
     width = range_bits(others.count())
     schema = "_row bigint, doc_id bigint, held_out boolean, n_tokens bigint, _known bigint, _base double, _delta double"
-    scored = texts.mapInArrow(_score(shared, depth + 1, width), f"{schema}, range int, size int, data binary")
+    scored = texts.mapInArrow(tidy(_score(shared, depth + 1, width)), f"{schema}, range int, size int, data binary")
     scored = written(scored, "scored")
     packed = scored.where("range IS NOT NULL").select("range", "_row", "size", "data")
     others = others.select(F.shiftrightunsigned("code", 64 - width).cast("int").alias("range"), *entries.drop("n").columns)
