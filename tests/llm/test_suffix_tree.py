@@ -232,3 +232,40 @@ def test_counting_keeps_little_beside_what_it_holds():
     assert sum(sum(p.column("size").to_pylist()) for p in found) > 900_000
     # A million tokens take 24 bytes each while they are held.
     assert most < 100 * 1_000_000
+
+
+def test_only_the_entries_are_left_beside_the_scores(make_docs, spark, tmp_path, monkeypatch):
+    """Tables that scoring does not read take disk while texts are shuffled; texts are not stored for it either."""
+    from txnlens import session
+
+    monkeypatch.setattr(session, "scratch_root", lambda spark: f"file://{tmp_path}")
+    scores = suffix_tree_scores(make_docs(corpus()), fold("doc_id", 7) == 2, cached=0)
+    assert scores.count() == len(corpus())
+    assert [p.name.rsplit("-", 1)[0] for p in (tmp_path / "txnlens").iterdir()] == ["entries"]
+
+
+def test_sequences_whose_suffix_is_no_entry_are_not_sent():
+    from txnlens.llm.suffix_tree import BITS, _score
+
+    nothing = np.empty(0)
+    all_bits = np.full(BITS // 8, 255, dtype=np.uint8)
+    word_bits = np.zeros(BITS // 8, dtype=np.uint8)
+    codes = np.array([xxhash.xxh3_64_intdigest(b"a")], dtype=np.uint64) & np.uint64(BITS - 1)
+    word_bits[codes >> np.uint64(3)] |= (1 << (codes & np.uint64(7))).astype(np.uint8)
+
+    def sent(bits):
+        rows = {"_row": [7], "doc_id": [1], "held_out": [True], "_text": ["b a a"]}
+        shared = SimpleNamespace(value=(bits, np.empty(0, np.uint64), nothing, nothing, nothing))
+        found = pa.Table.from_batches(_score(shared, 2, 4)(iter([pa.RecordBatch.from_pydict(rows)])))
+        return sum(n for n in found.column("size").to_pylist() if n)
+
+    # The mark, a, b, the end; the pairs that end in a, a, b, the end.
+    assert sent(all_bits) == 4 + 4
+    # Were every pair's bit set, those ending in a word without a bit could still be no entry.
+    pairs = all_bits.copy()
+    for word in (b"b", END):
+        at = xxhash.xxh3_64_intdigest(word) & (BITS - 1)
+        pairs[at >> 3] &= 255 ^ (1 << (at & 7))
+    # The mark and a; the pairs b a and a a.
+    assert sent(pairs) == 2 + 2
+    assert sent(word_bits) == 1

@@ -30,18 +30,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, or to ``folder``, which its maker removes.
 
     The files survive lost executors, fix row numbers taken before, and tell the planner
     their size.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = f"{folder}/{name}" if folder else scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have the driver find the plans that nobody holds any more, so that Spark removes the files they shuffled.
+
+    It does so by itself only when the driver's memory fills, which large tables do not hasten.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def whole_text(name: str = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -47,8 +47,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlens.llm.common import fold, table, tidy, whole_text, written
+from txnlens.llm.common import fold, let_go, table, tidy, whole_text, written
 from txnlens.llm.shingles import chunks, mix
+from txnlens.session import remove, scratch_path
 
 DEPTH = 3
 MIN_COUNT = 4
@@ -343,8 +344,8 @@ def _frequent(shared, length: int, min_count: int):
 
 
 def _score(shared, longest: int, bits_of_range: int):
-    """A row for each text with its sums over the cached sequences, and rows that hold the other sequences of some
-    texts by range of their codes: codes as differences, texts as distances to ``_row``, and times."""
+    """A row for each text with its sums over the cached sequences, dealt to any range, and rows that hold the other
+    sequences of some texts by range of their codes: codes as differences, texts as distances to ``_row``, and times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, cached, known_of, base_of, delta_of = shared.value
@@ -385,15 +386,23 @@ def _score(shared, longest: int, bits_of_range: int):
                 rows = part.column("_row").to_numpy()
                 sums = [np.zeros(b - a) for _ in range(3)]
                 for d, (codes, place) in enumerate(endings(flat, marks, longest), 1):
-                    likely = likely_word[words_at] if d == 1 else has(bits, codes)
-                    codes, own = codes[likely], owner[place[likely]]
                     if d == 1:
+                        likely = likely_word[words_at]
+                        codes, place = codes[likely], place[likely]
                         at = place_of_word[words_at[likely]]
                     else:
+                        # The suffix of an entry is an entry, so only what ends where one was likely is looked at.
+                        open_ = suffix_likely[place]
+                        codes, place = codes[open_], place[open_]
+                        likely = has(bits, codes)
+                        codes, place = codes[likely], place[likely]
                         # In order, as neighbours are found in memory that is at hand.
                         order = np.argsort(codes)
                         at = np.empty(len(codes), dtype=np.int64)
                         at[order] = find(cached, codes[order])
+                    suffix_likely = np.zeros(len(flat), dtype=bool)
+                    suffix_likely[place] = True
+                    own = owner[place]
                     here = at >= 0
                     for total, per_code in zip(sums, (known_of, base_of, delta_of)):
                         total += np.bincount(own[here], per_code[at[here]], b - a)
@@ -401,6 +410,7 @@ def _score(shared, longest: int, bits_of_range: int):
                         held.append((rows[own[~here]], codes[~here]))
                         size += len(held[-1][0])
                 named = {n: part.column(n) for n in ("_row", "doc_id", "held_out")}
+                named["range"] = pa.array(ranges(mix(rows.view(np.uint64)), bits_of_range))
                 totals = {"_known": pa.array(sums[0].astype(np.int64)), "_base": pa.array(sums[1]), "_delta": pa.array(sums[2])}
                 yield batch_of(**named, n_tokens=pa.array(lengths - 1), **totals)
                 if size >= HELD_REFS:
@@ -412,16 +422,21 @@ def _score(shared, longest: int, bits_of_range: int):
     return run
 
 
-#: What ``_score`` gives: the columns up to ``_delta`` for a text, ``_row`` and the others for sequences.
-SCORED = pa.schema(
+#: A text and its sums, or a part of them.
+SUMS = pa.schema(
     [(n, pa.int64()) for n in ("_row", "doc_id")]
     + [("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("_known", pa.int64()), ("_base", pa.float64()), ("_delta", pa.float64())]
-    + [("range", pa.int32()), ("size", pa.int32()), ("data", pa.binary())]
 )
+#: What ``_score`` gives: the columns up to ``range`` for a text, ``_row`` and those from ``range`` on for sequences.
+SCORED = pa.schema([*SUMS, ("range", pa.int32()), ("size", pa.int32()), ("data", pa.binary())])
+SUMS_SQL = "_row bigint, doc_id bigint, held_out boolean, n_tokens bigint, _known bigint, _base double, _delta double"
 
 
 def _looked_up(packed: pa.Table, entries: pa.Table) -> pa.Table:
-    """Sums by text over the sequences of one range that are among its entries."""
+    """The rows of texts as they are, and sums by text over the sequences of one range that are among its entries."""
+    of_text = pc.is_null(packed.column("size"))
+    texts = packed.filter(of_text).select(SUMS.names)
+    packed = packed.filter(pc.invert(of_text))
     order = np.argsort(codes_of := entries.column("code").to_numpy().view(np.uint64))
     ordered = codes_of[order]
     per_code = [entries.column(c).to_numpy().astype(float)[order] for c in ("known", "base", "delta")]
@@ -436,8 +451,9 @@ def _looked_up(packed: pa.Table, entries: pa.Table) -> pa.Table:
         rows, where = np.unique(rows[here], return_inverse=True)
         found.append((rows, *(np.bincount(where, x[at[here]] * times[here], len(rows)) for x in per_code)))
     rows, known, base, delta = (np.concatenate(x) for x in zip(*found))
-    columns = [pa.array(rows), pa.array(known.astype(np.int64)), pa.array(base), pa.array(delta)]
-    return pa.Table.from_arrays(columns, names=["_row", "known", "base", "delta"])
+    unnamed = [pa.nulls(len(rows), f.type) for f in list(SUMS)[1:4]]
+    columns = [pa.array(rows), *unnamed, pa.array(known.astype(np.int64)), pa.array(base), pa.array(delta)]
+    return pa.concat_tables([texts.cast(SUMS), pa.Table.from_arrays(columns, schema=SUMS)])
 
 
 def token_scores(tree: Tree, ids: np.ndarray) -> np.ndarray:
@@ -516,14 +532,17 @@ def most_frequent(entries: DataFrame, size: int) -> int:
 
 
 def predictions(
-    spark: SparkSession, train: DataFrame, counts: DataFrame, tokens: int, distinct: int, depth: int, min_count: int
+    spark: SparkSession, train: DataFrame, counts: DataFrame, tokens: int, distinct: int, depth: int, min_count: int, folder: str
 ) -> tuple[dict[int, DataFrame], dict[int, DataFrame]]:
-    """For each length the frequent sequences with their chances, and the states with the logarithm of their rest."""
+    """For each length the frequent sequences with their chances, and the states with the logarithm of their rest.
+
+    They are tables in ``folder``.
+    """
     texts_seen = F.coalesce(F.sum(F.when(F.col("code") == F.lit(_code(END)), F.col("n"))), F.lit(0))
     marks = counts.agg(texts_seen.alias("n")).select(F.lit(MARK).cast("bigint").alias("code"), "n")
     known = counts.where(F.col("n") >= min_count).unionByName(marks)
     chance = (F.col("n") + 1) / F.lit(float(tokens + distinct + 1))
-    listed = {1: written(known.withColumn("chance", chance), "words")}
+    listed = {1: written(known.withColumn("chance", chance), "words", folder)}
     contexts = {}
     top = listed[1].where(F.col("n") >= most_frequent(listed[1], CACHED)).select("code", "n").toArrow()
     ranked = top.sort_by([("n", "descending"), ("code", "ascending")]).column("code").to_numpy().view(np.uint64)
@@ -541,8 +560,9 @@ def predictions(
         smoothed = (F.col("n") + F.lit(STRENGTH) * F.col("above")) / (F.col("of") + F.lit(STRENGTH))
         # The join by start comes last, so that files hold starts together and contexts are summed before they are shuffled.
         rows = frequent.join(suffixes, "suffix").join(starts, "start").withColumn("chance", smoothed)
-        listed[d] = written(rows, f"sequences-{d}")
-        contexts[d - 1] = written(_contexts(listed[d], tokens), f"contexts-{d - 1}")
+        listed[d] = written(rows, f"sequences-{d}", folder)
+        contexts[d - 1] = written(_contexts(listed[d], tokens), f"contexts-{d - 1}", folder)
+        let_go(spark)
     states = {}
     for d in range(depth, 0, -1):
         states[d] = contexts[d].where("keep")
@@ -550,7 +570,8 @@ def predictions(
             needed = listed[d + 1].join(states[d + 1].select("code"), "code", "left_semi")
             needed = needed.select(F.col("suffix").alias("code")).distinct().withColumn("needed", F.lit(True))
             states[d] = contexts[d].join(needed, "code", "left").where(F.col("keep") | F.col("needed"))
-        states[d] = written(states[d].select("code", "n", "log_rest"), f"states-{d}")
+        states[d] = written(states[d].select("code", "n", "log_rest"), f"states-{d}", folder)
+    let_go(spark)
     return listed, states
 
 
@@ -591,10 +612,11 @@ def suffix_tree_scores(
         whole_text().alias("_text"),
     )
     train = texts.where("NOT held_out").select("_text")
+    folder = scratch_path(spark, "suffix-tree")
     counted = train.mapInArrow(tidy(_count_words), "code bigint, n bigint")
-    counts = written(counted.groupBy("code").agg(F.sum("n").alias("n")), "word-counts")
+    counts = written(counted.groupBy("code").agg(F.sum("n").alias("n")), "word-counts", folder)
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    listed, states = predictions(spark, train, counts, tokens, distinct, depth, min_count)
+    listed, states = predictions(spark, train, counts, tokens, distinct, depth, min_count, folder)
 
     # What a sequence adds to the score of a text, once for each time it occurs there.
     zero = F.lit(0.0)
@@ -611,6 +633,9 @@ def suffix_tree_scores(
     sums = (F.sum(c).alias(c) for c in ("known", "base", "delta"))
     entries = entries.groupBy("code").agg(F.max("n").alias("n"), *sums)
     entries = written(entries.unionByName(root.where(F.col("n") < min_count)), "entries")
+    # All that scoring needs is among the entries.
+    remove(spark, folder)
+    let_go(spark)
 
     least = most_frequent(entries, cached)
     top = entries.where(F.col("n") >= least).toArrow()
@@ -619,24 +644,21 @@ def suffix_tree_scores(
     shared = spark.sparkContext.broadcast((bit_table(entries), *held))
     others = entries.where(F.col("n") < least)
     width = range_bits(others.count())
-    schema = "_row bigint, doc_id bigint, held_out boolean, n_tokens bigint, _known bigint, _base double, _delta double"
-    scored = texts.mapInArrow(tidy(_score(shared, depth + 1, width)), f"{schema}, range int, size int, data binary")
-    scored = written(scored, "scored")
-    packed = scored.where("range IS NOT NULL").select("range", "_row", "size", "data")
+    # Texts and their sequences take one shuffle together, so neither is stored between.
+    scored = texts.mapInArrow(tidy(_score(shared, depth + 1, width)), f"{SUMS_SQL}, range int, size int, data binary")
     others = others.select(F.shiftrightunsigned("code", 64 - width).cast("int").alias("range"), *entries.drop("n").columns)
-    found = packed.groupBy("range").cogroup(others.groupBy("range"))
-    others = found.applyInArrow(_looked_up, "_row bigint, known bigint, base double, delta double")
-    others = others.groupBy("_row").agg(*(F.sum(c).alias(c) for c in ("known", "base", "delta")))
-    scored = scored.where("range IS NULL").drop("range", "size", "data")
-    base = F.col("_base") + F.coalesce("base", zero) - F.col("n_tokens") * F.lit(math.log10(tokens + distinct + 1))
-    return scored.join(others, "_row", "left").select(
+    parts = scored.groupBy("range").cogroup(others.groupBy("range")).applyInArrow(_looked_up, SUMS_SQL)
+    named = (F.max(c).alias(c) for c in ("doc_id", "held_out", "n_tokens"))
+    totals = parts.groupBy("_row").agg(*named, *(F.sum(c).alias(c) for c in ("_known", "_base", "_delta")))
+    base = F.col("_base") - F.col("n_tokens") * F.lit(math.log10(tokens + distinct + 1))
+    return totals.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
+        F.col("_known").alias("n_known"),
         F.lit(tokens).cast("bigint").alias("train_tokens"),
         base.alias("base_score"),
-        (base + F.col("_delta") + F.coalesce("delta", zero)).alias("score"),
+        (base + F.col("_delta")).alias("score"),
     )
 
 
