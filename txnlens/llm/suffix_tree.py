@@ -561,8 +561,9 @@ def predictions(
         # The join by start comes last, so that files hold starts together and contexts are summed before they are shuffled.
         rows = frequent.join(suffixes, "suffix").join(starts, "start").withColumn("chance", smoothed)
         listed[d] = written(rows, f"sequences-{d}", folder)
-        contexts[d - 1] = written(_contexts(listed[d], tokens), f"contexts-{d - 1}", folder)
+        shared.destroy()
         let_go(spark)
+        contexts[d - 1] = written(_contexts(listed[d], tokens), f"contexts-{d - 1}", folder)
     states = {}
     for d in range(depth, 0, -1):
         states[d] = contexts[d].where("keep")
@@ -615,6 +616,7 @@ def suffix_tree_scores(
     folder = scratch_path(spark, "suffix-tree")
     counted = train.mapInArrow(tidy(_count_words), "code bigint, n bigint")
     counts = written(counted.groupBy("code").agg(F.sum("n").alias("n")), "word-counts", folder)
+    let_go(spark)
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     listed, states = predictions(spark, train, counts, tokens, distinct, depth, min_count, folder)
 
@@ -635,7 +637,6 @@ def suffix_tree_scores(
     entries = written(entries.unionByName(root.where(F.col("n") < min_count)), "entries")
     # All that scoring needs is among the entries.
     remove(spark, folder)
-    let_go(spark)
 
     least = most_frequent(entries, cached)
     top = entries.where(F.col("n") >= least).toArrow()
@@ -644,6 +645,7 @@ def suffix_tree_scores(
     shared = spark.sparkContext.broadcast((bit_table(entries), *held))
     others = entries.where(F.col("n") < least)
     width = range_bits(others.count())
+    let_go(spark)
     # Texts and their sequences take one shuffle together, so neither is stored between.
     scored = texts.mapInArrow(tidy(_score(shared, depth + 1, width)), f"{SUMS_SQL}, range int, size int, data binary")
     others = others.select(F.shiftrightunsigned("code", 64 - width).cast("int").alias("range"), *entries.drop("n").columns)
