@@ -205,6 +205,16 @@ def test_words_of_a_batch_are_numbered_as_they_stand(monkeypatch):
     assert len(codes) == 4 and codes[numbers].tolist() == [MARK, *map(xxhash.xxh3_64_intdigest, [b"b", b"a", b"b", END])]
 
 
+def test_words_are_not_kept_from_one_batch_to_the_next():
+    """To find a word again among all that a task has met costs more than to hash it again."""
+    met = Vocabulary(lambda codes: codes + np.uint64(1))
+    met.symbols(pa.array([" ".join(map(str, range(5000)))]))
+    numbers, marks, (codes, more) = met.symbols(pa.array(["b a b", "", "a"]))
+    a, b, end = (xxhash.xxh3_64_intdigest(w) for w in (b"a", b"b", END))
+    assert codes[numbers].tolist() == [MARK, b, a, b, end, MARK, end, MARK, a, end] and marks.tolist() == [0, 5, 7]
+    assert len(codes) == len(more) == 4
+
+
 @pytest.mark.parametrize("held", [2, 400_000])
 def test_counts_of_words_are_passed_on_in_parts(monkeypatch, held):
     monkeypatch.setattr("txnlens.llm.suffix_tree.HELD_WORDS", held)

@@ -34,10 +34,8 @@ are zero. An empty table gives an empty result; columns other than ``doc_id`` an
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
-from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -106,45 +104,32 @@ class Tree:
 
 
 class Vocabulary:
-    """The words a task has met, by number, with their 64-bit hashes and what ``functions`` give for these.
+    """The words of some texts, by number, with their 64-bit hashes and what ``functions`` give for these.
 
-    So each word is hashed and looked up once while it is held, not at every place where it stands.
+    So each word is hashed and looked up once for these texts, not at every place where it stands. Words are not kept
+    from one call to the next: to find one among many costs more than to hash it again.
     """
 
     def __init__(self, *functions: Callable[[np.ndarray], np.ndarray]):
         self._functions = functions
-        self._forget()
-
-    def _forget(self) -> None:
-        self._numbers: defaultdict[bytes | None, int] = defaultdict(count().__next__)
-        self._met: list[np.ndarray] = []
-        # No word is None; it stands for the mark.
-        self._numbers[None], self._numbers[END]
-        self._add(np.array([MARK, xxhash.xxh3_64_intdigest(END)], dtype=np.uint64))
-
-    def _add(self, codes: np.ndarray) -> None:
-        new = [codes, *(f(codes) for f in self._functions)]
-        self._met = [np.concatenate(x) for x in zip(self._met, new)] if self._met else new
 
     def symbols(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         """The numbers of the mark, the words and the end symbol of each text, the places of the marks, and
         by number the codes and what the functions gave for them."""
-        if len(self._numbers) >= HELD_WORDS:
-            self._forget()
-        known = self._numbers
-        before = len(known)
         found, sizes = split_words(texts)
         found = found.dictionary_encode()
         distinct = found.dictionary.to_numpy(zero_copy_only=False)
-        number_of = np.fromiter(map(known.__getitem__, distinct), np.int32, len(distinct))
-        if len(known) > before:
-            fresh = islice(known, before, None)
-            self._add(np.fromiter(map(xxhash.xxh3_64_intdigest, fresh), np.uint64, len(known) - before))
+        # Numbers 0 and 1 are the mark and the end symbol.
+        codes = np.empty(len(distinct) + 2, dtype=np.uint64)
+        codes[0], codes[1] = MARK, xxhash.xxh3_64_intdigest(END)
+        codes[2:] = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, distinct)), dtype=">u8")
         marks = np.cumsum(sizes + 2) - (sizes + 2)
-        numbers = np.full(int((sizes + 2).sum()), -1, dtype=np.int32)
-        numbers[marks], numbers[marks + sizes + 1] = known[None], known[END]
-        numbers[numbers < 0] = number_of[found.indices.to_numpy()]
-        return numbers, marks, self._met
+        numbers = np.empty(int((sizes + 2).sum()), dtype=np.int32)
+        word = np.ones(len(numbers), dtype=bool)
+        word[marks] = word[marks + sizes + 1] = False
+        numbers[marks], numbers[marks + sizes + 1] = 0, 1
+        numbers[word] = found.indices.to_numpy() + 2
+        return numbers, marks, [codes, *(f(codes) for f in self._functions)]
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -185,24 +170,39 @@ def has(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes with their sums."""
+    codes, totals = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(codes)
+    codes = codes[order]
+    firsts = np.flatnonzero(changes(codes))
+    return codes[firsts], np.add.reduceat(totals[order], firsts)
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    vocabulary, totals = Vocabulary(), np.zeros(0, dtype=np.int64)
+    vocabulary = Vocabulary()
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
 
     def out() -> pa.RecordBatch:
-        # The mark is no token.
-        return pa.RecordBatch.from_arrays([signed(code_of[1:]), pa.array(totals[1:])], names=["code", "n"])
+        codes, totals = held.pop()
+        return pa.RecordBatch.from_arrays([signed(codes), pa.array(totals)], names=["code", "n"])
 
     for batch in batches:
         texts = batch.column(0)
         for a, b in chunks(texts.to_pylist()):
             numbers, _, (code_of,) = vocabulary.symbols(texts.slice(a, b - a))
-            found = np.bincount(numbers, minlength=len(code_of))
-            found[: len(totals)] += totals
-            totals = found
-            if len(totals) >= HELD_WORDS:
-                yield out()
-                vocabulary, totals = Vocabulary(), np.zeros(0, dtype=np.int64)
-    if len(totals):
+            # The mark is no token.
+            held.append((code_of[1:], np.bincount(numbers, minlength=len(code_of))[1:]))
+            size += len(code_of) - 1
+            if size >= 2 * HELD_WORDS:
+                held = [merged(held)]
+                size = len(held[0][0])
+                if size >= HELD_WORDS:
+                    yield out()
+                    size = 0
+    if held:
+        held = [merged(held)]
         yield out()
 
 
