@@ -181,3 +181,31 @@ def test_a_steep_curve_leaves_the_order_of_scores_as_it_was(spark, make_docs):
     found = {r.doc_id: r.score for r in toxicity_scores(docs, labels, F.lit(True)).collect()}
     assert {found[i] for i in range(1, 400, 2)} == {max(found.values())} and max(found.values()) > 0.95
     assert {found[i] for i in range(0, 400, 2)} == {min(found.values())} and min(found.values()) < 0.05
+
+
+def test_words_of_letters_are_read_without_patterns(monkeypatch):
+    """Most tokens are plain words, with nothing to strip and nothing in place of letters."""
+    from txnlens.llm import toxicity
+
+    asked = []
+    for name in ("core", "plain"):
+        real = getattr(toxicity, name)
+        monkeypatch.setattr(toxicity, name, lambda token, real=real: asked.append(token) or real(token))
+    texts = ["You are SCUM really loweiheit nooo Dich été", "scum, x"]
+    got = toxicity.features(texts, LEXICON)
+    assert set(asked) == {"scum,"}
+    for row, text in zip(got.tolist(), texts):
+        assert row == pytest.approx(by_hand(text, LEXICON))
+
+
+def test_odd_letters_count_as_they_are():
+    """Capitals without small letters, small letters that grow when made small, title letters, signs and numbers."""
+    from txnlens.llm.toxicity import _RUN, token_table
+
+    tokens = "İstanbul İİİ ǅ ǅaa \U0001d400bc Ⅷ Ⅷa ªº ß ẞ x² ٣ а́б ——a —scum— ___ _a_ aaA aAa aaaa !!! $cum loweiß".split()
+    for token, row in zip(tokens, token_table(tokens, LEXICON).tolist()):
+        letters, capitals = sum(c.isalpha() for c in token), sum(c.isupper() for c in token)
+        assert row[2:6] == [letters, capitals, sum(not c.isalnum() for c in token), token.count("!")], token
+        assert row[8:] == [_RUN.search(token) is not None, letters > 2 and letters == capitals], token
+        if len(token) > 2:
+            assert features([token], LEXICON)[0].tolist() == pytest.approx(by_hand(token, LEXICON)), token

@@ -83,31 +83,56 @@ def entries(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in BEGINNINGS if n <= len(word))] if word else []
 
 
+class Lexicon:
+    """Weights of words, where a beginning is looked for only if the lexicon has one with the word's first letters."""
+
+    def __init__(self, weights: dict[str, float]):
+        self._weights = weights
+        self._stems = {e[: BEGINNINGS[0]] for e in weights if e.endswith("*")}
+
+    def __call__(self, word: str) -> float:
+        if word[: BEGINNINGS[0]] in self._stems:
+            return max((self._weights.get(e, 0.0) for e in entries(word)), default=0.0)
+        return self._weights.get(word, 0.0)
+
+
 def token_table(tokens: list[str], lexicon: dict[str, float]) -> np.ndarray:
     """Per distinct token: weight, second person, letters, capitals, punctuation, marks, obfuscated, its weight, run."""
-    out = np.zeros((len(tokens), 10))
-    for i, token in enumerate(tokens):
+    weight = Lexicon(lexicon)
+    out = []
+    for token in tokens:
+        n, word = len(token), token.lower()
+        # With so many distinct characters, none stands three times.
+        run = len(set(token)) < n - 1 and _RUN.search(token) is not None
+        if word.isalpha() and token.isalpha():
+            # Nothing to strip and nothing in place of letters.
+            capitals = 0 if token.islower() else sum(map(str.isupper, token))
+            shouted = n > 2 and capitals == n
+            out.append((weight(word), word in SECOND_PERSON, n, capitals, 0, 0, False, False, run, shouted))
+            continue
         word = core(token)
-        found = max((lexicon.get(e, 0.0) for e in entries(word)), default=0.0)
+        found = weight(word)
         bare = plain(token)
         hidden = 0.0
         if bare is not None and bare != word:
-            hidden = max((lexicon.get(e, 0.0) for e in entries(bare)), default=0.0)
+            hidden = weight(bare)
         letters = sum(map(str.isalpha, token))
-        capitals = sum(map(str.isupper, token))
-        out[i] = (
-            max(found, hidden),
-            word in SECOND_PERSON,
-            letters,
-            capitals,
-            len(token) - sum(map(str.isalnum, token)),
-            token.count("!") + token.count("?"),
-            bare is not None,
-            hidden > 0,
-            _RUN.search(token) is not None,
-            letters > 2 and capitals == letters,
+        capitals = 0 if token.islower() else sum(map(str.isupper, token))
+        out.append(
+            (
+                max(found, hidden),
+                word in SECOND_PERSON,
+                letters,
+                capitals,
+                n - sum(map(str.isalnum, token)),
+                token.count("!") + token.count("?"),
+                bare is not None,
+                hidden > 0,
+                run,
+                letters > 2 and capitals == letters,
+            )
         )
-    return out
+    return np.array(out, dtype=float).reshape(len(tokens), 10)
 
 
 def features(texts: list[str | None], lexicon: dict[str, float]) -> np.ndarray:
