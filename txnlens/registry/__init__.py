@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txnlens.session import use_settings
+from txnlens.session import release_shuffles, use_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,7 @@ def entries() -> dict[str, tuple[Query, str | None]]:
 def _with_settings(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         use_settings(spark)
+        release_shuffles(spark)
         return query(spark, sf_dir)
 
     return run
