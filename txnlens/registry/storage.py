@@ -10,7 +10,7 @@ from txnlens.operators.keys import stored_keys
 from txnlens.plans.daily import write_star
 from txnlens.registry import oracle as sql
 from txnlens.schemas import MESSAGE_KEYS, RAW_NAMES, STORED_RESULTS
-from txnlens.session import scratch_path
+from txnlens.session import scratch_path, settle
 from txnlens.sinks.daily import land, write_day
 from txnlens.sinks.upsert import KeyedTable, read_newest_first, upsert
 from txnlens.sources.files import (
@@ -60,9 +60,12 @@ def _fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All transactions, landed over three days; a later day is not part of the range."""
+    """All transactions, landed over three days; a later day is not part of the range.
+
+    The rows are joined once for all days.
+    """
     base = scratch_path(spark, "landing")
-    raw = transactions(spark, sf_dir, [*RAW_NAMES, "order_key"])
+    raw = settle(transactions(spark, sf_dir, [*RAW_NAMES, "order_key"]), "raw")
     days = [raw.where(F.col("order_key") % 3 == day).drop("order_key") for day in range(3)]
     for day, part in enumerate(days):
         land(part, base, f"2025-05-{23 + day}")
