@@ -8,7 +8,7 @@ from txnlens.schemas import MESSAGE_KEYS
 from txnlens.sources.files import landing_path
 
 
-#: Text takes a fifth of the room when compressed. Such a file is read by one task, so none grows beyond so many rows.
+#: Text takes much less room when compressed. Such a file is read by one task, so none grows beyond so many rows.
 TEXT = {"header": "true", "escape": '"', "compression": "gzip", "maxRecordsPerFile": "1000000"}
 
 
